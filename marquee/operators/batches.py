@@ -9,27 +9,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+def regroup(chunks: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of exactly ``size``, the last one smaller."""
+    waiting: list[pd.DataFrame] = []
+    held = 0
+    for chunk in chunks:
+        while len(chunk):
+            part, chunk = chunk.iloc[: size - held], chunk.iloc[size - held:]
+            waiting.append(part)
+            held += len(part)
+            if held == size:
+                yield pd.concat(waiting, ignore_index=True)
+                waiting, held = [], 0
+    if held:
+        yield pd.concat(waiting, ignore_index=True)
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str, batch_size: int
 ) -> DataFrame:
     """Apply ``fn`` to batches of at most ``batch_size`` rows, where the rows are.
 
-    Only the last batch of a partition is smaller, so a partition never has to fit in memory.
+    Only the last batch of a partition is smaller, and no more than one batch is held at a time.
     """
 
     def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: list[pd.DataFrame] = []
-        held = 0
-        for chunk in chunks:
-            while len(chunk):
-                part, chunk = chunk.iloc[: batch_size - held], chunk.iloc[batch_size - held:]
-                waiting.append(part)
-                held += len(part)
-                if held == batch_size:
-                    yield fn(pd.concat(waiting, ignore_index=True))
-                    waiting, held = [], 0
-        if held:
-            yield fn(pd.concat(waiting, ignore_index=True))
+        for batch in regroup(chunks, batch_size):
+            yield fn(batch)
 
     return df.mapInPandas(run, schema)
 

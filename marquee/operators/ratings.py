@@ -14,8 +14,11 @@ def movie_medians(ratings: DataFrame) -> DataFrame:
     A grouped aggregate: each task sends one count per distinct score of a movie, however many ratings it has.
     """
     median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY rating_score)")
-    scored = ratings.where(F.col("rating_score").isNotNull())
-    return scored.groupBy("movie_id").agg(median.cast("int").alias("median_score"))
+    return usable_ratings(ratings).groupBy("movie_id").agg(median.cast("int").alias("median_score"))
+
+
+def usable_ratings(ratings: DataFrame, include_unrated: bool = False) -> DataFrame:
+    return ratings if include_unrated else ratings.where(F.col("rating_score").isNotNull())
 
 
 def rating_base(ratings: DataFrame, movies: DataFrame, include_unrated: bool = False) -> DataFrame:
@@ -29,9 +32,8 @@ def rating_base(ratings: DataFrame, movies: DataFrame, include_unrated: bool = F
         movies = movies.join(movie_medians(ratings), "movie_id", "left")
         value = F.coalesce("rating_score", "median_score")
     else:
-        ratings = ratings.where(F.col("rating_score").isNotNull())
         value = F.col("rating_score")
-    return ratings.join(movies, "movie_id").select(
+    return usable_ratings(ratings, include_unrated).join(movies, "movie_id").select(
         "rating_id",
         "user_id",
         "movie_id",

@@ -1,8 +1,13 @@
 """Vector scoring: history vectors, top-k, rank counting and in-batch loss.
 
-Scoring every query against every candidate is a product of two tables. It is done block by block:
-both sides are cut into hash blocks of bounded size, each pair of blocks is one cogroup that multiplies
-two matrices and hands on only a top-k or a count per query. No row pair ever becomes a Spark row.
+Scoring every query against every candidate is a product of two tables, and no row pair of it ever becomes
+a Spark row: tasks multiply matrices and hand on a top-k or a count per query.
+
+* Queries that fit in ``lookup_bytes`` go to every task. Candidates are scored where they lie, without a
+  shuffle, and each partition answers once.
+* More queries than that: both sides are cut into hash blocks of about ``block_rows``, and each pair of
+  blocks is one cogroup.
+
 Scores are rounded to ``DECIMALS`` places before they are compared, so results do not depend on the
 order of additions; ties go to the smaller candidate id.
 """
@@ -10,17 +15,20 @@ order of additions; ties go to the smaller candidate id.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.functions import dot, mean_vector, unpad
+from marquee.operators.batches import regroup
+from marquee.operators.lookup import LOOKUP_BYTES, broadcast_small
 
 DECIMALS = 6
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 50_000
 CHUNK_SCORES = 5_000_000
 
 
@@ -46,18 +54,48 @@ def history_vectors(
     carry: Sequence[str] = (),
     recency: float = 1.0,
     pad_side: str = "post",
+    lookup_bytes: int = LOOKUP_BYTES,
 ) -> DataFrame:
     """(row key, carry, vector): the mean of the item vectors in each row's history, pads left out.
 
     With ``recency`` below 1 an entry counts ``recency`` times as much as the one after it. Ids without a
-    vector count for nothing, and a history without any known id gives zeros. Rows are placed by their
-    key first: with broadcast vectors the regrouping then needs no shuffle of the exploded entries.
+    vector count for nothing, and a history without any known id gives zeros.
+
+    Item vectors of at most ``lookup_bytes`` go to every task, and rows are encoded where they are, without
+    a shuffle. Larger tables are joined to the exploded histories.
     """
+    items = broadcast_small(vectors, "movie_id", "vector", 8 * width, lookup_bytes)
+    if items is None:
+        return _joined_history_vectors(df, vectors, row_key, width, carry, recency, pad_side)
+
+    def encode(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = items.value
+        for rows in chunks:
+            if rows.empty:
+                continue
+            ids = np.stack(rows["previous_movie_ids"].to_numpy()).astype(np.int64)
+            n, length = rows["history_len"].to_numpy()[:, None], ids.shape[1]
+            at = np.arange(length)[None, :] - (length - n if pad_side == "pre" else 0)
+            place, known = table.find(ids)
+            weights = np.where(known & (at >= 0) & (at < n), recency ** np.maximum(n - 1.0 - at, 0), 0.0)
+            means = np.zeros((len(rows), width))
+            if known.any():
+                sums = np.einsum("rl,rld->rd", weights, table.values[place])
+                total = weights.sum(axis=1, keepdims=True)
+                np.divide(sums, total, out=means, where=total > 0)
+            yield rows[[*row_key, *carry]].assign(vector=list(means))
+
+    kept = T.StructType([df.schema[name] for name in (*row_key, *carry)])
+    schema = T.StructType([*kept.fields, T.StructField("vector", T.ArrayType(T.DoubleType()))])
+    return df.select(*row_key, *carry, "previous_movie_ids", "history_len").mapInPandas(encode, schema)
+
+
+def _joined_history_vectors(
+    df: DataFrame, vectors: DataFrame, row_key, width: int, carry, recency: float, pad_side: str
+) -> DataFrame:
     ids = unpad(F.col("previous_movie_ids"), F.col("history_len"), pad_side)
     placed = df.select(*row_key, *carry, F.col("history_len").alias("_n"), ids.alias("_ids"))
-    entries = placed.repartition(*row_key).select(
-        *row_key, *carry, "_n", F.posexplode_outer("_ids").alias("_at", "_id")
-    )
+    entries = placed.select(*row_key, *carry, "_n", F.posexplode_outer("_ids").alias("_at", "_id"))
     named = vectors.select(F.col("movie_id").alias("_id"), "vector")
     known = entries.withColumn("_id", F.col("_id").cast("long")).join(named, "_id", "left")
     weight = F.pow(F.lit(float(recency)), F.col("_n") - 1 - F.col("_at"))
@@ -77,34 +115,36 @@ def top_k(
     k: int,
     spread: Sequence[str] = ("user_id", "vector"),
     block_rows: int = BLOCK_ROWS,
+    lookup_bytes: int = LOOKUP_BYTES,
 ) -> DataFrame:
     """(movie_id, rank, user_id, score): the best ``k`` index rows for each query (movie_id, query).
 
-    Queries have one row per movie.
-    An index row is (user_id, vector); a user may have several, and each competes by itself. ``spread``
-    are the columns that place index rows into blocks, and should tell rows of one user apart.
+    Queries have one row per movie. An index row is (user_id, vector); a user may have several, and each
+    competes by itself. ``spread`` are the columns that place index rows into blocks, and should tell the
+    rows of one user apart.
     """
 
-    def best(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        ids = right["user_id"].to_numpy()
-        parts = []
+    def keep_best(found: pd.DataFrame) -> pd.DataFrame:
+        found = found.sort_values(["movie_id", "score", "user_id"], ascending=[True, False, True])
+        return found.groupby("movie_id", sort=False).head(k)
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        ids, movies, parts = right["user_id"].to_numpy(), left["movie_id"].to_numpy(), []
         for at, scores in _score_chunks(left["query"], right["vector"]):
-            few = min(k, scores.shape[1])
-            bar = np.partition(scores, scores.shape[1] - few, axis=1)[:, scores.shape[1] - few]
+            worst = scores.shape[1] - min(k, scores.shape[1])
+            bar = np.partition(scores, worst, axis=1)[:, worst]
             row, col = np.nonzero(scores >= bar[:, None])
-            found = pd.DataFrame(
-                {"movie_id": left["movie_id"].to_numpy()[at + row], "user_id": ids[col],
-                 "score": scores[row, col]}
-            )
-            found = found.sort_values(["movie_id", "score", "user_id"], ascending=[True, False, True])
-            parts.append(found.groupby("movie_id", sort=False).head(few))
-        return _stack(parts, ["movie_id", "user_id", "score"])
-
-    schema = "movie_id long, user_id long, score double"
-    local = _by_blocks(
-        queries.select("movie_id", "query"), ["movie_id"],
-        index.select("user_id", "vector", *[c for c in spread if c not in ("user_id", "vector")]), spread,
-        best, schema, block_rows,
+            found = {"movie_id": movies[at + row], "user_id": ids[col], "score": scores[row, col]}
+            parts.append(keep_best(pd.DataFrame(found)))
+        return pd.concat(parts, ignore_index=True)
+
+    def merge(so_far: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
+        return keep_best(pd.concat([so_far, more], ignore_index=True))
+
+    others = [c for c in spread if c not in ("user_id", "vector")]
+    local = _against(
+        queries.select("movie_id", "query"), ["movie_id"], index.select("user_id", "vector", *others), spread,
+        best, merge, "movie_id long, user_id long, score double", block_rows, lookup_bytes,
     )
     order = Window.partitionBy("movie_id").orderBy(F.desc("score"), "user_id")
     ranked = local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -112,7 +152,11 @@ def top_k(
 
 
 def true_pair_ranks(
-    queries: DataFrame, candidates: DataFrame, key: Sequence[str], block_rows: int = BLOCK_ROWS
+    queries: DataFrame,
+    candidates: DataFrame,
+    key: Sequence[str],
+    block_rows: int = BLOCK_ROWS,
+    lookup_bytes: int = LOOKUP_BYTES,
 ) -> DataFrame:
     """(key, rank): 1 + the candidates that score higher with the row's query than its own history does.
 
@@ -120,13 +164,12 @@ def true_pair_ranks(
     among the candidates and never counts, since it does not score above itself.
     """
 
-    def count(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         # Rows of one movie share their query, so each movie is scored once per block.
         first = left.drop_duplicates("movie_id")
         by_movie = left.groupby("movie_id", sort=False).indices
-        own = left["score"].to_numpy()
+        own, movies = left["score"].to_numpy(), first["movie_id"].to_numpy()
         higher = np.zeros(len(left), dtype=np.int64)
-        movies = first["movie_id"].to_numpy()
         for at, scores in _score_chunks(first["query"], right["vector"]):
             scores.sort(axis=1)
             for offset, row in enumerate(scores):
@@ -134,10 +177,13 @@ def true_pair_ranks(
                 higher[rows] = len(row) - np.searchsorted(row, own[rows], side="right")
         return left[list(key)].assign(higher=higher)
 
+    def merge(so_far: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
+        return so_far.assign(higher=so_far["higher"] + more["higher"])
+
     schema = ", ".join(f"{name} long" for name in key) + ", higher long"
-    counted = _by_blocks(
+    counted = _against(
         queries.select(*key, "movie_id", "query", "score"), ["movie_id", *key],
-        candidates.select(*key, "vector"), key, count, schema, block_rows,
+        candidates.select(*key, "vector"), key, count, merge, schema, block_rows, lookup_bytes,
     )
     return counted.groupBy(*key).agg((F.sum("higher") + 1).alias("rank"))
 
@@ -172,41 +218,65 @@ def softmax_losses(rows: DataFrame, batch_size: int, position: str = "position")
     return batched.groupBy("batch_id").applyInPandas(loss, "batch_id long, rows long, loss double")
 
 
+def _against(
+    left: DataFrame,
+    left_key: Sequence[str],
+    right: DataFrame,
+    right_key: Sequence[str],
+    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    merge: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    schema: str,
+    block_rows: int,
+    lookup_bytes: int,
+) -> DataFrame:
+    """``fn`` of all queries on the left and all candidates on the right, in parts.
+
+    ``merge`` joins the answers of one set of queries to two sets of candidates.
+    """
+    size = left.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("query")).alias("width")).first()
+    if size["rows"] * (8 * (size["width"] or 0) + 64) > lookup_bytes:
+        return _by_blocks(left, left_key, size["rows"], right, right_key, fn, schema, block_rows)
+    queries = left.sparkSession.sparkContext.broadcast(left.toPandas())
+
+    def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        answer = None
+        for block in regroup(chunks, block_rows):
+            if len(queries.value):
+                part = fn(queries.value, block)
+                answer = part if answer is None else merge(answer, part)
+        if answer is not None:
+            yield answer
+
+    return right.mapInPandas(run, schema)
+
+
 def _by_blocks(
     left: DataFrame,
     left_key: Sequence[str],
+    left_rows: int,
     right: DataFrame,
     right_key: Sequence[str],
-    fn,
+    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
     block_rows: int,
 ) -> DataFrame:
-    """Run ``fn`` on every pair of a left block and a right block, each about ``block_rows`` rows."""
-    left_blocks = max(1, math.ceil(left.count() / block_rows))
+    """``fn`` on every pair of a left block and a right block, each about ``block_rows`` rows."""
+    left_blocks = max(1, math.ceil(left_rows / block_rows))
     right_blocks = max(1, math.ceil(right.count() / block_rows))
+    columns = [part.split()[0] for part in schema.split(", ")]
 
     def place(df: DataFrame, key: Sequence[str], own: str, blocks: int, other: str, others: int) -> DataFrame:
         copies = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
         return df.withColumn(own, F.pmod(F.xxhash64(*key), F.lit(blocks)).cast("int")).withColumn(other, copies)
 
-    lefts = place(left, left_key, "_left", left_blocks, "_right", right_blocks)
-    rights = place(right, right_key, "_right", right_blocks, "_left", left_blocks)
-    return (
-        lefts.groupBy("_left", "_right")
-        .cogroup(rights.groupBy("_left", "_right"))
-        .applyInPandas(_skip_empty(fn, schema), schema)
-    )
-
-
-def _skip_empty(fn, schema: str):
-    columns = [part.split()[0] for part in schema.split(", ")]
-
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
+    def run(_: tuple, some: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        if some.empty or others.empty:
             return pd.DataFrame({name: [] for name in columns})
-        return fn(key, left, right)
+        return fn(some, others)
 
-    return run
+    lefts = place(left, left_key, "_left", left_blocks, "_right", right_blocks).groupBy("_left", "_right")
+    rights = place(right, right_key, "_right", right_blocks, "_left", left_blocks).groupBy("_left", "_right")
+    return lefts.cogroup(rights).applyInPandas(run, schema)
 
 
 def _score_chunks(queries: pd.Series, vectors: pd.Series, rounded: bool = True):
@@ -216,7 +286,3 @@ def _score_chunks(queries: pd.Series, vectors: pd.Series, rounded: bool = True):
     for at in range(0, len(queries), step):
         scores = np.stack(queries.iloc[at: at + step].to_numpy()).astype(np.float64) @ right
         yield at, np.round(scores, DECIMALS) if rounded else scores
-
-
-def _stack(parts: list[pd.DataFrame], columns: list[str]) -> pd.DataFrame:
-    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({name: [] for name in columns})

@@ -79,23 +79,26 @@ def with_shifted_gaps_by_value(rows: DataFrame) -> DataFrame:
     return joined.withColumn("shifted_days", F.coalesce("larger", GAP)).drop("larger")
 
 
-def rating_sequences(base: DataFrame, config: SequenceConfig, latest_only: bool = False) -> Sequences:
+def rating_sequences(
+    base: DataFrame, config: SequenceConfig, latest_only: bool = False, users: DataFrame | None = None
+) -> Sequences:
     """Gaps, shifted gaps and context of every rating.
 
     ``latest_only`` lets the plan drop ratings that no history of a user's latest rating can reach.
+    ``users`` is what oversized users are counted in, ``base`` itself when unset. The ratings before their
+    join do as well: a column scan that can only count more.
     """
     base = base.where(F.col(USER).isNotNull())
-    hot = find_hot_keys(base, USER, config.skew)
+    hot = find_hot_keys(base if users is None else users, USER, config.skew)
     if hot is None:
         return Sequences(_ordinary(base, config, latest_only), None, config)
     cold_rows, hot_rows = split_hot(base, USER, hot, config.skew)
     return Sequences(_ordinary(cold_rows, config, latest_only), _oversized(hot_rows, hot, config), config)
 
 
-def rating_gaps(base: DataFrame, config: SequenceConfig) -> DataFrame:
+def rating_gaps(sequences: Sequences) -> DataFrame:
     """One row per rating with its gap, its shifted gap and the user's last time."""
     wanted = [*RATING_COLUMNS, "shifted_days"]
-    sequences = rating_sequences(base, config)
     rows = sequences.ordinary.select(wanted)
     return rows if sequences.oversized is None else rows.unionByName(sequences.oversized.select(wanted))
 

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.config import SkewPolicy
+from marquee.operators.lookup import LOOKUP_BYTES, broadcast_small
 from marquee.operators.skew import with_positions
+from marquee.session import materialise
 
 
 def build_vocabulary(ids: DataFrame, column: str, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
-    """(column, index): the sorted distinct ids numbered from 1."""
-    distinct = ids.select(column).where(F.col(column).isNotNull()).distinct()
+    """(column, index): the sorted distinct ids numbered from 1.
+
+    The distinct ids are stored first, because counting and numbering them read them again.
+    """
+    distinct = materialise(ids.select(column).where(F.col(column).isNotNull()).distinct(), "distinct")
     numbered = with_positions(distinct, (), (column,), policy, distinct.count())
     return numbered.select(column, (F.col("position") + 1).alias("index"))
 
@@ -30,9 +38,38 @@ def encode_history(
     row_key: Sequence[str],
     column: str = "previous_movie_ids",
     id_column: str = "movie_id",
+    lookup_bytes: int = LOOKUP_BYTES,
+) -> DataFrame:
+    """(row key, column): each array with its ids replaced by indices, order and length kept.
+
+    A vocabulary of at most ``lookup_bytes`` goes to every task and nothing is shuffled; a larger one is
+    joined to the exploded arrays.
+    """
+    names = broadcast_small(vocabulary, id_column, "index", 8, lookup_bytes)
+    if names is None:
+        return _joined_encode_history(df, vocabulary, row_key, column, id_column)
+
+    def encode(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = names.value
+        for rows in chunks:
+            arrays = rows[column].to_numpy()
+            if not len(arrays):
+                continue
+            place, known = table.find(np.concatenate(arrays).astype(np.int64))
+            found = table.values[place] if len(table.ids) else place
+            indices = np.where(known, found, 0)
+            ends = np.cumsum([len(a) for a in arrays])[:-1]
+            yield rows[list(row_key)].assign(**{column: np.split(indices, ends)})
+
+    fields = [df.schema[name] for name in row_key]
+    schema = T.StructType([*fields, T.StructField(column, T.ArrayType(T.LongType()))])
+    return df.select(*row_key, column).mapInPandas(encode, schema)
+
+
+def _joined_encode_history(
+    df: DataFrame, vocabulary: DataFrame, row_key: Sequence[str], column: str, id_column: str
 ) -> DataFrame:
-    """(row key, column): each array with its ids replaced by indices, order and length kept."""
-    placed = df.repartition(*row_key).select(*row_key, F.posexplode_outer(column).alias("_at", id_column))
+    placed = df.select(*row_key, F.posexplode_outer(column).alias("_at", id_column))
     encoded = encode_ids(placed.withColumn(id_column, F.col(id_column).cast("long")), vocabulary, id_column)
     entry = F.when(F.col("_at").isNotNull(), F.struct("_at", "index"))
     arrays = encoded.groupBy(*row_key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))

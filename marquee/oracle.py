@@ -224,6 +224,7 @@ entries AS (SELECT {IDS}, unnest(ids) AS movie_id, unnest(range(10)) AS nth FROM
     "topk_accuracy": f"""WITH {RANKS} SELECT round(avg(CASE WHEN rank <= 100 THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
   count(*) AS rows FROM ranks""",
     "pair_ranks": f"WITH {RANKS} SELECT {IDS}, rank FROM ranks",
+    "pair_ranks_blocked": f"WITH {RANKS} SELECT {IDS}, rank FROM ranks",
     "softmax_loss": f"""WITH {PAIRS},
 held AS (SELECT *, position // 250 AS batch_id FROM scored WHERE position < 1000),
 logits AS (

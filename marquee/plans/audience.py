@@ -57,11 +57,13 @@ def evaluate(
 ) -> DataFrame:
     """(metric, value): top-k accuracy and in-batch loss on the held-out rows.
 
-    ``train`` is a stored training dataset with row keys. Candidates are all its rows, held out or not.
+    ``train`` is a stored training dataset with row keys. Candidates are all its rows, held out or not;
+    they are encoded and scored in one pass over it, and only the held-out rows are stored with vectors.
     """
-    pairs = materialise(scored_pairs(train, vectors, width, pad_side), "pairs")
-    held = pairs.where(find_cut(pairs, ROW_KEY, n_holdout, seed).held_out)
-    accuracy = top_k_accuracy(true_pair_ranks(held, pairs, ROW_KEY), k)
+    cut = find_cut(train, ROW_KEY, n_holdout, seed)
+    held = materialise(scored_pairs(train.where(cut.held_out), vectors, width, pad_side), "held")
+    candidates = history_vectors(train, vectors, ROW_KEY, width, pad_side=pad_side)
+    accuracy = top_k_accuracy(true_pair_ranks(held, candidates, ROW_KEY), k)
     placed = with_shuffle_position(held, ROW_KEY, seed).withColumnRenamed("shuffle_position", "position")
     loss = softmax_losses(placed, batch_size).agg(
         F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("batches")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marquee.config import SequenceConfig
 from marquee.functions import in_hash_sample
 from marquee.operators.features import features, required_id
-from marquee.operators.ratings import rated_movies, rating_base
+from marquee.operators.ratings import rated_movies, rating_base, usable_ratings
 from marquee.operators.sequences import (
     TIME, Sequences, expand, is_latest, one_row_per_user, rating_sequences, with_min_history,
 )
@@ -25,7 +25,7 @@ def sequences_of(
     ratings: DataFrame, movies: DataFrame, config: SequenceConfig, latest_only: bool = False
 ) -> Sequences:
     base = rating_base(ratings, movies, config.include_unrated)
-    return rating_sequences(base, config, latest_only)
+    return rating_sequences(base, config, latest_only, usable_ratings(ratings, config.include_unrated))
 
 
 def train_rows(sequences: Sequences) -> DataFrame:

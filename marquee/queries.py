@@ -6,6 +6,7 @@ Arrays are rendered as text and vectors as integers of a millionth, so that engi
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ from marquee.operators.retrieval import (
     history_vectors, lookup_vectors, softmax_losses, top_k, top_k_accuracy, true_pair_ranks,
 )
 from marquee.operators.sequences import (
-    LAST, TIME, expand, fanout_report, is_latest, rating_gaps, rating_sequences, with_min_history,
+    LAST, TIME, Sequences, expand, fanout_report, is_latest, rating_gaps, with_min_history,
 )
 from marquee.operators.split import find_cut, hold_out, with_shuffle_position
 from marquee.operators.vocabulary import build_vocabulary, encode_history, encode_ids
@@ -41,11 +42,11 @@ PIPELINE = pipeline_variant()
 
 
 def text(values: Column) -> Column:
-    return F.concat_ws(",", F.transform(values, lambda x: x.cast("string")))
+    return F.array_join(values.cast("array<string>"), ",")
 
 
 def millionths(vector: Column) -> Column:
-    return F.concat_ws(",", F.transform(vector, lambda x: F.round(x * 1e6).cast("long").cast("string")))
+    return text(F.transform(vector, lambda x: F.round(x * 1e6).cast("long")))
 
 
 def rendered(df: DataFrame) -> DataFrame:
@@ -57,20 +58,32 @@ def rendered(df: DataFrame) -> DataFrame:
 
 
 class Inputs:
-    """The views over one folder, and what several queries build from them."""
+    """The views over one folder, read when first asked for, and what several queries build from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
         ship_package(spark)
-        self.spark = spark
-        self.ratings = ratings_view(spark, folder)
-        self.movies = movies_view(spark, folder)
-        self.vectors = vectors_view(spark, folder)
+        self.spark, self.folder = spark, folder
+
+    @cached_property
+    def ratings(self) -> DataFrame:
+        return ratings_view(self.spark, self.folder)
+
+    @cached_property
+    def movies(self) -> DataFrame:
+        return movies_view(self.spark, self.folder)
+
+    @cached_property
+    def vectors(self) -> DataFrame:
+        return vectors_view(self.spark, self.folder)
 
     def base(self, include_unrated: bool = False) -> DataFrame:
         return rating_base(self.ratings, self.movies, include_unrated)
 
+    def sequences(self, config: SequenceConfig = LIBRARY, latest_only: bool = False) -> Sequences:
+        return datasets.sequences_of(self.ratings, self.movies, config, latest_only)
+
     def histories(self, frame: str, config: SequenceConfig = LIBRARY) -> DataFrame:
-        return expand(rating_sequences(self.base(), config), frame)
+        return expand(self.sequences(config), frame)
 
     def train(self, config: SequenceConfig = LIBRARY) -> DataFrame:
         """The keyed training dataset, stored as it would be in a snapshot."""
@@ -107,7 +120,7 @@ def movie_median(x: Inputs) -> DataFrame:
 
 
 def gaps(x: Inputs, config: SequenceConfig, *columns: str) -> DataFrame:
-    return rating_gaps(x.base(), config).select("rating_id", "user_id", *columns)
+    return rating_gaps(x.sequences(config)).select("rating_id", "user_id", *columns)
 
 
 def gap_join(x: Inputs, config: SequenceConfig) -> DataFrame:
@@ -128,8 +141,7 @@ def history(rows: DataFrame) -> DataFrame:
 
 
 def history_latest(x: Inputs) -> DataFrame:
-    sequences = rating_sequences(x.base(), LIBRARY, latest_only=True)
-    return history(expand(sequences, "inference", keep=is_latest()))
+    return history(expand(x.sequences(latest_only=True), "inference", keep=is_latest()))
 
 
 def padded(x: Inputs, side: str, n: int = 10) -> DataFrame:
@@ -191,25 +203,33 @@ def dot_scores(x: Inputs) -> DataFrame:
     return audience.scored_pairs(x.train(), x.vectors, WIDTH).select(*ROW_KEY, "movie_id", "score")
 
 
-def topk_users(x: Inputs, block_rows: int) -> DataFrame:
-    return top_k(x.queries(), x.index(), 10, spread=audience.INDEX_KEY, block_rows=block_rows)
+def topk_users(x: Inputs, **bounds: int) -> DataFrame:
+    return top_k(x.queries(), x.index(), 10, spread=audience.INDEX_KEY, **bounds)
 
 
 def held_out_pairs(x: Inputs) -> tuple[DataFrame, DataFrame]:
-    pairs = materialise(audience.scored_pairs(x.train(), x.vectors, WIDTH), "pairs")
-    return pairs, pairs.where(find_cut(pairs, ROW_KEY, HELD_OUT).held_out)
+    """All candidates, and the held-out rows with their query and score."""
+    train = x.train()
+    cut = find_cut(train, ROW_KEY, HELD_OUT)
+    held = materialise(audience.scored_pairs(train.where(cut.held_out), x.vectors, WIDTH), "held")
+    return history_vectors(train, x.vectors, ROW_KEY, WIDTH), held
 
 
 def topk_accuracy(x: Inputs) -> DataFrame:
-    pairs, held = held_out_pairs(x)
-    return top_k_accuracy(true_pair_ranks(held, pairs, ROW_KEY), 100).select(
+    candidates, held = held_out_pairs(x)
+    return top_k_accuracy(true_pair_ranks(held, candidates, ROW_KEY), 100).select(
         F.round("accuracy", 6).alias("accuracy"), "rows"
     )
 
 
 def pair_ranks(x: Inputs) -> DataFrame:
-    pairs, held = held_out_pairs(x)
-    return true_pair_ranks(held, pairs, ROW_KEY, block_rows=700)
+    candidates, held = held_out_pairs(x)
+    return true_pair_ranks(held, candidates, ROW_KEY)
+
+
+def pair_ranks_blocked(x: Inputs) -> DataFrame:
+    candidates, held = held_out_pairs(x)
+    return true_pair_ranks(held, candidates, ROW_KEY, block_rows=700, lookup_bytes=0)
 
 
 def softmax_loss(x: Inputs) -> DataFrame:
@@ -336,10 +356,11 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "history_vector": history_vector,
     "history_vector_recency": lambda x: history_vector(x, 0.5),
     "dot_scores": dot_scores,
-    "topk_users": lambda x: topk_users(x, 20_000),
-    "topk_users_blocked": lambda x: topk_users(x, 40),
+    "topk_users": topk_users,
+    "topk_users_blocked": lambda x: topk_users(x, block_rows=40, lookup_bytes=0),
     "topk_accuracy": topk_accuracy,
     "pair_ranks": pair_ranks,
+    "pair_ranks_blocked": pair_ranks_blocked,
     "softmax_loss": softmax_loss,
     "als_item_vectors": als_item_vectors,
     "audience_index": audience_index,
