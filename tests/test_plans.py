@@ -57,3 +57,29 @@ def test_feature_order_is_stable(inputs):
     assert columns[:2] == ["movie_id", "user_id"] and columns[-1] == "history_len"
     types = dict(datasets.train_dataset(*inputs).dtypes)
     assert types["previous_movie_ids"] == "array<int>" and types["previous_score"] == "array<float>"
+
+
+def test_a_hot_movie_is_split_in_the_shuffle_join(spark, inputs):
+    """Beyond the broadcast bound, a movie with a third of the ratings does not end up in one task."""
+    from pyspark.sql import functions as F
+
+    from marquee.operators.ratings import rating_base
+
+    ratings, films = inputs
+    hot = F.when(F.col("rating_id") % 3 == 0, 5).otherwise(F.col("movie_id"))
+    bounds = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    for name, value in bounds.items():
+        spark.conf.set(name, value)
+    try:
+        joined = rating_base(ratings.withColumn("movie_id", hot).repartition(6), films)
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for name in bounds:
+            spark.conf.unset(name)
