@@ -20,9 +20,12 @@ def fit_item_vectors(
 
     Ratings shrink to one row per (user, movie) with its count before anything else, so a user or movie
     that was rated over and over is no larger than its distinct partners. Ids are numbered densely
-    because the model takes 32-bit ids.
+    because the model takes 32-bit ids. ``blocks`` defaults to the shuffle partitions, so that the model's
+    own partitions grow with the cluster's setting.
     """
     shared_dir(base.sparkSession)  # the model cuts its lineage in the checkpoint folder
+    if blocks is None:
+        blocks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seen = base.where(F.col("user_id").isNotNull()).groupBy("user_id", "movie_id").agg(
         F.count(F.lit(1)).cast("float").alias("times")
     )
@@ -34,10 +37,8 @@ def fit_item_vectors(
     numbered = numbered.select(F.col("user").cast("int"), F.col("item").cast("int"), "times")
     als = ALS(
         rank=width, maxIter=iterations, implicitPrefs=True, seed=seed, regParam=0.05,
-        userCol="user", itemCol="item", ratingCol="times",
+        userCol="user", itemCol="item", ratingCol="times", numUserBlocks=blocks, numItemBlocks=blocks,
     )
-    if blocks is not None:
-        als = als.setNumBlocks(blocks)
     factors = als.fit(numbered).itemFactors
     return factors.join(movies, factors["id"] == movies["index"]).select(
         "movie_id", F.col("features").alias("vector")
