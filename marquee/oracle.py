@@ -220,11 +220,9 @@ entries AS (SELECT {IDS}, unnest(ids) AS movie_id, unnest(range(10)) AS nth FROM
     "history_vector_recency": f"WITH {TRAIN}, {encoded('train', 'pow(0.5, n - 1 - nth)')} {SHOW_VECTOR}",
     "dot_scores": f"WITH {PAIRS} SELECT {IDS}, movie_id, score FROM scored",
     "topk_users": TOP_K,
-    "topk_users_blocked": TOP_K,
     "topk_accuracy": f"""WITH {RANKS} SELECT round(avg(CASE WHEN rank <= 100 THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
   count(*) AS rows FROM ranks""",
     "pair_ranks": f"WITH {RANKS} SELECT {IDS}, rank FROM ranks",
-    "pair_ranks_blocked": f"WITH {RANKS} SELECT {IDS}, rank FROM ranks",
     "softmax_loss": f"""WITH {PAIRS},
 held AS (SELECT *, position // 250 AS batch_id FROM scored WHERE position < 1000),
 logits AS (
@@ -249,3 +247,15 @@ latest AS (
     unnest([ratings, pairs, largest_pair, fanout_rows])::DOUBLE AS value FROM report""",
     "batched_read": f"WITH {TRAIN} SELECT {IDS}, h_ids[-1] AS newest_id FROM train",
 }
+
+# Other roads to the same rows.
+for road, query in {
+    "shifted_gaps_segmented": "shifted_gaps",
+    "train_dataset_segmented": "train_dataset",
+    "inference_dataset_segmented": "inference_dataset",
+    "encode_history_joined": "encode_history",
+    "history_vector_joined": "history_vector",
+    "topk_users_blocked": "topk_users",
+    "pair_ranks_blocked": "pair_ranks",
+}.items():
+    ORACLE[road] = ORACLE[query]

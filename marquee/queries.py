@@ -39,6 +39,8 @@ HELD_OUT = 1_000
 BATCH = 250
 LIBRARY = SequenceConfig()
 PIPELINE = pipeline_variant()
+# The road of oversized users, taken by about half of the users in the small tables.
+SEGMENTED = LIBRARY.with_skew(max_group_rows=50, segment_rows=30, pair_rows=2)
 
 
 def text(values: Column) -> Column:
@@ -184,8 +186,8 @@ def encoded_ids(x: Inputs) -> DataFrame:
     return encode_ids(x.movies.select("movie_id"), vocabulary(x), "movie_id")
 
 
-def encoded_history(x: Inputs) -> DataFrame:
-    encoded = encode_history(x.train(), vocabulary(x), ROW_KEY)
+def encoded_history(x: Inputs, **bounds: int) -> DataFrame:
+    encoded = encode_history(x.train(), vocabulary(x), ROW_KEY, **bounds)
     return encoded.select(*ROW_KEY, text(F.col("previous_movie_ids")).alias("indices"))
 
 
@@ -194,8 +196,8 @@ def embedding_lookup(x: Inputs) -> DataFrame:
     return lookup_vectors(rated, x.vectors).select("rating_id", "movie_id", millionths(F.col("query")).alias("vector"))
 
 
-def history_vector(x: Inputs, recency: float = 1.0) -> DataFrame:
-    encoded = history_vectors(x.train(), x.vectors, ROW_KEY, WIDTH, recency=recency)
+def history_vector(x: Inputs, **options: float) -> DataFrame:
+    encoded = history_vectors(x.train(), x.vectors, ROW_KEY, WIDTH, **options)
     return encoded.select(*ROW_KEY, millionths(F.col("vector")).alias("vector"))
 
 
@@ -316,6 +318,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "last_rating": lambda x: gaps(x, LIBRARY, LAST),
     "shifted_gaps": lambda x: gaps(x, LIBRARY, "shifted_days"),
     "shifted_gaps_by_time": lambda x: gaps(x, SequenceConfig(gap_order="time"), "shifted_days"),
+    "shifted_gaps_segmented": lambda x: gaps(x, SEGMENTED, "shifted_days"),
     "gap_join": lambda x: gap_join(x, LIBRARY),
     "gap_join_by_rating": lambda x: gap_join(x, SequenceConfig(rerate="by_rating")),
     "fanout_report": lambda x: fanout_report(x.base()),
@@ -327,6 +330,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "pad_pre": lambda x: padded(x, "pre"),
     "truncate_newest": lambda x: padded(x, "post", 4),
     "train_dataset": lambda x: rendered(datasets.train_dataset(x.ratings, x.movies, LIBRARY, keys=True)),
+    "train_dataset_segmented": lambda x: rendered(
+        datasets.train_dataset(x.ratings, x.movies, SEGMENTED, keys=True)
+    ),
     "train_dataset_by_rating": lambda x: rendered(
         datasets.train_dataset(x.ratings, x.movies, SequenceConfig(rerate="by_rating"), keys=True)
     ),
@@ -337,6 +343,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         datasets.train_dataset_pipeline(x.ratings, x.movies, PIPELINE, keys=True)
     ),
     "inference_dataset": lambda x: rendered(x.inference()),
+    "inference_dataset_segmented": lambda x: rendered(
+        datasets.inference_dataset(x.ratings, x.movies, SEGMENTED, keys=True)
+    ),
     "inference_dataset_pipeline": lambda x: rendered(
         datasets.inference_dataset(x.ratings, x.movies, PIPELINE, keys=True)
     ),
@@ -352,9 +361,11 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "vocabulary": vocabulary,
     "encode_ids": encoded_ids,
     "encode_history": encoded_history,
+    "encode_history_joined": lambda x: encoded_history(x, lookup_bytes=0),
     "embedding_lookup": embedding_lookup,
     "history_vector": history_vector,
-    "history_vector_recency": lambda x: history_vector(x, 0.5),
+    "history_vector_joined": lambda x: history_vector(x, lookup_bytes=0),
+    "history_vector_recency": lambda x: history_vector(x, recency=0.5),
     "dot_scores": dot_scores,
     "topk_users": topk_users,
     "topk_users_blocked": lambda x: topk_users(x, block_rows=40, lookup_bytes=0),
