@@ -47,8 +47,9 @@ class Sequences:
     """One row per rating with its context, ordinary users apart from oversized ones."""
 
     ordinary: DataFrame
-    oversized: DataFrame | None
     config: SequenceConfig
+    oversized: DataFrame | None = None
+    matches: DataFrame | None = None  # the ratings that oversized ones are paired with
 
 
 def with_day_gaps(rows: DataFrame, unit: str, keys: Sequence[str] = (USER,)) -> DataFrame:
@@ -91,9 +92,10 @@ def rating_sequences(
     base = base.where(F.col(USER).isNotNull())
     hot = find_hot_keys(base if users is None else users, USER, config.skew)
     if hot is None:
-        return Sequences(_ordinary(base, config, latest_only), None, config)
+        return Sequences(_ordinary(base, config, latest_only), config)
     cold_rows, hot_rows = split_hot(base, USER, hot, config.skew)
-    return Sequences(_ordinary(cold_rows, config, latest_only), _oversized(hot_rows, hot, config), config)
+    oversized = _oversized(hot_rows, hot, config, latest_only)
+    return Sequences(_ordinary(cold_rows, config, latest_only), config, *oversized)
 
 
 def rating_gaps(sequences: Sequences) -> DataFrame:
@@ -117,7 +119,7 @@ def expand(sequences: Sequences, frame: str, keep: Column | None = None) -> Data
     config = sequences.config
     rows = _expand_ordinary(_kept(sequences.ordinary, keep), frame, config)
     if sequences.oversized is not None:
-        rows = rows.unionByName(_expand_oversized(sequences.oversized, keep, frame, config))
+        rows = rows.unionByName(_expand_oversized(sequences, keep, frame))
     return rows
 
 
@@ -219,11 +221,17 @@ def _expand_ordinary(rows: DataFrame, frame: str, config: SequenceConfig) -> Dat
 # --- oversized users: segments instead of whole groups --------------------------------------------
 
 
-def _oversized(base: DataFrame, hot: HotKeys, config: SequenceConfig) -> DataFrame:
+def _oversized(
+    base: DataFrame, hot: HotKeys, config: SequenceConfig, latest_only: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Ratings with their context, and the ratings they match. With ``latest_only`` both are cut down early."""
     n, policy = config.frame_len, config.skew
     rows = with_positions(base, (USER,), TIME_ORDER, policy, hot.rows, hot.keys)
     lasts = rows.groupBy(USER).agg(F.max(TIME).alias(LAST))
     segment = (USER, "segment")
+    if latest_only:
+        at_last = join_counted(rows, lasts, USER, "inner", hot.keys, policy).where(is_latest())
+        lasts = at_last.groupBy(USER, LAST).agg(F.min("position").alias("_first_latest"))
 
     # The gap reaches one row back, and the gap of the row before reaches one further.
     cut = with_day_gaps(with_segments(rows, "position", policy, 2), config.gap_unit, segment)
@@ -234,16 +242,23 @@ def _oversized(base: DataFrame, hot: HotKeys, config: SequenceConfig) -> DataFra
         gaps = with_shifted_gaps_by_value(gaps)
     gaps = join_counted(gaps, lasts, USER, "inner", hot.keys, policy)
 
+    in_reach = F.col("position") >= F.col("_first_latest") - n if latest_only else F.lit(True)
     if config.rerate == "fanout":
+        if latest_only:
+            # Of older ratings only those matter whose movie a rating in reach has.
+            near = join_counted(rows, lasts, USER, "inner", hot.keys, policy).where(in_reach)
+            gaps = gaps.join(near.select(*PAIR).distinct(), [*PAIR], "left_semi")
         gaps = _with_pair_gaps(gaps, hot, config)
     else:
-        gaps = gaps.withColumn("own", F.array("shifted_days")).withColumn("tail", F.col("own"))
+        gaps = gaps.where(in_reach).withColumn("own", F.array("shifted_days")).withColumn("tail", F.col("own"))
         gaps = gaps.withColumns({"pair_rows": F.lit(1).cast("long"), "pair_position": F.lit(0).cast("long")})
-    cut = with_segments(gaps, "position", policy, n)
+    if latest_only:
+        gaps = materialise(gaps, "matches")
+    cut = with_segments(gaps.where(in_reach), "position", policy, n)
     cut = _with_context(cut, _entries(F.col("tail")), segment, n)
-    rows = without_lent_rows(cut, "position", policy)
-    kept = rows.select(*RATING_COLUMNS, "shifted_days", "pair_position", "pair_rows", "own", "context")
-    return materialise(kept, "oversized")
+    kept = [*RATING_COLUMNS, "shifted_days", "pair_position", "pair_rows", "own", "context"]
+    rows = materialise(without_lent_rows(cut, "position", policy).select(*kept), "oversized")
+    return rows, gaps if latest_only else rows
 
 
 def _with_pair_gaps(rows: DataFrame, hot: HotKeys, config: SequenceConfig) -> DataFrame:
@@ -265,15 +280,16 @@ def _with_pair_gaps(rows: DataFrame, hot: HotKeys, config: SequenceConfig) -> Da
     return own.join(per_segment, [*PAIR, "pair_segment"]).drop("pair_segment")
 
 
-def _expand_oversized(rows: DataFrame, keep: Column | None, frame: str, config: SequenceConfig) -> DataFrame:
+def _expand_oversized(sequences: Sequences, keep: Column | None, frame: str) -> DataFrame:
+    config = sequences.config
     n, policy = config.frame_len, config.skew
-    kept = _kept(rows, keep)
+    kept = _kept(sequences.oversized, keep)
     if config.rerate == "fanout":
         # The matched side goes into blocks of pair_rows, so that no task holds more of one pair than that.
         block = F.floor(F.col("pair_position") / policy.pair_rows).cast("long")
         last_block = F.floor((F.col("pair_rows") - 1) / policy.pair_rows).cast("long")
         left = kept.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-        right = rows.select(
+        right = sequences.matches.select(
             *PAIR, F.col("rating_id").alias("matched_rating_id"), "shifted_days", "own", block.alias("_block")
         )
         copies = left.drop("shifted_days", "own").join(right, [*PAIR, "_block"])

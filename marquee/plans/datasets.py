@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,7 +98,7 @@ def prepare(
     """
     start = time.monotonic()
     sequences = sequences_of(ratings, movies, config)
-    shared = Sequences(materialise(sequences.ordinary, "sequences"), sequences.oversized, config)
+    shared = replace(sequences, ordinary=materialise(sequences.ordinary, "sequences"))
     row_key = ROW_KEY if keys else ()
     datasets = {
         "train": features(train_rows(shared), config, (*row_key, "movie_id", "user_id")),
