@@ -60,6 +60,6 @@ class SequenceConfig:
         return replace(self, skew=replace(self.skew, **bounds))
 
 
-def pipeline_variant(seq_length: int = 10, **changes) -> SequenceConfig:
-    """The hosted-pipeline variant: pads in front, and a frame of ten rows whatever ``seq_length`` is."""
+def hosted_variant(seq_length: int = 10, **changes) -> SequenceConfig:
+    """The hosted variant: pads in front, and a frame of ten rows whatever ``seq_length`` is."""
     return SequenceConfig(seq_length=seq_length, history_len=10, pad_side="pre", **changes)

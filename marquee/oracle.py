@@ -181,11 +181,11 @@ ORACLE: dict[str, str] = {
     "train_dataset_by_rating": f"""WITH {histories('train', rerate='by_rating')}
   {show_dataset(BOTH, 'post')} WHERE len(h_ids) > 2""",
     "train_dataset_unrated": f"WITH {histories('train', True)} {show_dataset(BOTH, 'post')} WHERE len(h_ids) > 2",
-    "train_dataset_pipeline": f"""WITH {histories('train')}
+    "sampled_train_dataset": f"""WITH {histories('train')}
   {show_dataset('movie_id', 'pre')} WHERE bucket IN (10, 20, 30, 40)""",
     "inference_dataset": f"""WITH {histories('inference')}
   {show_dataset('user_id', 'post')} WHERE len(h_ids) > 2 AND ts = last_ts""",
-    "inference_dataset_pipeline": f"""WITH {histories('inference')}
+    "inference_dataset_front_padded": f"""WITH {histories('inference')}
   {show_dataset('user_id', 'pre')} WHERE len(h_ids) > 2 AND ts = last_ts""",
     "inference_one_per_user": f"""WITH {histories('inference')}
   {show_dataset('user_id', 'post')} WHERE len(h_ids) > 2 AND ts = last_ts

@@ -52,10 +52,10 @@ def train_dataset(
     return features(train_rows(sequences_of(ratings, movies, config)), config, ids)
 
 
-def train_dataset_pipeline(
+def sampled_train_dataset(
     ratings: DataFrame, movies: DataFrame, config: SequenceConfig, keys: bool = False
 ) -> DataFrame:
-    """Pipeline variant: sampled rows, and no user id."""
+    """Hosted variant: sampled rows, and no user id."""
     ids = (*(ROW_KEY if keys else ()), "movie_id")
     return features(sampled_train_rows(sequences_of(ratings, movies, config)), config, ids)
 

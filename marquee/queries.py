@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.config import SequenceConfig, pipeline_variant
+from marquee.config import SequenceConfig, hosted_variant
 from marquee.functions import in_hash_sample, newest, pad, sample_bucket
 from marquee.operators.batches import map_batches
 from marquee.operators.factors import fit_item_vectors
@@ -38,7 +38,7 @@ WIDTH = 64  # of the ready-made vectors
 HELD_OUT = 1_000
 BATCH = 250
 LIBRARY = SequenceConfig()
-PIPELINE = pipeline_variant()
+HOSTED = hosted_variant()
 # The road of oversized users, taken by about half of the users in the small tables.
 SEGMENTED = LIBRARY.with_skew(max_group_rows=50, segment_rows=30, pair_rows=2)
 
@@ -339,15 +339,15 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "train_dataset_unrated": lambda x: rendered(
         datasets.train_dataset(x.ratings, x.movies, SequenceConfig(include_unrated=True), keys=True)
     ),
-    "train_dataset_pipeline": lambda x: rendered(
-        datasets.train_dataset_pipeline(x.ratings, x.movies, PIPELINE, keys=True)
+    "sampled_train_dataset": lambda x: rendered(
+        datasets.sampled_train_dataset(x.ratings, x.movies, HOSTED, keys=True)
     ),
     "inference_dataset": lambda x: rendered(x.inference()),
     "inference_dataset_segmented": lambda x: rendered(
         datasets.inference_dataset(x.ratings, x.movies, SEGMENTED, keys=True)
     ),
-    "inference_dataset_pipeline": lambda x: rendered(
-        datasets.inference_dataset(x.ratings, x.movies, PIPELINE, keys=True)
+    "inference_dataset_front_padded": lambda x: rendered(
+        datasets.inference_dataset(x.ratings, x.movies, HOSTED, keys=True)
     ),
     "inference_one_per_user": lambda x: rendered(
         datasets.inference_dataset(x.ratings, x.movies, LIBRARY, keys=True, one_per_user=True)

@@ -6,7 +6,7 @@ import pytest
 from fixtures import day, movies, ratings
 from pyspark.sql import functions as F
 
-from marquee.config import SequenceConfig, pipeline_variant
+from marquee.config import SequenceConfig, hosted_variant
 from marquee.functions import newest, pad, unpad
 from marquee.operators.ratings import rating_base
 from marquee.operators.sequences import expand, rating_gaps, rating_sequences
@@ -140,9 +140,9 @@ def test_empty_history_and_null_year(spark):
 
 
 @pytest.mark.parametrize("seq_length", [4, 15])
-def test_pipeline_frame_is_fixed(spark, seq_length):
+def test_hosted_frame_is_fixed(spark, seq_length):
     rows = [(i, 1, i + 1, day(i), 3) for i in range(20)]
-    config = pipeline_variant(seq_length)
+    config = hosted_variant(seq_length)
     found = datasets.inference_dataset(ratings(spark, rows), movies(spark), config).first()
     ids = list(range(11, 21))
     assert found.previous_movie_ids == (ids[-4:] if seq_length == 4 else [0] * 5 + ids)
