@@ -28,9 +28,10 @@ def audience_index(
 def best_users(movies: DataFrame, vectors: DataFrame, index: DataFrame, k: int = 10) -> DataFrame:
     """(movie_id, rank, user_id, score) for each distinct movie in ``movies`` that has a vector.
 
-    ``index`` is read more than once: pass the stored one.
+    ``index`` may be read more than once: pass the stored one. The queries are stored before they are
+    counted and sent out.
     """
-    queries = lookup_vectors(movies.select("movie_id").distinct(), vectors)
+    queries = materialise(lookup_vectors(movies.select("movie_id").distinct(), vectors), "queries")
     return top_k(queries, index, k, spread=INDEX_KEY)
 
 

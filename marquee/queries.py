@@ -99,7 +99,8 @@ class Inputs:
         return materialise(built, "index")
 
     def queries(self) -> DataFrame:
-        return lookup_vectors(datasets.movie_catalogue(self.ratings, self.movies), self.vectors)
+        found = lookup_vectors(datasets.movie_catalogue(self.ratings, self.movies), self.vectors)
+        return materialise(found, "queries")
 
 
 def ratings_base(x: Inputs) -> DataFrame:
