@@ -7,10 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import exact_dedup, sharding
-from marquee.llm.common import read_table
+from marquee.llm import exact_dedup, packing, sharding, token_counts
+from marquee.llm.common import read_definition, read_table, whole_text
 
 SHARDS = 16
+#: A text with more tokens is marked.
+TOKEN_LIMIT = 1024
+
+
+def vocabulary(name: str) -> str:
+    """Definition of one of the public tokenizers."""
+    import public_tokenizers
+
+    return read_definition(public_tokenizers.path(name))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
+    return counted.select(
+        "doc_id", F.octet_length(whole_text()).cast("long").alias("n_bytes"), "n_tokens",
+        (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
+    )
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packed.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +89,8 @@ FROM placed JOIN crcs_of USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_token_counts": op2_token_counts,
+        "op7_packing": op7_packing,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_sharding": op10_sharding,
     }
