@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import exact_dedup, packing, sharding, token_counts
+from marquee.llm import exact_dedup, near_dedup, packing, sharding, token_counts
 from marquee.llm.common import read_definition, read_table, whole_text
 
 SHARDS = 16
@@ -31,6 +31,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    policy = near_dedup.NearPolicy(words=3, percent=85)
+    found = near_dedup.near_components(read_table(spark, sf_dir, "documents"), policy)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return packed.select(
@@ -90,6 +96,7 @@ FROM placed JOIN crcs_of USING (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_counts": op2_token_counts,
+        "op4_near_dedup": op4_near_dedup,
         "op7_packing": op7_packing,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_sharding": op10_sharding,
