@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import exact_dedup, near_dedup, packing, sharding, token_counts
-from marquee.llm.common import read_definition, read_table, whole_text
+from marquee.llm import decontaminate, exact_dedup, near_dedup, packing, sharding, token_counts
+from marquee.llm.common import ROW, read_definition, read_table, whole_text
 
 SHARDS = 16
 #: A text with more tokens is marked.
@@ -37,6 +37,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(docs, items).drop(ROW)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return packed.select(
@@ -97,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_counts": op2_token_counts,
         "op4_near_dedup": op4_near_dedup,
+        "op5_decontamination": op5_decontamination,
         "op7_packing": op7_packing,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_sharding": op10_sharding,
