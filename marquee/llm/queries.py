@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, exact_dedup, near_dedup, packing, sharding, token_counts
+from marquee.llm import decontaminate, exact_dedup, license_scan, near_dedup, packing, sharding, token_counts
 from marquee.llm.common import ROW, read_definition, read_table, whole_text
 
 SHARDS = 16
@@ -62,6 +62,15 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM (
 """
 
 
+#: Phrases whose every place is counted, and their labels. Fixed values.
+PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.summary(license_scan.scan(docs, PHRASES))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_slots(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS, 1.0)
     return placed.select(
@@ -105,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_decontamination": op5_decontamination,
         "op7_packing": op7_packing,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_license_scan": op9_license_scan,
         "op10_sharding": op10_sharding,
     }
 
