@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, exact_dedup, license_scan, near_dedup, packing, sharding, token_counts
+from marquee.llm import decontaminate, exact_dedup, language_id, license_scan, near_dedup, packing, sharding, token_counts, toxicity
 from marquee.llm.common import ROW, read_definition, read_table, whole_text
 
 SHARDS = 16
@@ -22,6 +22,14 @@ def vocabulary(name: str) -> str:
     return read_definition(public_tokenizers.path(name))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (by doc_id) and pages (by page_id) in one table: their hosts and declarations are judged together."""
+    docs, pages = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "pages")
+    model = language_id.learn_text_model(language_id.labelled_documents(docs), language_id.LanguagePolicy())
+    found = language_id.identify(docs, pages, model)
+    return found.select("doc_id", "page_id", "lang", "probability", "kept")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
@@ -31,6 +39,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(docs, labels).drop("evidence")
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     policy = near_dedup.NearPolicy(words=3, percent=85)
     found = near_dedup.near_components(read_table(spark, sf_dir, "documents"), policy)
@@ -109,7 +122,9 @@ FROM placed JOIN crcs_of USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_token_counts": op2_token_counts,
+        "op3_toxicity": op3_toxicity,
         "op4_near_dedup": op4_near_dedup,
         "op5_decontamination": op5_decontamination,
         "op7_packing": op7_packing,
