@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -95,7 +96,7 @@ _TABLES: dict[str, PieceTable] = {}
 def _table(definition: str) -> PieceTable:
     key = hashlib.sha256(definition.encode()).hexdigest()
     if key not in _TABLES:
-        _TABLES[key] = PieceTable(definition, "", lambda ids: np.array(ids, dtype="<u4").tobytes())
+        _TABLES[key] = PieceTable(definition, "", lambda ids: struct.pack(f"<{len(ids)}I", *ids))
     return _TABLES[key]
 
 

@@ -48,18 +48,23 @@ def spaced_pieces(text: str) -> list[str]:
 
 
 class PieceTable:
-    """Values of pieces: a fixed part sent along and a part this worker learns, emptied when it grows too large.
+    """Values of pieces: a fixed part sent along and two generations that this worker learns.
+
+    When the young generation has grown to ``limit`` it becomes the old one; what is found there again is taken
+    back into the young one, so frequent pieces stay and rare ones go.
 
     ``lead`` is what was cut off before a piece (one space, or nothing); ``value`` makes a value from a piece's
     ids, and values of neighbours are added.
     """
 
-    def __init__(self, definition: str, lead: str, value: Callable, fixed: dict | None = None, limit: int = 500_000):
+    def __init__(self, definition: str, lead: str, value: Callable, fixed: dict | None = None, limit: int = 600_000):
         self.tokenizer = load_tokenizer(definition)
         self.model = self.tokenizer.model
         self.added = [token["content"] for token in json.loads(definition).get("added_tokens") or []]
         self.lead, self.value, self.fixed, self.limit = lead, value, dict(fixed or {}), limit
-        self.table, self.bare = dict(self.fixed), {}
+        self.table, self.old, self.bare = dict(self.fixed), {}, {}
+        self.passing: list[str] = []
+        self.lead_letters = "".join(BYTE_LETTERS[byte] for byte in lead.encode())
 
     def encode(self, pieces: list[str]) -> list:
         found = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
@@ -67,8 +72,9 @@ class PieceTable:
 
     def encode_led(self, piece: str):
         """Value of a plain piece after ``lead``: the merges alone, without the steps before them."""
-        letters = (self.lead + piece).encode().decode("latin-1").translate(BYTE_LETTERS)
-        return self.value([token.id for token in self.model.tokenize(letters)])
+        if not piece.isascii():  # plain ASCII letters are written as they are
+            piece = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return self.value([token.id for token in self.model.tokenize(self.lead_letters + piece)])
 
     def has_added(self, text: str) -> bool:
         return any(token in text for token in self.added)
@@ -78,33 +84,45 @@ class PieceTable:
         missing = set(pieces).difference(self.table)
         if not missing:
             return
-        ends = {}
+        table, old = self.table, self.old
+        self.passing += [piece for piece in missing if len(piece) > LONGEST_KEPT]
+        ends, cores = {}, set()
         for piece in missing:
+            if piece in old:
+                table[piece] = old[piece]
+                continue
             core = piece.rstrip(TAIL)
             if core != piece and core and core[-1].isalpha():
-                ends[piece] = core, piece[len(core):]
-        cores = (missing - ends.keys()) | ({core for core, _ in ends.values()} - self.table.keys())
-        self.table.update((core, self.encode_led(core)) for core in cores if is_plain(core))
-        others = [core for core in cores if not is_plain(core)]
-        self.table.update(zip(others, self.encode([self.lead + core for core in others]), strict=True))
-        self.learn_bare(tail for _, tail in ends.values())
-        table, bare = self.table, self.bare
-        for piece, (core, tail) in ends.items():
-            table[piece] = table[core] + bare[tail]
+                ends[piece] = core
+            cores.add(core if piece in ends else piece)
+        others = []
+        for core in cores.difference(table):
+            if core in old:
+                table[core] = old[core]
+            elif is_plain(core):
+                table[core] = self.encode_led(core)
+            else:
+                others.append(core)
+        table.update(zip(others, self.encode([self.lead + core for core in others]), strict=True))
+        self.learn_bare(piece[len(core):] for piece, core in ends.items())
+        bare = self.bare
+        for piece, core in ends.items():
+            table[piece] = table[core] + bare[piece[len(core):]]
 
     def learn_bare(self, pieces: Iterable[str]) -> None:
         missing = list(set(pieces).difference(self.bare))
         if missing:
+            self.passing += [piece for piece in missing if len(piece) > LONGEST_KEPT]
             self.bare.update(zip(missing, self.encode(missing), strict=True))
 
-    def trim(self, used: Iterable[str] = ()) -> None:
-        """Forget long pieces, and all that was learned once it is too much. Only speed depends on it."""
-        for piece in used:
-            if len(piece) > LONGEST_KEPT:
-                self.table.pop(piece, None)
-                self.bare.pop(piece, None)
+    def trim(self) -> None:
+        """Forget long pieces, and the older half of what was learned once it is too much. Only speed depends on it."""
+        for piece in self.passing:
+            self.table.pop(piece, None)
+            self.bare.pop(piece, None)
+        self.passing = []
         if len(self.table) > self.limit + len(self.fixed):
-            self.table = dict(self.fixed)
+            self.table, self.old = dict(self.fixed), self.table
         if len(self.bare) > self.limit // 10:
             self.bare = {}
 
@@ -112,14 +130,14 @@ class PieceTable:
 def spaced_values(texts: list[str], known: PieceTable) -> list:
     """Values of whole texts for a vocabulary in which a word includes the space before it."""
     cut = [None if known.has_added(text) else spaced_pieces(text) for text in texts]
-    known.learn({piece for pieces in cut if pieces for piece in pieces[1:]})
+    known.learn(set().union(*(pieces[1:] for pieces in cut if pieces)))
     known.learn_bare({pieces[0] for pieces in cut if pieces})
     find, bare = known.table.__getitem__, known.bare
     values = [
         known.encode([text])[0] if pieces is None else sum(map(find, pieces[1:]), bare[pieces[0]])
         for text, pieces in zip(texts, cut, strict=True)
     ]
-    known.trim(piece for pieces in cut if pieces for piece in pieces if len(piece) > LONGEST_KEPT)
+    known.trim()
     return values
 
 
@@ -134,11 +152,11 @@ def word_values(texts: list[str], known: PieceTable) -> list[bytes]:
         None if known.has_added(text) or "Σ" in text or _CONTROL.search(text) else text.lower().split()
         for text in texts
     ]
-    known.learn({piece for pieces in cut if pieces for piece in pieces})
+    known.learn(set().union(*filter(None, cut)))
     find = known.table.__getitem__
     values = [
         known.encode([text])[0] if pieces is None else b"".join(map(find, pieces))
         for text, pieces in zip(texts, cut, strict=True)
     ]
-    known.trim(piece for pieces in cut if pieces for piece in pieces if len(piece) > LONGEST_KEPT)
+    known.trim()
     return values
