@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROW = "_row"
+from marquee.session import materialise
+
+ROW = "_key"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,28 @@ def with_row_key(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that the table does not have yet."""
+    taken = {name.lower() for name in df.columns}
+    while wanted in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
+#: Keys that may be broadcast: 8 bytes each, a few times that in a hash table.
+BROADCAST_KEYS = 1_000_000
+
+
+def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The table without the rows of the given row keys; few keys go to where the rows lie."""
+    key = free_name(docs, ROW)
+    dropped = materialise(keys.select(F.col(ROW).alias(key)), "dropped_keys")
+    if dropped.count() <= BROADCAST_KEYS:
+        dropped = F.broadcast(dropped)
+    keyed = docs.withColumn(key, F.monotonically_increasing_id())
+    return keyed.join(dropped, key, "left_anti").select(*docs.columns)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import whole_text
+from marquee.llm.common import free_name, whole_text
 from marquee.llm.license_rules import ANCHORS, Rule, rules
 
 #: Characters of words: digits, letters of either case, and all beyond ASCII.
@@ -122,8 +122,9 @@ def detections(text: Column, lowered: Column, signatures: Sequence[Rule]) -> Col
 def scan(docs: DataFrame, phrases: dict[str, str], signatures: Sequence[Rule] | None = None) -> DataFrame:
     """The table with ``n_words``, ``places`` (label, start) of the phrases and ``detections`` of the rules."""
     signatures = rules() if signatures is None else signatures
-    rows = docs.withColumn("_text", whole_text()).withColumn("_lowered", F.lower("_text"))
-    text, lowered = F.col("_text"), F.col("_lowered")
+    whole, low = free_name(docs, "_text"), free_name(docs, "_lowered")
+    rows = docs.withColumn(whole, whole_text()).withColumn(low, F.lower(whole))
+    text, lowered = F.col(whole), F.col(low)
 
     def labelled(phrase: str, label: str) -> Column:
         starts = phrase_starts(text, lowered, phrase)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, exact_dedup, language_id, license_scan, near_dedup, packing, sharding, token_counts, toxicity
+from marquee.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, packing, sharding, token_counts, toxicity
 from marquee.llm.common import ROW, read_definition, read_table, whole_text
 
 SHARDS = 16
@@ -55,6 +55,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, items).drop(ROW)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles are learned from four fifths of the conversations and recovered for all."""
+    fold = F.crc32(F.col("conv").cast("string").cast("binary")) % 5
+    return chat_format.format_chats(read_table(spark, sf_dir, "conversations"), fold != 0)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return packed.select(
@@ -127,6 +133,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_near_dedup": op4_near_dedup,
         "op5_decontamination": op5_decontamination,
+        "op6_chat_format": op6_chat_format,
         "op7_packing": op7_packing,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_license_scan": op9_license_scan,
