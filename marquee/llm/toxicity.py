@@ -100,7 +100,7 @@ def learn_weights(texts: DataFrame, model, policy: ToxicPolicy) -> dict[str, flo
         for text in batch.to_pylist():
             listed = text.lower().split()
             own = set()
-            for token, word in restored_words(set(listed) - known.keys(), listed, model.value):
+            for token, word in restored_words(set(listed).difference(known), listed, model.value):
                 known[token] = features(word, policy) if word else []
                 own.update(known[token])
             for token in set(listed):
@@ -133,7 +133,7 @@ def _evidence_udf(model, weights, policy: ToxicPolicy):
                 listed = text.lower().split()
                 tokens = set(listed)
                 spaced = {}
-                for token, word in restored_words(tokens - known.keys(), listed, grams):
+                for token, word in restored_words(tokens.difference(known), listed, grams):
                     own = [(table[feature], word) for feature in features(word, policy) if feature in table]
                     (known if token in tokens else spaced)[token] = max(own, default=None)
                 hits = dict(
