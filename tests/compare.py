@@ -20,6 +20,8 @@ def normal(value):
         return value
     if isinstance(value, (float, decimal.Decimal)):
         return round(float(value), 6)
+    if isinstance(value, (list, tuple)):
+        return tuple(normal(x) for x in value)
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None)
     return value
