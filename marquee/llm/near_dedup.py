@@ -5,9 +5,10 @@
 2. The ``listed`` smallest values feed inverted lists. Their document frequencies are counted, and a node enters
    only the lists of its rarest values: as many as make two nodes over the threshold share a list. A value seen
    once has no list, so passages and phrases that many documents share bring no work to documents that differ.
-3. Lists give pairs in rounds: first all members against one pivot per list, then, while a list still spans
-   several components, against other pivots, and last all pairs left across components: short lists directly,
-   long ones block against block inside tasks, so that no list's pairs are ever written out.
+3. Lists give pairs in rounds: first all members against one pivot per list. Of lists that still span several
+   components, short ones give all their pairs across components; long ones are tried against further pivots,
+   and what is left is compared block against block inside tasks, on whole sets, so that a long list's pairs are
+   never written out, only its links.
 4. A pair's similarity is estimated on the union of the two sketches (the smallest ``kept`` values of both); it
    is exact where both sketches are whole sets. Pairs within ``deviations`` standard errors of the threshold or
    above it are verified on the words of the full texts.
@@ -48,9 +49,9 @@ class NearPolicy:
     kept: int = 256
     listed: int = 64
     deviations: float = 4.75
-    pivot_rounds: int = 3
+    pivot_rounds: int = 5
     short_list: int = 32
-    block: int = 256
+    block: int = 512
     broadcast_rows: int = 1_000_000
 
     @property
@@ -149,22 +150,49 @@ def _similar_size(a: Column, b: Column, policy: NearPolicy) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * policy.percent
 
 
+def estimate(na: int, nb: int, a: np.ndarray, b: np.ndarray, policy: NearPolicy) -> tuple[bool, bool]:
+    """May two sets be linked, judged by size and sketch; and is that certain, both sketches being whole sets?"""
+    both = np.concatenate([a, b])
+    both.sort()
+    twice = both[1:] == both[:-1]
+    if max(na, nb) <= policy.kept:
+        common = int(twice.sum())
+        return 100 * common >= policy.percent * (na + nb - common), True
+    # Of the union's smallest values, those that occur in both.
+    place = np.cumsum(np.concatenate([[True], ~twice]))
+    seen = min(int(place[-1]), policy.kept)
+    hits = int((twice & (place[1:] <= seen)).sum())
+    return hits >= cutoff(policy) * seen, False
+
+
+def cutoff(policy: NearPolicy) -> float:
+    t = policy.threshold
+    return t - policy.deviations * math.sqrt(t * (1 - t) / policy.kept)
+
+
 def _estimated(pairs: DataFrame, nodes: DataFrame, policy: NearPolicy) -> DataFrame:
     """Of pairs (high, low) those whose sketches do not rule out a link, and whether that is already certain."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            high, low, na, nb = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            sketches_a, sketches_b = (batch.column(i) for i in (4, 5))
+            rows = []
+            for i in range(len(high)):
+                a, b = (x[i].values.to_numpy(zero_copy_only=False) for x in (sketches_a, sketches_b))
+                possible, certain = estimate(na[i], nb[i], a, b, policy)
+                if possible:
+                    rows.append((high[i], low[i], certain))
+            columns = list(zip(*rows, strict=True)) or [(), (), ()]
+            kinds = (pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["high", "low", "certain"]
+            )
+
     a = nodes.select(F.col("node").alias("high"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     b = nodes.select(F.col("node").alias("low"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    both = pairs.join(a, "high").join(b, "low").withColumn("shared", F.array_intersect("sa", "sb"))
-    both = both.withColumn("union", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, policy.kept))
-    both = both.select(
-        "high", "low", "na", "nb", F.size("shared").alias("common"), F.size("union").alias("seen"),
-        F.size(F.filter("shared", lambda x: x <= F.element_at("union", -1))).alias("hits"),
-    )
-    whole = F.greatest("na", "nb") <= policy.kept
-    linked = F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * policy.percent
-    t = policy.threshold
-    cutoff = t - policy.deviations * math.sqrt(t * (1 - t) / policy.kept)
-    possible = F.when(whole, linked).otherwise(F.col("hits") >= F.col("seen") * F.lit(cutoff))
-    return both.where(possible).select("high", "low", whole.alias("certain"))
+    both = pairs.join(a, "high").join(b, "low").select("high", "low", "na", "nb", "sa", "sb")
+    return both.mapInArrow(judge, "high long, low long, certain boolean")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFrame:
@@ -189,9 +217,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFram
 
     open_pairs = pairs.where("not certain").select("high", "low")
     wanted = materialise(open_pairs.select("high").union(open_pairs.select("low")).distinct().toDF(ROW), "wanted")
-    rows = with_row_key(docs.select(whole_text().alias("text")))
-    small = wanted.count() <= policy.broadcast_rows
-    texts = rows.join(F.broadcast(wanted) if small else wanted, ROW, "left_semi")
+    texts = _texts_of(wanted, docs, policy)
     a = texts.select(F.col(ROW).alias("high"), "text")
     b = texts.select(F.col(ROW).alias("low"), F.col("text").alias("other"))
     with_texts = open_pairs.join(a, "high").join(b, "low")
@@ -213,18 +239,19 @@ def _pivot_pairs(lists: DataFrame, turn: int, policy: NearPolicy) -> DataFrame:
     return pairs.select("node", F.col("p.node").alias("pivot")).select(*_ordered("node", "pivot")).distinct()
 
 
-def _open_lists(lists: DataFrame, stars: DataFrame, policy: NearPolicy) -> DataFrame:
-    """Stored lists, with components, that span more than one; of two members, the one pair is already decided."""
+def _open_lists(lists: DataFrame, stars: DataFrame, least: int) -> DataFrame:
+    """Stored lists of at least ``least`` members, with components and size, that span more than one component."""
     labels = stars.select(F.col("high").alias("node"), F.col("low").alias("component"))
     labelled = lists.select("value", "node", "n").join(labels, "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
     spans = labelled.groupBy("value").agg(
         F.count(F.lit(1)).alias("members"), F.min("component").alias("a"), F.max("component").alias("b")
-    ).where("members > 2 and a < b").select("value")
-    return materialise(labelled.join(spans, "value", "left_semi"), "open_lists")
+    ).where((F.col("members") >= least) & (F.col("a") < F.col("b"))).select("value", "members")
+    return materialise(labelled.join(spans, "value"), "open_lists")
 
 
 def _short_pairs(lists: DataFrame, policy: NearPolicy) -> DataFrame:
+    """All pairs across components of lists whose length is bounded."""
     other = lists.toDF(*(f"{name}2" if name != "value" else name for name in lists.columns))
     pairs = lists.join(other, "value").where(
         (F.col("node") > F.col("node2")) & (F.col("component") != F.col("component2"))
@@ -233,11 +260,31 @@ def _short_pairs(lists: DataFrame, policy: NearPolicy) -> DataFrame:
     return pairs.select(F.col("node").alias("high"), F.col("node2").alias("low")).distinct()
 
 
-def _block_pairs(lists: DataFrame, nodes: DataFrame, policy: NearPolicy) -> DataFrame:
-    """Pairs across components of long lists that their sketches do not rule out, found block by block.
+def _whole_sets(lists: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFrame:
+    """Stored (node, values): all shingle hashes of the nodes in the lists."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_values(text, policy.words) for text in batch.column(1).to_pylist()]
+            arrays = [batch.column(0), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["node", "values"])
+
+    wanted = materialise(lists.select(F.col("node").alias(ROW)).distinct(), "wanted")
+    return materialise(_texts_of(wanted, docs, policy).mapInArrow(make, "node long, values array<long>"), "whole_sets")
+
+
+def _texts_of(wanted: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFrame:
+    """(row key, text) of the wanted rows, filtered where the texts lie as long as the keys are few."""
+    rows = with_row_key(docs.select(whole_text().alias("text")))
+    small = wanted.count() <= policy.broadcast_rows
+    return rows.join(F.broadcast(wanted) if small else wanted, ROW, "left_semi").select(ROW, "text")
+
+
+def _block_links(lists: DataFrame, sets: DataFrame, policy: NearPolicy) -> DataFrame:
+    """Links across components of long lists, found block by block on whole sets.
 
     Members outside a list's largest component meet each other and that component; members inside it do not
-    meet. A task holds two blocks, and only pairs that pass leave it.
+    meet. A task holds two blocks, and only links leave it.
     """
     sizes = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("m"))
     main = sizes.groupBy("value").agg(
@@ -264,40 +311,35 @@ def _block_pairs(lists: DataFrame, nodes: DataFrame, policy: NearPolicy) -> Data
     )
     places = F.when(F.col("inner"), received).otherwise(F.concat(outer, across))
     placed = rows.select("value", "node", "component", F.explode(places).alias("place"))
-    placed = placed.select("value", "place.*", "node", "component").join(nodes.select("node", "n", "sketch"), "node")
-    t = policy.threshold
-    cutoff = t - policy.deviations * math.sqrt(t * (1 - t) / policy.kept)
+    placed = placed.select("value", "place.*", "node", "component").join(sets, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        found = block_links(group, policy, cutoff)
-        return pd.DataFrame(found, columns=["high", "low"], dtype="int64")
+        return pd.DataFrame(block_links(group, policy), columns=["high", "low"], dtype="int64")
 
     return placed.groupBy("value", "to_inner", "i", "j").applyInPandas(compare, "high long, low long").distinct()
 
 
-def block_links(group: pd.DataFrame, policy: NearPolicy, cutoff: float) -> list[tuple[int, int]]:
-    """Pairs of a group's rows (node, component, n, sketch) in different components that may be links."""
-    group = group.sort_values("n", kind="stable")
-    nodes, components, sizes = (group[c].to_numpy() for c in ("node", "component", "n"))
-    values, place = np.unique(np.concatenate(group["sketch"].to_list()), return_inverse=True)
-    owners = np.repeat(np.arange(len(group)), [len(s) for s in group["sketch"]])
-    has = np.zeros((len(group), len(values)), dtype=np.float32)
-    has[owners, place] = 1
-    common = has @ has.T
-    found = []
-    for a in range(len(group)):
-        fits = (sizes[a] * 100 >= sizes * policy.percent) & (sizes * 100 >= sizes[a] * policy.percent)
-        for b in np.flatnonzero(fits[:a] & (components[:a] != components[a])).tolist():
-            if max(sizes[a], sizes[b]) <= policy.kept:
-                link = common[a, b] * 100 >= (sizes[a] + sizes[b] - common[a, b]) * policy.percent
-            elif common[a, b] < cutoff * policy.kept:  # the union's hits are at most all common values
-                link = False
-            else:
-                either = np.flatnonzero(np.maximum(has[a], has[b]))[: policy.kept]
-                link = (has[a, either] * has[b, either]).sum() >= cutoff * len(either)
-            if link:
-                found.append((max(nodes[a], nodes[b]), min(nodes[a], nodes[b])))
-    return found
+#: Distinct values whose occurrence is held as a matrix at a time.
+COLUMNS = 16_384
+
+
+def block_links(group: pd.DataFrame, policy: NearPolicy) -> list[tuple[int, int]]:
+    """Linked pairs of a group's rows (node, component, values) that are in different components."""
+    nodes, components = group["node"].to_numpy(), group["component"].to_numpy()
+    sizes = np.array([len(values) for values in group["values"]])
+    values, place = np.unique(np.concatenate(group["values"].to_list()), return_inverse=True)
+    owners = np.repeat(np.arange(len(group)), sizes)
+    order = np.argsort(place, kind="stable")
+    place, owners = place[order], owners[order]
+    common = np.zeros((len(group), len(group)), dtype=np.float64)
+    for first in range(0, len(values), COLUMNS):
+        start, stop = np.searchsorted(place, [first, first + COLUMNS])
+        has = np.zeros((len(group), COLUMNS), dtype=np.float32)
+        has[owners[start:stop], place[start:stop] - first] = 1
+        common += has @ has.T
+    union = sizes[:, None] + sizes[None, :] - common
+    linked = (100 * common >= policy.percent * union) & (components[:, None] != components[None, :])
+    return [(max(nodes[a], nodes[b]), min(nodes[a], nodes[b])) for a, b in zip(*np.nonzero(np.triu(linked)), strict=True)]
 
 
 def near_components(docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataFrame:
@@ -307,26 +349,31 @@ def near_components(docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataF
     nodes = made.where("n > 0").join(members.where(f"node = {ROW}").select(ROW), ROW, "left_semi")
     nodes = nodes.select(F.col(ROW).alias("node"), "n", "sketch")
     lists = _lists(nodes, policy)
-    open_lists, stars = lists.withColumn("component", F.col("node")), None
+    # Most documents share no rare value with any other: only the rest take part from here on.
+    nodes = materialise(nodes.join(lists.select("node").distinct(), "node", "left_semi"), "listed_nodes")
+    stars = None
 
-    def contract(pairs: DataFrame) -> DataFrame:
-        links = _verified(materialise(pairs, "pairs"), docs, policy)
+    def contract(links: DataFrame) -> DataFrame:
         return component_stars(links if stars is None else stars.union(links))
 
-    for turn in range(policy.pivot_rounds):
-        stars = contract(_estimated(_pivot_pairs(open_lists, turn, policy), nodes, policy))
-        open_lists = _open_lists(lists, stars, policy)
+    def decided(pairs: DataFrame) -> DataFrame:
+        return _verified(materialise(_estimated(pairs, nodes, policy), "pairs"), docs, policy)
+
+    stars = contract(decided(_pivot_pairs(lists.withColumn("component", F.col("node")), 0, policy)))
+    # The one pair of a list of two is decided by now.
+    open_lists = _open_lists(lists, stars, 3)
+    short = open_lists.where(F.col("members") <= policy.short_list)
+    for turn in range(1, policy.pivot_rounds):
+        long = open_lists.where(F.col("members") > policy.short_list)
+        pairs = _pivot_pairs(long, turn, policy)
+        if turn == 1:
+            pairs = pairs.union(_short_pairs(short, policy)).distinct()
+        stars = contract(decided(pairs))
+        open_lists = _open_lists(long, stars, policy.short_list + 1)
         if open_lists.isEmpty():
-            break
-    else:
-        sizes = open_lists.groupBy("value").agg((F.count(F.lit(1)) <= policy.short_list).alias("short"))
-        sized = materialise(open_lists.join(sizes, "value"), "sized_lists")
-        short, long = (sized.where(kind).drop("short") for kind in ("short", "not short"))
-        pairs = _short_pairs(short, policy)
-        if not long.isEmpty():
-            pairs = pairs.union(_block_pairs(long, nodes, policy)).distinct()
-        stars = contract(_estimated(pairs, nodes, policy))
-    return _with_groups(members, stars)
+            return _with_groups(members, stars)
+    sets = _whole_sets(open_lists, docs, policy)
+    return _with_groups(members, contract(_block_links(open_lists, sets, policy)))
 
 
 def _with_groups(members: DataFrame, stars: DataFrame) -> DataFrame:
