@@ -7,7 +7,11 @@ windows run over the ratings alone. A rating keeps
 * ``context``: the last N history entries before it, built from bounded tails of the ratings before, and
 * the shifted gaps of its (user, movie),
 
-and the copies are made last, after row filters, so no sort or shuffle ever sees them.
+and the copies are made last, after row filters. The gaps of a whole (user, movie) are gathered after the
+last sort and only then turned into copies; before that a rating carries at most N of them.
+
+Ratings are told apart by their place in a user's order, never by their id: a movie listed twice gives every
+rating of it twice, on either of the two roads below.
 
 Ordinary users take one shuffle on ``user_id``. Users above the row bound are cut into segments, and their
 copies come from a salted join.
@@ -31,7 +35,9 @@ from marquee.session import materialise
 USER = "user_id"
 PAIR = ("user_id", "movie_id")
 TIME = "rating_timestamp_utc"
-TIME_ORDER = (TIME, "rating_id")
+#: A movie listed twice repeats its ratings; what its lines say then decides their order.
+PAIR_ORDER = ("rating_id", "movie_release_year", "movie_title")
+TIME_ORDER = (TIME, *PAIR_ORDER)
 GAP = "days_since_last_rating"
 LAST = "last_rating_timestamp"
 
@@ -52,31 +58,34 @@ class Sequences:
     matches: DataFrame | None = None  # the ratings that oversized ones are paired with
 
 
-def with_day_gaps(rows: DataFrame, unit: str, keys: Sequence[str] = (USER,)) -> DataFrame:
+def with_day_gaps(
+    rows: DataFrame, unit: str, keys: Sequence[str] = (USER,), order: Sequence[str] = TIME_ORDER
+) -> DataFrame:
     """Days since the user's rating before, -1 for the first."""
-    previous = F.lag(TIME).over(Window.partitionBy(*keys).orderBy(*TIME_ORDER))
+    previous = F.lag(TIME).over(Window.partitionBy(*keys).orderBy(*order))
     return rows.withColumn(GAP, F.coalesce(day_gap(F.col(TIME), previous, unit), F.lit(-1)))
 
 
-def with_shifted_gaps(rows: DataFrame, order: str, keys: Sequence[str] = (USER,)) -> DataFrame:
+def with_shifted_gaps(
+    rows: DataFrame, order: str, keys: Sequence[str] = (USER,), places: Sequence[str] = TIME_ORDER
+) -> DataFrame:
     """The gap one row earlier, by falling gap or by time; 0 for the first in that order."""
-    by = (F.desc(GAP), *TIME_ORDER) if order == "gap_desc" else TIME_ORDER
+    by = (F.desc(GAP), *places) if order == "gap_desc" else places
     shifted = F.lag(GAP).over(Window.partitionBy(*keys).orderBy(*by))
     return rows.withColumn("shifted_days", F.coalesce(shifted, F.lit(0)))
 
 
 def with_shifted_gaps_by_value(rows: DataFrame) -> DataFrame:
-    """As ``with_shifted_gaps`` by falling gap, without ordering a user's rows.
+    """As ``with_shifted_gaps`` by falling gap, without ordering a user's rows (which have a ``position``).
 
     Among rows of one user with equal gaps all but the first get that same gap, and the first gets the
     next larger gap. Only one row per (user, gap) is windowed, and days bound how many there are.
     """
-    first = F.min(F.struct(*TIME_ORDER)).alias("first")
     larger = F.lag(GAP).over(Window.partitionBy(USER).orderBy(F.desc(GAP)))
-    firsts = rows.groupBy(USER, GAP).agg(first).select(
-        USER, F.col("first.rating_id").alias("rating_id"), F.coalesce(larger, F.lit(0)).alias("larger")
+    firsts = rows.groupBy(USER, GAP).agg(F.min("position").alias("position")).select(
+        USER, "position", F.coalesce(larger, F.lit(0)).alias("larger")
     )
-    joined = rows.join(firsts, [USER, "rating_id"], "left")
+    joined = rows.join(firsts, [USER, "position"], "left")
     return joined.withColumn("shifted_days", F.coalesce("larger", GAP)).drop("larger")
 
 
@@ -109,17 +118,25 @@ def is_latest() -> Column:
     return F.col(TIME) == F.col(LAST)
 
 
-def expand(sequences: Sequences, frame: str, keep: Column | None = None) -> DataFrame:
+def expand(
+    sequences: Sequences, frame: str, keep: Column | None = None, last_only: bool = False
+) -> DataFrame:
     """History rows: every rating (where ``keep`` holds) with each of its shifted gaps and the history there.
 
-    ``frame`` 'train' ends before the row, 'inference' includes it.
+    ``frame`` 'train' ends before the row, 'inference' includes it. With ``last_only`` a user keeps the last
+    of these rows alone, which is known before any copy is made: the last rating, with its last match.
     """
     if frame not in ("train", "inference"):
         raise ValueError(f"frame must be 'train' or 'inference', not {frame!r}")
     config = sequences.config
-    rows = _expand_ordinary(_kept(sequences.ordinary, keep), frame, config)
+    ordinary = sequences.ordinary
+    if "matches" not in ordinary.columns:
+        ordinary = _with_matches(ordinary, config)
+    if last_only:
+        keep = F.col("is_last") if keep is None else keep & F.col("is_last")
+    rows = _expand_ordinary(_kept(ordinary, keep), frame, config, last_only)
     if sequences.oversized is not None:
-        rows = rows.unionByName(_expand_oversized(sequences, keep, frame))
+        rows = rows.unionByName(_expand_oversized(sequences, keep, frame, last_only))
     return rows
 
 
@@ -127,17 +144,6 @@ def with_min_history(rows: DataFrame, least: int) -> DataFrame:
     return rows.where(F.col("history_len") >= least) if least > 0 else rows
 
 
-def one_row_per_user(rows: DataFrame) -> DataFrame:
-    """Only the last of a user's history rows, found by a pre-aggregated maximum."""
-    place = F.struct(*TIME_ORDER, "matched_rating_id")
-    last = rows.groupBy(USER).agg(F.max_by(F.struct("rating_id", "matched_rating_id"), place).alias("last"))
-    return rows.join(
-        last.select(USER, "last.rating_id", "last.matched_rating_id"),
-        [USER, "rating_id", "matched_rating_id"],
-        "left_semi",
-    )
-
-
 def fanout_report(base: DataFrame) -> DataFrame:
     """Rows the fan-out will make, from pre-aggregated counts: read it before running it on skewed data."""
     pairs = base.where(F.col(USER).isNotNull()).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"))
@@ -163,9 +169,11 @@ def _entries(gaps: Column) -> Column:
     return F.transform(gaps, _entry)
 
 
-def _with_context(rows: DataFrame, tail: Column, keys: Sequence[str], n: int) -> DataFrame:
+def _with_context(
+    rows: DataFrame, tail: Column, keys: Sequence[str], n: int, order: Sequence[str] = TIME_ORDER
+) -> DataFrame:
     """The last ``n`` entries before a rating: every rating adds at least one, so ``n`` ratings suffice."""
-    before = Window.partitionBy(*keys).orderBy(*TIME_ORDER).rowsBetween(-n, -1)
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-n, -1)
     rows = rows.withColumn("_tails", F.collect_list(tail).over(before))
     return rows.withColumn("context", newest(F.flatten("_tails"), n))
 
@@ -188,33 +196,55 @@ def _ordinary(base: DataFrame, config: SequenceConfig, latest_only: bool) -> Dat
     n = config.frame_len
     user = Window.partitionBy(USER)
     rows = with_day_gaps(base, config.gap_unit)
-    if latest_only:
-        rows = rows.withColumn("_nth", F.row_number().over(user.orderBy(*TIME_ORDER)))
+    rows = rows.withColumn("_nth", F.row_number().over(user.orderBy(*TIME_ORDER)))
     rows = rows.withColumn(LAST, F.max(TIME).over(user))
+    rows = rows.withColumn("is_last", F.col("_nth") == F.count(F.lit(1)).over(user))
     if latest_only:
         rows = rows.withColumn("_first_latest", F.min(F.when(is_latest(), F.col("_nth"))).over(user))
     rows = with_shifted_gaps(rows, config.gap_order)
-    match = F.struct(F.col("rating_id").alias("matched_rating_id"), F.col("shifted_days"))
+    tail = F.array("shifted_days")
     if config.rerate == "fanout":
-        # At most max_group_rows small structs: larger users never come here.
-        pair = Window.partitionBy(*PAIR).orderBy("rating_id").rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing
-        )
-        rows = rows.withColumn("matches", F.collect_list(match).over(pair))
-    else:
-        rows = rows.withColumn("matches", F.array(match))
+        pair = Window.partitionBy(*PAIR).orderBy(*PAIR_ORDER)
+        size = F.count(F.lit(1)).over(Window.partitionBy(*PAIR))
+        rows = rows.withColumn("_after", size - F.row_number().over(pair))
+        late = F.when(F.col("_after") < n, F.col("shifted_days"))
+        tail = F.collect_list(late).over(_whole(pair))
+    rows = rows.withColumn("tail", tail)
+    kept = [*RATING_COLUMNS, "is_last", "shifted_days", "context"]
     if latest_only:
+        # The ratings that a movie was given before drop out here, so their gaps are gathered first. Of a
+        # user's rows only the latest take them along.
+        rows = _with_matches(rows, config).withColumn("matches", F.when(is_latest(), F.col("matches")))
         rows = rows.where(F.col("_nth") >= F.col("_first_latest") - n)
-    rows = _with_context(rows, _entries(newest(F.col("matches.shifted_days"), n)), (USER,), n)
-    return rows.select(*RATING_COLUMNS, "shifted_days", "matches", "context")
+        kept.append("matches")
+    return _with_context(rows, _entries(F.col("tail")), (USER,), n).select(*kept)
+
 
+def _whole(window: Window) -> Window:
+    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
-def _expand_ordinary(rows: DataFrame, frame: str, config: SequenceConfig) -> DataFrame:
+
+def _with_matches(rows: DataFrame, config: SequenceConfig) -> DataFrame:
+    """The ids and shifted gaps of all ratings of a rating's (user, movie): at most max_group_rows of them."""
+    match = F.struct(F.col("rating_id").alias("matched_rating_id"), F.col("shifted_days"))
+    if config.rerate != "fanout":
+        return rows.withColumn("matches", F.array(match))
+    pair = Window.partitionBy(*PAIR).orderBy(*PAIR_ORDER)
+    return rows.withColumn("matches", F.collect_list(match).over(_whole(pair)))
+
+
+def _expand_ordinary(rows: DataFrame, frame: str, config: SequenceConfig, last_only: bool) -> DataFrame:
     n = config.frame_len
-    copies = rows.drop("shifted_days").select("*", F.posexplode("matches").alias("_copy", "_match"))
+    rows = rows.drop("shifted_days")
+    if last_only:
+        last = F.size("matches") - 1
+        copies = rows.select("*", last.alias("_copy"), F.get("matches", last).alias("_match"))
+    else:
+        copies = rows.select("*", F.posexplode("matches").alias("_copy", "_match"))
     through = F.col("_copy") + (0 if frame == "train" else 1)
     start = F.greatest(F.lit(1), through - (n - 1))
-    own = F.slice(F.col("matches.shifted_days"), start, F.least(through, F.lit(n)))
+    # Sliced before its field is taken, so a copy costs no more than its history.
+    own = F.slice("matches", start, F.least(through, F.lit(n))).getField("shifted_days")
     return _with_history(copies.select("*", "_match.*"), own, through, n)
 
 
@@ -227,26 +257,27 @@ def _oversized(
     """Ratings with their context, and the ratings they match. With ``latest_only`` both are cut down early."""
     n, policy = config.frame_len, config.skew
     rows = with_positions(base, (USER,), TIME_ORDER, policy, hot.rows, hot.keys)
-    lasts = rows.groupBy(USER).agg(F.max(TIME).alias(LAST))
+    lasts = rows.groupBy(USER).agg(F.max(TIME).alias(LAST), F.max("position").alias("_last"))
     segment = (USER, "segment")
     if latest_only:
         at_last = join_counted(rows, lasts, USER, "inner", hot.keys, policy).where(is_latest())
-        lasts = at_last.groupBy(USER, LAST).agg(F.min("position").alias("_first_latest"))
+        lasts = at_last.groupBy(USER, LAST, "_last").agg(F.min("position").alias("_first_latest"))
 
     # The gap reaches one row back, and the gap of the row before reaches one further.
-    cut = with_day_gaps(with_segments(rows, "position", policy, 2), config.gap_unit, segment)
+    cut = with_day_gaps(with_segments(rows, "position", policy, 2), config.gap_unit, segment, ("position",))
     if config.gap_order == "time":
-        cut = with_shifted_gaps(cut, "time", segment)
+        cut = with_shifted_gaps(cut, "time", segment, ("position",))
     gaps = without_lent_rows(cut, "position", policy).drop("segment")
     if config.gap_order == "gap_desc":
         gaps = with_shifted_gaps_by_value(gaps)
     gaps = join_counted(gaps, lasts, USER, "inner", hot.keys, policy)
+    gaps = gaps.withColumn("is_last", F.col("position") == F.col("_last")).drop("_last")
 
     in_reach = F.col("position") >= F.col("_first_latest") - n if latest_only else F.lit(True)
     if config.rerate == "fanout":
         if latest_only:
             # Of older ratings only those matter whose movie a rating in reach has.
-            near = join_counted(rows, lasts, USER, "inner", hot.keys, policy).where(in_reach)
+            near = join_counted(rows, lasts.drop("_last"), USER, "inner", hot.keys, policy).where(in_reach)
             gaps = gaps.join(near.select(*PAIR).distinct(), [*PAIR], "left_semi")
         gaps = _with_pair_gaps(gaps, hot, config)
     else:
@@ -255,8 +286,8 @@ def _oversized(
     if latest_only:
         gaps = materialise(gaps, "matches")
     cut = with_segments(gaps.where(in_reach), "position", policy, n)
-    cut = _with_context(cut, _entries(F.col("tail")), segment, n)
-    kept = [*RATING_COLUMNS, "shifted_days", "pair_position", "pair_rows", "own", "context"]
+    cut = _with_context(cut, _entries(F.col("tail")), segment, n, ("position",))
+    kept = [*RATING_COLUMNS, "is_last", "shifted_days", "pair_position", "pair_rows", "own", "context"]
     rows = materialise(without_lent_rows(cut, "position", policy).select(*kept), "oversized")
     return rows, gaps if latest_only else rows
 
@@ -267,9 +298,9 @@ def _with_pair_gaps(rows: DataFrame, hot: HotKeys, config: SequenceConfig) -> Da
     A pair may be as large as its user, so it is numbered and cut into segments as well.
     """
     n, policy = config.frame_len, config.skew
-    numbered = with_positions(rows, PAIR, ("rating_id",), policy, hot.rows, hot.rows, "pair_position")
+    numbered = with_positions(rows, PAIR, PAIR_ORDER, policy, hot.rows, hot.rows, "pair_position")
     cut = with_segments(numbered, "pair_position", policy, n, "pair_segment")
-    up_to_here = Window.partitionBy(*PAIR, "pair_segment").orderBy("rating_id").rowsBetween(-n, 0)
+    up_to_here = Window.partitionBy(*PAIR, "pair_segment").orderBy("pair_position").rowsBetween(-n, 0)
     cut = cut.withColumn("own", F.collect_list("shifted_days").over(up_to_here))
     own = without_lent_rows(cut, "pair_position", policy, "pair_segment")
     pairs = own.groupBy(*PAIR).agg(
@@ -280,19 +311,26 @@ def _with_pair_gaps(rows: DataFrame, hot: HotKeys, config: SequenceConfig) -> Da
     return own.join(per_segment, [*PAIR, "pair_segment"]).drop("pair_segment")
 
 
-def _expand_oversized(sequences: Sequences, keep: Column | None, frame: str) -> DataFrame:
+def _expand_oversized(
+    sequences: Sequences, keep: Column | None, frame: str, last_only: bool
+) -> DataFrame:
     config = sequences.config
     n, policy = config.frame_len, config.skew
     kept = _kept(sequences.oversized, keep)
     if config.rerate == "fanout":
-        # The matched side goes into blocks of pair_rows, so that no task holds more of one pair than that.
+        # Both sides go into blocks of pair_rows, so no join key holds more copies than its square.
         block = F.floor(F.col("pair_position") / policy.pair_rows).cast("long")
         last_block = F.floor((F.col("pair_rows") - 1) / policy.pair_rows).cast("long")
-        left = kept.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-        right = sequences.matches.select(
-            *PAIR, F.col("rating_id").alias("matched_rating_id"), "shifted_days", "own", block.alias("_block")
+        blocks = F.explode(F.sequence(F.lit(0).cast("long"), last_block))
+        left = kept.withColumn("_left", block).withColumn("_right", blocks)
+        matches = sequences.matches
+        if last_only:
+            matches = matches.where(F.col("pair_position") == F.col("pair_rows") - 1)
+        right = matches.select(
+            *PAIR, F.col("rating_id").alias("matched_rating_id"), "shifted_days", "own",
+            block.alias("_right"), blocks.alias("_left"),
         )
-        copies = left.drop("shifted_days", "own").join(right, [*PAIR, "_block"])
+        copies = left.drop("shifted_days", "own").join(right, [*PAIR, "_left", "_right"])
     else:
         copies = kept.withColumn("matched_rating_id", F.col("rating_id"))
     # 'own' ends with the row itself; a training history stops one entry earlier.

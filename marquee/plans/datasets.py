@@ -13,7 +13,7 @@ from marquee.functions import in_hash_sample
 from marquee.operators.features import features, required_id
 from marquee.operators.ratings import rated_movies, rating_base, usable_ratings
 from marquee.operators.sequences import (
-    TIME, Sequences, expand, is_latest, one_row_per_user, rating_sequences, with_min_history,
+    TIME, Sequences, expand, is_latest, rating_sequences, with_min_history,
 )
 from marquee.session import materialise
 from marquee.sources.snapshots import SnapshotLayout, write_dataset
@@ -39,9 +39,8 @@ def sampled_train_rows(sequences: Sequences) -> DataFrame:
 
 def inference_rows(sequences: Sequences, one_per_user: bool = False) -> DataFrame:
     """History rows at each user's last time; several where times tie or the movie was rated before."""
-    rows = expand(sequences, "inference", keep=is_latest())
-    rows = with_min_history(rows, sequences.config.min_history)
-    return one_row_per_user(rows) if one_per_user else rows
+    rows = expand(sequences, "inference", keep=is_latest(), last_only=one_per_user)
+    return with_min_history(rows, sequences.config.min_history)
 
 
 def train_dataset(
