@@ -7,6 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 LOOKUP_BYTES = 64 * 1024 * 1024
 
@@ -27,13 +28,27 @@ class SmallTable:
 def broadcast_small(
     df: DataFrame, key: str, value: str, value_bytes: int, limit: int = LOOKUP_BYTES
 ) -> Broadcast[SmallTable] | None:
-    """The (key, value) table for all tasks, or None when its counted rows would exceed ``limit`` bytes."""
-    df = df.select(key, value).where(df[key].isNotNull())
-    if df.count() * (8 + value_bytes) > limit:
+    """The (key, value) table for all tasks, or None when its rows would exceed ``limit`` bytes.
+
+    One row more than fits is asked for, so the table is computed once. Keys have to be unique.
+    """
+    most = limit // (8 + value_bytes)
+    rows = df.select(key, value).where(df[key].isNotNull()).limit(most + 1).toPandas()
+    if len(rows) > most:
         return None
-    rows = df.toPandas().sort_values(key)
+    rows = rows.sort_values(key)
+    if rows[key].duplicated().any():
+        raise ValueError(f"{key} is not unique")
     values = rows[value].to_numpy()
     if len(values) and isinstance(values[0], (np.ndarray, list)):
         values = np.stack(values).astype(np.float64)
     table = SmallTable(rows[key].to_numpy(dtype=np.int64), values)
     return df.sparkSession.sparkContext.broadcast(table)
+
+
+def check_unique(df: DataFrame, key: str) -> DataFrame:
+    """The table, once it is known that no key repeats: a lookup by join would repeat rows otherwise."""
+    repeated = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"{key} is not unique")
+    return df

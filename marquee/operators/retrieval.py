@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from marquee.functions import dot, mean_vector, unpad
 from marquee.operators.batches import regroup
-from marquee.operators.lookup import LOOKUP_BYTES, broadcast_small
+from marquee.operators.lookup import LOOKUP_BYTES, broadcast_small, check_unique
 
 DECIMALS = 6
 BLOCK_ROWS = 50_000
@@ -61,6 +61,7 @@ def history_vectors(
     With ``recency`` below 1 an entry counts ``recency`` times as much as the one after it. Ids without a
     vector count for nothing, and a history without any known id gives zeros.
 
+    ``vectors`` has one row per movie; repeated row keys stay apart.
     Item vectors of at most ``lookup_bytes`` go to every task, and rows are encoded where they are, without
     a shuffle. Larger tables are joined to the exploded histories.
     """
@@ -94,13 +95,15 @@ def _joined_history_vectors(
     df: DataFrame, vectors: DataFrame, row_key, width: int, carry, recency: float, pad_side: str
 ) -> DataFrame:
     ids = unpad(F.col("previous_movie_ids"), F.col("history_len"), pad_side)
-    placed = df.select(*row_key, *carry, F.col("history_len").alias("_n"), ids.alias("_ids"))
-    entries = placed.select(*row_key, *carry, "_n", F.posexplode_outer("_ids").alias("_at", "_id"))
-    named = vectors.select(F.col("movie_id").alias("_id"), "vector")
+    # Rows get a key of their own, as row keys may repeat.
+    row = F.monotonically_increasing_id().alias("_row")
+    placed = df.select(row, *row_key, *carry, F.col("history_len").alias("_n"), ids.alias("_ids"))
+    entries = placed.select("_row", *row_key, *carry, "_n", F.posexplode_outer("_ids").alias("_at", "_id"))
+    named = check_unique(vectors, "movie_id").select(F.col("movie_id").alias("_id"), "vector")
     known = entries.withColumn("_id", F.col("_id").cast("long")).join(named, "_id", "left")
     weight = F.pow(F.lit(float(recency)), F.col("_n") - 1 - F.col("_at"))
     term = F.when(F.col("vector").isNotNull(), F.struct("_at", weight.alias("w"), "vector"))
-    grouped = known.groupBy(*row_key, *carry).agg(F.sort_array(F.collect_list(term)).alias("_terms"))
+    grouped = known.groupBy("_row", *row_key, *carry).agg(F.sort_array(F.collect_list(term)).alias("_terms"))
     mean = mean_vector(F.col("_terms.vector"), F.col("_terms.w"), width)
     return grouped.select(*row_key, *carry, mean.alias("vector"))
 

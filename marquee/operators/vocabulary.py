@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.config import SkewPolicy
-from marquee.operators.lookup import LOOKUP_BYTES, broadcast_small
+from marquee.operators.lookup import LOOKUP_BYTES, broadcast_small, check_unique
 from marquee.operators.skew import with_positions
 from marquee.session import materialise
 
@@ -69,8 +69,22 @@ def encode_history(
 def _joined_encode_history(
     df: DataFrame, vocabulary: DataFrame, row_key: Sequence[str], column: str, id_column: str
 ) -> DataFrame:
-    placed = df.select(*row_key, F.posexplode_outer(column).alias("_at", id_column))
-    encoded = encode_ids(placed.withColumn(id_column, F.col(id_column).cast("long")), vocabulary, id_column)
+    # Rows get a key of their own, as row keys may repeat. Pads are not joined: all of them are one value.
+    pad = check_unique(vocabulary, id_column).where(F.col(id_column) == 0).first()
+    fill = F.lit(0 if pad is None else pad["index"]).cast("long")
+    size = F.coalesce(F.size(column), F.lit(0))
+    entries = F.filter(
+        F.transform(column, lambda x, i: F.struct(i.alias("_at"), x.cast("long").alias(id_column))),
+        lambda x: x[id_column] != 0,
+    )
+    rows = df.select(
+        F.monotonically_increasing_id().alias("_row"), *row_key, size.alias("_size"), entries.alias("_entries")
+    )
+    placed = rows.select("_row", *row_key, "_size", F.inline_outer("_entries"))
+    encoded = encode_ids(placed, vocabulary, id_column)
     entry = F.when(F.col("_at").isNotNull(), F.struct("_at", "index"))
-    arrays = encoded.groupBy(*row_key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-    return arrays.select(*row_key, F.col("_entries.index").alias(column))
+    arrays = encoded.groupBy("_row", *row_key, "_size").agg(F.map_from_entries(F.collect_list(entry)).alias("_found"))
+    whole = F.transform(
+        F.sequence(F.lit(0), F.col("_size") - 1), lambda i: F.coalesce(F.element_at("_found", i), fill)
+    )
+    return arrays.select(*row_key, F.when(F.col("_size") > 0, whole).otherwise(F.array()).alias(column))

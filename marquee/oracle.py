@@ -17,55 +17,73 @@ movies_src AS (
     CASE WHEN p_size % 2 = 0 THEN 'en' END AS movie_title_language
   FROM part)"""
 
+#: The same sources with every fifth movie listed twice, under another title and year.
+REPEATED = SOURCES + """,
+movies_twice AS (
+  SELECT * FROM movies_src UNION ALL
+  SELECT movie_id, movie_title || ' again', movie_release_year + 1, movie_title_language FROM movies_src
+  WHERE movie_id % 5 = 0)"""
+
 FLAGS = """CAST(coalesce(f1, FALSE) AS BIGINT) AS user_eligible_for_trial,
     CAST(coalesce(f2, FALSE) AS BIGINT) AS user_has_payment_method,
     CAST(coalesce(f3, FALSE) AS BIGINT) AS user_subscriber,
     CAST(coalesce(f4, FALSE) AS BIGINT) AS user_trialist"""
 
 
-def base(unrated: bool = False) -> str:
+def base(unrated: bool = False, repeated: bool = False) -> str:
+    sources, movies = (REPEATED, "movies_twice") if repeated else (SOURCES, "movies_src")
     value = "rating_score"
     if unrated:
         value = "coalesce(rating_score, quantile_disc(rating_score, 0.5) OVER (PARTITION BY r.movie_id))"
-    return SOURCES + f""",
+    return sources + f""",
 base AS (
   SELECT r.rating_id, r.user_id, r.movie_id, r.ts, r.rating_score, {FLAGS},
     m.movie_title, CAST({value} AS BIGINT) AS rating_value,
     CAST(coalesce(m.movie_release_year, 0) AS BIGINT) AS movie_release_year, m.movie_title_language
-  FROM ratings_src r JOIN movies_src m ON r.movie_id = m.movie_id
+  FROM ratings_src r JOIN {movies} m ON r.movie_id = m.movie_id
   WHERE {'TRUE' if unrated else 'r.rating_score IS NOT NULL'})"""
 
 
-def gaps(unrated: bool = False, unit: str = "calendar", order: str = "gap DESC, ts, rating_id") -> str:
+#: A rating's place among its user's: a movie listed twice repeats its ratings.
+PLACE = "ts, rating_id, movie_release_year, movie_title NULLS FIRST"
+
+
+def gaps(
+    unrated: bool = False, unit: str = "calendar", order: str = f"gap DESC, {PLACE}", repeated: bool = False
+) -> str:
     diff = "date_diff" if unit == "calendar" else "date_sub"
-    return base(unrated) + f""",
+    return base(unrated, repeated) + f""",
 gaps AS (
-  SELECT *, coalesce({diff}('day', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, rating_id), ts), -1) AS gap,
-    max(ts) OVER (PARTITION BY user_id) AS last_ts
+  SELECT *, coalesce({diff}('day', lag(ts) OVER (PARTITION BY user_id ORDER BY {PLACE}), ts), -1) AS gap,
+    max(ts) OVER (PARTITION BY user_id) AS last_ts, row_number() OVER (PARTITION BY user_id ORDER BY {PLACE}) AS place
   FROM base),
 shifted AS (
-  SELECT user_id, movie_id, rating_id AS matched_rating_id, coalesce(
+  SELECT user_id, movie_id, rating_id AS matched_rating_id, movie_release_year AS matched_year,
+    movie_title AS matched_title, place AS matched_place, coalesce(
     lag(gap) OVER (PARTITION BY user_id ORDER BY {order}), 0) AS shifted_days
   FROM gaps)"""
 
 
-def pairs(unrated: bool = False, rerate: str = "fanout") -> str:
+def pairs(unrated: bool = False, rerate: str = "fanout", repeated: bool = False) -> str:
     on = "g.user_id = s.user_id AND g.movie_id = s.movie_id"
     if rerate == "by_rating":
-        on = "g.user_id = s.user_id AND g.rating_id = s.matched_rating_id"
-    return gaps(unrated) + f""",
-pairs AS (SELECT g.*, s.matched_rating_id, s.shifted_days FROM gaps g JOIN shifted s ON {on})"""
+        on = "g.user_id = s.user_id AND g.place = s.matched_place"
+    return gaps(unrated, repeated=repeated) + f""",
+pairs AS (
+  SELECT g.*, s.matched_rating_id, s.matched_year, s.matched_title, s.shifted_days FROM gaps g JOIN shifted s ON {on})"""
 
 
-def histories(frame: str, unrated: bool = False, rerate: str = "fanout") -> str:
+def histories(frame: str, unrated: bool = False, rerate: str = "fanout", repeated: bool = False) -> str:
     rows = "10 PRECEDING AND 1 PRECEDING" if frame == "train" else "9 PRECEDING AND CURRENT ROW"
-    return pairs(unrated, rerate) + f""",
+    return pairs(unrated, rerate, repeated) + f""",
 hist AS (
   SELECT *, coalesce(list(movie_id) OVER w, []) AS h_ids, coalesce(list(movie_release_year) OVER w, []) AS h_years,
     coalesce(list(rating_value) OVER w, []) AS h_scores, coalesce(list(shifted_days) OVER w, []) AS h_gaps,
     ('0x' || substr(md5(strftime(ts, '%Y-%m-%d %H:%M:%S.%f')), 1, 8))::BIGINT % 100 AS bucket
   FROM pairs
-  WINDOW w AS (PARTITION BY user_id ORDER BY ts, rating_id, matched_rating_id ROWS BETWEEN {rows}))"""
+  WINDOW w AS (
+    PARTITION BY user_id ORDER BY {PLACE}, matched_rating_id, matched_year, matched_title NULLS FIRST
+    ROWS BETWEEN {rows}))"""
 
 
 SHOW_HISTORY = """SELECT rating_id, matched_rating_id, user_id, movie_id, len(h_ids) AS history_len,
@@ -161,8 +179,13 @@ ORACLE: dict[str, str] = {
   SELECT rating_id, user_id, gap AS days_since_last_rating FROM gaps""",
     "last_rating": f"WITH {gaps()} SELECT rating_id, user_id, last_ts AS last_rating_timestamp FROM gaps",
     "shifted_gaps": f"WITH {gaps()} SELECT matched_rating_id AS rating_id, user_id, shifted_days FROM shifted",
-    "shifted_gaps_by_time": f"""WITH {gaps(order='ts, rating_id')}
+    "shifted_gaps_by_time": f"""WITH {gaps(order=PLACE)}
+  SELECT matched_rating_id AS rating_id, user_id, shifted_days FROM shifted""",
+    "repeated_movies_gaps": f"""WITH {gaps(repeated=True)}
   SELECT matched_rating_id AS rating_id, user_id, shifted_days FROM shifted""",
+    "repeated_movies_train": f"WITH {histories('train', repeated=True)} {SHOW_HISTORY}",
+    "repeated_movies_by_rating": f"""WITH {histories('train', rerate='by_rating', repeated=True)} {SHOW_HISTORY}""",
+    "repeated_movies_inference": f"WITH {histories('inference', repeated=True)} {SHOW_HISTORY} WHERE ts = last_ts",
     "gap_join": f"WITH {pairs()} SELECT {IDS}, user_id, movie_id, shifted_days FROM pairs",
     "gap_join_by_rating": f"""WITH {pairs(rerate='by_rating')}
   SELECT {IDS}, user_id, movie_id, shifted_days FROM pairs""",
@@ -207,6 +230,12 @@ ORACLE: dict[str, str] = {
     "vocabulary": f"WITH {SOURCES}, {VOCABULARY} SELECT movie_id, index FROM vocab",
     "encode_ids": f"""WITH {SOURCES}, {VOCABULARY}
   SELECT m.movie_id, coalesce(v.index, 0) AS index FROM movies_src m LEFT JOIN vocab v USING (movie_id)""",
+    "encode_history_repeated_rows": f"""WITH {TRAIN}, {VOCABULARY}, twice AS (SELECT unnest([1, 2]) AS time),
+known AS (SELECT list(movie_id ORDER BY index) AS ids FROM vocab)
+  SELECT {IDS}, array_to_string(list_concat(
+    list_transform(h_ids, lambda id: coalesce(list_position(known.ids, id), 0)),
+    list_transform(range(10 - len(h_ids)), lambda i: coalesce(list_position(known.ids, 0), 0))), ',') AS indices
+  FROM train, twice, known""",
     "encode_history": f"""WITH {TRAIN}, {VOCABULARY},
 filled AS (
   SELECT {IDS}, list_concat(h_ids, list_transform(range(10 - len(h_ids)), lambda i: 0::BIGINT)) AS ids FROM train),
@@ -251,6 +280,12 @@ latest AS (
 # Other roads to the same rows.
 for road, query in {
     "shifted_gaps_segmented": "shifted_gaps",
+    "repeated_movies_gaps_segmented": "repeated_movies_gaps",
+    "repeated_movies_train_segmented": "repeated_movies_train",
+    "repeated_movies_by_rating_segmented": "repeated_movies_by_rating",
+    "repeated_movies_inference_segmented": "repeated_movies_inference",
+    "inference_one_per_user_segmented": "inference_one_per_user",
+    "encode_history_repeated_rows_joined": "encode_history_repeated_rows",
     "train_dataset_segmented": "train_dataset",
     "inference_dataset_segmented": "inference_dataset",
     "encode_history_joined": "encode_history",

@@ -6,6 +6,7 @@ Arrays are rendered as text and vectors as integers of a millionth, so that engi
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 import pandas as pd
@@ -78,6 +79,15 @@ class Inputs:
     def vectors(self) -> DataFrame:
         return vectors_view(self.spark, self.folder)
 
+    @cached_property
+    def repeated_movies(self) -> DataFrame:
+        """Every fifth movie listed twice, under another title and year."""
+        again = self.movies.where(F.col("movie_id") % 5 == 0).withColumns({
+            "movie_title": F.concat("movie_title", F.lit(" again")),
+            "movie_release_year": F.col("movie_release_year") + 1,
+        })
+        return self.movies.unionByName(again)
+
     def base(self, include_unrated: bool = False) -> DataFrame:
         return rating_base(self.ratings, self.movies, include_unrated)
 
@@ -143,6 +153,14 @@ def history(rows: DataFrame) -> DataFrame:
     )
 
 
+def repeated(x: Inputs, config: SequenceConfig, latest_only: bool = False) -> Sequences:
+    return datasets.sequences_of(x.ratings, x.repeated_movies, config, latest_only)
+
+
+def repeated_latest(x: Inputs, config: SequenceConfig) -> DataFrame:
+    return history(expand(repeated(x, config, latest_only=True), "inference", keep=is_latest()))
+
+
 def history_latest(x: Inputs) -> DataFrame:
     return history(expand(x.sequences(latest_only=True), "inference", keep=is_latest()))
 
@@ -192,6 +210,13 @@ def encoded_history(x: Inputs, **bounds: int) -> DataFrame:
     return encoded.select(*ROW_KEY, text(F.col("previous_movie_ids")).alias("indices"))
 
 
+def encoded_repeats(x: Inputs, **bounds: int) -> DataFrame:
+    """Every row twice: rows that share their key stay two rows."""
+    train = x.train()
+    encoded = encode_history(train.unionByName(train), vocabulary(x), ROW_KEY, **bounds)
+    return encoded.select(*ROW_KEY, text(F.col("previous_movie_ids")).alias("indices"))
+
+
 def embedding_lookup(x: Inputs) -> DataFrame:
     rated = x.base().select("rating_id", "movie_id")
     return lookup_vectors(rated, x.vectors).select("rating_id", "movie_id", millionths(F.col("query")).alias("vector"))
@@ -320,6 +345,18 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "shifted_gaps": lambda x: gaps(x, LIBRARY, "shifted_days"),
     "shifted_gaps_by_time": lambda x: gaps(x, SequenceConfig(gap_order="time"), "shifted_days"),
     "shifted_gaps_segmented": lambda x: gaps(x, SEGMENTED, "shifted_days"),
+    "repeated_movies_gaps": lambda x: rating_gaps(repeated(x, LIBRARY)).select("rating_id", "user_id", "shifted_days"),
+    "repeated_movies_gaps_segmented": lambda x: rating_gaps(repeated(x, SEGMENTED)).select(
+        "rating_id", "user_id", "shifted_days"
+    ),
+    "repeated_movies_train": lambda x: history(expand(repeated(x, LIBRARY), "train")),
+    "repeated_movies_train_segmented": lambda x: history(expand(repeated(x, SEGMENTED), "train")),
+    "repeated_movies_by_rating": lambda x: history(expand(repeated(x, replace(LIBRARY, rerate="by_rating")), "train")),
+    "repeated_movies_by_rating_segmented": lambda x: history(
+        expand(repeated(x, replace(SEGMENTED, rerate="by_rating")), "train")
+    ),
+    "repeated_movies_inference": lambda x: repeated_latest(x, LIBRARY),
+    "repeated_movies_inference_segmented": lambda x: repeated_latest(x, SEGMENTED),
     "gap_join": lambda x: gap_join(x, LIBRARY),
     "gap_join_by_rating": lambda x: gap_join(x, SequenceConfig(rerate="by_rating")),
     "fanout_report": lambda x: fanout_report(x.base()),
@@ -353,6 +390,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "inference_one_per_user": lambda x: rendered(
         datasets.inference_dataset(x.ratings, x.movies, LIBRARY, keys=True, one_per_user=True)
     ),
+    "inference_one_per_user_segmented": lambda x: rendered(
+        datasets.inference_dataset(x.ratings, x.movies, SEGMENTED, keys=True, one_per_user=True)
+    ),
     "movie_catalogue": lambda x: datasets.movie_catalogue(x.ratings, x.movies),
     "hash_sample": hash_sample,
     "seeded_shuffle": seeded_shuffle,
@@ -363,6 +403,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "encode_ids": encoded_ids,
     "encode_history": encoded_history,
     "encode_history_joined": lambda x: encoded_history(x, lookup_bytes=0),
+    "encode_history_repeated_rows": encoded_repeats,
+    "encode_history_repeated_rows_joined": lambda x: encoded_repeats(x, lookup_bytes=0),
     "embedding_lookup": embedding_lookup,
     "history_vector": history_vector,
     "history_vector_joined": lambda x: history_vector(x, lookup_bytes=0),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FLAGS = ("user_eligible_for_trial", "user_has_payment_method", "user_subscriber", "user_trialist")
@@ -47,7 +48,10 @@ METRICS = T.StructType([T.StructField("metric", T.StringType()), T.StructField("
 
 
 def check_schema(df: DataFrame, expected: T.StructType, name: str) -> DataFrame:
-    """Raise when a column is missing or has another type; extra columns are dropped."""
+    """Raise when a column is missing or has another type; extra columns are dropped.
+
+    Times with a zone become the same instants in UTC without one, whatever the session's zone is.
+    """
     have = {field.name: field.dataType for field in df.schema}
     problems = []
     for field in expected:
@@ -58,7 +62,18 @@ def check_schema(df: DataFrame, expected: T.StructType, name: str) -> DataFrame:
                             f"not {field.dataType.simpleString()}")
     if problems:
         raise ValueError(f"{name}: " + "; ".join(problems))
-    return df.select(*expected.names)
+    return df.select(*[
+        _in_utc(field.name).alias(field.name)
+        if isinstance(have[field.name], T.TimestampType) and isinstance(field.dataType, T.TimestampNTZType)
+        else field.name
+        for field in expected
+    ])
+
+
+def _in_utc(column: str) -> Column:
+    seconds = F.unix_micros(column).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    span = F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + span
 
 
 def _both_times(a: T.DataType, b: T.DataType) -> bool:
