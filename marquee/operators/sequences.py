@@ -205,7 +205,7 @@ def _ordinary(base: DataFrame, config: SequenceConfig, latest_only: bool) -> Dat
     tail = F.array("shifted_days")
     if config.rerate == "fanout":
         pair = Window.partitionBy(*PAIR).orderBy(*PAIR_ORDER)
-        size = F.count(F.lit(1)).over(Window.partitionBy(*PAIR))
+        size = F.count(F.lit(1)).over(_whole(pair))  # in the same order, so nothing is sorted for it
         rows = rows.withColumn("_after", size - F.row_number().over(pair))
         late = F.when(F.col("_after") < n, F.col("shifted_days"))
         tail = F.collect_list(late).over(_whole(pair))

@@ -261,7 +261,21 @@ logits AS (
 row_loss AS (
   SELECT batch_id, position, ln(sum(exp(s))) - max(true_s) AS loss FROM logits GROUP BY ALL)
   SELECT batch_id, count(*) AS rows, round(sum(loss), 6) AS loss FROM row_loss GROUP BY batch_id""",
-    "index_roundtrip": f"WITH {LATEST} SELECT user_id, {IDS}, 64::BIGINT AS width FROM latest",
+    "index_roundtrip": f"""WITH {LATEST}, {encoded('latest')} SELECT user_id, {IDS}, 64::BIGINT AS width,
+  array_to_string(list_transform(v, lambda x: CAST(round(CAST(CAST(x AS FLOAT) AS DOUBLE) * 1e6) AS BIGINT)), ',') AS vector
+  FROM latest JOIN means USING ({IDS})""",
+    "als_item_vectors": f"""WITH {base()}
+  SELECT DISTINCT movie_id, 32::BIGINT AS width, TRUE AS usable FROM base WHERE user_id IS NOT NULL""",
+    "audience_index": f"WITH {LATEST} SELECT user_id, {IDS}, TRUE AS agrees FROM latest",
+    "best_users": f"""WITH {LATEST}, {CATALOGUE}, places AS (SELECT row_number() OVER () AS rank FROM latest)
+  SELECT movie_id, rank, TRUE AS agrees FROM catalogue, places
+  WHERE rank <= 10 AND movie_id IN (SELECT movie_id FROM base WHERE user_id IS NOT NULL)""",
+    "evaluation": """SELECT unnest(['top_100_accuracy', 'rows', 'loss', 'batches']) AS metric, TRUE AS agrees""",
+    "trained_snapshot": f"""WITH {LATEST} SELECT 'index' AS part, CAST(user_id AS VARCHAR) AS entry FROM latest
+  UNION ALL SELECT 'metric', unnest(['top_100_accuracy', 'rows', 'loss', 'batches'])""",
+    "source_tables": f"""WITH {SOURCES} SELECT rating_id, user_id, movie_id, ts AS rating_timestamp_utc,
+  CAST(rating_score AS BIGINT) AS rating_score FROM ratings_src WHERE movie_id IN (SELECT movie_id FROM movies_src)""",
+    "refused_overwrite": f"WITH {SOURCES}, {CATALOGUE} SELECT movie_id, movie_title, TRUE AS refused FROM catalogue",
     "snapshot_roundtrip": f"WITH {SOURCES}, {CATALOGUE} SELECT movie_id, movie_title FROM catalogue",
     "prepared_snapshot": f"""WITH {TRAIN},
 latest AS (

@@ -28,6 +28,8 @@ def audience_index(
 def best_users(movies: DataFrame, vectors: DataFrame, index: DataFrame, k: int = 10) -> DataFrame:
     """(movie_id, rank, user_id, score) for each distinct movie in ``movies`` that has a vector.
 
+    ``unanswered_movies`` lists the others.
+
     ``index`` may be read more than once: pass the stored one. The queries are stored before they are
     counted and sent out.
     """
@@ -35,6 +37,11 @@ def best_users(movies: DataFrame, vectors: DataFrame, index: DataFrame, k: int =
     return top_k(queries, index, k, spread=INDEX_KEY)
 
 
+def unanswered_movies(movies: DataFrame, vectors: DataFrame) -> DataFrame:
+    """The movies that ``best_users`` has no answer for, because the model never saw them."""
+    return movies.select("movie_id").distinct().join(vectors.select("movie_id"), "movie_id", "left_anti")
+
+
 def scored_pairs(
     train: DataFrame, vectors: DataFrame, width: int, pad_side: str = "post", recency: float = 1.0
 ) -> DataFrame:
@@ -58,7 +65,8 @@ def evaluate(
 ) -> DataFrame:
     """(metric, value): top-k accuracy and in-batch loss on the held-out rows.
 
-    ``train`` is a stored training dataset with row keys. Candidates are all its rows, held out or not;
+    ``train`` is a stored training dataset with row keys, ``vectors`` what was learned from its other rows
+    (``plans.training.fit_on_rest`` with the same ``n_holdout`` and ``seed``). Candidates are all its rows, held out or not;
     they are encoded and scored in one pass over it, and only the held-out rows are stored with vectors.
     """
     cut = find_cut(train, ROW_KEY, n_holdout, seed)

@@ -16,7 +16,7 @@ from marquee.operators.sequences import (
     TIME, Sequences, expand, is_latest, rating_sequences, with_min_history,
 )
 from marquee.session import materialise
-from marquee.sources.snapshots import SnapshotLayout, write_dataset
+from marquee.sources.snapshots import SnapshotLayout, refuse_existing, write_dataset
 
 ROW_KEY = ("rating_id", "matched_rating_id")
 
@@ -92,10 +92,12 @@ def prepare(
 ) -> Prepared:
     """Write train, inference and movies into one snapshot; an existing one is an error.
 
-    Train and inference share their base, gaps and contexts. Those are written once, and both datasets
-    are then read off that table without another join, shuffle or sort.
+    Train and inference share their base, gaps and contexts. Those are written once, one row per rating, and
+    each dataset then takes one shuffle of that table to gather the gaps of each (user, movie).
     """
     start = time.monotonic()
+    paths = {kind: layout.data(kind) for kind in ("train", "inference", "movies")}
+    refuse_existing(ratings.sparkSession, paths.values())
     sequences = sequences_of(ratings, movies, config)
     shared = replace(sequences, ordinary=materialise(sequences.ordinary, "sequences"))
     row_key = ROW_KEY if keys else ()
@@ -104,7 +106,6 @@ def prepare(
         "inference": features(inference_rows(shared), config, (*row_key, "user_id")),
         "movies": movie_catalogue(ratings, movies),
     }
-    paths = {kind: layout.data(kind) for kind in datasets}
     for kind, dataset in datasets.items():
         write_dataset(dataset, paths[kind])
     return Prepared(paths, time.monotonic() - start)

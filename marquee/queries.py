@@ -9,28 +9,31 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.config import SequenceConfig, hosted_variant
-from marquee.functions import in_hash_sample, newest, pad, sample_bucket
+from marquee.functions import dot, in_hash_sample, newest, pad, sample_bucket
 from marquee.operators.batches import map_batches
+from marquee.operators.factors import WIDTH as WIDTH_FITTED
 from marquee.operators.factors import fit_item_vectors
 from marquee.operators.ratings import movie_medians, rating_base
 from marquee.operators.retrieval import (
-    history_vectors, lookup_vectors, softmax_losses, top_k, top_k_accuracy, true_pair_ranks,
+    history_vectors, lookup_vectors, score, softmax_losses, top_k, top_k_accuracy, true_pair_ranks,
 )
 from marquee.operators.sequences import (
     LAST, TIME, Sequences, expand, fanout_report, is_latest, rating_gaps, with_min_history,
 )
 from marquee.operators.split import find_cut, hold_out, with_shuffle_position
 from marquee.operators.vocabulary import build_vocabulary, encode_history, encode_ids
-from marquee.plans import audience, datasets
+from marquee.plans import audience, datasets, training
 from marquee.plans.datasets import ROW_KEY
 from marquee.session import materialise, scratch_path, ship_package
 from marquee.sources import (
-    SnapshotLayout, read_dataset, read_index, read_metrics, write_dataset, write_index, write_metrics,
+    SnapshotLayout, read_dataset, read_index, read_metrics, read_movies, read_ratings, write_dataset, write_index, write_metrics,
 )
 from marquee.sources.adapters import movies_view, ratings_view, vectors_view
 from marquee.sources.schemas import FLAGS, SEQUENCES
@@ -268,7 +271,8 @@ def softmax_loss(x: Inputs) -> DataFrame:
 
 def als_item_vectors(x: Inputs) -> DataFrame:
     fitted = fit_item_vectors(x.base())
-    return fitted.select("movie_id", F.size("vector").cast("long").alias("width"), text(F.col("vector")).alias("vector"))
+    usable = F.forall("vector", lambda v: ~F.isnan(v) & (F.abs(v) < 1e6)) & F.exists("vector", lambda v: v != 0)
+    return fitted.select("movie_id", F.size("vector").cast("long").alias("width"), usable.alias("usable"))
 
 
 def stored_index(x: Inputs) -> tuple[DataFrame, DataFrame]:
@@ -279,24 +283,91 @@ def stored_index(x: Inputs) -> tuple[DataFrame, DataFrame]:
 
 
 def audience_index(x: Inputs) -> DataFrame:
-    return stored_index(x)[1].withColumn("vector", text(F.col("vector")))
+    """The index, and whether each vector is the mean that a join of histories with item vectors gives."""
+    vectors, index = stored_index(x)
+    plain = history_vectors(x.inference(), vectors, audience.INDEX_KEY, WIDTH_FITTED, lookup_bytes=0)
+    both = index.join(plain.withColumnRenamed("vector", "plain"), list(audience.INDEX_KEY))
+    close = F.forall(F.arrays_zip("vector", "plain"), lambda v: F.abs(v["vector"] - v["plain"]) < 1e-5)
+    return both.select(*audience.INDEX_KEY, close.alias("agrees"))
 
 
 def best_users(x: Inputs) -> DataFrame:
+    """Ranks, and whether each score is that of an index row of its user and none ranks above a better one."""
     vectors, index = stored_index(x)
-    return audience.best_users(datasets.movie_catalogue(x.ratings, x.movies), vectors, index)
+    best = audience.best_users(datasets.movie_catalogue(x.ratings, x.movies), vectors, index)
+    before = F.lag("score").over(Window.partitionBy("movie_id").orderBy("rank"))
+    ordered = lookup_vectors(best.withColumn("before", before), vectors)
+    own = ordered.join(index.select("user_id", "vector"), "user_id").withColumn("again", score())
+    return own.groupBy("movie_id", "rank").agg(
+        (F.bool_or(F.abs(F.col("again") - F.col("score")) < 1e-5)
+         & F.bool_and(F.coalesce(F.col("before") >= F.col("score"), F.lit(True)))).alias("agrees")
+    )
 
 
 def evaluation(x: Inputs) -> DataFrame:
-    vectors = materialise(fit_item_vectors(x.base()), "vectors")
-    return audience.evaluate(x.train(), vectors, HELD_OUT, 100, BATCH)
+    """Metrics of a model fitted on the rest, and whether counts and both scores come out again by other roads."""
+    train = x.train()
+    vectors = training.fit_on_rest(train, HELD_OUT)
+    found = audience.evaluate(train, vectors, HELD_OUT, 100, BATCH)
+    cut = find_cut(train, ROW_KEY, HELD_OUT)
+    held = materialise(audience.scored_pairs(train.where(cut.held_out), vectors, WIDTH_FITTED), "held")
+    candidates = history_vectors(train, vectors, ROW_KEY, WIDTH_FITTED, lookup_bytes=0)
+    ranks = true_pair_ranks(held, candidates, ROW_KEY, block_rows=5_000, lookup_bytes=0)
+    accuracy = top_k_accuracy(ranks, 100).select(F.lit("top_100_accuracy").alias("metric"), F.col("accuracy").alias("again"))
+    placed = with_shuffle_position(held, ROW_KEY)
+    batched = placed.withColumn("batch", F.floor(F.col("shuffle_position") / BATCH))
+    pairs = batched.select("batch", *ROW_KEY, "query", dot(F.col("query"), F.col("vector")).alias("own")).join(
+        batched.select("batch", F.col("vector").alias("other")), "batch"
+    )
+    exps = pairs.groupBy(*ROW_KEY, "own").agg(F.sum(F.exp(dot(F.col("query"), F.col("other")))).alias("e"))
+    loss = exps.agg(F.sum(F.log("e") - F.col("own")).alias("again")).select(F.lit("loss").alias("metric"), "again")
+    counts = batched.agg(F.count(F.lit(1)).cast("double").alias("rows"), F.countDistinct("batch").cast("double").alias("batches"))
+    counts = counts.select(F.inline(F.array(*(
+        F.struct(F.lit(n).alias("metric"), F.col(n).alias("again")) for n in ("rows", "batches")
+    ))))
+    again = accuracy.unionByName(loss).unionByName(counts)
+    return found.join(again, "metric").select(
+        "metric", (F.abs(F.col("value") - F.col("again")) < 1e-6 * (1 + F.abs("again"))).alias("agrees")
+    )
 
 
 def index_roundtrip(x: Inputs) -> DataFrame:
     path = scratch_path(x.spark, "index")
     write_index(audience.audience_index(x.inference(), x.vectors, WIDTH), path)
     stored = read_index(x.spark, path)
-    return stored.select("user_id", *ROW_KEY, F.size("vector").cast("long").alias("width"))
+    return stored.select("user_id", *ROW_KEY, F.size("vector").cast("long").alias("width"),
+                         millionths(F.col("vector").cast("array<double>")).alias("vector"))
+
+
+def trained_snapshot(x: Inputs) -> DataFrame:
+    """What the training job leaves in a prepared snapshot: rows of the index and names of the metrics."""
+    layout = SnapshotLayout(scratch_path(x.spark, "root"))
+    datasets.prepare(x.ratings, x.movies, layout, keys=True)
+    done = training.train_snapshot(x.spark, layout, HELD_OUT, 100, BATCH)
+    index = read_index(x.spark, done.index).select(F.lit("index").alias("part"), F.col("user_id").cast("string").alias("entry"))
+    return index.unionByName(read_metrics(x.spark, done.metrics).select(F.lit("metric").alias("part"), F.col("metric").alias("entry")))
+
+
+def source_tables(x: Inputs) -> DataFrame:
+    """Ratings written as a dataset's table and read back by dataset name, types checked."""
+    folder = scratch_path(x.spark, "raw")
+    write_dataset(x.ratings, f"{folder}/ratings")
+    write_dataset(x.movies, f"{folder}/movies")
+    read = read_ratings(x.spark, folder).join(read_movies(x.spark, folder).select("movie_id"), "movie_id", "left_semi")
+    return read.select("rating_id", "user_id", "movie_id", TIME, F.col("rating_score").cast("long").alias("rating_score"))
+
+
+def refused_overwrite(x: Inputs) -> DataFrame:
+    """The catalogue, whose second writing is refused and changes nothing."""
+    path = scratch_path(x.spark, "catalogue")
+    catalogue = datasets.movie_catalogue(x.ratings, x.movies)
+    write_dataset(catalogue, path)
+    refused = False
+    try:
+        write_dataset(catalogue.limit(1), path)
+    except AnalysisException:
+        refused = True
+    return read_dataset(x.spark, path).select("movie_id", "movie_title", F.lit(refused).alias("refused"))
 
 
 def snapshot_roundtrip(x: Inputs) -> DataFrame:
@@ -328,8 +399,9 @@ def metrics_roundtrip(x: Inputs) -> DataFrame:
 
 def batched_read(x: Inputs) -> DataFrame:
     def newest_id(batch: pd.DataFrame) -> pd.DataFrame:
-        last = [ids[n - 1] for ids, n in zip(batch["previous_movie_ids"], batch["history_len"])]
-        return batch[list(ROW_KEY)].assign(newest_id=last)
+        ids = np.stack(batch["previous_movie_ids"].to_numpy())
+        newest = ids[np.arange(len(ids)), batch["history_len"].to_numpy() - 1]
+        return batch[list(ROW_KEY)].assign(newest_id=newest)
 
     schema = "rating_id long, matched_rating_id long, newest_id long"
     return map_batches(x.train(), newest_id, schema, batch_size=1_000)
@@ -421,6 +493,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "best_users": best_users,
     "evaluation": evaluation,
     "index_roundtrip": index_roundtrip,
+    "trained_snapshot": trained_snapshot,
+    "source_tables": source_tables,
+    "refused_overwrite": refused_overwrite,
     "snapshot_roundtrip": snapshot_roundtrip,
     "prepared_snapshot": prepared_snapshot,
     "metrics_roundtrip": metrics_roundtrip,

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,7 @@ from marquee.sources.schemas import INDEX, METRICS
 
 
 def _now() -> str:
+    # Fixed format: snapshots are sorted by name.
     return datetime.datetime.now().strftime("%Y%m%d%H%M%S")
 
 
@@ -30,6 +33,18 @@ class SnapshotLayout:
         return f"{self.root}/{self.snapshot}/models/{file}"
 
 
+def refuse_existing(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Raise before any work when one of the paths is already there, in whatever store Spark reads."""
+    for path in paths:
+        try:
+            spark.read.text(path)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            raise FileExistsError(f"{path} already exists")
+
+
 def write_dataset(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 

@@ -27,6 +27,19 @@ def test_inference_has_one_shuffle(inputs):
     assert plan(datasets.inference_dataset(*inputs)).count("Exchange hashpartitioning") == 1
 
 
+def test_pair_arrays_are_gathered_after_the_last_sort(inputs):
+    """The uppermost window collects the matches of a (user, movie); nothing above it sorts or moves rows."""
+    lines = plan(datasets.train_dataset(*inputs)).splitlines()
+    first = next(i for i, line in enumerate(lines) if "- Window [" in line)
+    assert "collect_list" in lines[first] and "movie_id" in lines[first].split("windowspecdefinition(")[1].split(",")[1]
+    assert not any("- Sort [" in line or "Exchange" in line for line in lines[:first])
+
+
+def test_one_per_user_costs_one_shuffle_and_two_scans(inputs):
+    text = plan(datasets.inference_dataset(*inputs, one_per_user=True))
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan parquet") == 2
+
+
 def test_nothing_multiplies_tables(inputs):
     for df in (datasets.train_dataset(*inputs), datasets.movie_catalogue(*inputs)):
         assert "Cartesian" not in plan(df) and "NestedLoop" not in plan(df)

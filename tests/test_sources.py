@@ -1,13 +1,17 @@
+import hashlib
+
 import pytest
 from fixtures import day, movies, ratings
 from pyspark.sql import functions as F
 
-from marquee.plans import datasets
+from marquee.functions import sample_bucket
+from marquee.plans import datasets, training
 from marquee.session import shared_dir
 from marquee.sources import (
-    RATINGS, SnapshotLayout, check_schema, read_dataset, read_metrics, read_movies, read_ratings,
+    RATINGS, SnapshotLayout, check_schema, read_dataset, read_index, read_metrics, read_movies, read_ratings,
     write_dataset, write_metrics,
 )
+from marquee.sources.schemas import FLAGS
 
 
 def test_layout():
@@ -36,10 +40,50 @@ def test_prepare_writes_three_datasets_once(spark, tmp_path):
     assert train.count() == datasets.train_dataset(*inputs).count()
     inference = read_dataset(spark, done.paths["inference"])
     assert inference.exceptAll(datasets.inference_dataset(*inputs)).count() == 0
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(FileExistsError):
         datasets.prepare(*inputs, layout)
 
 
+def test_one_existing_dataset_stops_prepare_before_it_writes(spark, tmp_path):
+    rows = [(i, i % 3, i % 11, day(i), 3) for i in range(60)]
+    layout = SnapshotLayout(str(tmp_path), "s2")
+    write_dataset(spark.range(1), layout.data("movies"))
+    with pytest.raises(FileExistsError):
+        datasets.prepare(ratings(spark, rows), movies(spark), layout)
+    assert not (tmp_path / "s2" / "data" / "train").exists()
+
+
+def test_training_job_fills_the_models_folder(spark, tmp_path):
+    rows = [(i, i % 5, i % 11, day(i), 3) for i in range(200)]
+    layout = SnapshotLayout(str(tmp_path), "s3")
+    datasets.prepare(ratings(spark, rows), movies(spark), layout, keys=True)
+    done = training.train_snapshot(spark, layout, n_holdout=40, k=5, batch_size=10, width=4, iterations=2)
+    metrics = {r.metric: r.value for r in read_metrics(spark, done.metrics).collect()}
+    assert metrics["rows"] == 40 and metrics["batches"] == 4
+    assert {r.user_id for r in read_index(spark, done.index).collect()} == set(range(5))
+    with pytest.raises(FileExistsError):
+        training.train_snapshot(spark, layout)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_times_with_a_zone_become_utc(spark, zone):
+    """Two instants across a UTC midnight and a clock change, read under two session zones."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(i, 1, 1, 3) for i in range(3)], "rating_id long, user_id long, movie_id long, rating_score int")
+        at = F.element_at(F.array(*map(F.lit, (1730620740, 1730624460, 1730628060))), F.col("rating_id").cast("int") + 1)
+        rows = rows.withColumn("rating_timestamp_utc", F.timestamp_seconds(at))
+        for flag in FLAGS:
+            rows = rows.withColumn(flag, F.lit(True))
+        got = check_schema(rows, RATINGS, "ratings").orderBy("rating_id")
+        times = ["2024-11-03 07:59:00", "2024-11-03 09:01:00", "2024-11-03 10:01:00"]
+        assert [str(r.rating_timestamp_utc) for r in got.collect()] == times
+        wanted = [int(hashlib.md5(f"{t}.000000".encode()).hexdigest()[:8], 16) % 100 for t in times]
+        assert [r.b for r in got.select(sample_bucket(F.col("rating_timestamp_utc")).alias("b")).collect()] == wanted
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_metrics(spark, tmp_path):
     path = str(tmp_path / "metrics")
     write_metrics(spark.createDataFrame([("loss", 1.5), ("rows", 4.0)], "metric string, value double"), path)
