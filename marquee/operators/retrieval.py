@@ -3,10 +3,10 @@
 Scoring every query against every candidate is a product of two tables, and no row pair of it ever becomes
 a Spark row: tasks multiply matrices and hand on a top-k or a count per query.
 
-* Queries that fit in ``lookup_bytes`` go to every task. Candidates are scored where they lie, without a
-  shuffle, and each partition answers once.
-* More queries than that: both sides are cut into hash blocks of about ``block_rows``, and each pair of
-  blocks is one cogroup.
+* Queries go to every task in chunks of at most ``lookup_bytes``. Candidates are scored where they lie, so
+  neither side is shuffled or copied, and each task answers once per chunk.
+* Small input partitions are read together, ``TASKS_PER_CORE`` tasks for each core, so that the answers
+  which meet in the final merge grow with the cluster and not with the number of files.
 
 Scores are rounded to ``DECIMALS`` places before they are compared, so results do not depend on the
 order of additions; ties go to the smaller candidate id.
@@ -26,10 +26,12 @@ from pyspark.sql import types as T
 from marquee.functions import dot, mean_vector, unpad
 from marquee.operators.batches import regroup
 from marquee.operators.lookup import LOOKUP_BYTES, broadcast_small, check_unique
+from marquee.session import materialise
 
 DECIMALS = 6
 BLOCK_ROWS = 50_000
 CHUNK_SCORES = 5_000_000
+TASKS_PER_CORE = 4
 
 
 def lookup_vectors(
@@ -116,15 +118,13 @@ def top_k(
     queries: DataFrame,
     index: DataFrame,
     k: int,
-    spread: Sequence[str] = ("user_id", "vector"),
     block_rows: int = BLOCK_ROWS,
     lookup_bytes: int = LOOKUP_BYTES,
 ) -> DataFrame:
     """(movie_id, rank, user_id, score): the best ``k`` index rows for each query (movie_id, query).
 
     Queries have one row per movie. An index row is (user_id, vector); a user may have several, and each
-    competes by itself. ``spread`` are the columns that place index rows into blocks, and should tell the
-    rows of one user apart.
+    competes by itself.
     """
 
     def keep_best(found: pd.DataFrame) -> pd.DataFrame:
@@ -144,9 +144,8 @@ def top_k(
     def merge(so_far: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
         return keep_best(pd.concat([so_far, more], ignore_index=True))
 
-    others = [c for c in spread if c not in ("user_id", "vector")]
     local = _against(
-        queries.select("movie_id", "query"), ["movie_id"], index.select("user_id", "vector", *others), spread,
+        queries.select("movie_id", "query"), ["movie_id"], index.select("user_id", "vector"),
         best, merge, "movie_id long, user_id long, score double", block_rows, lookup_bytes,
     )
     order = Window.partitionBy("movie_id").orderBy(F.desc("score"), "user_id")
@@ -186,7 +185,7 @@ def true_pair_ranks(
     schema = ", ".join(f"{name} long" for name in key) + ", higher long"
     counted = _against(
         queries.select(*key, "movie_id", "query", "score"), ["movie_id", *key],
-        candidates.select(*key, "vector"), key, count, merge, schema, block_rows, lookup_bytes,
+        candidates.select(*key, "vector"), count, merge, schema, block_rows, lookup_bytes,
     )
     return counted.groupBy(*key).agg((F.sum("higher") + 1).alias("rank"))
 
@@ -225,7 +224,6 @@ def _against(
     left: DataFrame,
     left_key: Sequence[str],
     right: DataFrame,
-    right_key: Sequence[str],
     fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     merge: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
@@ -234,52 +232,34 @@ def _against(
 ) -> DataFrame:
     """``fn`` of all queries on the left and all candidates on the right, in parts.
 
-    ``merge`` joins the answers of one set of queries to two sets of candidates.
+    ``merge`` joins the answers of one set of queries to two sets of candidates. ``left`` is read once per
+    chunk; with several chunks the answers to each are stored before the next goes out.
     """
+    spark = left.sparkSession
     size = left.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("query")).alias("width")).first()
-    if size["rows"] * (8 * (size["width"] or 0) + 64) > lookup_bytes:
-        return _by_blocks(left, left_key, size["rows"], right, right_key, fn, schema, block_rows)
-    queries = left.sparkSession.sparkContext.broadcast(left.toPandas())
-
-    def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        answer = None
-        for block in regroup(chunks, block_rows):
-            if len(queries.value):
-                part = fn(queries.value, block)
-                answer = part if answer is None else merge(answer, part)
-        if answer is not None:
-            yield answer
-
-    return right.mapInPandas(run, schema)
-
-
-def _by_blocks(
-    left: DataFrame,
-    left_key: Sequence[str],
-    left_rows: int,
-    right: DataFrame,
-    right_key: Sequence[str],
-    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
-    schema: str,
-    block_rows: int,
-) -> DataFrame:
-    """``fn`` on every pair of a left block and a right block, each about ``block_rows`` rows."""
-    left_blocks = max(1, math.ceil(left_rows / block_rows))
-    right_blocks = max(1, math.ceil(right.count() / block_rows))
-    columns = [part.split()[0] for part in schema.split(", ")]
-
-    def place(df: DataFrame, key: Sequence[str], own: str, blocks: int, other: str, others: int) -> DataFrame:
-        copies = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
-        return df.withColumn(own, F.pmod(F.xxhash64(*key), F.lit(blocks)).cast("int")).withColumn(other, copies)
-
-    def run(_: tuple, some: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        if some.empty or others.empty:
-            return pd.DataFrame({name: [] for name in columns})
-        return fn(some, others)
-
-    lefts = place(left, left_key, "_left", left_blocks, "_right", right_blocks).groupBy("_left", "_right")
-    rights = place(right, right_key, "_right", right_blocks, "_left", left_blocks).groupBy("_left", "_right")
-    return lefts.cogroup(rights).applyInPandas(run, schema)
+    per_chunk = max(1, lookup_bytes // (8 * (size["width"] or 0) + 64) or block_rows)
+    chunks = max(1, math.ceil(size["rows"] / per_chunk))
+    right = right.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    chunk = F.pmod(F.xxhash64(*left_key), F.lit(chunks))
+    answers = None
+    for i in range(chunks):
+        queries = spark.sparkContext.broadcast(left.where(chunk == i).toPandas())
+
+        def run(blocks: Iterator[pd.DataFrame], queries=queries) -> Iterator[pd.DataFrame]:
+            answer = None
+            for block in regroup(blocks, block_rows):
+                if len(queries.value):
+                    part = fn(queries.value, block)
+                    answer = part if answer is None else merge(answer, part)
+            if answer is not None:
+                yield answer
+
+        found = right.mapInPandas(run, schema)
+        if chunks > 1:
+            found = materialise(found, "answers")
+            queries.destroy()
+        answers = found if answers is None else answers.unionByName(found)
+    return answers
 
 
 def _score_chunks(queries: pd.Series, vectors: pd.Series, rounded: bool = True):

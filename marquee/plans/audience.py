@@ -34,7 +34,7 @@ def best_users(movies: DataFrame, vectors: DataFrame, index: DataFrame, k: int =
     counted and sent out.
     """
     queries = materialise(lookup_vectors(movies.select("movie_id").distinct(), vectors), "queries")
-    return top_k(queries, index, k, spread=INDEX_KEY)
+    return top_k(queries, index, k)
 
 
 def unanswered_movies(movies: DataFrame, vectors: DataFrame) -> DataFrame:

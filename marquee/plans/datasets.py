@@ -15,7 +15,7 @@ from marquee.operators.ratings import rated_movies, rating_base, usable_ratings
 from marquee.operators.sequences import (
     TIME, Sequences, expand, is_latest, rating_sequences, with_min_history,
 )
-from marquee.session import materialise
+from marquee.session import materialise, scratch_scope
 from marquee.sources.snapshots import SnapshotLayout, refuse_existing, write_dataset
 
 ROW_KEY = ("rating_id", "matched_rating_id")
@@ -98,14 +98,15 @@ def prepare(
     start = time.monotonic()
     paths = {kind: layout.data(kind) for kind in ("train", "inference", "movies")}
     refuse_existing(ratings.sparkSession, paths.values())
-    sequences = sequences_of(ratings, movies, config)
-    shared = replace(sequences, ordinary=materialise(sequences.ordinary, "sequences"))
-    row_key = ROW_KEY if keys else ()
-    datasets = {
-        "train": features(train_rows(shared), config, (*row_key, "movie_id", "user_id")),
-        "inference": features(inference_rows(shared), config, (*row_key, "user_id")),
-        "movies": movie_catalogue(ratings, movies),
-    }
-    for kind, dataset in datasets.items():
-        write_dataset(dataset, paths[kind])
+    with scratch_scope(ratings.sparkSession):
+        sequences = sequences_of(ratings, movies, config)
+        shared = replace(sequences, ordinary=materialise(sequences.ordinary, "sequences"))
+        row_key = ROW_KEY if keys else ()
+        datasets = {
+            "train": features(train_rows(shared), config, (*row_key, "movie_id", "user_id")),
+            "inference": features(inference_rows(shared), config, (*row_key, "user_id")),
+            "movies": movie_catalogue(ratings, movies),
+        }
+        for kind, dataset in datasets.items():
+            write_dataset(dataset, paths[kind])
     return Prepared(paths, time.monotonic() - start)

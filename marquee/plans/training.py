@@ -10,7 +10,7 @@ from marquee.operators.factors import WIDTH, fit_item_vectors
 from marquee.operators.split import SEED, find_cut
 from marquee.plans.audience import audience_index, evaluate
 from marquee.plans.datasets import ROW_KEY
-from marquee.session import materialise
+from marquee.session import materialise, scratch_scope
 from marquee.sources.snapshots import (
     SnapshotLayout, read_dataset, refuse_existing, write_dataset, write_index, write_metrics,
 )
@@ -51,10 +51,11 @@ def train_snapshot(
     """Fit, evaluate and index a prepared snapshot (with row keys) into its ``models`` folder."""
     paths = Trained(layout.model("vectors.parquet"), layout.model("metrics.json"), layout.model("index.parquet"))
     refuse_existing(spark, (paths.vectors, paths.metrics, paths.index))
-    train = read_dataset(spark, layout.data("train"))
-    write_dataset(fit_on_rest(train, n_holdout, width, iterations, seed), paths.vectors)
-    vectors = read_dataset(spark, paths.vectors)
-    write_metrics(evaluate(train, vectors, n_holdout, k, batch_size, width, seed, pad_side), paths.metrics)
-    inference = read_dataset(spark, layout.data("inference"))
-    write_index(audience_index(inference, vectors, width, pad_side, recency), paths.index)
+    with scratch_scope(spark):
+        train = read_dataset(spark, layout.data("train"))
+        write_dataset(fit_on_rest(train, n_holdout, width, iterations, seed), paths.vectors)
+        vectors = read_dataset(spark, paths.vectors)
+        write_metrics(evaluate(train, vectors, n_holdout, k, batch_size, width, seed, pad_side), paths.metrics)
+        inference = read_dataset(spark, layout.data("inference"))
+        write_index(audience_index(inference, vectors, width, pad_side, recency), paths.index)
     return paths

@@ -235,7 +235,7 @@ def dot_scores(x: Inputs) -> DataFrame:
 
 
 def topk_users(x: Inputs, **bounds: int) -> DataFrame:
-    return top_k(x.queries(), x.index(), 10, spread=audience.INDEX_KEY, **bounds)
+    return top_k(x.queries(), x.index(), 10, **bounds)
 
 
 def held_out_pairs(x: Inputs) -> tuple[DataFrame, DataFrame]:

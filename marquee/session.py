@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +30,25 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_SCOPES: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/marquee/{uuid.uuid4().hex}/{label}"
+    scopes = _SCOPES.get()
+    return f"{scopes[-1] if scopes else shared_dir(spark) + '/marquee'}/{uuid.uuid4().hex}/{label}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables stored inside are deleted at the end: for jobs whose results are written elsewhere by then."""
+    root = f"{shared_dir(spark)}/marquee/scope-{uuid.uuid4().hex}"
+    token = _SCOPES.set((*_SCOPES.get(), root))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

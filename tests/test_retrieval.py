@@ -36,7 +36,7 @@ def test_top_k(shipped, block_rows, lookup_bytes):
     queries = frame(shipped, "movie_id long, query array<double>", [(i,) for i in range(30)], q)
     users = [(i // 2, i) for i in range(101)]  # two rows per user
     index = frame(shipped, "user_id long, rating_id long, vector array<double>", users, c)
-    found = top_k(queries, index, 7, ("user_id", "rating_id"), block_rows, lookup_bytes).collect()
+    found = top_k(queries, index, 7, block_rows, lookup_bytes).collect()
     scores = np.round(q @ c.T, 6)
     for movie in range(30):
         order = sorted(range(101), key=lambda j: (-scores[movie, j], users[j][0]))[:7]

@@ -1,9 +1,11 @@
 import hashlib
+import pathlib
 
 import pytest
 from fixtures import day, movies, ratings
 from pyspark.sql import functions as F
 
+from marquee.config import SequenceConfig
 from marquee.functions import sample_bucket
 from marquee.plans import datasets, training
 from marquee.session import shared_dir
@@ -53,6 +55,17 @@ def test_one_existing_dataset_stops_prepare_before_it_writes(spark, tmp_path):
     assert not (tmp_path / "s2" / "data" / "train").exists()
 
 
+def test_jobs_leave_no_scratch(spark, tmp_path):
+    def stored():
+        return {p for p in pathlib.Path(shared_dir(spark).removeprefix("file:")).glob("marquee/*")}
+
+    rows = [(i, i % 5, i % 11, day(i), 3) for i in range(200)]
+    layout, before = SnapshotLayout(str(tmp_path), "s4"), stored()
+    datasets.prepare(ratings(spark, rows), movies(spark), layout, SequenceConfig().with_skew(max_group_rows=20, segment_rows=15), keys=True)
+    training.train_snapshot(spark, layout, n_holdout=20, k=5, batch_size=10, width=4, iterations=2)
+    assert stored() == before
+
+
 def test_training_job_fills_the_models_folder(spark, tmp_path):
     rows = [(i, i % 5, i % 11, day(i), 3) for i in range(200)]
     layout = SnapshotLayout(str(tmp_path), "s3")
