@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import whole_text
+from marquee.llm.common import in_parts, whole_text
 from marquee.llm.deobfuscate import SYMBOLS, bare, is_disguised, log_probabilities, restore, spaced_words, trigram_counts
 from marquee.session import materialise, ship_package
 
@@ -40,9 +40,9 @@ class ToxicPolicy:
     most_weights: int = 20_000
     beginnings: tuple[int, ...] = (4, 5, 6)
     least_documents: int = 4
-    least_z: float = 3.0
+    least_odds: float = 1.2  # of the log odds, two standard errors down
     strongest: int = 5
-    cache: int = 500_000
+    cache: int = 300_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -57,7 +57,7 @@ def language_model(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS**3, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in in_parts(batch.column(0)):
                 total += trigram_counts(text)
         keys = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(total[keys])], ["gram", "n"])
@@ -97,7 +97,7 @@ def learn_weights(texts: DataFrame, model, policy: ToxicPolicy) -> dict[str, flo
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def found(batch: pa.Array) -> pa.Array:
         rows, known = [], {}
-        for text in batch.to_pylist():
+        for text in in_parts(batch):
             listed = text.lower().split()
             own = set()
             for token, word in restored_words(set(listed).difference(known), listed, model.value):
@@ -118,8 +118,8 @@ def learn_weights(texts: DataFrame, model, policy: ToxicPolicy) -> dict[str, flo
     clean = F.col("n") - F.col("x")
     odds = F.log((F.col("x") + 0.5) / F.lit(bad + 1.0)) - F.log((clean + 0.5) / F.lit(good + 1.0))
     error = F.sqrt(1 / (F.col("x") + 0.5) + 1 / (clean + 0.5))
-    rows = counted.select("feature", (odds - error).alias("weight"), (odds / error).alias("z")).where(F.col("z") >= policy.least_z)
-    best = rows.orderBy(F.desc("z"), "feature").limit(policy.most_weights)
+    rows = counted.select("feature", (odds - error).alias("weight"), (odds - 2 * error).alias("sure")).where(F.col("sure") >= policy.least_odds)
+    best = rows.orderBy(F.desc("sure"), "feature").limit(policy.most_weights)
     return {row["feature"]: row["weight"] for row in best.collect()}
 
 
@@ -129,7 +129,7 @@ def _evidence_udf(model, weights, policy: ToxicPolicy):
         table, grams, known = weights.value, model.value, {}
         for batch in texts:
             sums = []
-            for text in batch.to_pylist():
+            for text in in_parts(batch):
                 listed = text.lower().split()
                 tokens = set(listed)
                 spaced = {}
