@@ -208,10 +208,11 @@ def _decoded(placed: DataFrame, model: RoleModel, policy: ChatPolicy) -> DataFra
     with_tables = segments.select("none", "conv", "segment", tables(F.col("rows.code"), F.col("segment")).alias("table"))
     paths = with_tables.groupBy("none", "conv").agg(F.sort_array(F.collect_list(F.struct("segment", "table"))).alias("t"))
     paths = paths.select("none", "conv", chained(F.col("t.table")).alias("path"))
-    # One entry per segment goes back to it; a path is as long as its transcript has segments.
-    ends = paths.select("none", "conv", "path", F.posexplode("path").alias("segment", "leaving"))
-    ends = ends.select("none", "conv", F.col("segment").cast("long").alias("segment"), "leaving",
-                       F.get("path", F.col("segment") - 1).alias("entering"))
+    # One pair of roles per segment goes back to it.
+    before = F.concat(F.array(F.lit(None).cast("int")), F.slice("path", F.lit(1), F.size("path") - 1))
+    pairs = F.arrays_zip(F.col("path").alias("leaving"), before.alias("entering"))
+    ends = paths.select("none", "conv", F.posexplode(pairs).alias("segment", "x"))
+    ends = ends.select("none", "conv", F.col("segment").cast("long").alias("segment"), "x.leaving", "x.entering")
     found = segments.join(ends, ["none", "conv", "segment"]).select(
         "rows", roles(F.col("rows.code"), F.col("entering"), F.col("leaving")).alias("found")
     )
