@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.config import SkewPolicy
-from marquee.llm.common import ROW, whole_text, with_row_key
+from marquee.llm.common import ROW, ready, whole_text, with_row_key
 from marquee.operators.skew import with_positions
-from marquee.session import materialise, ship_package
+from marquee.session import materialise
 
 #: Words of speaker markers and the role each points to. Fixed values.
 MARKERS = {
@@ -175,7 +175,7 @@ def decode(codes: list[int], entering: int | None, leaving: int, model: RoleMode
 
 def _decoded(placed: DataFrame, model: RoleModel, policy: ChatPolicy) -> DataFrame:
     """(row key, block, position, role) of all placed blocks."""
-    ship_package(placed.sparkSession)
+    ready(placed.sparkSession)
     sent = placed.sparkSession.sparkContext.broadcast(model)
     own = F.struct("position", ROW, "block", "code")
     segment = F.floor(F.col("position") / policy.segment).cast("long").alias("segment")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.session import materialise
+from marquee.session import materialise, ship_package
 
 ROW = "_key"
 
@@ -58,8 +59,43 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows per Arrow batch: texts are long, and the engine's 10,000 of them may be gigabytes.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
+
+
+def ready(spark: SparkSession) -> None:
+    """What Python work on texts needs: the package at the workers, and batches that stay small."""
+    ship_package(spark)
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
+#: What a worker keeps from task to task. Other operators in the same worker drop it first.
+_KEPT: dict = {}
+
+
+def kept_in_worker(key, make: Callable):
+    """The worker's object for ``key``, made at first; whatever another operator kept is dropped."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+#: Texts turned into Python strings at a time: a batch of long texts would take several times its size.
+TEXTS_AT_ONCE = 256
+
+
+def in_parts(texts: pa.Array) -> Iterator[str]:
+    """The texts of a batch one after another, with few of them as Python strings at any time."""
+    _KEPT.clear()
+    for start in range(0, len(texts), TEXTS_AT_ONCE):
+        yield from texts.slice(start, TEXTS_AT_ONCE).to_pylist()
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of a batch after each other, and where each begins (one more entry than texts)."""
+    _KEPT.clear()
     wide = texts.cast(pa.large_binary())
     _, offsets, data = wide.buffers()
     bounds = np.frombuffer(offsets, dtype=np.int64)[wide.offset: wide.offset + len(wide) + 1]

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, whole_text, with_row_key
-from marquee.session import materialise, ship_package
+from marquee.llm.common import ROW, in_parts, ready, whole_text, with_row_key
+from marquee.session import materialise
 
 _WORD = re.compile(r"\w+")
 
@@ -111,7 +111,7 @@ def _hits(docs: DataFrame, grams: dict[tuple[str, ...], int], policy: LeakPolicy
         wanted = sent.value
         for batch in batches:
             rows = []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for row, text in zip(batch.column(0).to_pylist(), in_parts(batch.column(1)), strict=True):
                 found = [
                     (wanted[gram], place)
                     for place, gram in enumerate(grams_of(words_of(text), policy.seed_words)) if gram in wanted
@@ -181,7 +181,7 @@ def _aligned(docs: DataFrame, meetings: DataFrame, items: list[tuple], policy: L
 def leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
     """Stored: (row key, item_id, score, first_word, last_word) of all documents that share seeds with an item."""
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     rows = with_row_key(docs.select("doc_id", whole_text().alias("text")))
     found = None
     for part in _item_parts(items, policy):

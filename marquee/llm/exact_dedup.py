@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import ROW, shuffle_partitions, utf8, whole_text, with_row_key
-from marquee.session import materialise, ship_package
+from marquee.llm.common import ROW, ready, shuffle_partitions, utf8, whole_text, with_row_key
+from marquee.session import materialise
 
 WINDOW = 32
 BLOCK = 1 << 20
@@ -87,7 +87,7 @@ def chunk_ends(texts: pa.Array, policy: ChunkPolicy) -> pa.Array:
 
 def _with_chunks(docs: DataFrame, policy: ChunkPolicy) -> DataFrame:
     """Row key, id, text and its chunks as bytes, cut out on the JVM side from the ends found in Python."""
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ends(texts: pa.Array) -> pa.Array:

@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.config import SkewPolicy
-from marquee.llm.common import whole_text, with_row_key
+from marquee.llm.common import in_parts, ready, whole_text, with_row_key
 from marquee.operators.skew import join_counted
-from marquee.session import materialise, ship_package
+from marquee.session import materialise
 
 UNKNOWN = "und"
 
@@ -90,7 +90,7 @@ class TextModel:
 
 def learn_text_model(labelled: DataFrame, policy: LanguagePolicy) -> TextModel:
     """From (text, lang): counts per task, summed up per language and bucket; at most a fixed number of rows come back."""
-    ship_package(labelled.sparkSession)
+    ready(labelled.sparkSession)
     total = labelled.count()
     share = min(1.0, policy.sample_rows / total) if total else 1.0
     sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
@@ -102,7 +102,7 @@ def learn_text_model(labelled: DataFrame, policy: LanguagePolicy) -> TextModel:
         grams = np.zeros((len(languages), policy.buckets), dtype=np.int64)
         singles = np.zeros((1, policy.buckets), dtype=np.int64)
         for batch in batches:
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, lang in zip(in_parts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 found, characters = trigram_buckets(letters_of(text), policy.buckets)
                 grams[languages.index(lang)] += np.bincount(found, minlength=policy.buckets)
                 singles[0] += np.bincount(characters[:, 1], minlength=policy.buckets)
@@ -138,14 +138,14 @@ def _shares(rows: DataFrame, key: str, width: int, name: str) -> DataFrame:
 def fuse(rows: DataFrame, model: TextModel, policy: LanguagePolicy = LanguagePolicy()) -> DataFrame:
     """Language, probability and acceptance of rows (any ids, text, declared, suffix, domain, host)."""
     spark = rows.sparkSession
-    ship_package(spark)
+    ready(spark)
     sent = spark.sparkContext.broadcast(model)
     names = [*model.languages, UNKNOWN]
     width = len(names)
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def likelihoods(texts: pa.Array) -> pa.Array:
-        return pa.array([sent.value.log_likelihoods(text) for text in texts.to_pylist()], pa.list_(pa.float64()))
+        return pa.array([sent.value.log_likelihoods(text) for text in in_parts(texts)], pa.list_(pa.float64()))
 
     ids = [c for c in rows.columns if c not in ("text", "declared", "suffix", "domain", "host")]
     logs = F.transform(likelihoods(whole_text()), lambda x: x * policy.tempering)

@@ -37,9 +37,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, shuffle_partitions, whole_text, with_row_key
+from marquee.llm.common import ROW, in_parts, ready, shuffle_partitions, whole_text, with_row_key
 from marquee.llm.components import component_stars
-from marquee.session import materialise, ship_package
+from marquee.session import materialise
 
 
 @dataclass(frozen=True)
@@ -97,12 +97,12 @@ def shingles(text: str, size: int) -> set[tuple[bytes, ...]]:
 
 def sketches(docs: DataFrame, policy: NearPolicy) -> DataFrame:
     """Stored: row key, id, set size, digest of the whole set and the smallest values."""
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, kept = [], [], []
-            for text in batch.column(2).to_pylist():
+            for text in in_parts(batch.column(2)):
                 values = shingle_values(text, policy.words)
                 sizes.append(len(values))
                 digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
@@ -201,11 +201,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFram
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, set()
         for batch in batches:
-            high, low, texts, others = (column.to_pylist() for column in batch.columns)
+            high, low = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             links = []
-            for i, text in enumerate(texts):
+            for i, (text, other) in enumerate(zip(in_parts(batch.column(2)), in_parts(batch.column(3)), strict=True)):
                 if low[i] != last:
-                    last, last_set = low[i], shingles(others[i], policy.words)
+                    last, last_set = low[i], shingles(other, policy.words)
                 own = shingles(text, policy.words)
                 common = len(own & last_set)
                 links.append(100 * common >= policy.percent * (len(own) + len(last_set) - common))
@@ -229,11 +229,24 @@ def _ordered(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("high"), F.least(a, b).alias("low")]
 
 
+def _with_list_values(lists: DataFrame, parts: list[Column], whole: list[Column]) -> DataFrame:
+    """Rows of lists with aggregates over their list, first per list and salt, then per list.
+
+    The answer goes back by the same salted key, so one value that very many nodes share is no hot key.
+    """
+    salts = shuffle_partitions(lists.sparkSession)
+    salted = lists.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int"))
+    found = salted.groupBy("value", "salt").agg(*parts)
+    found = found.groupBy("value").agg(*whole, F.collect_list("salt").alias("salts"))
+    answers = found.withColumn("salt", F.explode("salts")).drop("salts")
+    return salted.join(answers, ["value", "salt"]).drop("salt")
+
+
 def _pivot_pairs(lists: DataFrame, turn: int, policy: NearPolicy) -> DataFrame:
     """Members of lists (value, node, n, component) against one of the list, another one in each turn."""
     rank = F.lit(0).cast("long") if turn == 0 else F.xxhash64("value", "node", F.lit(turn))
-    pivots = lists.groupBy("value").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "component")).alias("p"))
-    pairs = lists.join(pivots, "value").where(
+    pivot = F.struct(rank.alias("rank"), "node", "n", "component")
+    pairs = _with_list_values(lists, [F.min(pivot).alias("p")], [F.min("p").alias("p")]).where(
         (F.col("component") != F.col("p.component")) & _similar_size(F.col("n"), F.col("p.n"), policy)
     )
     return pairs.select("node", F.col("p.node").alias("pivot")).select(*_ordered("node", "pivot")).distinct()
@@ -244,10 +257,12 @@ def _open_lists(lists: DataFrame, stars: DataFrame, least: int) -> DataFrame:
     labels = stars.select(F.col("high").alias("node"), F.col("low").alias("component"))
     labelled = lists.select("value", "node", "n").join(labels, "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
-    spans = labelled.groupBy("value").agg(
-        F.count(F.lit(1)).alias("members"), F.min("component").alias("a"), F.max("component").alias("b")
-    ).where((F.col("members") >= least) & (F.col("a") < F.col("b"))).select("value", "members")
-    return materialise(labelled.join(spans, "value"), "open_lists")
+    spans = _with_list_values(
+        labelled,
+        [F.count(F.lit(1)).alias("members"), F.min("component").alias("a"), F.max("component").alias("b")],
+        [F.sum("members").alias("members"), F.min("a").alias("a"), F.max("b").alias("b")],
+    )
+    return materialise(spans.where((F.col("members") >= least) & (F.col("a") < F.col("b"))).drop("a", "b"), "open_lists")
 
 
 def _short_pairs(lists: DataFrame, policy: NearPolicy) -> DataFrame:
@@ -265,7 +280,7 @@ def _whole_sets(lists: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFr
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_values(text, policy.words) for text in batch.column(1).to_pylist()]
+            found = [shingle_values(text, policy.words) for text in in_parts(batch.column(1))]
             arrays = [batch.column(0), pa.array(found, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, ["node", "values"])
 

@@ -27,9 +27,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from marquee.llm.common import whole_text
+from marquee.llm.common import kept_in_worker, ready, whole_text
 from marquee.llm.pieces import PieceTable, word_values
-from marquee.session import ship_package
 
 CHUNK = 256
 ID_BYTES = 4
@@ -90,14 +89,9 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
         ways += 1
 
 
-_TABLES: dict[str, PieceTable] = {}
-
-
 def _table(definition: str) -> PieceTable:
-    key = hashlib.sha256(definition.encode()).hexdigest()
-    if key not in _TABLES:
-        _TABLES[key] = PieceTable(definition, "", lambda ids: struct.pack(f"<{len(ids)}I", *ids))
-    return _TABLES[key]
+    key = "ids", hashlib.sha256(definition.encode()).hexdigest()
+    return kept_in_worker(key, lambda: PieceTable(definition, "", lambda ids: struct.pack(f"<{len(ids)}I", *ids)))
 
 
 class _Packer:
@@ -149,7 +143,7 @@ def pack(
     docs: DataFrame, definition: str, policy: PackPolicy = PackPolicy(), with_ids: bool = False
 ) -> DataFrame:
     """One row per piece: where it comes from, its sequence and place there, its checksum, its ids if wanted."""
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(definition)
     end = np.array([policy.end_id], dtype="<u4").tobytes()
 
@@ -177,6 +171,7 @@ def pack(
                     packer.put(doc_id, ids + end)
                 yield batch_of(packer.take())
         packer.flush()
+        known.rest()
         yield batch_of(packer.take())
 
     schema = PIECES + ", ids array<int>" if with_ids else PIECES

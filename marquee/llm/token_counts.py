@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import whole_text
+from marquee.llm.common import in_parts, kept_in_worker, ready, whole_text
 from marquee.llm.pieces import LONGEST_KEPT, PieceTable, spaced_pieces, spaced_values
-from marquee.session import ship_package
 
 #: Texts tokenized together; the pieces of so many are held at a time.
 CHUNK = 256
@@ -30,26 +29,21 @@ CHUNK = 256
 SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 1_000, 65_536
 FREQUENT = 16_384
 
-#: A worker's tables outlive its tasks; one per vocabulary.
-_TABLES: dict[str, PieceTable] = {}
-
-
 def _table(definition: str, fixed: dict[str, int]) -> PieceTable:
-    key = hashlib.sha256(definition.encode()).hexdigest()
-    if key not in _TABLES:
-        _TABLES[key] = PieceTable(definition, " ", len, fixed)
-    return _TABLES[key]
+    """A worker's table outlives its tasks."""
+    key = "lengths", hashlib.sha256(definition.encode()).hexdigest()
+    return kept_in_worker(key, lambda: PieceTable(definition, " ", len, fixed))
 
 
 def frequent_lengths(docs: DataFrame, definition: str, size: int = FREQUENT, sample_rows: int = SAMPLE_ROWS) -> dict:
     """Lengths of the pieces most frequent in a bounded sample; one task counts it and returns ``size`` rows."""
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(definition)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in in_parts(batch.column(0)):
                 seen.update(spaced_pieces(text)[1:])
         top = [piece for piece, _ in seen.most_common(size) if len(piece) <= LONGEST_KEPT]
         lengths = PieceTable(vocabulary.value, " ", len).encode([" " + piece for piece in top]) if top else []
@@ -75,5 +69,6 @@ def count_tokens(docs: DataFrame, definition: str, text: str = "text", name: str
             for start in range(0, len(batch), CHUNK):
                 counts += spaced_values(batch.slice(start, CHUNK).to_pylist(), known)
             yield pa.array(counts, pa.int64())
+        known.rest()
 
     return docs.withColumn(name, lengths(whole_text(text)))

@@ -25,9 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import in_parts, whole_text
+from marquee.llm.common import in_parts, ready, whole_text
 from marquee.llm.deobfuscate import SYMBOLS, bare, is_disguised, log_probabilities, restore, spaced_words, trigram_counts
-from marquee.session import materialise, ship_package
+from marquee.session import materialise
 
 FOLDS = 5
 
@@ -52,7 +52,7 @@ def held_out(doc_id: Column) -> Column:
 
 def language_model(docs: DataFrame) -> np.ndarray:
     """Trigram log probabilities over all texts; each task sends its own counts, a fixed table."""
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS**3, dtype=np.int64)
