@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -77,25 +80,39 @@ _KEPT: dict = {}
 def kept_in_worker(key, make: Callable):
     """The worker's object for ``key``, made at first; whatever another operator kept is dropped."""
     if key not in _KEPT:
-        _KEPT.clear()
+        drop_kept()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def drop_kept() -> None:
+    if _KEPT:
+        _KEPT.clear()
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker idles between stages, and its allocators would keep theirs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Texts turned into Python strings at a time: a batch of long texts would take several times its size.
 TEXTS_AT_ONCE = 256
 
 
 def in_parts(texts: pa.Array) -> Iterator[str]:
     """The texts of a batch one after another, with few of them as Python strings at any time."""
-    _KEPT.clear()
+    drop_kept()
     for start in range(0, len(texts), TEXTS_AT_ONCE):
         yield from texts.slice(start, TEXTS_AT_ONCE).to_pylist()
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of a batch after each other, and where each begins (one more entry than texts)."""
-    _KEPT.clear()
+    drop_kept()
     wide = texts.cast(pa.large_binary())
     _, offsets, data = wide.buffers()
     bounds = np.frombuffer(offsets, dtype=np.int64)[wide.offset: wide.offset + len(wide) + 1]

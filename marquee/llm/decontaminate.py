@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, in_parts, ready, whole_text, with_row_key
+from marquee.llm.common import ROW, give_back, in_parts, ready, whole_text, with_row_key
 from marquee.session import materialise
 
 _WORD = re.compile(r"\w+")
@@ -123,6 +123,7 @@ def _hits(docs: DataFrame, grams: dict[tuple[str, ...], int], policy: LeakPolicy
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [ROW, "grams", "places"]
             )
+        give_back()
 
     schema = f"{ROW} long, grams array<int>, places array<int>"
     return materialise(docs.select(ROW, "text").mapInArrow(search, schema), "gram_hits")

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, in_parts, ready, shuffle_partitions, whole_text, with_row_key
+from marquee.llm.common import ROW, give_back, in_parts, ready, shuffle_partitions, whole_text, with_row_key
 from marquee.llm.components import component_stars
 from marquee.session import materialise
 
@@ -114,6 +114,7 @@ def sketches(docs: DataFrame, policy: NearPolicy) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists],
                 [ROW, "doc_id", "n", "digest", "sketch"],
             )
+        give_back()
 
     rows = with_row_key(docs.select("doc_id", whole_text().alias("text"))).select(ROW, "doc_id", "text")
     schema = f"{ROW} long, doc_id long, n long, digest binary, sketch array<long>"
@@ -188,6 +189,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, policy: NearPolicy) -> DataFr
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["high", "low", "certain"]
             )
+        give_back()
 
     a = nodes.select(F.col("node").alias("high"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     b = nodes.select(F.col("node").alias("low"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
@@ -214,6 +216,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFram
                 [pa.array([high[i] for i in kept], pa.int64()), pa.array([low[i] for i in kept], pa.int64())],
                 ["high", "low"],
             )
+        give_back()
 
     open_pairs = pairs.where("not certain").select("high", "low")
     wanted = materialise(open_pairs.select("high").union(open_pairs.select("low")).distinct().toDF(ROW), "wanted")

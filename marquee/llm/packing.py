@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from marquee.llm.common import kept_in_worker, ready, whole_text
+from marquee.llm.common import give_back, kept_in_worker, ready, whole_text
 from marquee.llm.pieces import PieceTable, word_values
 
 CHUNK = 256
@@ -173,6 +173,7 @@ def pack(
         packer.flush()
         known.rest()
         yield batch_of(packer.take())
+        give_back()
 
     schema = PIECES + ", ids array<int>" if with_ids else PIECES
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(packed, schema)

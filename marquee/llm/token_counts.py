@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import in_parts, kept_in_worker, ready, whole_text
+from marquee.llm.common import give_back, in_parts, kept_in_worker, ready, whole_text
 from marquee.llm.pieces import LONGEST_KEPT, PieceTable, spaced_pieces, spaced_values
 
 #: Texts tokenized together; the pieces of so many are held at a time.
@@ -70,5 +70,6 @@ def count_tokens(docs: DataFrame, definition: str, text: str = "text", name: str
                 counts += spaced_values(batch.slice(start, CHUNK).to_pylist(), known)
             yield pa.array(counts, pa.int64())
         known.rest()
+        give_back()
 
     return docs.withColumn(name, lengths(whole_text(text)))
