@@ -171,7 +171,6 @@ def pack(
                     packer.put(doc_id, ids + end)
                 yield batch_of(packer.take())
         packer.flush()
-        known.rest()
         yield batch_of(packer.take())
         give_back()
 

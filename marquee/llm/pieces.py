@@ -115,10 +115,6 @@ class PieceTable:
             self.passing += [piece for piece in missing if len(piece) > LONGEST_KEPT]
             self.bare.update(zip(missing, self.encode(missing), strict=True))
 
-    def rest(self) -> None:
-        """Between tasks a worker holds the young generation alone."""
-        self.old = {}
-
     def trim(self) -> None:
         """Forget long pieces, and the older half of what was learned once it is too much. Only speed depends on it."""
         for piece in self.passing:

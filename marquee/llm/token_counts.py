@@ -69,7 +69,6 @@ def count_tokens(docs: DataFrame, definition: str, text: str = "text", name: str
             for start in range(0, len(batch), CHUNK):
                 counts += spaced_values(batch.slice(start, CHUNK).to_pylist(), known)
             yield pa.array(counts, pa.int64())
-        known.rest()
         give_back()
 
     return docs.withColumn(name, lengths(whole_text(text)))
