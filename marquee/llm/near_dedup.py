@@ -29,9 +29,9 @@ import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -41,6 +41,9 @@ from marquee.llm.common import ROW, give_back, in_parts, ready, shuffle_partitio
 from marquee.llm.components import component_stars
 from marquee.session import materialise
 
+if TYPE_CHECKING:
+    import pandas as pd  # a worker loads it for the blocks of long lists alone
+
 
 @dataclass(frozen=True)
 class NearPolicy:
@@ -49,7 +52,7 @@ class NearPolicy:
     kept: int = 256
     listed: int = 64
     deviations: float = 4.75
-    pivot_rounds: int = 5
+    pivot_rounds: int = 3
     short_list: int = 32
     block: int = 512
     broadcast_rows: int = 1_000_000
@@ -332,6 +335,8 @@ def _block_links(lists: DataFrame, sets: DataFrame, policy: NearPolicy) -> DataF
     placed = placed.select("value", "place.*", "node", "component").join(sets, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
+        import pandas as pd
+
         return pd.DataFrame(block_links(group, policy), columns=["high", "low"], dtype="int64")
 
     return placed.groupBy("value", "to_inner", "i", "j").applyInPandas(compare, "high long, low long").distinct()
