@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, and local alignment scores them.
+"""Benchmark decontamination: n-gram seeds join passages to test items, and local alignment scores them.
 
-Every document is searched once for the n-grams of the test items. How many documents hold each n-gram decides
-which are seeds: the rarer half of an item's n-grams, or ``least_seeds`` if that is more, so common phrases start
-no work and an edited copy still holds several seeds. Documents meet items by a join on seeds; around the places
-of its seeds an item is aligned with the document's words (Smith-Waterman, linear gaps), which follows inserted,
-dropped and replaced words. A score is the alignment's share of what the whole item would score.
+Every document is searched once for the n-grams of the test items, and each n-gram found is a seed of every item
+that holds it, however common it is. An item is left out of a document only where too few of its words occur for
+any alignment to reach ``least_score``, which keeps common phrases from costing alignments and loses nothing.
+Around the places of its seeds an item is aligned with the document's words (Smith-Waterman, linear gaps), which
+follows inserted, dropped and replaced words. A score is the alignment's share of what the whole item would score.
 
 Test items are sent to every task in parts of at most ``part_bytes``; a larger benchmark takes several turns.
 
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import ROW, give_back, in_parts, ready, whole_text, with_row_key
@@ -35,7 +35,6 @@ _WORD = re.compile(r"\w+")
 class LeakPolicy:
     seed_words: int = 4
     least_words: int = 5
-    least_seeds: int = 12
     match: int = 2
     mismatch: int = 1
     gap: int = 1
@@ -78,9 +77,12 @@ def align(item: np.ndarray, passage: np.ndarray, policy: LeakPolicy) -> tuple[fl
     return best / (policy.match * len(item)), *span
 
 
-def regions(seeds: list[tuple[int, int]], item_words: int, n_words: int) -> list[tuple[int, int]]:
-    """Stretches of a document where an item may lie, from (place in the item, place in the document)."""
-    slack = 4 + item_words // 4
+def regions(seeds: list[tuple[int, int]], item_words: int, n_words: int, policy: LeakPolicy) -> list[tuple[int, int]]:
+    """Stretches of a document where an item may lie, from (place in the item, place in the document).
+
+    They reach as far as words put in between may move a copy that still scores ``least_score``.
+    """
+    slack = 1 + int((1 - policy.least_score) * policy.match * item_words / policy.gap)
     found: list[tuple[int, int]] = []
     for begin, end in sorted(
         (max(0, place - pos - slack), min(n_words, place - pos + item_words + slack)) for pos, place in seeds
@@ -129,39 +131,54 @@ def _hits(docs: DataFrame, grams: dict[tuple[str, ...], int], policy: LeakPolicy
     return materialise(docs.select(ROW, "text").mapInArrow(search, schema), "gram_hits")
 
 
-def _seeds(hits: DataFrame, places: DataFrame, policy: LeakPolicy) -> DataFrame:
-    """The rarer half of each item's n-grams (gram, item, pos), ``least_seeds`` at least."""
-    df = hits.select(F.explode(F.array_distinct("grams")).alias("gram")).groupBy("gram").agg(
-        F.count(F.lit(1)).alias("df")
-    )
-    rarest = Window.partitionBy("item").orderBy("df", "pos")
-    ranked = places.join(df, "gram").withColumn("rank", F.row_number().over(rarest))
-    wanted = F.greatest(F.ceil(F.col("grams_of_item") / 2), F.lit(policy.least_seeds))
-    return ranked.where(F.col("rank") <= wanted).select("gram", "item", "pos")
+class Postings:
+    """For each n-gram's number, the items that hold it and where."""
+
+    def __init__(self, places: list[tuple[int, int, int]]):
+        table = np.array(sorted(places), dtype=np.int64).reshape(-1, 3)
+        self.items, self.at = table[:, 1].copy(), table[:, 2].astype(np.int32)
+        self.bounds = np.searchsorted(table[:, 0], np.arange(table[-1, 0] + 2))
+
+    def seeds(self, grams: list[int], places: list[int]) -> dict[int, list[tuple[int, int]]]:
+        """Per item its (place in the item, place in the document) of a document's n-grams."""
+        found: dict[int, list[tuple[int, int]]] = {}
+        for gram, place in zip(grams, places, strict=True):
+            own = slice(self.bounds[gram], self.bounds[gram + 1])
+            for number, pos in zip(self.items[own].tolist(), self.at[own].tolist(), strict=True):
+                found.setdefault(number, []).append((pos, place))
+        return found
+
+
+def may_reach(item: list[str], held: set[str], policy: LeakPolicy) -> bool:
+    """Could the item reach ``least_score`` if all of its words that are held matched, and nothing cost anything?"""
+    return sum(word in held for word in item) / len(item) >= policy.least_score
 
 
 LINKS = "item_id long, score double, first_word long, last_word long"
 
 
-def _aligned(docs: DataFrame, meetings: DataFrame, items: list[tuple], policy: LeakPolicy) -> DataFrame:
-    """Alignments (row, item, score, span) of the documents in ``meetings`` with the items they met."""
-    sent = docs.sparkSession.sparkContext.broadcast({number: (item_id, words) for number, item_id, words in items})
+def _aligned(docs: DataFrame, hits: DataFrame, postings: Postings, items: list[tuple], policy: LeakPolicy) -> DataFrame:
+    """Alignments (row, item, score, span) of the documents in ``hits`` with the items whose n-grams they hold."""
+    known_items = {number: (item_id, words) for number, item_id, words in items}
+    sent = docs.sparkSession.sparkContext.broadcast((known_items, postings))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
+        known, table = sent.value
         for batch in batches:
             rows = []
-            for row, text, met in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            for row, text, grams, places in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 words = words_of(text)
-                by_item: dict[int, list[tuple[int, int]]] = {}
-                for seed in met:
-                    by_item.setdefault(seed["item"], []).append((seed["pos"], seed["place"]))
-                for number, seeds in by_item.items():
+                held = set(words)
+                for number, seeds in table.seeds(grams, places).items():
                     item_id, item = known[number]
+                    if not may_reach(item, held, policy):
+                        continue
                     codes = {word: i for i, word in enumerate(dict.fromkeys(item))}
                     own = np.array([codes[word] for word in item])
                     best = (0.0, 0, -1)
-                    for begin, end in regions(seeds, len(item), len(words)):
+                    for begin, end in regions(seeds, len(item), len(words), policy):
+                        if not may_reach(item, set(words[begin:end]), policy):
+                            continue
                         passage = np.array([codes.get(word, -1) for word in words[begin:end]])
                         share, first, last = align(own, passage, policy)
                         if share > best[0]:
@@ -174,13 +191,13 @@ def _aligned(docs: DataFrame, meetings: DataFrame, items: list[tuple], policy: L
                 [ROW, "item_id", "score", "first_word", "last_word"],
             )
 
-    small = meetings.count() <= policy.broadcast_rows
-    texts = docs.select(ROW, "text").join(F.broadcast(meetings.select(ROW)) if small else meetings.select(ROW), ROW, "left_semi")
-    return texts.join(meetings, ROW).select(ROW, "text", "met").mapInArrow(score, f"{ROW} long, {LINKS}")
+    small = hits.count() <= policy.broadcast_rows
+    texts = docs.select(ROW, "text").join(F.broadcast(hits.select(ROW)) if small else hits.select(ROW), ROW, "left_semi")
+    return texts.join(hits, ROW).select(ROW, "text", "grams", "places").mapInArrow(score, f"{ROW} long, {LINKS}")
 
 
 def leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
-    """Stored: (row key, item_id, score, first_word, last_word) of all documents that share seeds with an item."""
+    """Stored: (row key, item_id, score, first_word, last_word) of documents that share seeds and words with an item."""
     spark = docs.sparkSession
     ready(spark)
     rows = with_row_key(docs.select("doc_id", whole_text().alias("text")))
@@ -189,19 +206,12 @@ def leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy())
         grams: dict[tuple[str, ...], int] = {}
         places = []
         for number, _, words in part:
-            own = list(grams_of(words, policy.seed_words))
-            places += [(grams.setdefault(gram, len(grams)), number, pos, len(own)) for pos, gram in enumerate(own)]
+            own = grams_of(words, policy.seed_words)
+            places += [(grams.setdefault(gram, len(grams)), number, pos) for pos, gram in enumerate(own)]
         if not places:
             continue
         hits = _hits(rows, grams, policy)
-        table = spark.createDataFrame(places, "gram int, item long, pos int, grams_of_item int")
-        seeds = _seeds(hits, table, policy)
-        placed = hits.select(ROW, F.explode(F.arrays_zip("grams", "places")).alias("h"))
-        placed = placed.select(ROW, F.col("h.grams").alias("gram"), F.col("h.places").alias("place"))
-        meetings = placed.join(seeds, "gram").groupBy(ROW).agg(
-            F.collect_list(F.struct("item", "pos", "place")).alias("met")
-        )
-        links = _aligned(rows, materialise(meetings, "meetings"), part, policy)
+        links = _aligned(rows, hits, Postings(places), part, policy)
         found = links if found is None else found.union(links)
     if found is None:
         return spark.createDataFrame([], f"{ROW} long, {LINKS}")

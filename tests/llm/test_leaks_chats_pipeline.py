@@ -83,6 +83,28 @@ def test_copied_edited_and_partial_passages(leaky, policy):
     assert got[103].item_id is None
 
 
+def test_edited_copies_beside_verbatim_ones(spark):
+    """The edits' n-grams are the rarest of an item once the others occur twice; they must not be its only seeds."""
+    items = [(i, prose(700 + i, 40)) for i in range(3)]
+    rows = [(i, prose(i, 120), "en", "a") for i in range(1, 10)]
+    for i, (_, item) in enumerate(items):
+        words = [f"new{i}x{at}" if at % 8 == 4 else word for at, word in enumerate(item.split())]
+        rows.append((100 + i, prose(40 + i, 30) + " " + " ".join(words) + " " + prose(50 + i, 30), "en", "a"))
+        rows.append((200 + i, item, "en", "b"))
+    got = decontaminate.contamination(table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r.item_id for r in got if r.contaminated} == {h + i: i for i in range(3) for h in (100, 200)}
+    assert {r.score for r in got if 100 <= r.doc_id < 200} == {(2 * 35 - 5) / 80}
+
+
+def test_far_parts_of_a_copy_count(spark):
+    """Two words, one put in, and so on: the only n-gram lies at the copy's end, the first word 18 words further off."""
+    words = prose(800, 40).split()
+    spread = " ".join(w if at >= 36 or at % 2 == 0 else f"{w} put{at}" for at, w in enumerate(words))
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    row = decontaminate.contamination(table(spark, [(1, spread + " " + prose(2, 9), "en", "a")]), items).first()
+    assert (row.contaminated, row.score, row.first_word, row.last_word) == (True, (80 - 18) / 80, 0, 57)
+
+
 def test_contamination_defined_cases(spark, edge, edge_rows, none):
     items = spark.createDataFrame(
         [(1, None), (2, ""), (3, "too short"), (None, prose(1, 60)), (5, prose(1, 60)), (5, prose(1, 60))], "item_id long, text string"
