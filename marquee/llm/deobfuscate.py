@@ -2,12 +2,14 @@
 
 A disguised word is a path through a lattice: look-alike signs stand for letters, separators inside a word stand
 for nothing, a drawn-out letter stands for one or two. The path whose letters are likeliest under character
-trigrams, counting what each disguise costs, is the restored word.
+trigrams, counting what each disguise costs, is the restored word. Where words are written letter by letter, each
+space stands for nothing or for the end of a word. Signs around a token may be punctuation or letters: both are read.
 """
 
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -20,11 +22,16 @@ SEPARATORS = ".-_*~'`^·"
 LOOKALIKE_COST, SEPARATOR_COST, DOUBLED_COST, SHORTENED_COST = -0.5, -0.3, -0.7, -1.5
 
 SYMBOLS = 28  # 0 outside a word, 1 to 26 the letters, 27 a byte of any other letter
-LONGEST = 40  # longer tokens are no disguised words
 
 _LETTER = re.compile(r"[^\W\d_]")
 _DRAWN_OUT = re.compile(r"([^\W\d_])\1\1")
 _CLOSING = re.compile(r"^[^\w@$|+({<€£¥]+|[^\w]+$")
+_SIGNS = re.escape("".join(LOOKALIKES))
+#: Beginnings that may be punctuation: all signs, all but "!" that stand for no letter, all that stand for none.
+_OPENING = tuple(map(re.compile, (r"\W*", r"[^\w@$|+({<€£¥]*", rf"[^\w{_SIGNS}]*")))
+_ENDING = re.compile(r"\W+$")
+_LETTERLIKE = re.compile(f"[{_SIGNS}{re.escape(SEPARATORS)}]*")
+
 
 
 def byte_codes() -> np.ndarray:
@@ -55,7 +62,7 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
 
 def is_disguised(token: str) -> bool:
     """Has the token letters, and look-alikes, separators or drawn-out letters among them?"""
-    if not 3 <= len(token) <= LONGEST or token.isalpha() and not _DRAWN_OUT.search(token):
+    if len(token) < 3 or token.isalpha() and not _DRAWN_OUT.search(token):
         return False
     letters = len(_LETTER.findall(token))
     signs = sum(ch in LOOKALIKES or ch in SEPARATORS for ch in token)
@@ -88,33 +95,105 @@ def _arcs(ch: str, times: int) -> list[tuple[str, float]]:
     return [(x, cost + single) for x in letters] + [(x + x, cost + double) for x in letters]
 
 
-def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest letters behind a token."""
-    states = {(0, 0): (0.0, "")}
+#: Scores of the states of a lattice (the last two codes), each with its letters as a chain (chain before, letters).
+States = dict[tuple[int, int], tuple[float, tuple | None]]
+
+
+def _follow(states: States, letters: str, cost: float, model: np.ndarray, reached: States) -> None:
+    """Enter into ``reached`` where the letters lead from each state, if nothing better is there."""
+    codes = [_CODES[byte] for byte in letters.encode()]
+    for (a, b), (score, text) in states.items():
+        total = score + cost
+        for code in codes:
+            total += model[a, b, code]
+            a, b = b, code
+        if (a, b) not in reached or total > reached[a, b][0]:
+            reached[a, b] = total, (text, letters) if letters else text
+
+
+def _best(states: States, model: np.ndarray) -> tuple[float, str]:
+    """Score and letters of the best state in which a word may end."""
+    score, chain = max(
+        ((score + model[a, b, 0], chain) for (a, b), (score, chain) in states.items()), key=lambda end: end[0]
+    )
+    parts = []
+    while chain:
+        chain, letters = chain
+        parts.append(letters)
+    return score, "".join(reversed(parts))
+
+
+def restore(token: str, model: np.ndarray, sure: int | None = None) -> str:
+    """The likeliest letters behind a token, or behind its likeliest beginning of more than ``sure`` signs."""
+    states: States = {(0, 0): (0.0, None)}
+    seen, best = 0, (-np.inf, "")
     for ch, times in _runs(token):
-        reached: dict[tuple[int, int], tuple[float, str]] = {}
+        if sure is not None and seen > sure:
+            best = max(best, _best(states, model), key=lambda end: end[0])
+        reached: States = {}
         for letters, cost in _arcs(ch, times):
-            codes = [_CODES[byte] for letter in letters for byte in letter.encode()]
-            for (a, b), (score, text) in states.items():
-                total = score + cost
-                for code in codes:
-                    total += model[a, b, code]
-                    a, b = b, code
-                if (a, b) not in reached or total > reached[a, b][0]:
-                    reached[a, b] = total, text + letters
-        states = reached
-    ends = {text: score + model[a, b, 0] for (a, b), (score, text) in states.items()}
-    return max(ends, key=ends.get, default="") if ends else ""
+            _follow(states, letters, cost, model, reached)
+        states, seen = reached, seen + times
+    return max(best, _best(states, model), key=lambda end: end[0])[1]
+
+
+def readings(token: str, model: np.ndarray) -> list[str]:
+    """Words that a token may stand for: signs around it are read as punctuation, and where they can be as letters."""
+    if token.isalpha() and not _DRAWN_OUT.search(token):
+        return [token]
+    stop = len(_ENDING.sub("", token))
+    further = stop + len(_LETTERLIKE.match(token, stop)[0].rstrip(SEPARATORS))
+    words = []
+    for start in dict.fromkeys(opening.match(token).end() for opening in _OPENING):
+        core, whole = token[start:stop], token[start:further]
+        words.append(restore(core, model) if is_disguised(core) else core)
+        if core and len(whole) > len(core) and is_disguised(whole):
+            words += [restore(whole, model), restore(whole, model, len(core))]
+    return list(dict.fromkeys(filter(None, words)))
+
+
+@lru_cache(maxsize=1 << 16)
+def _single(token: str) -> str:
+    """The sign of a token of one sign, without punctuation around it; a space for any other token."""
+    for own in (token, bare(token), re.sub(r"^\W+|\W+$", "", token)):
+        if len(own) == 1 and (own.isalpha() or own in LOOKALIKES):
+            return own
+    return " "
 
 
 def spaced_words(tokens: list[str], least: int = 4) -> list[str]:
     """Words written letter by letter: runs of at least ``least`` tokens of one sign each, joined."""
-    found, run = [], []
-    for token in [*tokens, ""]:
-        if len(token) == 1 and (token.isalpha() or token in LOOKALIKES):
-            run.append(token)
-        else:
-            if len(run) >= least:
-                found.append("".join(run))
-            run = []
-    return found
+    return re.findall(f"[^ ]{{{least},}}", "".join(map(_single, tokens)))
+
+
+def restore_spaced(run: str, model: np.ndarray) -> list[str]:
+    """The likeliest words behind a run of signs, between any two of which a word may end.
+
+    A sign's letters are entered where its repetition ends: until then, ``pending`` holds the states before it by how
+    often it came (three times stands for more).
+    """
+    pending: dict[int, States] = {1: {(0, 0): (0.0, None)}}
+
+    def closed(ch: str) -> States:
+        reached: States = {}
+        for times, states in pending.items():
+            for letters, cost in _arcs(ch, times):
+                _follow(states, letters, cost, model, reached)
+        return reached
+
+    for before, ch in zip(run, run[1:], strict=False):
+        done = closed(before)
+        fresh: States = {} if ch == before else dict(done)
+        for (a, b), (score, text) in done.items():
+            total = score + model[a, b, 0]
+            if (b, 0) not in fresh or total > fresh[b, 0][0]:
+                fresh[b, 0] = total, (text, " ")
+        longer: dict[int, States] = {}
+        if ch == before:
+            for times, states in pending.items():
+                held = longer.setdefault(min(times + 1, 3), {})
+                for at, state in states.items():
+                    if at not in held or state[0] > held[at][0]:
+                        held[at] = state
+        pending = {1: fresh, **longer}
+    return _best(closed(run[-1]), model)[1].split()

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.common import in_parts, ready, whole_text
-from marquee.llm.deobfuscate import SYMBOLS, bare, is_disguised, log_probabilities, restore, spaced_words, trigram_counts
+from marquee.llm.deobfuscate import SYMBOLS, log_probabilities, readings, restore, restore_spaced, spaced_words, trigram_counts
 from marquee.session import materialise
 
 FOLDS = 5
@@ -69,19 +69,17 @@ def language_model(docs: DataFrame) -> np.ndarray:
     return log_probabilities(counts)
 
 
-def restored_words(tokens: set[str], listed: list[str], model: np.ndarray) -> Iterator[tuple[str, str]]:
-    """(token, its word) for the distinct tokens of a text, and the words written letter by letter in it."""
+def restored_words(tokens: set[str], listed: list[str], model: np.ndarray) -> Iterator[tuple[str, list[str]]]:
+    """(token, its words) for the distinct tokens of a text, and for what is written letter by letter in it."""
     for token in tokens:
-        core = bare(token)
-        yield token, restore(core, model) if is_disguised(core) else core
-    if sum(map((1).__eq__, map(len, listed))) >= 4:
-        for word in spaced_words(listed):
-            yield word, restore(word, model)
+        yield token, readings(token, model)
+    for run in spaced_words(listed):
+        yield run, list(dict.fromkeys([restore(run, model), *restore_spaced(run, model)]))
 
 
-def features(word: str, policy: ToxicPolicy) -> list[str]:
-    """The word, and its beginnings marked with a hyphen."""
-    return [word, *(word[:n] + "-" for n in policy.beginnings if len(word) > n)]
+def features(words: list[str], policy: ToxicPolicy) -> list[str]:
+    """The words, and their beginnings marked with a hyphen."""
+    return [f for word in words for f in (word, *(word[:n] + "-" for n in policy.beginnings if len(word) > n))]
 
 
 def _labelled(labels: DataFrame, policy: ToxicPolicy) -> DataFrame:
@@ -100,10 +98,13 @@ def learn_weights(texts: DataFrame, model, policy: ToxicPolicy) -> dict[str, flo
         for text in in_parts(batch):
             listed = text.lower().split()
             own = set()
-            for token, word in restored_words(set(listed).difference(known), listed, model.value):
-                known[token] = features(word, policy) if word else []
-                own.update(known[token])
-            for token in set(listed):
+            tokens = set(listed)
+            for token, words in restored_words(tokens.difference(known), listed, model.value):
+                found_here = features(words, policy)
+                own.update(found_here)
+                if token in tokens:
+                    known[token] = found_here
+            for token in tokens:
                 own.update(known.get(token, ()))
             rows.append(list(own))
         return pa.array(rows, pa.list_(pa.string()))
@@ -127,18 +128,25 @@ def _evidence_udf(model, weights, policy: ToxicPolicy):
     @F.arrow_udf(T.DoubleType())
     def evidence(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table, grams, known = weights.value, model.value, {}
+
+        def strongest(words: list[str]) -> tuple[float, str] | None:
+            own = [(table[f], word) for word in words for f in features([word], policy) if f in table]
+            return max(own, default=None)
+
         for batch in texts:
             sums = []
             for text in in_parts(batch):
                 listed = text.lower().split()
                 tokens = set(listed)
-                spaced = {}
-                for token, word in restored_words(tokens.difference(known), listed, grams):
-                    own = [(table[feature], word) for feature in features(word, policy) if feature in table]
-                    (known if token in tokens else spaced)[token] = max(own, default=None)
+                spaced = []
+                for token, words in restored_words(tokens.difference(known), listed, grams):
+                    if token in tokens:
+                        known[token] = strongest(words)
+                    else:
+                        spaced += [strongest([word]) for word in words]
                 hits = dict(
                     (word, weight) for weight, word in
-                    filter(None, [*map(known.get, tokens), *spaced.values()])
+                    filter(None, [*map(known.get, tokens), *spaced])
                 )
                 sums.append(sum(sorted(hits.values())[-policy.strongest:], 0.0))
                 if len(known) > policy.cache:

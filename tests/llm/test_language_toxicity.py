@@ -1,5 +1,6 @@
 """Language identification and toxicity: held-out accuracy, evidence and defined cases."""
 
+import itertools
 import zlib
 
 import numpy as np
@@ -110,6 +111,51 @@ def paths(runs, model, at=(0, 0), score=0.0, text=""):
         yield from paths(runs[1:], model, here, total, text + letters)
 
 
+@pytest.fixture(scope="module")
+def plain_letters():
+    text = "you are a moron and an idiot . that is shit . what an ass , i said to a man . " * 50
+    return deobfuscate.log_probabilities(deobfuscate.trigram_counts(text))
+
+
+@pytest.mark.parametrize("written, words", [
+    ("so i d i o t. and", {"idiot"}), ("a m o r o n", {"moron"}), ("i d i o t m o r o n", {"idiot", "moron"}),
+    ('"y o u i d i o t!"', {"you", "idiot"}), ("1 d i 0 t", {"idiot"}), ("m o o o o r o n", {"moron"}),
+    ("a$$", {"ass"}), ("a$$!", {"ass"}), ("a$$?!", {"ass"}), ("idio+", {"idiot"}), ("shi+,", {"shit"}),
+    ("(moron)", {"moron"}), ("!diot", {"idiot"}), ("1diot" + "t" * 60, {"idiot"}), ("i" + "." * 50 + "diot", {"idiot"}),
+])
+def test_spaces_and_signs_at_the_ends(plain_letters, written, words):
+    listed = written.split()
+    found = [w for _, own in toxicity.restored_words(set(listed), listed, plain_letters) for w in own]
+    assert words <= set(found)
+
+
+def test_long_runs_are_decoded_in_linear_time(plain_letters):
+    assert deobfuscate.restore_spaced("x" * 20_000, plain_letters)
+    assert deobfuscate.readings("a" + "+!" * 5_000, plain_letters) and deobfuscate.readings("a1" * 20_000, plain_letters)
+
+
+def test_restore_spaced_finds_the_best_words(plain_letters):
+    """Against every way to end words between the signs, each word at its own best."""
+    for run in ("amoron", "asss", "ss1t", "iiid"):
+        scores = {}
+        for cuts in itertools.product((False, True), repeat=len(run) - 1):
+            parts = "".join(ch + " " * cut for ch, cut in zip(run, (*cuts, False), strict=True)).split()
+            for chosen in itertools.product(*(all_readings(deobfuscate._runs(part)) for part in parts)):
+                at, total = (0, 0), sum(cost for _, cost in chosen)
+                for code in [c for word, _ in chosen for c in (*(deobfuscate.byte_codes()[b] for b in word.encode()), 0)]:
+                    total += plain_letters[at[0], at[1], code]
+                    at = at[1], code
+                scores[tuple(word for word, _ in chosen)] = max(total, scores.get(tuple(w for w, _ in chosen), -np.inf))
+        assert tuple(deobfuscate.restore_spaced(run, plain_letters)) == max(scores, key=scores.get)
+
+
+def all_readings(runs):
+    return [
+        ("".join(letters for letters, _ in arcs), sum(cost for _, cost in arcs))
+        for arcs in itertools.product(*(deobfuscate._arcs(*run) for run in runs))
+    ]
+
+
 @pytest.fixture(scope="module")
 def toxic_case(spark):
     """Toxic documents hold one of two words, sometimes disguised; a third of them and others are held out."""
