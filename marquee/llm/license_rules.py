@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-#: Label, keyword that must occur for any rule of it to be tried, pattern of its name, identifiers in tags,
-#: address where its text stands. Fixed values.
+#: Label, keyword that must occur for any rule of its name to be tried, pattern of its name, identifiers in tags,
+#: address where its text stands. Every text that the name's pattern matches holds the keyword; names without a
+#: common word are rows of their own, the further ones without tag and address. Fixed values.
 LICENCES = (
     ("0bsd", "bsd", r"(?:zero[- ]clause bsd|bsd zero[- ]clause|0bsd)", r"0bsd", "opensource\\.org/licenses?/0bsd"),
     ("afl-3", "academic", r"academic free licen[sc]e(?:,? v(?:ersion)? ?|,? )3(?:\.0)?", r"afl-3\.0", "opensource\\.org/licenses?/afl-3\\.0"),
@@ -23,13 +24,20 @@ LICENCES = (
     ("bsd", "bsd", r"bsd(?:[- ]style)? licen[sc]e", r"bsd", "opensource\\.org/licenses?/bsd-license"),
     ("bsl-1", "boost", r"boost software licen[sc]e", r"bsl-1\.0", "boost\\.org/license_1_0"),
     ("busl-1.1", "business source", r"business source licen[sc]e", r"busl-1\.1", "mariadb\\.com/bsl11"),
-    ("cc-by", "by", r"(?:cc[- ]by|creative commons attribution)(?: \d\.\d)?(?: international)?", r"cc-by-\d\.\d", "creativecommons\\.org/licenses/by/"),
-    ("cc-by-nc", "by", r"(?:cc[- ]by[- ]nc|creative commons attribution[- ]non-?commercial)(?: \d\.\d)?(?: international)?", r"cc-by-nc-\d\.\d", "creativecommons\\.org/licenses/by-nc/"),
-    ("cc-by-nc-nd", "by", r"(?:cc[- ]by[- ]nc[- ]nd|creative commons attribution[- ]non-?commercial[- ]no-?deriv(?:ative)?s)(?: \d\.\d)?", r"cc-by-nc-nd-\d\.\d", "creativecommons\\.org/licenses/by-nc-nd/"),
-    ("cc-by-nc-sa", "by", r"(?:cc[- ]by[- ]nc[- ]sa|creative commons attribution[- ]non-?commercial[- ]share-?alike)(?: \d\.\d)?", r"cc-by-nc-sa-\d\.\d", "creativecommons\\.org/licenses/by-nc-sa/"),
-    ("cc-by-nd", "by", r"(?:cc[- ]by[- ]nd|creative commons attribution[- ]no-?deriv(?:ative)?s)(?: \d\.\d)?", r"cc-by-nd-\d\.\d", "creativecommons\\.org/licenses/by-nd/"),
-    ("cc-by-sa", "by", r"(?:cc[- ]by[- ]sa|creative commons attribution[- ]share-?alike)(?: \d\.\d)?", r"cc-by-sa-\d\.\d", "creativecommons\\.org/licenses/by-sa/"),
-    ("cc0", "cc", r"(?:cc0|creative commons zero)(?: 1\.0)?(?: universal)?", r"cc0-1\.0", "creativecommons\\.org/publicdomain/zero"),
+    ("cc-by", "by", r"cc[- ]by(?: \d\.\d)?(?: international)?", r"cc-by-\d\.\d", "creativecommons\\.org/licenses/by/"),
+    ("cc-by", "creative commons", r"creative commons attribution(?: \d\.\d)?(?: international)?", None, None),
+    ("cc-by-nc", "by", r"cc[- ]by[- ]nc(?: \d\.\d)?(?: international)?", r"cc-by-nc-\d\.\d", "creativecommons\\.org/licenses/by-nc/"),
+    ("cc-by-nc", "creative commons", r"creative commons attribution[- ]non-?commercial(?: \d\.\d)?(?: international)?", None, None),
+    ("cc-by-nc-nd", "by", r"cc[- ]by[- ]nc[- ]nd(?: \d\.\d)?", r"cc-by-nc-nd-\d\.\d", "creativecommons\\.org/licenses/by-nc-nd/"),
+    ("cc-by-nc-nd", "creative commons", r"creative commons attribution[- ]non-?commercial[- ]no-?deriv(?:ative)?s(?: \d\.\d)?", None, None),
+    ("cc-by-nc-sa", "by", r"cc[- ]by[- ]nc[- ]sa(?: \d\.\d)?", r"cc-by-nc-sa-\d\.\d", "creativecommons\\.org/licenses/by-nc-sa/"),
+    ("cc-by-nc-sa", "creative commons", r"creative commons attribution[- ]non-?commercial[- ]share-?alike(?: \d\.\d)?", None, None),
+    ("cc-by-nd", "by", r"cc[- ]by[- ]nd(?: \d\.\d)?", r"cc-by-nd-\d\.\d", "creativecommons\\.org/licenses/by-nd/"),
+    ("cc-by-nd", "creative commons", r"creative commons attribution[- ]no-?deriv(?:ative)?s(?: \d\.\d)?", None, None),
+    ("cc-by-sa", "by", r"cc[- ]by[- ]sa(?: \d\.\d)?", r"cc-by-sa-\d\.\d", "creativecommons\\.org/licenses/by-sa/"),
+    ("cc-by-sa", "creative commons", r"creative commons attribution[- ]share-?alike(?: \d\.\d)?", None, None),
+    ("cc0", "cc", r"cc0(?: 1\.0)?(?: universal)?", r"cc0-1\.0", "creativecommons\\.org/publicdomain/zero"),
+    ("cc0", "creative commons", r"creative commons zero(?: 1\.0)?(?: universal)?", None, None),
     ("cddl-1", "common development", r"common development and distribution licen[sc]e", r"cddl-1\.[01]", "opensource\\.org/licenses?/cddl"),
     ("cecill", "cecill", r"cecill(?:-[bc])?(?: licen[sc]e)?", r"cecill-(?:1|2|b|c)[.0-9]*", "cecill\\.info/licences"),
     ("cpl-1", "common public", r"common public licen[sc]e", r"cpl-1\.0", "opensource\\.org/licenses?/cpl"),
@@ -49,7 +57,9 @@ LICENCES = (
     ("lgpl-2.1", "gpl", r"(?:gnu )?lgpl(?:,? version|[- ]?v)? ?2\.1", r"lgpl-2\.1(?:-only|-or-later|\+)?", "gnu\\.org/licenses/(?:old-licenses/)?lgpl-2\\.1"),
     ("lgpl-3", "gpl", r"(?:gnu )?lgpl(?:,? version|[- ]?v)? ?3(?:\.0)?", r"lgpl-3\.0(?:-only|-or-later|\+)?", "gnu\\.org/licenses/lgpl-3\\.0"),
     ("lgpl", "general public", r"(?:gnu )?(?:lesser|library) general public licen[sc]e", r"lgpl", "gnu\\.org/licenses/lgpl\\.html"),
-    ("mit", "mit", r"(?:mit|expat|x11) licen[sc]e", r"mit(?:-0)?", "opensource\\.org/licenses?/mit"),
+    ("mit", "mit", r"mit licen[sc]e", r"mit(?:-0)?", "opensource\\.org/licenses?/mit"),
+    ("mit", "expat", r"expat licen[sc]e", None, None),
+    ("mit", "x11", r"x11 licen[sc]e", None, None),
     ("mpl-1.1", "mozilla", r"mozilla public licen[sc]e(?:,? v(?:ersion)? ?|,? )1\.1", r"mpl-1\.1", "mozilla\\.org/(?:en-us/)?mpl/1\\.1"),
     ("mpl-2", "mozilla", r"mozilla public licen[sc]e(?:,? v(?:ersion)? ?|,? )2(?:\.0)?", r"mpl-2\.0", "mozilla\\.org/(?:en-us/)?mpl/2\\.0"),
     ("ms-pl", "microsoft", r"microsoft public licen[sc]e", r"ms-pl", "opensource\\.org/licenses?/ms-pl"),
@@ -85,14 +95,15 @@ OTHERS = (
     ("permissive-text", "free of charge", r"permission is hereby granted,? free of charge", 0.7),
     ("bsd-text", "redistribution", r"redistribution and use in source and binary forms", 0.7),
     ("gpl-text", "free software", r"this (?:program|library) is free software", 0.7),
-    ("no-warranty", "warranty", r"without (?:any )?warrant(?:y|ies) of any kind", 0.3),
+    ("no-warranty", "warrant", r"without (?:any )?warrant(?:y|ies) of any kind", 0.3),
 )
 
-#: A text without any of these is not looked at further.
+#: A text without any of these is not looked at further. Every text that a pattern matches holds one of them.
 ANCHORS = (
     "licen", "spdx", "rights reserved", "public domain", "gpl", "bsd", "cc-by", "cc by", "cc0", "creative commons",
     "creativecommons", "cecill", "free of charge", "redistribution", "free software", "warrant", "opensource.org",
-    "opendatacommons", "scripts.sil.org", "mozilla.org", "joinup.ec", "w3.org",
+    "opendatacommons", "scripts.sil.org", "mozilla.org", "joinup.ec", "w3.org", "eclipse.org/legal",
+    "mariadb.com/bsl11", "wtfpl.net",
 )
 
 
@@ -112,6 +123,8 @@ def rules() -> list[Rule]:
     for priority, confidence, form_keyword, part, pattern in FORMS:
         for label, keyword, name, tag, address in LICENCES:
             own = {"name": name, "tag": tag, "address": address}[part]
+            if own is None:
+                continue
             gate = keyword if form_keyword in (None, "under") else form_keyword
             made.append((priority, confidence, label, gate, pattern.format(own)))
     last = max(priority for priority, *_ in FORMS) + 1

@@ -88,6 +88,71 @@ def test_rules_are_many_and_ordered():
         re.compile(rule.pattern)
 
 
+def samples(pattern):
+    """Texts that the pattern matches: every alternative, optional parts left out and put in."""
+    def of(node):
+        kind, value = str(node[0]), node[1]
+        if kind == "LITERAL":
+            return [chr(value)]
+        if kind == "IN":
+            return [of(entry)[0] for entry in value[:3]]
+        if kind == "CATEGORY":
+            return ["7" if "DIGIT" in str(value) else " " if "SPACE" in str(value) else "q"]
+        if kind == "RANGE":
+            return [chr(value[0])]
+        if kind == "ANY":
+            return ["q"]
+        if kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, inner = value
+            return [text * n for n in sorted({least, min(least + 1, most)}) for text in series(inner)]
+        if kind == "SUBPATTERN":
+            return series(value[-1])
+        if kind == "BRANCH":
+            return [text for branch in value[1] for text in series(branch)]
+        assert kind in ("ASSERT", "ASSERT_NOT", "AT"), kind
+        return [""]
+
+    def series(nodes):
+        texts = [""]
+        for node in nodes:
+            texts = list(dict.fromkeys(head + tail for head in texts for tail in of(node)))
+            if len(texts) > 3000:  # enough of what goes before: each further part still comes with all its forms
+                texts = texts[::len(texts) // 1000]
+        return texts
+
+    return series(re._parser.parse(pattern))
+
+
+def test_gates_let_every_match_through():
+    for rule in license_rules.rules():
+        texts = [text for text in samples(rule.pattern) if re.search(rule.pattern, text)]
+        assert texts, rule
+        for text in texts:
+            assert rule.keyword in text, (rule, text)
+            assert any(anchor in text for anchor in license_rules.ANCHORS), (rule, text)
+
+
+STATED = {
+    "Distributed under the terms of the Expat license.": "mit", "X11 License": "mit",
+    "Licensed under Creative Commons Attribution 4.0.": "cc-by", "Creative Commons Zero 1.0 Universal": "cc0",
+    "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0": "cc-by-nc-nd", "CC BY-SA 4.0": "cc-by-sa",
+    "https://www.eclipse.org/legal/epl-v10.html": "epl-1", "https://eclipse.org/legal/epl-2.0/": "epl-2",
+    "https://mariadb.com/bsl11": "busl-1.1", "http://www.wtfpl.net/": "wtfpl", "without warranties of any kind": "no-warranty",
+}
+
+
+def test_detections_without_gates(spark):
+    docs = table(spark, [(i, text, "en", "a") for i, text in enumerate([*STATED, *TEXTS])])
+    rows = {r.doc_id: r for r in license_scan.scan(docs, PHRASES).collect()}
+    for i, (text, label) in enumerate(STATED.items()):
+        assert label in {d.label for d in rows[i].detections}, text
+    for i, text in enumerate([*STATED, *TEXTS]):
+        every = {(m.start(), m.end(), r.label) for r in license_rules.rules() for m in re.finditer("(?i)" + r.pattern, text or "", re.ASCII)}
+        got = {(d.start, d.stop, d.label) for d in rows[i].detections}
+        assert got <= every
+        assert all(any(b[0] <= a[0] and a[1] <= b[1] for b in got) for a in every), text
+
+
 def test_edge_table(edge, edge_rows, none):
     assert license_scan.summary(license_scan.scan(edge, PHRASES)).count() == len(edge_rows)
     assert license_scan.summary(license_scan.scan(none, PHRASES)).collect() == []
