@@ -1,7 +1,7 @@
 """Language identification by Bayesian fusion of evidence.
 
 The text speaks through character trigrams: per language a distribution over hashed trigrams, learned from a
-bounded sample of labelled rows, against a blend of the product of single-character frequencies and of all
+bounded sample of labelled rows that is spread over all labelled languages, against a blend of the product of single-character frequencies and of all
 trigrams alike, which stands for text in none of the languages ("und"). What the text alone says about all rows is then summed up by grouped aggregation
 into three kinds of further evidence: how often each declared markup language and each address suffix goes with a
 language, and how languages are spread over a host, smoothed towards its domain, which is smoothed towards the
@@ -17,7 +17,7 @@ empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -37,11 +37,11 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class LanguagePolicy:
-    """``sample_rows`` bounds the labelled rows learned from (in expectation), ``buckets`` the trigram tables."""
+    """``sample_rows`` bounds the labelled rows learned from (in expectation, and but for the first row of each
+    language, which is always in), ``buckets`` the trigram table of a language."""
 
     sample_rows: int = 20_000
     buckets: int = 1 << 15
-    most_languages: int = 64
     tempering: float = 1 / 3  # neighbouring trigrams share letters
     smoothing: float = 0.05
     unknown_prior: float = 0.01
@@ -88,44 +88,91 @@ class TextModel:
         return [*(table[grams].sum() for table in self.trigrams), apart.sum()]
 
 
+HASHES = 1 << 30
+
+#: Trigram tables that a task holds at a time: of more languages, it hands on what it has counted.
+TABLES_AT_ONCE = 64
+
+
+def spread(rows: dict[str, int], most: int) -> dict[str, int]:
+    """Rows to take of each language: small ones whole, and of what is left the same for each, one at least."""
+    taken, left = {}, most
+    for i, (lang, n) in enumerate(sorted(rows.items(), key=lambda entry: (entry[1], entry[0]))):
+        taken[lang] = min(n, max(1, left // (len(rows) - i)))
+        left -= taken[lang]
+    return taken
+
+
+def sample_languages(labelled: DataFrame, policy: LanguagePolicy) -> tuple[list[str], DataFrame]:
+    """All languages in order, and the sampled rows (text, lang): the first of each by a hash of the text."""
+    place = F.pmod(F.xxhash64("text"), F.lit(HASHES))
+    counted = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).collect()
+    taken = spread({row["lang"]: row["n"] for row in counted}, policy.sample_rows)
+    limits = [
+        (row["lang"], max(row["first"] + 1, int(taken[row["lang"]] / row["n"] * HASHES))) for row in counted
+    ]
+    known = labelled.sparkSession.createDataFrame(limits, "lang string, places long")
+    return sorted(taken), labelled.join(F.broadcast(known), "lang").where(place < F.col("places")).select("text", "lang")
+
+
 def learn_text_model(labelled: DataFrame, policy: LanguagePolicy) -> TextModel:
-    """From (text, lang): counts per task, summed up per language and bucket; at most a fixed number of rows come back."""
+    """From (text, lang): counts per task, summed up per language and bucket; a fixed number of rows a language come back."""
     ready(labelled.sparkSession)
-    total = labelled.count()
-    share = min(1.0, policy.sample_rows / total) if total else 1.0
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    counted_languages = sample.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    common = counted_languages.orderBy(F.desc("n"), "lang").limit(policy.most_languages)
-    languages = sorted(row["lang"] for row in common.collect())
+    languages, sample = sample_languages(labelled, policy)
+    numbers = {lang: i for i, lang in enumerate(languages)}
+
+    def counts_of(tables: dict[int, np.ndarray]) -> pa.RecordBatch:
+        found = [(kind, np.flatnonzero(table)) for kind, table in tables.items()]
+        kinds = [np.full(len(own), kind) for kind, own in found]
+        columns = [(kinds, pa.int32()), ([own for _, own in found], pa.int32()), ([tables[kind][own] for kind, own in found], pa.int64())]
+        none = np.zeros(0, dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *c]), t) for c, t in columns], ["kind", "bucket", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = np.zeros((len(languages), policy.buckets), dtype=np.int64)
-        singles = np.zeros((1, policy.buckets), dtype=np.int64)
+        grams: dict[int, np.ndarray] = {}
+        singles = np.zeros(policy.buckets, dtype=np.int64)
         for batch in batches:
             for text, lang in zip(in_parts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 found, characters = trigram_buckets(letters_of(text), policy.buckets)
-                grams[languages.index(lang)] += np.bincount(found, minlength=policy.buckets)
-                singles[0] += np.bincount(characters[:, 1], minlength=policy.buckets)
-        table = np.concatenate([grams, singles])
-        kind, bucket = np.nonzero(table)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kind, pa.int32()), pa.array(bucket, pa.int32()), pa.array(table[kind, bucket], pa.int64())],
-            ["kind", "bucket", "n"],
-        )
-
-    table = np.zeros((len(languages) + 1, policy.buckets))
-    known = sample.where(F.col("lang").isin(languages)).select("text", "lang")
-    counts = known.mapInArrow(count, "kind int, bucket int, n long").groupBy("kind", "bucket").agg(F.sum("n").alias("n"))
-    rows = counts.toPandas()
-    table[rows["kind"], rows["bucket"]] = rows["n"]
-    smoothed = table + policy.smoothing
-    logs = np.log(smoothed / smoothed.sum(axis=1, keepdims=True))
-    return TextModel(languages, logs[:-1].astype(np.float32), logs[-1].astype(np.float32))
+                kind = numbers[lang]
+                if kind not in grams:
+                    if len(grams) == TABLES_AT_ONCE:
+                        yield counts_of(grams)
+                        grams = {}
+                    grams[kind] = np.zeros(policy.buckets, dtype=np.int64)
+                grams[kind] += np.bincount(found, minlength=policy.buckets)
+                singles += np.bincount(characters[:, 1], minlength=policy.buckets)
+        yield counts_of({**grams, len(numbers): singles})
+
+    counts = sample.mapInArrow(count, "kind int, bucket int, n long").groupBy("kind", "bucket").agg(F.sum("n").alias("n"))
+    rows = counts.toPandas().sort_values("kind")
+    kinds, buckets, n = (rows[c].to_numpy() for c in ("kind", "bucket", "n"))
+    bounds = np.searchsorted(kinds, np.arange(len(languages) + 2))
+    logs = np.empty((len(languages) + 1, policy.buckets), dtype=np.float32)
+    for kind, (begin, end) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        table = np.full(policy.buckets, policy.smoothing)
+        table[buckets[begin:end]] += n[begin:end]
+        logs[kind] = np.log(table / table.sum())
+    return TextModel(languages, logs[:-1], logs[-1])
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value worked out once, also where it is used for every entry of an array."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _total(logs: Column) -> Column:
+    return F.aggregate(logs, F.lit(0.0), lambda s, y: s + y)
 
 
 def _softmax(logs: Column) -> Column:
-    raised = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda s, y: s + y))
+    def shares(raised: Column) -> Column:
+        return _let(_total(raised), lambda total: F.transform(raised, lambda x: x / total))
+
+    def above(own: Column) -> Column:
+        return _let(F.array_max(own), lambda top: _let(F.transform(own, lambda x: F.exp(x - top)), shares))
+
+    return _let(logs, above)
 
 
 def _shares(rows: DataFrame, key: str, width: int, name: str) -> DataFrame:
@@ -167,27 +214,30 @@ def fuse(rows: DataFrame, model: TextModel, policy: LanguagePolicy = LanguagePol
         table = materialise(_shares(read, key, width, f"{key}_sums"), f"{key}_sums")
         joined = join_counted(joined, table, key, "left", table.count(), SkewPolicy())
 
-    size = lambda sums: F.aggregate(sums, F.lit(0.0), lambda s, y: s + y)
-
     def smoothed(sums: str, below: Column) -> Column:
         """Shares of the counts without the row itself, drawn towards the level below."""
         own, k = F.col("posterior"), F.lit(policy.host_weight)
-        rest = F.greatest(size(F.col(sums)) - 1, F.lit(0.0))
-        share = F.transform(below, lambda x, i: (F.greatest(F.get(sums, i) - F.get(own, i), F.lit(0.0)) + k * x) / (rest + k))
+        rest = F.greatest(_total(F.col(sums)) - 1, F.lit(0.0))
+        share = _let(rest, lambda others: F.transform(
+            below, lambda x, i: (F.greatest(F.get(sums, i) - F.get(own, i), F.lit(0.0)) + k * x) / (others + k)
+        ))
         return F.when(F.col(sums).isNull() | own.isNull(), below).otherwise(share)
 
     def link(sums: str) -> Column:
         """log P(value | language) for a value that goes with languages as ``sums``; 0 where there is none."""
         a = F.lit(policy.link_weight)
-        likely = F.transform(sums, lambda x, i: F.log((x + a * size(F.col(sums)) / F.lit(float(whole.sum()))) / (F.get(totals, i) + a)))
+        likely = _let(a * _total(F.col(sums)) / F.lit(float(whole.sum())), lambda little: F.transform(
+            sums, lambda x, i: F.log((x + little) / (F.get(totals, i) + a))
+        ))
         return F.coalesce(likely, F.array_repeat(F.lit(0.0), width))
 
     joined = joined.withColumn("host_prior", smoothed("host_sums", smoothed("domain_sums", overall)))
     joined = joined.withColumn("declared_logs", link("declared_sums")).withColumn("suffix_logs", link("suffix_sums"))
-    posterior = _softmax(F.transform(
+    evidence = F.struct("host_prior", "declared_logs", "suffix_logs")
+    posterior = _softmax(_let(evidence, lambda known: F.transform(
         "text_logs",
-        lambda x, i: x + F.log(F.get("host_prior", i)) + F.get("declared_logs", i) + F.get("suffix_logs", i),
-    ))
+        lambda x, i: x + F.log(F.get(known["host_prior"], i)) + F.get(known["declared_logs"], i) + F.get(known["suffix_logs"], i),
+    )))
     judged = joined.withColumn("fused", posterior)
     best = F.array_max("fused")
     place = F.array_position("fused", best).cast("int")

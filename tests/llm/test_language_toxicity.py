@@ -54,6 +54,30 @@ def test_without_labels_all_is_unknown(spark, docs):
     assert {r.lang for r in language_id.identify(docs, None, nothing).collect()} == {"und"}
 
 
+def test_every_labelled_language_is_learned(spark):
+    """More languages than a task holds tables of."""
+    def say(lang, seed):
+        words = prose(9000 + lang, 40).split()
+        return " ".join(words[(seed * 7 + i * i) % 40] for i in range(60))
+
+    rows = [(lang * 10 + i, say(lang, i), f"l{lang:03}", "a") for lang in range(90) for i in range(4 - lang % 3)]
+    docs = table(spark, rows).coalesce(1)
+    model = language_id.learn_text_model(docs.select("text", "lang"), language_id.LanguagePolicy())
+    assert model.languages == [f"l{lang:03}" for lang in range(90)]
+    got = {r.doc_id: r for r in language_id.identify(docs, None, model).collect()}
+    assert all(got[i].lang == lang and got[i].kept for i, _, lang, _ in rows)
+
+
+def test_sample_is_spread_over_languages(spark):
+    rows = [(prose(i, 30), "aa") for i in range(1_000)] + [(prose(5_000, 30), "bb"), (prose(5_001, 30), "bb")]
+    rows += [(prose(6_000, 30), "cc")] * 300
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    languages, sample = language_id.sample_languages(labelled, language_id.LanguagePolicy(sample_rows=42))
+    counts = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+    assert languages == ["aa", "bb", "cc"] and counts["bb"] == 2 and counts["cc"] == 300 and 5 < counts["aa"] < 60
+    assert language_id.spread({"aa": 1_000, "bb": 2, "cc": 300}, 42) == {"aa": 20, "bb": 2, "cc": 20}
+
+
 def test_declaration_and_host_speak_where_the_text_is_short(spark, docs, model):
     """Pages of one host are German by text and by declaration; two more of them say next to nothing."""
     german = [r.text[:400] for r in docs.where("lang = 'de'").limit(20).collect()]
