@@ -40,7 +40,6 @@ NONE = 0  # code of a block without a marker; the roles of MARKERS follow in ord
 @dataclass(frozen=True)
 class ChatPolicy:
     segment: int = 512
-    most_roles: int = 8
     smoothing: float = 0.5
     marker_weight: float = 50.0  # blocks that a marker is taken to have been seen with, before counting
 
@@ -110,8 +109,7 @@ class RoleModel:
 def learn_roles(placed: DataFrame, policy: ChatPolicy) -> RoleModel:
     """Counts over placed blocks with a known role. Neighbours meet by (transcript, position), so no key is hot."""
     known = placed.where(F.col("known").isNotNull()).select("none", "conv", "position", "code", "known")
-    common = known.groupBy("known").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "known").limit(policy.most_roles)
-    roles = sorted(row["known"] for row in common.collect()) or sorted(MARKERS)
+    roles = sorted(row["known"] for row in known.select("known").distinct().collect()) or sorted(MARKERS)
     place = {role: i for i, role in enumerate(roles)}
     start, step = np.full(len(roles), policy.smoothing), np.full((len(roles), len(roles)), policy.smoothing)
     parts = [np.full((len(roles), size), policy.smoothing) for size in SIZES]

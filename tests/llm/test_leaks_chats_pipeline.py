@@ -173,6 +173,13 @@ def test_transcripts_with_markers(spark, segment):
     assert chat_format.format_chats(table_.limit(0)).collect() == []
 
 
+def test_every_known_role_is_learned(spark):
+    rows = [(1, i, f"turn {i}", f"role{i % 11:02}", "p", "b", "c") for i in range(55)]
+    placed = chat_format._numbered(chat_format.blocks(spark.createDataFrame(rows, CHATS)))
+    model = chat_format.learn_roles(placed, chat_format.ChatPolicy())
+    assert model.roles == [f"role{i:02}" for i in range(11)]
+
+
 def test_one_long_transcript_is_cut(spark):
     rows = [(1, i, ("How is it, number %d?" if i % 2 == 0 else "It is as it is and goes on for much longer, %d.") % i,
              "user" if i % 2 == 0 else "assistant", "p", "b", "c") for i in range(300)]
