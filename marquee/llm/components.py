@@ -43,4 +43,7 @@ def component_stars(links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        if before[0]:
+            raise RuntimeError(f"groups of links still changed after {MOST_ROUNDS} rounds")
     return stars

@@ -51,7 +51,7 @@ class NearPolicy:
     percent: int = 80
     kept: int = 256
     listed: int = 64
-    deviations: float = 4.75
+    deviations: float = 5.4  # exact binomial tails of at most 1e-6, for the estimate and the lists, at 0.8 and 0.85
     pivot_rounds: int = 3
     short_list: int = 32
     block: int = 512

@@ -182,3 +182,24 @@ def test_components(spark):
     stars = {(r.high, r.low) for r in components.component_stars(links).collect()}
     assert stars == {(2, 1), (3, 1), (8, 1), (9, 1), (20, 10), (30, 10)}
     assert components.component_stars(links.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.85])
+def test_chance_of_losing_a_pair_at_the_threshold(threshold):
+    policy = near_dedup.NearPolicy(percent=round(100 * threshold))
+
+    def below(n, least):
+        return sum(math.comb(n, i) * threshold**i * (1 - threshold) ** (n - i) for i in range(least))
+
+    error = policy.deviations * math.sqrt(threshold * (1 - threshold) / policy.kept)
+    assert below(policy.kept, math.ceil((threshold - error) * policy.kept)) <= 1e-6
+    sizes = range(math.floor(threshold * policy.listed) + 1, policy.listed + 1)
+    assert max(below(size, near_dedup.least_overlap(size, policy)) for size in sizes) <= 1e-6
+
+
+def test_groups_that_do_not_settle_are_an_error(spark, monkeypatch):
+    links = spark.createDataFrame([(i + 1, i) for i in range(40)], "high long, low long")
+    monkeypatch.setattr(components, "MOST_ROUNDS", 1)
+    with pytest.raises(RuntimeError):
+        components.component_stars(links)
+    assert components.component_stars(links.limit(0)).collect() == []
