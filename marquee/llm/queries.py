@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, packing, sharding, token_counts, toxicity
+from marquee.llm import (
+    chat_format, decontaminate, divergence, exact_dedup, fill_in_middle, language_id, license_scan, near_dedup, packing,
+    sentence_pieces, sharding, token_counts, toxicity,
+)
 from marquee.llm.common import ROW, read_definition, read_table, whole_text
 
 SHARDS = 16
@@ -126,6 +129,83 @@ FROM placed JOIN crcs_of USING (doc_id)
 """
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+OP11_SQL = """
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS d, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+words AS (SELECT d, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+vocab AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+sums AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(s.total, 0) + 2 * v.v) AS p
+  FROM groups g JOIN kept k USING (lang) JOIN vocab v USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source),
+whole AS (
+  SELECT k.lang, k.term, 1 + 1000000000::HUGEINT * (c.n + 2) // (s.total + 2 * v.v) AS q
+  FROM kept k JOIN vocab v USING (lang)
+  JOIN (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL) c USING (lang, term)
+  JOIN (SELECT lang, sum(n) AS total FROM counts GROUP BY ALL) s USING (lang)),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+results AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM dense JOIN whole USING (lang, term)
+  WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM results)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INT) AS rank FROM ranked
+WHERE part = 'pair' OR r <= 10
+"""
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(read_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+drawn AS (
+  SELECT *, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS a,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut),
+parts AS (
+  SELECT *, array_to_string(units[:least(a, b)], '') AS p, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(units[greatest(a, b) + 1:], '') AS s FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    return sentence_pieces.encode(read_table(spark, sf_dir, "documents"), model)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -138,8 +218,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_sharding": op10_sharding,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_sentence_pieces": op13_sentence_pieces,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL, "op10_sharding": OP10_SQL}
+    return {
+        "op8_exact_dedup": OP8_SQL, "op10_sharding": OP10_SQL, "op11_source_divergence": OP11_SQL,
+        "op12_fill_in_middle": OP12_SQL,
+    }
