@@ -15,6 +15,7 @@ of the draws give an empty middle. Further columns are not read. An empty table
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,11 +39,15 @@ BLOCK = 1 << 20
 
 @dataclass(frozen=True)
 class MiddlePolicy:
-    """Shares in percent: texts left plain, and transformed texts with the suffix first. Units in a piece."""
+    """Shares in percent: texts left plain, and transformed texts with the suffix first. Units in a piece.
+
+    A partition of pieces gets about ``partition_bytes`` of text: this exchange is not one that adapts by itself.
+    """
 
     plain_percent: int = 10
     spm_percent: int = 20
     chunk_units: int = 16_384
+    partition_bytes: int = 32 * 1024 * 1024
     seed: int = 1
 
 
@@ -134,15 +139,15 @@ def output_pieces(docs: DataFrame, policy: MiddlePolicy = MiddlePolicy()) -> RDD
     """((row, position), header or bytes): all pieces of a document in one partition, in output order after its header."""
     ready(docs.sparkSession)
     rows = with_row_key(docs.select("doc_id", whole_text().cast("binary").alias("data"))).select(ROW, "doc_id", "data")
+    total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    partitions = max(shuffle_partitions(docs.sparkSession), math.ceil(total / policy.partition_bytes))
 
     def emit(part: Iterator) -> Iterator[tuple]:
         for row, doc_id, data in part:
             for position, piece in enumerate(pieces_of(doc_id, bytes(data), policy), -1):
                 yield (row, position), piece
 
-    return rows.rdd.mapPartitions(emit).repartitionAndSortWithinPartitions(
-        shuffle_partitions(docs.sparkSession), document_of
-    )
+    return rows.rdd.mapPartitions(emit).repartitionAndSortWithinPartitions(partitions, document_of)
 
 
 def restored_place(form: str, segment: int, piece: bytes) -> tuple[int, bytes]:
