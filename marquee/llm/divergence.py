@@ -12,8 +12,8 @@ sources is the sum of f over all kept terms, although most terms do not occur in
   one after another, so rows with a common beginning share nodes, and each node gives its correction with each of its
   ancestors once, times its multiplicity, whatever number of rows runs through it.
 
-Paths are dealt by ranges over whole paths, so neither a language nor a source nor a common beginning makes a task heavy;
-a node on a border is a node of both tasks, with its multiplicity shared out. All arithmetic is on integers.
+Paths are dealt by ranges of their beginning and then of all of them, so neither a language nor a source nor a common
+beginning makes a task heavy; a node on a border is a node of both tasks, with its multiplicity shared out. All arithmetic is on integers.
 
 Defined cases: null texts, languages and sources count as empty strings. Repeated documents count each. A group without
 terms has frequencies of its own empty counts. Ties have the order of UTF-8 bytes. A language with no kept terms has
@@ -35,6 +35,8 @@ from marquee.llm.common import drop_kept, give_back, ready, shuffle_partitions,
 from marquee.session import materialise
 
 SCALE = 1_000_000_000
+#: Paths that begin with as many equal entries are dealt to neighbouring ranges.
+SHARED_ENTRIES = 3
 
 
 @dataclass(frozen=True)
@@ -235,9 +237,11 @@ def shared_corrections(found: Frequencies, policy: AuditPolicy) -> DataFrame:
     paths = found.terms.groupBy("lang", "term").agg(F.sort_array(F.collect_list(item)).alias("path"))
     paths = paths.where(F.size("path") > 1).groupBy("lang", "path").agg(F.count(F.lit(1)).alias("times"))
     spark = found.terms.sparkSession
-    ordered = materialise(
-        paths.repartitionByRange(shuffle_partitions(spark), "lang", "path").sortWithinPartitions("lang", "path"), "paths"
+    # Ranges of hashes of a path's beginning, then of the whole path: a few bytes a path are sampled to find them.
+    ranges = paths.repartitionByRange(
+        shuffle_partitions(spark), "lang", F.xxhash64(F.slice("path", 1, SHARED_ENTRIES)), F.xxhash64("path")
     )
+    ordered = materialise(ranges.sortWithinPartitions("lang", "path"), "paths")
     names = ["lang", "place", "other", "value"]
 
     def insert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
