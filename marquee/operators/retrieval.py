@@ -3,10 +3,10 @@
 Scoring every query against every candidate is a product of two tables, and no row pair of it ever becomes
 a Spark row: tasks multiply matrices and hand on a top-k or a count per query.
 
-* Queries go to every task in chunks of at most ``lookup_bytes``. Candidates are scored where they lie, so
-  neither side is shuffled or copied, and each task answers once per chunk.
-* Small input partitions are read together, ``TASKS_PER_CORE`` tasks for each core, so that the answers
-  which meet in the final merge grow with the cluster and not with the number of files.
+* Queries are stored in the shared folder and read there by the tasks, in batches of at most ``lookup_bytes``.
+  Candidates are scored where they lie in one pass, so neither side is shuffled, copied or sent to the driver, and
+  each task answers once per query.
+* ``operators.pruned_index`` keeps candidates in an order that spares most of them the scoring.
 
 Scores are rounded to ``DECIMALS`` places before they are compared, so results do not depend on the
 order of additions; ties go to the smaller candidate id.
@@ -14,7 +14,6 @@ order of additions; ties go to the smaller candidate id.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -26,12 +25,14 @@ from pyspark.sql import types as T
 from marquee.functions import dot, mean_vector, unpad
 from marquee.operators.batches import regroup
 from marquee.operators.lookup import LOOKUP_BYTES, broadcast_small, check_unique
-from marquee.session import materialise
+from marquee.operators.stored import full_batches, stored_batches
+from marquee.session import store
 
 DECIMALS = 6
 BLOCK_ROWS = 50_000
 CHUNK_SCORES = 5_000_000
-TASKS_PER_CORE = 4
+#: Answers held in a task before they are handed on.
+ANSWER_ROWS = 2_000_000
 
 
 def lookup_vectors(
@@ -145,8 +146,8 @@ def top_k(
         return keep_best(pd.concat([so_far, more], ignore_index=True))
 
     local = _against(
-        queries.select("movie_id", "query"), ["movie_id"], index.select("user_id", "vector"),
-        best, merge, "movie_id long, user_id long, score double", block_rows, lookup_bytes,
+        queries.select("movie_id", "query"), index.select("user_id", "vector"), best, merge,
+        "movie_id long, user_id long, score double", block_rows, lookup_bytes,
     )
     order = Window.partitionBy("movie_id").orderBy(F.desc("score"), "user_id")
     ranked = local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -162,8 +163,8 @@ def true_pair_ranks(
 ) -> DataFrame:
     """(key, rank): 1 + the candidates that score higher with the row's query than its own history does.
 
-    ``queries`` are (key, movie_id, query, score) and ``candidates`` (key, vector). A row's own vector is
-    among the candidates and never counts, since it does not score above itself.
+    ``queries`` are (key, movie_id, query, score) and ``candidates`` (vector). A row's own vector is among the
+    candidates and never counts, since it does not score above itself.
     """
 
     def count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -184,8 +185,8 @@ def true_pair_ranks(
 
     schema = ", ".join(f"{name} long" for name in key) + ", higher long"
     counted = _against(
-        queries.select(*key, "movie_id", "query", "score"), ["movie_id", *key],
-        candidates.select(*key, "vector"), count, merge, schema, block_rows, lookup_bytes,
+        queries.select(*key, "movie_id", "query", "score"), candidates.select("vector"), count, merge, schema,
+        block_rows, lookup_bytes,
     )
     return counted.groupBy(*key).agg((F.sum("higher") + 1).alias("rank"))
 
@@ -222,44 +223,57 @@ def softmax_losses(rows: DataFrame, batch_size: int, position: str = "position")
 
 def _against(
     left: DataFrame,
-    left_key: Sequence[str],
     right: DataFrame,
     fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     merge: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
     block_rows: int,
     lookup_bytes: int,
+    answer_rows: int = ANSWER_ROWS,
 ) -> DataFrame:
     """``fn`` of all queries on the left and all candidates on the right, in parts.
 
-    ``merge`` joins the answers of one set of queries to two sets of candidates. ``left`` is read once per
-    chunk; with several chunks the answers to each are stored before the next goes out.
+    ``left`` is stored once. Each task reads it there, a batch at a time, for each block of its candidates, so
+    ``right`` is read once and nothing passes through the driver. ``merge`` joins the answers of one batch to two
+    blocks; answers leave the task at its end, or when ``answer_rows`` of them are held.
     """
-    spark = left.sparkSession
-    size = left.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("query")).alias("width")).first()
-    per_chunk = max(1, lookup_bytes // (8 * (size["width"] or 0) + 64) or block_rows)
-    chunks = max(1, math.ceil(size["rows"] / per_chunk))
-    right = right.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
-    chunk = F.pmod(F.xxhash64(*left_key), F.lit(chunks))
-    answers = None
-    for i in range(chunks):
-        queries = spark.sparkContext.broadcast(left.where(chunk == i).toPandas())
-
-        def run(blocks: Iterator[pd.DataFrame], queries=queries) -> Iterator[pd.DataFrame]:
-            answer = None
-            for block in regroup(blocks, block_rows):
-                if len(queries.value):
-                    part = fn(queries.value, block)
-                    answer = part if answer is None else merge(answer, part)
-            if answer is not None:
-                yield answer
-
-        found = right.mapInPandas(run, schema)
-        if chunks > 1:
-            found = materialise(found, "answers")
-            queries.destroy()
-        answers = found if answers is None else answers.unionByName(found)
-    return answers
+    path = store(left, "queries")
+
+    def run(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        answers: dict[int, pd.DataFrame] = {}
+        batches = QueryBatches(path, lookup_bytes, block_rows)
+        for block in regroup(blocks, block_rows):
+            for number, queries in enumerate(batches):
+                part = fn(queries, block)
+                answers[number] = merge(answers[number], part) if number in answers else part
+            if sum(map(len, answers.values())) > answer_rows:
+                yield from answers.values()
+                answers = {}
+        yield from answers.values()
+
+    return right.mapInPandas(run, schema)
+
+
+class QueryBatches:
+    """Stored queries in batches of at most ``lookup_bytes``, read again each time unless there is but one."""
+
+    def __init__(self, path: str, lookup_bytes: int, least_rows: int):
+        self.path, self.kept = path, None
+        first = next(stored_batches(path, 1, ["query"]), None)
+        width = len(first["query"][0]) if first is not None else 0
+        self.rows = max(1, lookup_bytes // (8 * width + 64) or least_rows)
+
+    def __iter__(self) -> Iterator[pd.DataFrame]:
+        if self.kept is not None:
+            yield from self.kept
+            return
+        first, several = None, False
+        for batch in full_batches(self.path, self.rows):
+            several = first is not None
+            first = first if several else batch
+            yield batch
+        if not several:
+            self.kept = [first] if first is not None else []
 
 
 def _score_chunks(queries: pd.Series, vectors: pd.Series, rounded: bool = True):

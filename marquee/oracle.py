@@ -305,6 +305,7 @@ for road, query in {
     "encode_history_joined": "encode_history",
     "history_vector_joined": "history_vector",
     "topk_users_blocked": "topk_users",
+    "topk_users_pruned": "topk_users",
     "pair_ranks_blocked": "pair_ranks",
 }.items():
     ORACLE[road] = ORACLE[query]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators.factors import WIDTH
+from marquee.operators.pruned_index import PrunedIndex, top_k_pruned
 from marquee.operators.retrieval import (
     history_vectors, lookup_vectors, score, softmax_losses, top_k, top_k_accuracy, true_pair_ranks,
 )
@@ -25,16 +26,14 @@ def audience_index(
     return history_vectors(inference, vectors, INDEX_KEY, width, recency=recency, pad_side=pad_side)
 
 
-def best_users(movies: DataFrame, vectors: DataFrame, index: DataFrame, k: int = 10) -> DataFrame:
+def best_users(movies: DataFrame, vectors: DataFrame, index: DataFrame | PrunedIndex, k: int = 10) -> DataFrame:
     """(movie_id, rank, user_id, score) for each distinct movie in ``movies`` that has a vector.
 
-    ``unanswered_movies`` lists the others.
-
-    ``index`` may be read more than once: pass the stored one. The queries are stored before they are
-    counted and sent out.
+    ``unanswered_movies`` lists the others. ``index`` is read once; of one kept in blocks
+    (``operators.pruned_index``) only the blocks that matter are.
     """
-    queries = materialise(lookup_vectors(movies.select("movie_id").distinct(), vectors), "queries")
-    return top_k(queries, index, k)
+    queries = lookup_vectors(movies.select("movie_id").distinct(), vectors)
+    return top_k_pruned(queries, index, k).best if isinstance(index, PrunedIndex) else top_k(queries, index, k)
 
 
 def unanswered_movies(movies: DataFrame, vectors: DataFrame) -> DataFrame:

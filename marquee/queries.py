@@ -19,7 +19,8 @@ from marquee.config import SequenceConfig, hosted_variant
 from marquee.functions import dot, in_hash_sample, newest, pad, sample_bucket
 from marquee.operators.batches import map_batches
 from marquee.operators.factors import WIDTH as WIDTH_FITTED
-from marquee.operators.factors import fit_item_vectors
+from marquee.operators.factors import fit_item_vectors, implicit_losses, rated_pairs
+from marquee.operators.pruned_index import BlockPolicy, read_pruned_index, top_k_pruned, write_pruned_index
 from marquee.operators.ratings import movie_medians, rating_base
 from marquee.operators.retrieval import (
     history_vectors, lookup_vectors, score, softmax_losses, top_k, top_k_accuracy, true_pair_ranks,
@@ -112,8 +113,7 @@ class Inputs:
         return materialise(built, "index")
 
     def queries(self) -> DataFrame:
-        found = lookup_vectors(datasets.movie_catalogue(self.ratings, self.movies), self.vectors)
-        return materialise(found, "queries")
+        return lookup_vectors(datasets.movie_catalogue(self.ratings, self.movies), self.vectors)
 
 
 def ratings_base(x: Inputs) -> DataFrame:
@@ -238,6 +238,12 @@ def topk_users(x: Inputs, **bounds: int) -> DataFrame:
     return top_k(x.queries(), x.index(), 10, **bounds)
 
 
+def topk_users_pruned(x: Inputs) -> DataFrame:
+    path = scratch_path(x.spark, "pruned")
+    write_pruned_index(x.index(), path, BlockPolicy(block_rows=100))
+    return top_k_pruned(x.queries(), read_pruned_index(x.spark, path), 10).best
+
+
 def held_out_pairs(x: Inputs) -> tuple[DataFrame, DataFrame]:
     """All candidates, and the held-out rows with their query and score."""
     train = x.train()
@@ -270,9 +276,18 @@ def softmax_loss(x: Inputs) -> DataFrame:
 
 
 def als_item_vectors(x: Inputs) -> DataFrame:
-    fitted = fit_item_vectors(x.base())
+    """The fitted vectors, usable when their loss is well below that of the same vectors dealt to other movies.
+
+    Vectors that say nothing about their movies, random ones for instance, lose nothing by being dealt anew.
+    """
+    fitted, pairs = materialise(fit_item_vectors(x.base()), "fitted"), materialise(rated_pairs(x.base()), "pairs")
+    order = Window.orderBy("movie_id")
+    dealt = fitted.withColumn("movie_id", F.coalesce(F.lead("movie_id").over(order), F.min("movie_id").over(Window.partitionBy())))
+    loss, other = (implicit_losses(pairs, v).agg(F.sum("loss")).first()[0] for v in (fitted, materialise(dealt, "dealt")))
     usable = F.forall("vector", lambda v: ~F.isnan(v) & (F.abs(v) < 1e6)) & F.exists("vector", lambda v: v != 0)
-    return fitted.select("movie_id", F.size("vector").cast("long").alias("width"), usable.alias("usable"))
+    return fitted.select(
+        "movie_id", F.size("vector").cast("long").alias("width"), (usable & F.lit(loss < 0.9 * other)).alias("usable")
+    )
 
 
 def stored_index(x: Inputs) -> tuple[DataFrame, DataFrame]:
@@ -292,15 +307,19 @@ def audience_index(x: Inputs) -> DataFrame:
 
 
 def best_users(x: Inputs) -> DataFrame:
-    """Ranks, and whether each score is that of an index row of its user and none ranks above a better one."""
+    """Ranks, and whether each score is that of an index row of its user and no more rows of the whole index are better.
+
+    The better rows are counted by the road of pair ranks, which does not select any.
+    """
     vectors, index = stored_index(x)
-    best = audience.best_users(datasets.movie_catalogue(x.ratings, x.movies), vectors, index)
-    before = F.lag("score").over(Window.partitionBy("movie_id").orderBy("rank"))
-    ordered = lookup_vectors(best.withColumn("before", before), vectors)
-    own = ordered.join(index.select("user_id", "vector"), "user_id").withColumn("again", score())
-    return own.groupBy("movie_id", "rank").agg(
-        (F.bool_or(F.abs(F.col("again") - F.col("score")) < 1e-5)
-         & F.bool_and(F.coalesce(F.col("before") >= F.col("score"), F.lit(True)))).alias("agrees")
+    best = materialise(audience.best_users(datasets.movie_catalogue(x.ratings, x.movies), vectors, index), "best")
+    asked = lookup_vectors(best, vectors).withColumn("place", F.monotonically_increasing_id())
+    asked = materialise(asked, "asked")
+    better = true_pair_ranks(asked.drop("rank"), index, ("place",)).withColumnRenamed("rank", "counted")
+    own = asked.join(index.select("user_id", "vector"), "user_id").withColumn("again", score())
+    owned = own.groupBy("place").agg(F.bool_or(F.abs(F.col("again") - F.col("score")) < 1e-5).alias("owned"))
+    return asked.join(better, "place").join(owned, "place").select(
+        "movie_id", "rank", (F.col("owned") & (F.col("counted") <= F.col("rank"))).alias("agrees")
     )
 
 
@@ -484,6 +503,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dot_scores": dot_scores,
     "topk_users": topk_users,
     "topk_users_blocked": lambda x: topk_users(x, block_rows=40, lookup_bytes=0),
+    "topk_users_pruned": topk_users_pruned,
     "topk_accuracy": topk_accuracy,
     "pair_ranks": pair_ranks,
     "pair_ranks_blocked": pair_ranks_blocked,

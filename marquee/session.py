@@ -51,11 +51,16 @@ def scratch_scope(spark: SparkSession):
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back: lineage ends here and survives lost executors."""
+def store(df: DataFrame, label: str) -> str:
+    """Write ``df`` to the shared folder and return its path."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once and read it back: lineage ends here and survives lost executors."""
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, label))
 
 
 def ship_package(spark: SparkSession) -> None:
