@@ -4,11 +4,12 @@ SentencePiece writes a space as a marker before the word that follows. Where no
 character into a marker, no merge can cross the start of a run of markers: a text is the sequence of its chunks (a run
 of markers and what follows up to the next run), and each chunk has the same ids wherever it stands.
 
-1. Texts are read once, in blocks of about ``block_bytes``. A block numbers its distinct chunks by frequency and
-   stores its texts as chunk numbers, and its distinct chunks in one packed row for each of ``buckets`` word hashes.
-2. The table of distinct chunks: packed rows are dealt by word hash, so every occurrence of a chunk meets in one task,
-   which has the library segment it once and answers each block. A chunk counts once per block here, however frequent it
-   is, so no word makes a bucket heavy.
+1. Texts are read once, in blocks of about ``block_bytes``. A block numbers its distinct chunks, most frequent first, and
+   writes its texts as chunk numbers. One exchange deals the texts by block, and the distinct chunks in packed rows by
+   word hash (``buckets`` of them).
+2. The table of distinct chunks: every block's occurrence of a chunk meets in the task of its bucket, which has the
+   library segment it once and answers each block. A chunk counts once per block here, however frequent it is, so no
+   word makes a bucket heavy.
 3. Answers go back to their block and ids are joined to the texts by position; the library decodes each chunk of the
    block from its ids.
 
@@ -36,8 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import give_back, kept_in_worker, ready, shuffle_partitions, whole_text
-from marquee.session import materialise
+from marquee.llm.common import drop_kept, give_back, kept_in_worker, ready, shuffle_partitions, whole_text
 
 #: What SentencePiece writes for a space.
 MARKER = "▁"
@@ -110,29 +110,55 @@ def bodies(data: bytes) -> list[bytes]:
     return data.split(b" ")
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32 as four planes of bytes, the upper ones mostly zeros."""
+    return np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+#: Compression of what is moved once or twice and read once.
+LEVEL = 4
+
+
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    return zlib.compress(planes(numbers), LEVEL)
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    return from_planes(zlib.decompress(data))
+
+
 def pack(parts: list[bytes]) -> bytes:
-    """Byte strings as their lengths and their joined bytes, compressed."""
-    sizes = np.fromiter(map(len, parts), dtype="<u4", count=len(parts))
-    return zlib.compress(struct.pack("<I", len(parts)) + sizes.tobytes() + b"".join(parts), 1)
+    """Byte strings: their number, their lengths and their joined bytes."""
+    sizes = np.fromiter(map(len, parts), dtype=np.uint32, count=len(parts))
+    return zlib.compress(struct.pack("<I", len(parts)) + planes(sizes) + b"".join(parts), LEVEL)
 
 
 def unpack(data: bytes) -> list[bytes]:
     raw = zlib.decompress(data)
-    count = struct.unpack_from("<I", raw)[0]
-    ends = 4 + 4 * count + np.cumsum(np.frombuffer(raw, dtype="<u4", count=count, offset=4), dtype=np.int64)
-    starts = [4 + 4 * count, *ends.tolist()]
+    begin = 4 + 4 * struct.unpack_from("<I", raw)[0]
+    ends = begin + np.cumsum(from_planes(raw[4:begin]), dtype=np.int64)
+    starts = [begin, *ends.tolist()]
     return [raw[a:b] for a, b in zip(starts, starts[1:], strict=False)]
 
 
-def pack_numbers(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**32 as planes of bytes, compressed: most upper planes are zeros."""
-    planes = np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4).T
-    return zlib.compress(planes.tobytes(), 1)
+def pack_lists(parts: list[np.ndarray]) -> bytes:
+    """Lists of ids: their lengths, then all ids, each as planes."""
+    sizes = np.fromiter(map(len, parts), dtype=np.uint32, count=len(parts))
+    flat = np.concatenate([np.zeros(0, dtype="<u4"), *parts])
+    return zlib.compress(struct.pack("<I", len(parts)) + planes(sizes) + planes(flat), LEVEL)
 
 
-def unpack_numbers(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+def unpack_lists(data: bytes) -> list[bytes]:
+    """The lists as bytes, four for each id."""
+    raw = zlib.decompress(data)
+    begin = 4 + 4 * struct.unpack_from("<I", raw)[0]
+    ends = 4 * np.cumsum(from_planes(raw[4:begin]), dtype=np.int64)
+    ids, starts = from_planes(raw[begin:]).astype("<u4").tobytes(), [0, *ends.tolist()]
+    return [ids[a:b] for a, b in zip(starts, starts[1:], strict=False)]
 
 
 class _Numbers(dict):
@@ -144,7 +170,11 @@ class _Numbers(dict):
 
 
 class Block:
-    """Texts as numbers of chunks, and the distinct chunks."""
+    """Texts as numbers of chunks, and the distinct chunks.
+
+    Chunks of several occurrences are numbered from 1 by frequency. Those of a single one come after them, in order of
+    appearance, and the texts say 0 for each: the first 0 of a block is the first of them.
+    """
 
     def __init__(self):
         self.numbers, self.docs, self.codes, self.size = _Numbers(), [], [], 0
@@ -156,35 +186,44 @@ class Block:
         self.size += len(data)
 
     def rows(self, block: str, policy: ChunkTablePolicy, buckets: int) -> Iterator[tuple]:
-        """(block, bucket, doc ids, numbers, payload): texts have no bucket, chunks no ids."""
-        uses = np.zeros(len(self.numbers), dtype=np.int64)
-        for codes in self.codes:
-            uses += np.bincount(codes, minlength=len(uses))
-        by_use = np.argsort(-uses, kind="stable")
-        rank = np.empty_like(by_use)
-        rank[by_use] = np.arange(len(by_use))
-        for start in range(0, len(self.docs), policy.pack_rows):
-            part = self.codes[start: start + policy.pack_rows]
-            ends = np.cumsum([len(codes) for codes in part])
-            flat = rank[np.concatenate(part)] if len(rank) else np.zeros(0, dtype=np.int64)
-            yield block, None, self.docs[start: start + policy.pack_rows], pack_numbers(ends), pack_numbers(flat)
+        """Rows of ``CODED``: texts, packed together, and the block's chunks of one bucket each."""
+        flat = np.concatenate([np.zeros(0, dtype=np.uint32), *self.codes])
+        uses = np.bincount(flat, minlength=len(self.numbers))
+        order = np.argsort(np.where(uses > 1, -uses, 0), kind="stable")
+        several = int((uses > 1).sum())
+        code = np.empty(len(uses) + 1, dtype=np.int64)
+        code[order] = np.arange(len(order)) + 1
+        code[order[several:]] = 0
         known = list(self.numbers)
-        dealt: dict[int, list[int]] = {}
-        for number, place in enumerate(by_use.tolist()):
-            dealt.setdefault(zlib.crc32(known[place]) % buckets, []).append(number)
-        for bucket, own in dealt.items():
-            words = pack([known[by_use[number]] for number in own])
-            yield block, bucket, None, pack_numbers(np.array(own)), words
-
-
+        hashes = np.fromiter((zlib.crc32(body) for body in known), dtype=np.int64, count=len(known))
+        bucket = (hashes % buckets)[order]
+        at = 0
+        for start in range(0, len(self.docs), policy.pack_rows):
+            lengths = [len(codes) for codes in self.codes[start: start + policy.pack_rows]]
+            end = at + sum(lengths)
+            # The first row of a block also says which bucket each number went to.
+            numbers = pack_numbers(np.concatenate([np.array(lengths), bucket]) if start == 0 else np.array(lengths))
+            yield block, None, block, start, self.docs[start: start + policy.pack_rows], numbers, pack_numbers(code[flat[at:end]])
+            at = end
+        by_bucket = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[by_bucket], prepend=-1, append=-1))
+        for start, stop in zip(cuts, cuts[1:], strict=False):
+            own = order[by_bucket[start:stop]]
+            number = int(bucket[by_bucket[start]])
+            yield str(number), number, block, 0, None, None, pack([known[i] for i in own])
+
+
+#: ``place`` deals texts by block and chunks by bucket in one exchange.
 CODED = T.StructType([
-    T.StructField("block", T.StringType()),
+    T.StructField("place", T.StringType()),
     T.StructField("bucket", T.IntegerType()),
+    T.StructField("block", T.StringType()),
+    T.StructField("first", T.LongType()),
     T.StructField("docs", T.ArrayType(T.LongType())),
     T.StructField("numbers", T.BinaryType()),
     T.StructField("payload", T.BinaryType()),
 ])
-_KINDS = (pa.string(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+_KINDS = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: tuple) -> pa.RecordBatch:
@@ -193,54 +232,64 @@ def _batch(rows: list[tuple], names: list[str], kinds: tuple) -> pa.RecordBatch:
 
 
 def coded_blocks(docs: DataFrame, policy: ChunkTablePolicy, buckets: int) -> DataFrame:
-    """Stored: blocks of texts as chunk numbers, and their distinct chunks by bucket."""
+    """Blocks of texts as chunk numbers, and their distinct chunks by bucket, dealt by ``place``."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, names, made = Block(), CODED.names, 0
-        part = None
-
-        def done() -> Iterator[pa.RecordBatch]:
-            for row in block.rows(f"{part}-{made}", policy, buckets):
-                yield _batch([row], names, _KINDS)
-
+        block, made, part = Block(), 0, None
+        drop_kept()
         for batch in batches:
             for doc_id, data, part in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 block.add(doc_id, data.as_py())
                 if block.size >= policy.block_bytes:
-                    yield from done()
+                    for row in block.rows(f"{part}-{made}", policy, buckets):
+                        yield _batch([row], CODED.names, _KINDS)
                     block, made = Block(), made + 1
         if block.docs:
-            yield from done()
+            for row in block.rows(f"{part}-{made}", policy, buckets):
+                yield _batch([row], CODED.names, _KINDS)
         give_back()
 
     texts = docs.select("doc_id", whole_text().cast("binary").alias("data"), F.spark_partition_id().alias("part"))
-    return materialise(texts.mapInArrow(code, CODED), "coded_blocks")
+    return texts.mapInArrow(code, CODED).repartition(shuffle_partitions(docs.sparkSession), "place")
+
 
+def _pieces(model: bytes) -> Pieces:
+    """A worker's processor outlives its tasks."""
+    return kept_in_worker(("pieces", hashlib.sha256(model).hexdigest()), lambda: Pieces(model))
 
-def answered(chunks: DataFrame, sent, buckets: int, policy: ChunkTablePolicy) -> DataFrame:
-    """(block, numbers, ids): packed ids of each block's chunks. A chunk is segmented in the one task of its bucket."""
+
+def answered(coded: DataFrame, sent, policy: ChunkTablePolicy) -> DataFrame:
+    """(block, answers, ids): ids of each block's chunks by bucket. A chunk is segmented in the one task of its bucket."""
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = kept_in_worker(("pieces", hashlib.sha256(sent.value).hexdigest()), lambda: Pieces(sent.value))
-        table: dict[bytes, bytes] = {}
+        pieces = _pieces(sent.value)
+        table: dict[bytes, np.ndarray] = {}
         for batch in batches:
-            rows = []
-            for block, numbers, payload in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            chunks = batch.filter(batch.column("bucket").is_valid())
+            for bucket, block, payload in zip(*(chunks.column(c).to_pylist() for c in ("bucket", "block", "payload")), strict=True):
                 words = unpack(payload)
                 missing = [word for word in words if word not in table]
                 for start in range(0, len(missing), policy.batch):
                     new = missing[start: start + policy.batch]
-                    table.update(
-                        (word, np.array(ids, dtype="<u4").tobytes()) for word, ids in zip(new, pieces.ids(new), strict=True)
-                    )
-                rows.append((block, numbers, pack([table[word] for word in words])))
+                    table.update((word, np.array(ids, dtype="<u4")) for word, ids in zip(new, pieces.ids(new), strict=True))
+                row = block, bucket, pack_lists([table[word] for word in words])
+                yield _batch([row], ["block", "answers", "ids"], (pa.string(), pa.int32(), pa.binary()))
                 if len(table) > policy.table_words:
                     table = {}
-            yield _batch(rows, ["block", "numbers", "ids"], (pa.string(), pa.binary(), pa.binary()))
         give_back()
 
-    dealt = chunks.repartition(shuffle_partitions(chunks.sparkSession), "bucket").select("block", "numbers", "payload")
-    return dealt.mapInArrow(segment, "block string, numbers binary, ids binary")
+    return coded.mapInArrow(segment, "block string, answers int, ids binary")
+
+
+def ids_by_number(bucket_of: np.ndarray, answers: list[tuple[int, bytes]]) -> list[bytes]:
+    """Ids of a block's chunks by their number, from (bucket, packed ids) and the bucket of each number."""
+    found = [ids for _, packed in sorted(answers) for ids in unpack_lists(packed)]
+    if len(found) != len(bucket_of):
+        raise RuntimeError("the answers to a block are not those of its chunks")
+    ids: list[bytes] = [b""] * len(found)
+    for number, own in zip(np.argsort(bucket_of, kind="stable").tolist(), found, strict=True):
+        ids[number] = own
+    return ids
 
 
 def encode(
@@ -256,41 +305,48 @@ def encode(
     buckets = policy.buckets or 4 * shuffle_partitions(spark)
     sent = spark.sparkContext.broadcast(model)
     coded = coded_blocks(docs, policy, buckets)
-    answers = answered(coded.where("bucket is not null"), sent, buckets, policy)
-    texts = coded.where("bucket is null").select("block", "docs", "numbers", "payload")
+    answers = answered(coded, sent, policy)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" * with_ids + ", decoded string" * with_text
 
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+    kinds += [pa.list_(pa.int32())] * with_ids + [pa.string()] * with_text
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids + ["decoded"] * with_text
+
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        pieces = kept_in_worker(("pieces", hashlib.sha256(sent.value).hexdigest()), lambda: Pieces(sent.value))
-        numbered = [
-            (number, ids) for numbers, packed in zip(right["numbers"], right["ids"], strict=True)
-            for number, ids in zip(unpack_numbers(numbers.as_py()).tolist(), unpack(packed.as_py()), strict=True)
-        ]
-        ids_of: list[bytes] = [b""] * len(numbered)
-        for number, ids in numbered:
-            ids_of[number] = ids
-        del numbered
+        pieces = _pieces(sent.value)
+        columns: list[list] = [[] for _ in kinds]
+        if left["bucket"][0].is_valid:  # chunks, which have their answers
+            return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+        left = left.sort_by("first")
+        numbers = [unpack_numbers(packed.as_py()) for packed in left["numbers"]]
+        rows_in = [len(own) for own in left["docs"]]
+        answers = list(zip(right["answers"].to_pylist(), right["ids"].to_pylist(), strict=True))
+        ids_of = ids_by_number(numbers[0][rows_in[0]:], answers)
+        numbers[0] = numbers[0][: rows_in[0]]
         text_of: list[bytes] = []
         for start in range(0, len(ids_of), policy.batch):
             part = [np.frombuffer(ids, dtype="<u4").tolist() for ids in ids_of[start: start + policy.batch]]
             text_of += pieces.texts(part)
         begin, end = (struct.pack("<I", i) for i in (pieces.model.bos_id(), pieces.model.eos_id()))
-        rows = []
-        for doc_ids, ends, payload in zip(left["docs"], left["numbers"], left["payload"], strict=True):
-            codes, at = unpack_numbers(payload.as_py()).tolist(), 0
-            for doc_id, stop in zip(doc_ids.as_py(), unpack_numbers(ends.as_py()).tolist(), strict=True):
-                own, at = codes[at:stop], stop
-                ids = begin + b"".join(map(ids_of.__getitem__, own)) + end
+        codes = [unpack_numbers(packed.as_py()) for packed in left["payload"]]
+        # Single occurrences have the last numbers, in the order of the block.
+        single = len(ids_of) - sum(int((own == 0).sum()) for own in codes)
+        for doc_ids, lengths, own in zip(left["docs"], numbers, codes, strict=True):
+            zeros = own == 0
+            own = np.where(zeros, single + np.cumsum(zeros) - 1, own.astype(np.int64) - 1)
+            single, at = single + int(zeros.sum()), 0
+            own = own.tolist()
+            for doc_id, length in zip(doc_ids.as_py(), lengths.tolist(), strict=True):
+                chunks, at = own[at: at + length], at + length
+                ids = begin + b"".join(map(ids_of.__getitem__, chunks)) + end
                 # The marker before the first word is none of the text's.
-                text = b"".join(map(text_of.__getitem__, own))[1:]
-                row = doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()
-                row += (np.frombuffer(ids, dtype="<i4"),) * with_ids + (text.decode(),) * with_text
-                rows.append(row)
-        columns = list(zip(*rows, strict=True))
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
-        kinds += [pa.list_(pa.int32())] * with_ids + [pa.string()] * with_text
-        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids + ["decoded"] * with_text
+                text = b"".join(map(text_of.__getitem__, chunks))[1:]
+                row = [doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()]
+                row += [np.frombuffer(ids, dtype="<i4")] * with_ids + [text.decode()] * with_text
+                for column, value in zip(columns, row, strict=True):
+                    column.append(value)
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(assemble, schema)
+    # Both sides use the blocks whole, so that they read one exchange: texts are cut once, and block names are one.
+    return coded.groupBy("place").cogroup(answers.groupBy("block")).applyInArrow(assemble, schema)
