@@ -21,15 +21,18 @@ def usable_ratings(ratings: DataFrame, include_unrated: bool = False) -> DataFra
     return ratings if include_unrated else ratings.where(F.col("rating_score").isNotNull())
 
 
-def rating_base(ratings: DataFrame, movies: DataFrame, include_unrated: bool = False) -> DataFrame:
+def rating_base(
+    ratings: DataFrame, movies: DataFrame, include_unrated: bool = False, medians: DataFrame | None = None
+) -> DataFrame:
     """Ratings of known movies, one row each.
 
     Without ``include_unrated`` only scored ratings stay and no median is computed. With it, a null
     score becomes the movie's median, and stays null where the movie has no score at all. The median
-    joins the movies first, so the ratings go through one join either way.
+    joins the movies first, so the ratings go through one join either way. ``medians`` are those of
+    ``ratings`` unless given, which is for a part of the ratings.
     """
     if include_unrated:
-        movies = movies.join(movie_medians(ratings), "movie_id", "left")
+        movies = movies.join(movie_medians(ratings) if medians is None else medians, "movie_id", "left")
         value = F.coalesce("rating_score", "median_score")
     else:
         value = F.col("rating_score")

@@ -271,8 +271,8 @@ row_loss AS (
   SELECT movie_id, rank, TRUE AS agrees FROM catalogue, places
   WHERE rank <= 10 AND movie_id IN (SELECT movie_id FROM base WHERE user_id IS NOT NULL)""",
     "evaluation": """SELECT unnest(['top_100_accuracy', 'rows', 'loss', 'batches']) AS metric, TRUE AS agrees""",
-    "trained_snapshot": f"""WITH {LATEST} SELECT 'index' AS part, CAST(user_id AS VARCHAR) AS entry FROM latest
-  UNION ALL SELECT 'metric', unnest(['top_100_accuracy', 'rows', 'loss', 'batches'])""",
+    "trained_snapshot": f"""WITH {LATEST} SELECT 'index' AS part, CAST(user_id AS VARCHAR) AS entry, TRUE AS agrees
+  FROM latest UNION ALL SELECT 'metric', unnest(['top_100_accuracy', 'rows', 'loss', 'batches']), TRUE""",
     "source_tables": f"""WITH {SOURCES} SELECT rating_id, user_id, movie_id, ts AS rating_timestamp_utc,
   CAST(rating_score AS BIGINT) AS rating_score FROM ratings_src WHERE movie_id IN (SELECT movie_id FROM movies_src)""",
     "refused_overwrite": f"WITH {SOURCES}, {CATALOGUE} SELECT movie_id, movie_title, TRUE AS refused FROM catalogue",
@@ -306,6 +306,10 @@ for road, query in {
     "history_vector_joined": "history_vector",
     "topk_users_blocked": "topk_users",
     "topk_users_pruned": "topk_users",
+    "updated_snapshot": "prepared_snapshot",
+    "updated_train_unrated": "train_dataset_unrated",
+    "updated_inference": "inference_dataset",
+    "updated_catalogue": "movie_catalogue",
     "pair_ranks_blocked": "pair_ranks",
 }.items():
     ORACLE[road] = ORACLE[query]

@@ -16,15 +16,17 @@ from marquee.operators.sequences import (
     TIME, Sequences, expand, is_latest, rating_sequences, with_min_history,
 )
 from marquee.session import materialise, scratch_scope
-from marquee.sources.snapshots import SnapshotLayout, refuse_existing, write_dataset
+from marquee.sources.commits import writing
+from marquee.sources.snapshots import SnapshotLayout
 
 ROW_KEY = ("rating_id", "matched_rating_id")
 
 
 def sequences_of(
-    ratings: DataFrame, movies: DataFrame, config: SequenceConfig, latest_only: bool = False
+    ratings: DataFrame, movies: DataFrame, config: SequenceConfig, latest_only: bool = False,
+    medians: DataFrame | None = None,
 ) -> Sequences:
-    base = rating_base(ratings, movies, config.include_unrated)
+    base = rating_base(ratings, movies, config.include_unrated, medians)
     return rating_sequences(base, config, latest_only, usable_ratings(ratings, config.include_unrated))
 
 
@@ -83,6 +85,29 @@ class Prepared:
     seconds: float
 
 
+KINDS = ("train", "inference", "movies")
+
+
+def shared_sequences(
+    ratings: DataFrame, movies: DataFrame, config: SequenceConfig, medians: DataFrame | None = None
+) -> Sequences:
+    """Sequences for both datasets: their base, gaps and contexts are written once, one row per rating.
+
+    Each dataset then takes one shuffle of that table to gather the gaps of each (user, movie).
+    """
+    sequences = sequences_of(ratings, movies, config, medians=medians)
+    return replace(sequences, ordinary=materialise(sequences.ordinary, "sequences"))
+
+
+def snapshot_rows(sequences: Sequences, config: SequenceConfig, keys: bool) -> dict[str, DataFrame]:
+    """The train and the inference dataset of a snapshot."""
+    row_key = ROW_KEY if keys else ()
+    return {
+        "train": features(train_rows(sequences), config, (*row_key, "movie_id", "user_id")),
+        "inference": features(inference_rows(sequences), config, (*row_key, "user_id")),
+    }
+
+
 def prepare(
     ratings: DataFrame,
     movies: DataFrame,
@@ -90,23 +115,13 @@ def prepare(
     config: SequenceConfig = SequenceConfig(),
     keys: bool = False,
 ) -> Prepared:
-    """Write train, inference and movies into one snapshot; an existing one is an error.
+    """Write train, inference and movies into one snapshot and commit it; an existing one is an error.
 
-    Train and inference share their base, gaps and contexts. Those are written once, one row per rating, and
-    each dataset then takes one shuffle of that table to gather the gaps of each (user, movie).
+    ``plans.updates`` makes snapshots that can be carried forward.
     """
     start = time.monotonic()
-    paths = {kind: layout.data(kind) for kind in ("train", "inference", "movies")}
-    refuse_existing(ratings.sparkSession, paths.values())
-    with scratch_scope(ratings.sparkSession):
-        sequences = sequences_of(ratings, movies, config)
-        shared = replace(sequences, ordinary=materialise(sequences.ordinary, "sequences"))
-        row_key = ROW_KEY if keys else ()
-        datasets = {
-            "train": features(train_rows(shared), config, (*row_key, "movie_id", "user_id")),
-            "inference": features(inference_rows(shared), config, (*row_key, "user_id")),
-            "movies": movie_catalogue(ratings, movies),
-        }
-        for kind, dataset in datasets.items():
-            write_dataset(dataset, paths[kind])
-    return Prepared(paths, time.monotonic() - start)
+    with writing(ratings.sparkSession, layout, "data", KINDS) as writer, scratch_scope(ratings.sparkSession):
+        for kind, dataset in snapshot_rows(shared_sequences(ratings, movies, config), config, keys).items():
+            writer.write(kind, dataset)
+        writer.write("movies", movie_catalogue(ratings, movies))
+    return Prepared(writer.tables, time.monotonic() - start)

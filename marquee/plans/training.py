@@ -11,8 +11,9 @@ from marquee.operators.split import SEED, find_cut
 from marquee.plans.audience import audience_index, evaluate
 from marquee.plans.datasets import ROW_KEY
 from marquee.session import materialise, scratch_scope
+from marquee.sources.commits import open_part, writing
 from marquee.sources.snapshots import (
-    SnapshotLayout, read_dataset, refuse_existing, write_dataset, write_index, write_metrics,
+    SnapshotLayout, read_dataset, read_metrics, refuse_existing, write_dataset, write_index, write_metrics,
 )
 
 
@@ -48,14 +49,17 @@ def train_snapshot(
     spark: SparkSession, layout: SnapshotLayout, n_holdout: int = 10_000, k: int = 100, batch_size: int = 10_000,
     width: int = WIDTH, iterations: int = 10, seed: int = SEED, pad_side: str = "post", recency: float = 1.0,
 ) -> Trained:
-    """Fit, evaluate and index a prepared snapshot (with row keys) into its ``models`` folder."""
+    """Fit, evaluate and index a committed snapshot (with row keys) into its ``models`` folder, and commit that."""
     paths = Trained(layout.model("vectors.parquet"), layout.model("metrics.json"), layout.model("index.parquet"))
+    data = open_part(spark, layout)
     refuse_existing(spark, (paths.vectors, paths.metrics, paths.index))
-    with scratch_scope(spark):
-        train = read_dataset(spark, layout.data("train"))
-        write_dataset(fit_on_rest(train, n_holdout, width, iterations, seed), paths.vectors)
+    with writing(spark, layout, "models") as writer, scratch_scope(spark):
+        train = data.read("train")
+        write_dataset(fit_on_rest(train, n_holdout, width, iterations, seed), writer.add("vectors", paths.vectors))
         vectors = read_dataset(spark, paths.vectors)
         write_metrics(evaluate(train, vectors, n_holdout, k, batch_size, width, seed, pad_side), paths.metrics)
-        inference = read_dataset(spark, layout.data("inference"))
-        write_index(audience_index(inference, vectors, width, pad_side, recency), paths.index)
+        write_index(
+            audience_index(data.read("inference"), vectors, width, pad_side, recency), writer.add("index", paths.index)
+        )
+        writer.details["metrics"] = {row["metric"]: row["value"] for row in read_metrics(spark, paths.metrics).collect()}
     return paths

@@ -30,12 +30,13 @@ from marquee.operators.sequences import (
 )
 from marquee.operators.split import find_cut, hold_out, with_shuffle_position
 from marquee.operators.vocabulary import build_vocabulary, encode_history, encode_ids
-from marquee.plans import audience, datasets, training
+from marquee.plans import audience, datasets, training, updates
 from marquee.plans.datasets import ROW_KEY
 from marquee.session import materialise, scratch_path, ship_package
 from marquee.sources import (
     SnapshotLayout, read_dataset, read_index, read_metrics, read_movies, read_ratings, write_dataset, write_index, write_metrics,
 )
+from marquee.sources.commits import open_part
 from marquee.sources.adapters import movies_view, ratings_view, vectors_view
 from marquee.sources.schemas import FLAGS, SEQUENCES
 
@@ -359,12 +360,24 @@ def index_roundtrip(x: Inputs) -> DataFrame:
 
 
 def trained_snapshot(x: Inputs) -> DataFrame:
-    """What the training job leaves in a prepared snapshot: rows of the index and names of the metrics."""
+    """What the training job leaves in a prepared snapshot: index rows and metrics, each compared with another road.
+
+    A vector has to be the mean that a join of its history with the stored item vectors gives; metrics have to be those
+    of an evaluation apart.
+    """
     layout = SnapshotLayout(scratch_path(x.spark, "root"))
     datasets.prepare(x.ratings, x.movies, layout, keys=True)
     done = training.train_snapshot(x.spark, layout, HELD_OUT, 100, BATCH)
-    index = read_index(x.spark, done.index).select(F.lit("index").alias("part"), F.col("user_id").cast("string").alias("entry"))
-    return index.unionByName(read_metrics(x.spark, done.metrics).select(F.lit("metric").alias("part"), F.col("metric").alias("entry")))
+    data, models = open_part(x.spark, layout), open_part(x.spark, layout, "models")
+    vectors = models.read("vectors")
+    plain = history_vectors(data.read("inference"), vectors, audience.INDEX_KEY, WIDTH_FITTED, lookup_bytes=0)
+    both = models.read("index").join(plain.withColumnRenamed("vector", "plain"), list(audience.INDEX_KEY))
+    close = F.forall(F.arrays_zip("vector", "plain"), lambda v: F.abs(v["vector"] - v["plain"]) < 1e-5)
+    index = both.select(F.lit("index").alias("part"), F.col("user_id").cast("string").alias("entry"), close.alias("agrees"))
+    again = audience.evaluate(data.read("train"), vectors, HELD_OUT, 100, BATCH).withColumnRenamed("value", "again")
+    metrics = read_metrics(x.spark, done.metrics).join(again, "metric")
+    same = F.abs(F.col("value") - F.col("again")) < 1e-6 * (1 + F.abs("again"))
+    return index.unionByName(metrics.select(F.lit("metric").alias("part"), F.col("metric").alias("entry"), same.alias("agrees")))
 
 
 def source_tables(x: Inputs) -> DataFrame:
@@ -397,12 +410,37 @@ def snapshot_roundtrip(x: Inputs) -> DataFrame:
 
 
 def prepared_snapshot(x: Inputs) -> DataFrame:
-    """Train rows as read back from a snapshot that holds all three datasets."""
-    done = datasets.prepare(x.ratings, x.movies, SnapshotLayout(scratch_path(x.spark, "root")), keys=True)
+    """Rows as read back from a committed snapshot that holds all three datasets."""
+    layout = SnapshotLayout(scratch_path(x.spark, "root"))
+    datasets.prepare(x.ratings, x.movies, layout, keys=True)
+    done = open_part(x.spark, layout)
+    return in_one(done.read("train"), done.read("inference"))
+
+
+def updated(x: Inputs, config: SequenceConfig) -> dict[str, DataFrame]:
+    """The datasets of a snapshot of the first nine tenths of the time, carried forward by the last tenth, in two steps."""
+    first, last = x.ratings.agg(F.min(TIME), F.max(TIME)).first()
+    times = [F.lit(first + (last - first) * share).cast("timestamp_ntz") for share in (0.9, 0.95)]
+    when = F.col(TIME)
+    parts = [x.ratings.where(when < times[0]), x.ratings.where((when >= times[0]) & (when < times[1])), x.ratings.where(when >= times[1])]
+    root = scratch_path(x.spark, "root")
+    layouts = [SnapshotLayout(root, f"s{i}") for i in range(3)]
+    updates.prepare_carried(parts[0], x.movies, layouts[0], config, keys=True)
+    for old, new, part in zip(layouts, layouts[1:], parts[1:], strict=False):
+        updates.update(x.spark, old, new, part, x.movies, config, keys=True)
+    done = open_part(x.spark, layouts[-1])
+    return {kind: done.read(kind) for kind in datasets.KINDS}
+
+
+def updated_snapshot(x: Inputs) -> DataFrame:
+    done = updated(x, LIBRARY)
+    return in_one(done["train"], done["inference"])
+
+
+def in_one(train: DataFrame, inference: DataFrame) -> DataFrame:
     parts = [
-        read_dataset(x.spark, done.paths[kind]).select(F.lit(kind).alias("dataset"), *ROW_KEY, "user_id",
-                                                       text(F.col("previous_movie_ids")).alias("ids"))
-        for kind in ("train", "inference")
+        rows.select(F.lit(kind).alias("dataset"), *ROW_KEY, "user_id", text(F.col("previous_movie_ids")).alias("ids"))
+        for kind, rows in (("train", train), ("inference", inference))
     ]
     return parts[0].unionByName(parts[1])
 
@@ -518,6 +556,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "refused_overwrite": refused_overwrite,
     "snapshot_roundtrip": snapshot_roundtrip,
     "prepared_snapshot": prepared_snapshot,
+    "updated_snapshot": updated_snapshot,
+    "updated_train_unrated": lambda x: rendered(updated(x, SequenceConfig(include_unrated=True))["train"]),
+    "updated_inference": lambda x: rendered(updated(x, LIBRARY)["inference"]),
+    "updated_catalogue": lambda x: updated(x, LIBRARY)["movies"],
     "metrics_roundtrip": metrics_roundtrip,
     "batched_read": batched_read,
 }
