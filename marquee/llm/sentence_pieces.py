@@ -6,7 +6,7 @@ of markers and what follows up to the next run), and each chunk has the same ids
 
 1. Texts are read once, in blocks of about ``block_bytes``. A block numbers its distinct chunks, most frequent first, and
    writes its texts as chunk numbers. One exchange deals the texts by block, and the distinct chunks in packed rows by
-   word hash (``buckets`` of them).
+   word hash, in as many buckets as the size of all texts asks for.
 2. The table of distinct chunks: every block's occurrence of a chunk meets in the task of its bucket, which has the
    library segment it once and answers each block. A chunk counts once per block here, however frequent it is, so no
    word makes a bucket heavy.
@@ -24,6 +24,7 @@ repeated rows and null ids are encoded each. Further columns are not read. An em
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import struct
 import zlib
@@ -46,16 +47,14 @@ _CHUNK = re.compile(rb" +[^ ]*")
 
 @dataclass(frozen=True)
 class ChunkTablePolicy:
-    """Bytes of text in a block, rows packed together, chunks segmented or decoded at a time, chunks in a worker's table.
+    """Bytes of text in a block, and for each bucket of chunks; rows packed together, chunks segmented or decoded at a
+    time, chunks in a task's table."""
 
-    ``buckets`` defaults to four for each shuffle partition, so that partitions come out even.
-    """
-
-    block_bytes: int = 16 * 1024 * 1024
+    block_bytes: int = 8 * 1024 * 1024
+    bucket_bytes: int = 4 * 1024 * 1024
     pack_rows: int = 1_000
     batch: int = 8_192
     table_words: int = 1_000_000
-    buckets: int | None = None
 
 
 class Pieces:
@@ -302,7 +301,8 @@ def encode(
     spark = docs.sparkSession
     ready(spark)
     refuse_crossing_pieces(model)
-    buckets = policy.buckets or 4 * shuffle_partitions(spark)
+    total = docs.agg(F.sum(F.octet_length(whole_text()))).first()[0] or 0
+    buckets = max(1, math.ceil(total / policy.bucket_bytes))
     sent = spark.sparkContext.broadcast(model)
     coded = coded_blocks(docs, policy, buckets)
     answers = answered(coded, sent, policy)
