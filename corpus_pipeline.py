@@ -10,30 +10,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
-from marquee.llm.common import read_table, without_rows
+from marquee.llm.common import addressable, read_table, without_rows
 from marquee.llm.queries import vocabulary
 from marquee.session import materialise
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the labelled languages; text in none of them, or without letters, goes."""
-    policy = language_id.LanguagePolicy()
+    policy, docs = language_id.LanguagePolicy(), addressable(docs)
     model = language_id.learn_text_model(language_id.labelled_documents(docs), policy)
     return without_rows(docs, language_id.identify(docs, None, model, policy).where("not kept"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each text."""
+    docs = addressable(docs)
     return without_rows(docs, exact_dedup.exact_groups(docs).where("not kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at a similarity of 0.8 or more."""
+    docs = addressable(docs)
     return without_rows(docs, near_dedup.near_components(docs, near_dedup.NearPolicy()).where("not kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, copied or edited."""
+    docs = addressable(docs)
     found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
     return without_rows(docs, found.where("contaminated"))
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.config import SkewPolicy
-from marquee.llm.common import ROW, ready, whole_text, with_row_key
+from marquee.llm.common import ROW, addressable, ready, whole_text, with_row_key
 from marquee.operators.skew import with_positions
 from marquee.session import materialise
 
@@ -68,8 +68,7 @@ def blocks(turns: DataFrame) -> DataFrame:
     cut = F.filter(F.split(whole_text(), BLOCK_START, -1), lambda x: F.length(F.trim(x)) > 0)
     cut = F.when(F.size(cut) > 0, cut).otherwise(F.array(F.lit("")))
     known = F.col("role") if "role" in turns.columns else F.lit(None).cast("string")
-    rows = with_row_key(turns.select("conv_id", "turn", known.alias("known"), cut.alias("cut")))
-    rows = rows.select(ROW, "conv_id", "turn", "known", F.posexplode("cut").alias("block", "raw"))
+    rows = with_row_key(turns).select(ROW, "conv_id", "turn", known.alias("known"), F.posexplode(cut).alias("block", "raw"))
     marker = F.lit(NONE)
     for code, words in reversed(list(enumerate(MARKERS.values(), 1))):
         marker = F.when(F.col("raw").rlike("(?i)^" + _marker(words)), F.lit(code)).otherwise(marker)
@@ -90,6 +89,7 @@ def _numbered(rows: DataFrame) -> DataFrame:
     """Stored narrow rows with their position in the transcript, counted along a distributed sort."""
     narrow = rows.select(F.coalesce("conv_id", F.lit(-1)).alias("conv"), F.col("conv_id").isNull().alias("none"),
                          "turn", ROW, "block", "known", "code")
+    narrow = materialise(narrow, "chat_rows")  # texts are cut here, and once more where they are rendered
     total = narrow.count()
     placed = with_positions(narrow, ["none", "conv"], ["turn", ROW, "block"], SkewPolicy(), total, total)
     opening = (F.col("position") == 0).cast("int")
@@ -228,7 +228,8 @@ def format_chats(turns: DataFrame, learn_from: Column | None = None, policy: Cha
 
     ``learn_from`` restricts the rows whose roles are learned from, as a condition on ``conv`` (the conv_id).
     """
-    cut = blocks(turns)
+    columns = [name for name in turns.columns if name in ("conv_id", "turn", "role", "text")]
+    cut = blocks(addressable(turns.select(columns)))
     placed = _numbered(cut)
     model = learn_roles(placed if learn_from is None else placed.where(learn_from), policy)
     roles = _decoded(placed, model, policy)

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import math
 import os
+import re
 import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,13 +30,69 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def with_row_key(df: DataFrame) -> DataFrame:
-    """Give every row a key of its own, so that repeated ids stay separate rows.
+def with_pass_key(df: DataFrame) -> DataFrame:
+    """Give every row a key of its own for one pass over the table, or until it is stored: another pass may give others."""
+    return df.withColumn(ROW, F.monotonically_increasing_id())
+
+
+#: Steps of a plan that keep each row of a file the one row it is.
+_KEEPS_ROWS = {"Project", "Filter", "SubqueryAlias", "View"}
+_HIDDEN = "_metadata"
+
+
+def has_places(df: DataFrame) -> bool:
+    """Are the rows those of parquet files, at most filtered and with other columns?"""
+    node = df._jdf.queryExecution().analyzed()
+    if not node.deterministic():
+        return False
+    while node.nodeName() in _KEEPS_ROWS:
+        node = node.children().apply(0)
+    if node.nodeName() != "LogicalRelation" or "HadoopFsRelation" not in node.relation().getClass().getName():
+        return False
+    names = {name.lower() for name in node.relation().schema().fieldNames()}
+    return node.relation().fileFormat().toString() == "Parquet" and _HIDDEN not in names
+
+
+def addressable(df: DataFrame) -> DataFrame:
+    """A table whose rows have a place in a file: the table itself if it is read from parquet files, else a stored copy."""
+    if has_places(df):
+        return df
+    if _HIDDEN in (name.lower() for name in df.columns):
+        raise ValueError(f"a column named {_HIDDEN} hides the places of rows in their files; rename it")
+    return materialise(df, "rows")
 
-    The key follows the place of a row in its table. Store the result before using it in two branches of a
-    plan unless the rows come straight from a file.
+
+def _path_text(path: str) -> str:
+    """One way to write an address that may have an empty authority."""
+    return re.sub(r"^([A-Za-z0-9+.-]+):/+", r"\1:/", path)
+
+
+def _window(paths: list[str]) -> tuple[int, int]:
+    """Place and width of the bits that tell the hashes of all paths apart."""
+    hashes = [xxhash.xxh64_intdigest(_path_text(path).encode(), seed=42) for path in paths]
+    width = max(1, 2 * math.ceil(math.log2(max(2, len(set(hashes))))))
+    for bits in range(width, 64):
+        for shift in range(64 - bits):
+            if len({hashed >> shift & (1 << bits) - 1 for hashed in hashes}) == len(hashes):
+                return shift, bits
+    raise ValueError("paths of files share their hashes")
+
+
+def with_row_key(df: DataFrame, name: str = ROW) -> DataFrame:
+    """Give every row the key that its file and its place there make, the same one however the files are read.
+
+    How many rows a task reads, and so any number counted along tasks, follows the cores of the moment; files and places
+    do not. The table has to be an ``addressable`` one. Of the 63 bits of a key some tell files apart, as many as it
+    takes, and the others are the row's place in its file.
     """
-    return df.withColumn(ROW, F.monotonically_increasing_id())
+    if not has_places(df):
+        raise ValueError("rows without a place in a file have no lasting key: store the table first")
+    shift, bits = _window(df.inputFiles())
+    path = F.regexp_replace("_metadata.file_path", "^([A-Za-z0-9+.-]+):/+", "$1:/")
+    file = F.shiftrightunsigned(F.xxhash64(path), shift).bitwiseAND(F.lit((1 << bits) - 1))
+    place = F.col("_metadata.row_index")
+    fits = F.when(place < 1 << (63 - bits), place).otherwise(F.raise_error(F.lit("a file holds too many rows")).cast("long"))
+    return df.select("*", F.shiftleft(file, 63 - bits).bitwiseOR(fits).alias(name))
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
@@ -49,13 +108,13 @@ BROADCAST_KEYS = 1_000_000
 
 
 def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The table without the rows of the given row keys; few keys go to where the rows lie."""
+    """The addressable table without the rows of the given row keys; few keys go to where the rows lie."""
     key = free_name(docs, ROW)
     dropped = materialise(keys.select(F.col(ROW).alias(key)), "dropped_keys")
     if dropped.count() <= BROADCAST_KEYS:
         dropped = F.broadcast(dropped)
-    keyed = docs.withColumn(key, F.monotonically_increasing_id())
-    return keyed.join(dropped, key, "left_anti").select(*docs.columns)
+    named = [F.col(f"`{name}`") for name in docs.columns]
+    return with_row_key(docs, key).join(dropped, key, "left_anti").select(*named)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

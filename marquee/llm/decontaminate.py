@@ -10,8 +10,7 @@ Test items are sent to every task in parts of at most ``part_bytes``; a larger b
 
 Defined cases: null and empty texts match nothing; items with fewer than ``least_words`` words are too short to
 tell a copy from chance and are left out; repeated items count apart, an item without an id too; repeated
-documents are judged each. Further columns are not read. An empty table on either side gives no matches. The
-documents must come in the same order each time they are read, as files do.
+documents are judged each. Further columns are not read. An empty table on either side gives no matches.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, give_back, in_parts, ready, whole_text, with_row_key
+from marquee.llm.common import ROW, addressable, give_back, in_parts, ready, whole_text, with_pass_key, with_row_key
 from marquee.session import materialise
 
 _WORD = re.compile(r"\w+")
@@ -96,7 +95,7 @@ def regions(seeds: list[tuple[int, int]], item_words: int, n_words: int, policy:
 
 def _item_parts(items: DataFrame, policy: LeakPolicy) -> Iterator[list[tuple]]:
     """Items as (number, id, words) in parts whose texts keep to the bound of what a task gets sent."""
-    rows = materialise(with_row_key(items.select("item_id", whole_text().alias("text"))), "items")
+    rows = materialise(with_pass_key(items.select("item_id", whole_text().alias("text"))), "items")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     turns = max(1, -(-total * 2 // policy.part_bytes))
     turn = F.pmod(F.xxhash64(ROW), F.lit(turns))
@@ -200,7 +199,7 @@ def leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy())
     """Stored: (row key, item_id, score, first_word, last_word) of documents that share seeds and words with an item."""
     spark = docs.sparkSession
     ready(spark)
-    rows = with_row_key(docs.select("doc_id", whole_text().alias("text")))
+    rows = with_row_key(addressable(docs.select("doc_id", "text"))).select("doc_id", whole_text().alias("text"), ROW)
     found = None
     for part in _item_parts(items, policy):
         grams: dict[tuple[str, ...], int] = {}
@@ -220,12 +219,13 @@ def leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy())
 
 def contamination(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
     """Per document: is it contaminated, with how many items, the best item, its score and its span of words."""
+    docs = addressable(docs.select("doc_id", "text"))
     bad = leaks(docs, items, policy).where(F.col("score") >= policy.least_score)
     best = F.max_by(
         F.struct("item_id", "score", "first_word", "last_word"), F.struct("score", F.negative("item_id"))
     )
     found = bad.groupBy(ROW).agg(F.count(F.lit(1)).alias("n_items"), best.alias("best"))
-    rows = with_row_key(docs.select("doc_id", F.lit(1).alias("one"))).drop("one")
+    rows = with_row_key(docs.select("doc_id"))
     return rows.join(found, ROW, "left").select(
         ROW, "doc_id", F.col("best").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), "best.*",

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import ROW, ready, shuffle_partitions, utf8, whole_text, with_row_key
+from marquee.llm.common import ROW, addressable, ready, shuffle_partitions, utf8, whole_text, with_row_key
 from marquee.session import materialise
 
 WINDOW = 32
@@ -93,7 +93,7 @@ def _with_chunks(docs: DataFrame, policy: ChunkPolicy) -> DataFrame:
     def ends(texts: pa.Array) -> pa.Array:
         return chunk_ends(texts, policy)
 
-    rows = with_row_key(docs.select("doc_id", whole_text().alias("_text")))
+    rows = with_row_key(addressable(docs.select("doc_id", "text"))).select(ROW, "doc_id", whole_text().alias("_text"))
     rows = rows.withColumn("_ends", ends("_text"))
     data = F.col("_text").cast("binary")
 

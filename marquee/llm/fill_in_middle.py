@@ -24,7 +24,7 @@ from pyspark import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, ready, shuffle_partitions, whole_text, with_row_key
+from marquee.llm.common import ROW, ready, shuffle_partitions, whole_text, with_pass_key
 
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
 PLAIN, PSM, SPM = "plain", "psm", "spm"
@@ -138,7 +138,7 @@ def document_of(key: tuple) -> int:
 def output_pieces(docs: DataFrame, policy: MiddlePolicy = MiddlePolicy()) -> RDD:
     """((row, position), header or bytes): all pieces of a document in one partition, in output order after its header."""
     ready(docs.sparkSession)
-    rows = with_row_key(docs.select("doc_id", whole_text().cast("binary").alias("data"))).select(ROW, "doc_id", "data")
+    rows = with_pass_key(docs.select("doc_id", whole_text().cast("binary").alias("data"))).select(ROW, "doc_id", "data")
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     partitions = max(shuffle_partitions(docs.sparkSession), math.ceil(total / policy.partition_bytes))
 

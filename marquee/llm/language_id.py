@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.config import SkewPolicy
-from marquee.llm.common import in_parts, ready, whole_text, with_row_key
+from marquee.llm.common import ROW, addressable, in_parts, ready, whole_text, with_row_key
 from marquee.operators.skew import join_counted
 from marquee.session import materialise
 
@@ -247,11 +247,15 @@ def fuse(rows: DataFrame, model: TextModel, policy: LanguagePolicy = LanguagePol
     return judged.select(*ids, "lang", "probability", kept.alias("kept"))
 
 
+def _key_of(rows: DataFrame) -> list[str]:
+    return [ROW] if ROW in rows.columns else []
+
+
 def of_documents(docs: DataFrame) -> DataFrame:
     """Documents as rows to judge: a source is a host, and nothing is declared. Their labels are not read."""
     none = F.lit(None).cast("string")
     return docs.select(
-        "doc_id", whole_text().alias("text"), none.alias("declared"), none.alias("suffix"), none.alias("domain"),
+        "doc_id", *_key_of(docs), whole_text().alias("text"), none.alias("declared"), none.alias("suffix"), none.alias("domain"),
         F.col("source").alias("host"),
     )
 
@@ -264,7 +268,7 @@ def of_pages(pages: DataFrame) -> DataFrame:
     declared = F.regexp_extract(html, r"""(?i)<html[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})""", 1)
     given = lambda c: F.when(c != "", c)
     return pages.select(
-        "page_id", F.regexp_replace(html, hidden, " ").alias("text"), given(declared).alias("declared"),
+        "page_id", *_key_of(pages), F.regexp_replace(html, hidden, " ").alias("text"), given(declared).alias("declared"),
         given(F.regexp_extract(host, r"\.([a-z]{2,})$", 1)).alias("suffix"),
         given(F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)).alias("domain"), given(host).alias("host"),
     )
@@ -282,7 +286,7 @@ def identify(docs: DataFrame | None, pages: DataFrame | None, model: TextModel,
     none = F.lit(None).cast("long")
     parts = []
     if docs is not None:
-        parts.append(with_row_key(of_documents(docs).withColumn("page_id", none)))
+        parts.append(of_documents(with_row_key(addressable(docs.select("doc_id", "text", "source")))).withColumn("page_id", none))
     if pages is not None:
-        parts.append(with_row_key(of_pages(pages).withColumn("doc_id", none)))
+        parts.append(of_pages(with_row_key(addressable(pages.select("page_id", "url", "html")))).withColumn("doc_id", none))
     return fuse(reduce(DataFrame.unionByName, parts), model, policy)

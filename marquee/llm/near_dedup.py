@@ -20,7 +20,7 @@ Steps 2 and 4 lose a pair that just meets the threshold with a probability of ab
 Defined cases: a null or empty text, or one of white space, has an empty set and is linked with nothing; a text
 with fewer words than a shingle has one shingle of them all. Of a group the row with the smallest ``doc_id``
 stays, null ids last, rows with the same id by their place in the table. Further columns are not read. An empty
-table gives an empty result. The table must give its rows in the same order each time it is read, as files do.
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +37,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, give_back, in_parts, ready, shuffle_partitions, whole_text, with_row_key
+from marquee.llm.common import (
+    ROW, addressable, give_back, in_parts, ready, shuffle_partitions, whole_text, with_row_key,
+)
 from marquee.llm.components import component_stars
 from marquee.session import materialise
 
@@ -119,7 +121,7 @@ def sketches(docs: DataFrame, policy: NearPolicy) -> DataFrame:
             )
         give_back()
 
-    rows = with_row_key(docs.select("doc_id", whole_text().alias("text"))).select(ROW, "doc_id", "text")
+    rows = with_row_key(docs).select(ROW, "doc_id", whole_text().alias("text"))
     schema = f"{ROW} long, doc_id long, n long, digest binary, sketch array<long>"
     return materialise(rows.mapInArrow(make, schema), "sketches")
 
@@ -296,7 +298,7 @@ def _whole_sets(lists: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFr
 
 def _texts_of(wanted: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFrame:
     """(row key, text) of the wanted rows, filtered where the texts lie as long as the keys are few."""
-    rows = with_row_key(docs.select(whole_text().alias("text")))
+    rows = with_row_key(docs).select(ROW, whole_text().alias("text"))
     small = wanted.count() <= policy.broadcast_rows
     return rows.join(F.broadcast(wanted) if small else wanted, ROW, "left_semi").select(ROW, "text")
 
@@ -367,6 +369,7 @@ def block_links(group: pd.DataFrame, policy: NearPolicy) -> list[tuple[int, int]
 
 def near_components(docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataFrame:
     """Per document: row key, id, set size, the smallest id of its group, and whether it is the row that stays."""
+    docs = addressable(docs.select("doc_id", "text"))
     made = sketches(docs, policy)
     members = _members(made)
     nodes = made.where("n > 0").join(members.where(f"node = {ROW}").select(ROW), ROW, "left_semi")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.config import SkewPolicy
-from marquee.llm.common import ROW, whole_text, with_row_key
+from marquee.llm.common import ROW, whole_text, with_pass_key
 from marquee.operators.skew import with_positions
 from marquee.session import materialise
 
@@ -63,6 +63,6 @@ def shard_slots(
     )
     rows = assign_shards(rows, "doc_id", weights)
     rows = assign_shards(rows, "doc_id", [*weights, added_weight], "grown_shard")
-    narrow = materialise(with_row_key(rows), "shards")
+    narrow = materialise(with_pass_key(rows), "shards")
     total = narrow.count()
     return with_positions(narrow, ["shard"], ["doc_id", ROW], policy, total, len(weights), "slot")
