@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow.dataset
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -197,28 +198,45 @@ def top_k_accuracy(ranks: DataFrame, k: int) -> DataFrame:
     return ranks.agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("rows"))
 
 
-def softmax_losses(rows: DataFrame, batch_size: int, position: str = "position") -> DataFrame:
+def softmax_losses(
+    rows: DataFrame, batch_size: int, position: str = "position", block_rows: int = BLOCK_ROWS, lookup_bytes: int = LOOKUP_BYTES
+) -> DataFrame:
     """(batch_id, rows, loss): summed cross-entropy of each row's own history among those of its batch.
 
-    Rows carry ``position``, ``query`` and ``vector``; a batch is ``batch_size`` consecutive positions,
-    which bounds what one task holds.
+    Rows carry ``position`` (unique), ``query`` and ``vector``; a batch is ``batch_size`` consecutive positions. A batch
+    may be as large as the table: its vectors are scored block by block, each block by every query of the batch, which a
+    task reads from the shared folder. A block leaves a maximum and a scaled sum of exponentials for each query, and
+    those of several blocks are merged.
     """
-
-    def loss(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values(position)
-        total, own = 0.0, 0
-        vectors = batch["vector"]
-        for _, scores in _score_chunks(batch["query"], vectors, rounded=False):
-            true = scores[np.arange(len(scores)), own + np.arange(len(scores))]
-            top = scores.max(axis=1)
-            total += float((np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top - true).sum())
-            own += len(scores)
-        return pd.DataFrame({"batch_id": batch["batch_id"].iloc[:1], "rows": [len(batch)], "loss": [total]})
-
+    spark = rows.sparkSession
     batched = rows.select(
-        F.floor(F.col(position) / batch_size).cast("long").alias("batch_id"), position, "query", "vector"
+        F.floor(F.col(position) / batch_size).cast("long").alias("batch_id"), F.col(position).cast("long").alias("position"),
+        *[F.col(name).cast("array<double>").alias(name) for name in ("query", "vector")],
+    )
+    path = store(batched.repartitionByRange("batch_id", "position").sortWithinPartitions("batch_id", "position"), "batched")
+    stored = spark.read.schema(batched.schema).parquet(path)
+
+    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in regroup(frames, block_rows):
+            for batch_id, own in block.groupby("batch_id"):
+                theirs = pyarrow.dataset.field("batch_id") == int(batch_id)
+                for queries in QueryBatches(path, lookup_bytes, block_rows, ["position", "query"], theirs):
+                    for at, scores in _score_chunks(queries["query"], own["vector"], rounded=False):
+                        top = scores.max(axis=1)
+                        yield pd.DataFrame({
+                            "batch_id": batch_id, "position": queries["position"].to_numpy()[at: at + len(scores)],
+                            "top": top, "total": np.exp(scores - top[:, None]).sum(axis=1),
+                        })
+
+    parts = stored.select("batch_id", "vector").mapInPandas(partial, "batch_id long, position long, top double, total double")
+    merged = parts.groupBy("batch_id", "position").agg(
+        F.max("top").alias("top"), F.collect_list(F.struct("top", "total")).alias("parts")
     )
-    return batched.groupBy("batch_id").applyInPandas(loss, "batch_id long, rows long, loss double")
+    scaled = F.transform("parts", lambda part: part["total"] * F.exp(part["top"] - F.col("top")))
+    total = F.aggregate(scaled, F.lit(0.0), lambda so_far, more: so_far + more)
+    own = stored.select("batch_id", "position", dot(F.col("query"), F.col("vector")).alias("own"))
+    losses = merged.join(own, ["batch_id", "position"]).select("batch_id", (F.col("top") + F.log(total) - F.col("own")).alias("loss"))
+    return losses.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("loss").alias("loss"))
 
 
 def _against(
@@ -257,8 +275,11 @@ def _against(
 class QueryBatches:
     """Stored queries in batches of at most ``lookup_bytes``, read again each time unless there is but one."""
 
-    def __init__(self, path: str, lookup_bytes: int, least_rows: int):
-        self.path, self.kept = path, None
+    def __init__(
+        self, path: str, lookup_bytes: int, least_rows: int, columns: Sequence[str] | None = None,
+        where: pyarrow.dataset.Expression | None = None,
+    ):
+        self.path, self.columns, self.where, self.kept = path, columns, where, None
         first = next(stored_batches(path, 1, ["query"]), None)
         width = len(first["query"][0]) if first is not None else 0
         self.rows = max(1, lookup_bytes // (8 * width + 64) or least_rows)
@@ -268,7 +289,7 @@ class QueryBatches:
             yield from self.kept
             return
         first, several = None, False
-        for batch in full_batches(self.path, self.rows):
+        for batch in full_batches(self.path, self.rows, self.columns, self.where):
             several = first is not None
             first = first if several else batch
             yield batch

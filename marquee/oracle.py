@@ -166,6 +166,23 @@ REPORT = """SELECT CAST(sum(n) AS BIGINT) AS ratings, count(*) AS pairs, max(n)
   FROM (SELECT count(*) AS n FROM base WHERE user_id IS NOT NULL GROUP BY user_id, movie_id)"""
 IDS = "rating_id, matched_rating_id"
 BOTH = "movie_id, user_id"
+#: Training rows in the order of their keys, from 0.
+IN_ORDER = HASHED + f""",
+ordered AS (SELECT {IDS}, h, row_number() OVER (ORDER BY {IDS}) - 1 AS place FROM hashed)"""
+
+
+
+def losses(batch: int) -> str:
+    return f"""WITH {PAIRS},
+held AS (SELECT *, position // {batch} AS batch_id FROM scored WHERE position < 1000),
+logits AS (
+  SELECT a.batch_id, a.position, list_dot_product(a.q, b.v) AS s,
+    CASE WHEN a.position = b.position THEN list_dot_product(a.q, b.v) END AS true_s
+  FROM held a JOIN held b ON a.batch_id = b.batch_id),
+row_loss AS (
+  SELECT batch_id, position, ln(sum(exp(s))) - max(true_s) AS loss FROM logits GROUP BY ALL)
+  SELECT batch_id, count(*) AS rows, round(sum(loss), 6) AS loss FROM row_loss GROUP BY batch_id"""
+
 
 ORACLE: dict[str, str] = {
     "ratings_base": f"""WITH {base()} SELECT rating_id, user_id, movie_id, ts AS rating_timestamp_utc,
@@ -252,15 +269,8 @@ entries AS (SELECT {IDS}, unnest(ids) AS movie_id, unnest(range(10)) AS nth FROM
     "topk_accuracy": f"""WITH {RANKS} SELECT round(avg(CASE WHEN rank <= 100 THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
   count(*) AS rows FROM ranks""",
     "pair_ranks": f"WITH {RANKS} SELECT {IDS}, rank FROM ranks",
-    "softmax_loss": f"""WITH {PAIRS},
-held AS (SELECT *, position // 250 AS batch_id FROM scored WHERE position < 1000),
-logits AS (
-  SELECT a.batch_id, a.position, list_dot_product(a.q, b.v) AS s,
-    CASE WHEN a.position = b.position THEN list_dot_product(a.q, b.v) END AS true_s
-  FROM held a JOIN held b ON a.batch_id = b.batch_id),
-row_loss AS (
-  SELECT batch_id, position, ln(sum(exp(s))) - max(true_s) AS loss FROM logits GROUP BY ALL)
-  SELECT batch_id, count(*) AS rows, round(sum(loss), 6) AS loss FROM row_loss GROUP BY batch_id""",
+    "softmax_loss": losses(250),
+    "softmax_loss_whole": losses(1000),
     "index_roundtrip": f"""WITH {LATEST}, {encoded('latest')} SELECT user_id, {IDS}, 64::BIGINT AS width,
   array_to_string(list_transform(v, lambda x: CAST(round(CAST(CAST(x AS FLOAT) AS DOUBLE) * 1e6) AS BIGINT)), ',') AS vector
   FROM latest JOIN means USING ({IDS})""",
@@ -288,6 +298,11 @@ latest AS (
     "metrics_roundtrip": f"""WITH {base()}, report AS ({REPORT})
   SELECT unnest(['ratings', 'pairs', 'largest_pair', 'fanout_rows']) AS metric,
     unnest([ratings, pairs, largest_pair, fanout_rows])::DOUBLE AS value FROM report""",
+    "all_batches": f"WITH {IN_ORDER} SELECT {IDS}, place, place // 250 AS batch_id FROM ordered",
+    "taken_batches": f"WITH {IN_ORDER} SELECT {IDS}, place, place // 250 AS batch_id FROM ordered WHERE place < 750",
+    "one_batch": f"WITH {IN_ORDER} SELECT {IDS}, place, 2 AS batch_id FROM ordered WHERE place >= 500 AND place < 750",
+    "buffer_shuffle": f"""WITH {IN_ORDER} SELECT {IDS}, place // 1000 * 1000 + row_number() OVER (
+    PARTITION BY place // 1000 ORDER BY h, {IDS}) - 1 AS shuffle_position FROM ordered""",
     "batched_read": f"WITH {TRAIN} SELECT {IDS}, h_ids[-1] AS newest_id FROM train",
 }
 

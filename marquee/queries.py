@@ -28,16 +28,17 @@ from marquee.operators.retrieval import (
 from marquee.operators.sequences import (
     LAST, TIME, Sequences, expand, fanout_report, is_latest, rating_gaps, with_min_history,
 )
-from marquee.operators.split import find_cut, hold_out, with_shuffle_position
+from marquee.operators.split import find_cut, hold_out, shuffled_within, with_shuffle_position
 from marquee.operators.vocabulary import build_vocabulary, encode_history, encode_ids
 from marquee.plans import audience, datasets, training, updates
 from marquee.plans.datasets import ROW_KEY
-from marquee.session import materialise, scratch_path, ship_package
+from marquee.session import materialise, scratch_path, ship_package, store
 from marquee.sources import (
     SnapshotLayout, read_dataset, read_index, read_metrics, read_movies, read_ratings, write_dataset, write_index, write_metrics,
 )
-from marquee.sources.commits import open_part
 from marquee.sources.adapters import movies_view, ratings_view, vectors_view
+from marquee.sources.batches import read_batches
+from marquee.sources.commits import open_part
 from marquee.sources.schemas import FLAGS, SEQUENCES
 
 WIDTH = 64  # of the ready-made vectors
@@ -270,10 +271,10 @@ def pair_ranks_blocked(x: Inputs) -> DataFrame:
     return true_pair_ranks(held, candidates, ROW_KEY, block_rows=700, lookup_bytes=0)
 
 
-def softmax_loss(x: Inputs) -> DataFrame:
+def softmax_loss(x: Inputs, batch: int = BATCH, **bounds: int) -> DataFrame:
     _, held = held_out_pairs(x)
     placed = with_shuffle_position(held, ROW_KEY).withColumnRenamed("shuffle_position", "position")
-    return softmax_losses(placed, BATCH).select("batch_id", "rows", F.round("loss", 6).alias("loss"))
+    return softmax_losses(placed, batch, **bounds).select("batch_id", "rows", F.round("loss", 6).alias("loss"))
 
 
 def als_item_vectors(x: Inputs) -> DataFrame:
@@ -464,6 +465,20 @@ def batched_read(x: Inputs) -> DataFrame:
     return map_batches(x.train(), newest_id, schema, batch_size=1_000)
 
 
+def ordered_train(x: Inputs) -> str:
+    """Path of the training dataset stored in the order of its keys, in several files."""
+    return store(x.train().select(*ROW_KEY, "movie_id").repartitionByRange(5, *ROW_KEY).sortWithinPartitions(*ROW_KEY), "ordered")
+
+
+def batch_rows(x: Inputs, first: int, batches: int | None) -> DataFrame:
+    return read_batches(x.spark, ordered_train(x), BATCH, first, batches, columns=ROW_KEY)
+
+
+def buffer_shuffle(x: Inputs) -> DataFrame:
+    buffers = read_batches(x.spark, ordered_train(x), HELD_OUT, columns=ROW_KEY)
+    return shuffled_within(buffers, HELD_OUT, ROW_KEY).select(*ROW_KEY, "shuffle_position")
+
+
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "ratings_base": ratings_base,
     "movie_median": movie_median,
@@ -546,6 +561,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "pair_ranks": pair_ranks,
     "pair_ranks_blocked": pair_ranks_blocked,
     "softmax_loss": softmax_loss,
+    "softmax_loss_whole": lambda x: softmax_loss(x, HELD_OUT, block_rows=70, lookup_bytes=0),
     "als_item_vectors": als_item_vectors,
     "audience_index": audience_index,
     "best_users": best_users,
@@ -562,6 +578,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "updated_catalogue": lambda x: updated(x, LIBRARY)["movies"],
     "metrics_roundtrip": metrics_roundtrip,
     "batched_read": batched_read,
+    "taken_batches": lambda x: batch_rows(x, 0, 3),
+    "one_batch": lambda x: batch_rows(x, 2, 1),
+    "all_batches": lambda x: batch_rows(x, 0, None),
+    "buffer_shuffle": buffer_shuffle,
 }
 
 

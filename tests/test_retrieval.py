@@ -74,6 +74,13 @@ def test_ranks_and_loss(shipped, block_rows, lookup_bytes):
         part = exact[b * 25: (b + 1) * 25, b * 25: (b + 1) * 25]
         assert row.loss == pytest.approx((np.log(np.exp(part).sum(1)) - np.diag(part)).sum())
     assert [r.rows for r in losses] == [25, 25, 10]
+    # One batch as large as the table, in blocks and in batches of queries smaller than it, with scores beyond exp's reach.
+    large = rows.withColumn("query", F.transform("query", lambda x: x * 400)).withColumn("position", F.col("k") * 3)
+    whole = softmax_losses(large, 10_000, block_rows=7, lookup_bytes=0).collect()
+    part = 400 * exact
+    top = part.max(1, keepdims=True)
+    assert len(whole) == 1 and whole[0].rows == n
+    assert whole[0].loss == pytest.approx((np.log(np.exp(part - top).sum(1)) + top[:, 0] - np.diag(part)).sum())
 
 
 @pytest.mark.parametrize("side", ["post", "pre"])

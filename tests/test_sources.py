@@ -4,11 +4,15 @@ import pathlib
 import pytest
 from fixtures import day, movies, ratings
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.config import SequenceConfig
 from marquee.functions import sample_bucket
+from marquee.operators.split import shuffled_within
 from marquee.plans import datasets, training
-from marquee.session import shared_dir
+from marquee.session import shared_dir, store
+from marquee.sources.batches import BatchReader, read_batches, take_batches
+from marquee.sources.buckets import read_bucketed, write_bucketed
 from marquee.sources import (
     RATINGS, SnapshotLayout, check_schema, read_dataset, read_index, read_metrics, read_movies, read_ratings,
     write_dataset, write_metrics,
@@ -127,3 +131,74 @@ def test_schema_check(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
+    """The index and the rows it is joined to lie in buckets of the user: bucket meets bucket."""
+    rows = [(i, i % 23, i % 11, day(i), 3) for i in range(400)]
+    inference = datasets.inference_dataset(ratings(spark, rows), movies(spark), keys=True)
+    index = inference.select("user_id", "rating_id").withColumn("vector", F.array(F.lit(1.0), F.lit(2.0)))
+    for name, table in (("index", index), ("inference", inference)):
+        write_bucketed(table, str(tmp_path / name), "user_id", 8)
+    stored = [read_bucketed(spark, str(tmp_path / name), "user_id", 8) for name in ("index", "inference")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for on in (["user_id"], ["user_id", "rating_id"]):
+            # Further columns of the join may lie anywhere in a bucket, which Spark is told by a setting.
+            spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", str(len(on) == 1).lower())
+            joined = stored[1].join(stored[0], on)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            assert joined.count() == inference.join(index, on).count() > 0
+        grouped = stored[0].groupBy("user_id").count()
+        assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+    with pytest.raises(FileExistsError):
+        write_bucketed(index, str(tmp_path / "index"), "user_id", 8)
+
+
+def test_batches_by_place(spark, tmp_path):
+    """Batches cross files and row groups; one of them opens only the files that hold it."""
+    path = str(tmp_path / "rows")
+    df = spark.range(0, 1_050, 1, 4).select("id", (F.col("id") * 2).cast("int").alias("twice"), F.array("id").alias("ids"))
+    df.write.option("parquet.block.size", 1_000).parquet(path)
+    every = read_batches(spark, path, 100).orderBy("place").collect()
+    assert [r.place for r in every] == list(range(1_050)) and [r.id for r in every] == list(range(1_050))
+    assert all(r.batch_id == r.place // 100 and r.twice == 2 * r.id and r.ids == [r.id] for r in every)
+    assert read_batches(spark, path, 100).rdd.getNumPartitions() == 11
+    first = [sorted(map(tuple, take_batches(spark, path, 100, 2, ["id"]).collect())) for _ in range(2)]
+    assert first[0] == first[1] == [(i, i // 100, i) for i in range(200)]
+    for name in sorted((tmp_path / "rows").glob("part-*"))[:2]:
+        name.write_bytes(b"")  # only what lies in the last two files can still be read
+    offsets = store(spark.createDataFrame([(str(p), n, s) for p, n, s in zip(
+        sorted((tmp_path / "rows").glob("part-*")), (262, 263, 262, 263), (0, 262, 525, 787))], "file string, rows long, first long"), "files")
+    last = BatchReader(read_batches_schema(df), {"files": offsets, "rows": "100", "start": "9", "count": "1"})
+    (batch,) = last.partitions()
+    assert [row for part in last.read(batch) for row in part.column("id").to_pylist()] == list(range(900, 1_000))
+
+
+def read_batches_schema(df):
+    return T.StructType([*df.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("place", T.LongType())])
+
+
+def test_batches_of_nothing_and_odd_sizes(spark, tmp_path):
+    spark.range(0).write.parquet(str(tmp_path / "none"))
+    spark.range(5).write.parquet(str(tmp_path / "five"))
+    assert read_batches(spark, str(tmp_path / "none"), 3).collect() == []
+    assert read_batches(spark, str(tmp_path / "five"), 100).count() == 5
+    assert read_batches(spark, str(tmp_path / "five"), 2, 7).collect() == []
+    assert take_batches(spark, str(tmp_path / "five"), 2, 0).collect() == []
+    with pytest.raises(ValueError, match="at least one row"):
+        read_batches(spark, str(tmp_path / "five"), 0)
+
+
+def test_a_shuffle_within_buffers_exchanges_nothing(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 1_000, 1, 3).write.parquet(path)
+    shuffled = shuffled_within(read_batches(spark, path, 300), 300, ["id"])
+    assert "Exchange" not in shuffled._jdf.queryExecution().executedPlan().toString()
+    rows = shuffled.orderBy("shuffle_position").collect()
+    assert [r.shuffle_position for r in rows] == list(range(1_000))
+    assert all(r.id // 300 == r.shuffle_position // 300 for r in rows) and [r.id for r in rows] != sorted(r.id for r in rows)
