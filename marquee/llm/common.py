@@ -12,11 +12,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.session import materialise, ship_package
+from marquee.operators.stored import stored_batches
+from marquee.session import materialise, ship_package, store
 
 ROW = "_key"
 
@@ -105,6 +107,8 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 #: Keys that may be broadcast: 8 bytes each, a few times that in a hash table.
 BROADCAST_KEYS = 1_000_000
+#: Keys read together by a task that looks for them.
+KEYS_AT_ONCE = 65_536
 
 
 def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -117,6 +121,30 @@ def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return with_row_key(docs, key).join(dropped, key, "left_anti").select(*named)
 
 
+def rows_at(keyed: DataFrame, wanted: DataFrame, most_sent: int = BROADCAST_KEYS) -> DataFrame:
+    """Rows of a keyed table whose key is among the wanted ones (a stored table of distinct keys), found where they lie.
+
+    Few keys are sent to every task. More of them are stored in order, and a task reads for each batch those between its
+    smallest and its largest key; rows of a file have neighbouring keys, so it reads few others. Texts are never shuffled.
+    """
+    spark = keyed.sparkSession
+    if wanted.count() <= most_sent:
+        return keyed.join(F.broadcast(wanted.select(ROW)), ROW, "left_semi").select(*keyed.columns)
+    path = store(wanted.select(ROW).repartitionByRange(shuffle_partitions(spark), ROW).sortWithinPartitions(ROW), "wanted_in_order")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keys = batch.column(ROW).to_numpy()
+                between = (pyarrow.dataset.field(ROW) >= int(keys.min())) & (pyarrow.dataset.field(ROW) <= int(keys.max()))
+                found = [b.column(0).to_numpy() for b in stored_batches(path, KEYS_AT_ONCE, [ROW], between)]
+                hits = np.isin(keys, np.concatenate([np.zeros(0, dtype=np.int64), *found]))
+                if hits.any():
+                    yield batch.filter(pa.array(hits))
+
+    return keyed.mapInArrow(find, keyed.schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,14 +1,15 @@
 """Near-duplicate groups from bottom-k sketches of one hash function.
 
-1. A document's set of word shingles is hashed once; the ``kept`` smallest values are its sketch. Documents with
-   equal sets (128-bit digest of all values) become one node, so copies are never paired.
+1. A document's set of word shingles is hashed with one function. Documents with equal sets (128-bit digest of all
+   values) become one node, so copies are never paired. Of nodes that share a list with others, found in step 2, the
+   ``kept`` smallest values are the sketch.
 2. The ``listed`` smallest values feed inverted lists. Their document frequencies are counted, and a node enters
    only the lists of its rarest values: as many as make two nodes over the threshold share a list. A value seen
    once has no list, so passages and phrases that many documents share bring no work to documents that differ.
 3. Lists give pairs in rounds: first all members against one pivot per list. Of lists that still span several
    components, short ones give all their pairs across components; long ones are tried against further pivots,
    and what is left is compared block against block inside tasks, on whole sets, so that a long list's pairs are
-   never written out, only its links.
+   never written out, only its links. A block is bounded in members and in values.
 4. A pair's similarity is estimated on the union of the two sketches (the smallest ``kept`` values of both); it
    is exact where both sketches are whole sets. Pairs within ``deviations`` standard errors of the threshold or
    above it are verified on the words of the full texts.
@@ -29,22 +30,19 @@ import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import (
-    ROW, addressable, give_back, in_parts, ready, shuffle_partitions, whole_text, with_row_key,
+    ROW, addressable, give_back, in_parts, ready, rows_at, shuffle_partitions, whole_text, with_row_key,
 )
 from marquee.llm.components import component_stars
-from marquee.session import materialise
-
-if TYPE_CHECKING:
-    import pandas as pd  # a worker loads it for the blocks of long lists alone
+from marquee.session import materialise, scratch_path, scratch_scope
 
 
 @dataclass(frozen=True)
@@ -57,6 +55,7 @@ class NearPolicy:
     pivot_rounds: int = 3
     short_list: int = 32
     block: int = 512
+    block_values: int = 1_000_000
     broadcast_rows: int = 1_000_000
 
     @property
@@ -100,32 +99,58 @@ def shingles(text: str, size: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[i:] for i in range(size)), strict=False))
 
 
+def _values_of(batch: pa.RecordBatch, column: int, policy: NearPolicy) -> Iterator[np.ndarray]:
+    return (shingle_values(text, policy.words) for text in in_parts(batch.column(column)))
+
+
+def _lists_of(values: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, values)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *values])))
+
+
 def sketches(docs: DataFrame, policy: NearPolicy) -> DataFrame:
-    """Stored: row key, id, set size, digest of the whole set and the smallest values."""
+    """Stored: row key, id, set size, digest of the whole set and the values for the lists."""
     ready(docs.sparkSession)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, kept = [], [], []
-            for text in in_parts(batch.column(2)):
-                values = shingle_values(text, policy.words)
+            for values in _values_of(batch, 2, policy):
                 sizes.append(len(values))
                 digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
-                kept.append(values[: policy.kept])
-            ends = np.cumsum([0, *map(len, kept)])
-            flat = np.concatenate([np.zeros(0, dtype=np.int64), *kept])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists],
-                [ROW, "doc_id", "n", "digest", "sketch"],
-            )
+                kept.append(values[: policy.listed].copy())
+            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _lists_of(kept)]
+            yield pa.RecordBatch.from_arrays(columns, [ROW, "doc_id", "n", "digest", "listed"])
         give_back()
 
     rows = with_row_key(docs).select(ROW, "doc_id", whole_text().alias("text"))
-    schema = f"{ROW} long, doc_id long, n long, digest binary, sketch array<long>"
+    schema = f"{ROW} long, doc_id long, n long, digest binary, listed array<long>"
     return materialise(rows.mapInArrow(make, schema), "sketches")
 
 
+def _nodes(made: DataFrame, members: DataFrame, policy: NearPolicy) -> DataFrame:
+    """(node, n, listed): the first row of each set. Copies are few, or else rows meet their node's number by a shuffle."""
+    rows = made.where("n > 0").select(F.col(ROW).alias("node"), "n", "listed")
+    copies = members.where(f"n > 0 and node != {ROW}").select(F.col(ROW).alias("node"))
+    small = copies.count() <= policy.broadcast_rows
+    return rows.join(F.broadcast(copies) if small else copies, "node", "left_anti")
+
+
+def _sketched(nodes: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFrame:
+    """Stored (node, n, sketch) of the nodes (node) given, from their texts."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(len(values), values[: policy.kept].copy()) for values in _values_of(batch, 1, policy)]
+            arrays = [batch.column(0), pa.array([n for n, _ in found], pa.int64()), _lists_of([own for _, own in found])]
+            yield pa.RecordBatch.from_arrays(arrays, ["node", "n", "sketch"])
+        give_back()
+
+    wanted = materialise(nodes.select(F.col("node").alias(ROW)), "wanted")
+    rows = _texts_of(wanted, docs, policy).mapInArrow(make, "node long, n long, sketch array<long>")
+    return materialise(rows, "listed_nodes")
+
+
 def _members(made: DataFrame) -> DataFrame:
     """Each row's node: the first row with the same set. Salted, as one set may belong to a third of all rows."""
     rows = made.select(ROW, "doc_id", "n", "digest")
@@ -141,7 +166,7 @@ def _lists(nodes: DataFrame, policy: NearPolicy) -> DataFrame:
     """Stored (value, node, n): every node under the rarest of its listed values that others have too."""
     lengths = [0] + [size - least_overlap(size, policy) + 1 for size in range(1, policy.listed + 1)]
     listed = F.least(F.col("n"), F.lit(policy.listed)).cast("int")
-    postings = nodes.select("node", "n", F.explode(F.slice("sketch", 1, policy.listed)).alias("value"))
+    postings = nodes.select("node", "n", F.explode("listed").alias("value"))
     counts = postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = postings.join(counts, "value").groupBy("node", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "value"))).alias("found")
@@ -283,24 +308,28 @@ def _short_pairs(lists: DataFrame, policy: NearPolicy) -> DataFrame:
     return pairs.select(F.col("node").alias("high"), F.col("node2").alias("low")).distinct()
 
 
+#: Whole sets handed on together.
+SETS_AT_ONCE = 128
+
+
 def _whole_sets(lists: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFrame:
     """Stored (node, values): all shingle hashes of the nodes in the lists."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_values(text, policy.words) for text in in_parts(batch.column(1))]
-            arrays = [batch.column(0), pa.array(found, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["node", "values"])
+            for start in range(0, batch.num_rows, SETS_AT_ONCE):
+                part = batch.slice(start, SETS_AT_ONCE)
+                arrays = [part.column(0), _lists_of([*_values_of(part, 1, policy)])]
+                yield pa.RecordBatch.from_arrays(arrays, ["node", "values"])
+        give_back()
 
     wanted = materialise(lists.select(F.col("node").alias(ROW)).distinct(), "wanted")
     return materialise(_texts_of(wanted, docs, policy).mapInArrow(make, "node long, values array<long>"), "whole_sets")
 
 
 def _texts_of(wanted: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFrame:
-    """(row key, text) of the wanted rows, filtered where the texts lie as long as the keys are few."""
-    rows = with_row_key(docs).select(ROW, whole_text().alias("text"))
-    small = wanted.count() <= policy.broadcast_rows
-    return rows.join(F.broadcast(wanted) if small else wanted, ROW, "left_semi").select(ROW, "text")
+    """(row key, text) of the wanted rows, filtered where the texts lie."""
+    return rows_at(with_row_key(docs).select(ROW, whole_text().alias("text")), wanted, policy.broadcast_rows)
 
 
 def _block_links(lists: DataFrame, sets: DataFrame, policy: NearPolicy) -> DataFrame:
@@ -309,14 +338,24 @@ def _block_links(lists: DataFrame, sets: DataFrame, policy: NearPolicy) -> DataF
     Members outside a list's largest component meet each other and that component; members inside it do not
     meet. A task holds two blocks, and only links leave it.
     """
-    sizes = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("m"))
-    main = sizes.groupBy("value").agg(
-        F.max_by("component", F.struct("m", "component")).alias("main"), F.max("m").alias("inside"), F.sum("m").alias("all")
+    # Lists are counted and answered under salts, as one value may belong to very many nodes.
+    salts = shuffle_partitions(lists.sparkSession)
+    salted = lists.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int"))
+    sizes = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("v"))
+    largest = F.max_by(F.struct("component", "m", "v"), F.struct("m", "component"))
+    main = sizes.groupBy("value").agg(largest.alias("main"), F.sum("m").alias("m"), F.sum("v").alias("v"))
+    used = salted.groupBy("value", "salt").agg(F.lit(1)).groupBy("value").agg(F.collect_list("salt").alias("salts"))
+
+    def count(members: Column, values: Column) -> Column:
+        return F.ceil(F.greatest(members / policy.block, values / policy.block_values)).cast("int")
+
+    answers = main.join(used, "value").select(
+        "value", F.explode("salts").alias("salt"), F.col("main.component").alias("main"),
+        count(F.col("m") - F.col("main.m"), F.col("v") - F.col("main.v")).alias("outer_blocks"),
+        count(F.col("main.m"), F.col("main.v")).alias("inner_blocks"),
     )
-    count = lambda rows: F.ceil(rows / policy.block).cast("int")
-    rows = lists.join(main, "value").select(
-        "value", "node", "component", (F.col("component") == F.col("main")).alias("inner"),
-        count(F.col("all") - F.col("inside")).alias("outer_blocks"), count(F.col("inside")).alias("inner_blocks"),
+    rows = salted.join(answers, ["value", "salt"]).select(
+        "value", "node", "component", (F.col("component") == F.col("main")).alias("inner"), "outer_blocks", "inner_blocks",
     )
     own = F.pmod(F.xxhash64("node"), F.when(F.col("inner"), F.col("inner_blocks")).otherwise(F.col("outer_blocks"))).cast("int")
     rows = rows.withColumn("own", own)
@@ -336,47 +375,57 @@ def _block_links(lists: DataFrame, sets: DataFrame, policy: NearPolicy) -> DataF
     placed = rows.select("value", "node", "component", F.explode(places).alias("place"))
     placed = placed.select("value", "place.*", "node", "component").join(sets, "node")
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        import pandas as pd
+    def compare(group: pa.Table) -> pa.Table:
+        links = block_links(group, policy)
+        return pa.table({"high": pa.array([a for a, _ in links], pa.int64()), "low": pa.array([b for _, b in links], pa.int64())})
 
-        return pd.DataFrame(block_links(group, policy), columns=["high", "low"], dtype="int64")
-
-    return placed.groupBy("value", "to_inner", "i", "j").applyInPandas(compare, "high long, low long").distinct()
+    return placed.groupBy("value", "to_inner", "i", "j").applyInArrow(compare, "high long, low long").distinct()
 
 
 #: Distinct values whose occurrence is held as a matrix at a time.
-COLUMNS = 16_384
+COLUMNS = 4_096
 
 
-def block_links(group: pd.DataFrame, policy: NearPolicy) -> list[tuple[int, int]]:
+def block_links(group: pa.Table, policy: NearPolicy) -> list[tuple[int, int]]:
     """Linked pairs of a group's rows (node, component, values) that are in different components."""
     nodes, components = group["node"].to_numpy(), group["component"].to_numpy()
-    sizes = np.array([len(values) for values in group["values"]])
-    values, place = np.unique(np.concatenate(group["values"].to_list()), return_inverse=True)
-    owners = np.repeat(np.arange(len(group)), sizes)
+    lists = group["values"].combine_chunks()
+    sizes = pa.compute.list_value_length(lists).to_numpy()
+    values, place = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    owners = np.repeat(np.arange(len(nodes)), sizes)
     order = np.argsort(place, kind="stable")
     place, owners = place[order], owners[order]
-    common = np.zeros((len(group), len(group)), dtype=np.float64)
+    common = np.zeros((len(nodes), len(nodes)), dtype=np.float64)
     for first in range(0, len(values), COLUMNS):
         start, stop = np.searchsorted(place, [first, first + COLUMNS])
-        has = np.zeros((len(group), COLUMNS), dtype=np.float32)
+        has = np.zeros((len(nodes), COLUMNS), dtype=np.float32)
         has[owners[start:stop], place[start:stop] - first] = 1
         common += has @ has.T
     union = sizes[:, None] + sizes[None, :] - common
     linked = (100 * common >= policy.percent * union) & (components[:, None] != components[None, :])
-    return [(max(nodes[a], nodes[b]), min(nodes[a], nodes[b])) for a, b in zip(*np.nonzero(np.triu(linked)), strict=True)]
+    return [(int(max(nodes[a], nodes[b])), int(min(nodes[a], nodes[b]))) for a, b in zip(*np.nonzero(np.triu(linked)), strict=True)]
 
 
 def near_components(docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataFrame:
     """Per document: row key, id, set size, the smallest id of its group, and whether it is the row that stays."""
-    docs = addressable(docs.select("doc_id", "text"))
-    made = sketches(docs, policy)
-    members = _members(made)
-    nodes = made.where("n > 0").join(members.where(f"node = {ROW}").select(ROW), ROW, "left_semi")
-    nodes = nodes.select(F.col(ROW).alias("node"), "n", "sketch")
-    lists = _lists(nodes, policy)
+    spark = docs.sparkSession
+    path = scratch_path(spark, "labelled")
+    # What is stored on the way goes when the rows have their components.
+    with scratch_scope(spark):
+        docs = addressable(docs.select("doc_id", "text"))
+        made = sketches(docs, policy)
+        members = _members(made)
+        labels = _stars(made, members, docs, policy).select(F.col("high").alias("node"), F.col("low").alias("component"))
+        labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled.write.parquet(path)
+    return _with_groups(spark.read.schema(labelled.schema).parquet(path))
+
+
+def _stars(made: DataFrame, members: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFrame:
+    """(high, low): every node of a group but the smallest, with the smallest."""
+    lists = _lists(_nodes(made, members, policy), policy)
     # Most documents share no rare value with any other: only the rest take part from here on.
-    nodes = materialise(nodes.join(lists.select("node").distinct(), "node", "left_semi"), "listed_nodes")
+    nodes = _sketched(lists.select("node").distinct(), docs, policy)
     stars = None
 
     def contract(links: DataFrame) -> DataFrame:
@@ -397,17 +446,13 @@ def near_components(docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataF
         stars = contract(decided(pairs))
         open_lists = _open_lists(long, stars, policy.short_list + 1)
         if open_lists.isEmpty():
-            return _with_groups(members, stars)
-    sets = _whole_sets(open_lists, docs, policy)
-    return _with_groups(members, contract(_block_links(open_lists, sets, policy)))
+            return stars
+    return contract(_block_links(open_lists, _whole_sets(open_lists, docs, policy), policy))
 
 
-def _with_groups(members: DataFrame, stars: DataFrame) -> DataFrame:
-    """Back to all rows: the group's smallest id, found and returned under salts."""
-    labels = stars.select(F.col("high").alias("node"), F.col("low").alias("component"))
-    rows = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64(ROW), F.lit(shuffle_partitions(members.sparkSession))))
-    rows = materialise(rows, "labelled")
+def _with_groups(rows: DataFrame) -> DataFrame:
+    """Rows with their component: the group's smallest id, found and returned under salts."""
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(ROW), F.lit(shuffle_partitions(rows.sparkSession))))
     best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
     parts = rows.groupBy("component", "salt").agg(F.min(best).alias("best"))
     groups = parts.groupBy("component").agg(F.min("best").alias("best"), F.collect_list("salt").alias("salts"))

@@ -2,12 +2,12 @@
 
 import hashlib
 import math
+import pathlib
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from textcases import edited, prose, table
 
 from marquee.llm import components, exact_dedup, near_dedup, sharding
+from marquee.session import shared_dir
 
 
 def test_exact_groups(edge, edge_rows):
@@ -146,16 +147,26 @@ def family(spark):
     near_dedup.NearPolicy(words=3, percent=85),
     near_dedup.NearPolicy(words=2, percent=70, kept=32, listed=16),
     near_dedup.NearPolicy(words=3, percent=85, short_list=3, block=8, pivot_rounds=2),
+    near_dedup.NearPolicy(words=3, percent=85, short_list=3, block_values=600, pivot_rounds=1, broadcast_rows=0),
 ])
 def test_near_components_of_a_family(family, policy):
     check_components(*family, policy)
 
 
+def test_near_components_leave_one_table_behind(spark, family):
+    def stored():
+        return {path for path in pathlib.Path(shared_dir(spark).removeprefix("file:")).glob("marquee/*/*")}
+
+    before = stored()
+    near_dedup.near_components(*family[:1], near_dedup.NearPolicy(words=3, percent=85)).collect()
+    assert [path.name for path in stored() - before] == ["labelled"]
+
+
 def test_blocks_of_whole_sets():
     policy = near_dedup.NearPolicy(percent=68)
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 60, 100)) for _ in range(25)]
-    group = pd.DataFrame({"node": range(25), "component": [i % 7 for i in range(25)], "values": sets})
+    group = pa.table({"node": range(25), "component": [i % 7 for i in range(25)], "values": [own.tolist() for own in sets]})
     wanted = {
         (a, b) for a in range(25) for b in range(a) if a % 7 != b % 7
         and 100 * len(set(sets[a]) & set(sets[b])) >= 68 * len(set(sets[a]) | set(sets[b]))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from textcases import edited, prose, table
 
 from marquee.llm import decontaminate, near_dedup
-from marquee.llm.common import ROW, _window, addressable, has_places, with_row_key, without_rows
+from marquee.llm.common import ROW, _window, addressable, has_places, rows_at, with_row_key, without_rows
 
 #: Small files are cut into as many splits as there are cores, as large ones would be.
 CUT = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.maxPartitionBytes": "128m"}
@@ -119,3 +119,17 @@ def test_files_are_told_apart(spark, tmp_path):
 def test_a_hidden_name_is_refused(spark):
     with pytest.raises(ValueError, match="rename"):
         addressable(spark.range(2).withColumn("_metadata", F.lit(1)))
+
+
+@pytest.mark.parametrize("most", [0, 1_000])
+def test_rows_are_found_where_they_lie(spark, cores, files, most):
+    """By keys sent along and by keys read from the shared folder, a few of them at a time."""
+    docs, _ = files
+    cores(5)
+    keyed = with_row_key(docs.select("doc_id"))
+    wanted = spark.createDataFrame(keyed.where("doc_id % 3 = 0").select(ROW).collect(), f"{ROW} long")
+    found = rows_at(keyed.select(ROW, "doc_id"), wanted, most)
+    assert sorted(r.doc_id for r in found.collect()) == sorted(r.doc_id for r in docs.collect() if r.doc_id % 3 == 0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("MapInArrow" in plan) == (most == 0) and "Exchange hash" not in plan
+    assert rows_at(keyed, wanted.limit(0), most).collect() == []
