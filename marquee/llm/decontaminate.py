@@ -1,16 +1,21 @@
-"""Benchmark decontamination: n-gram seeds join passages to test items, and local alignment scores them.
-
-Every document is searched once for the n-grams of the test items, and each n-gram found is a seed of every item
-that holds it, however common it is. An item is left out of a document only where too few of its words occur for
-any alignment to reach ``least_score``, which keeps common phrases from costing alignments and loses nothing.
-Around the places of its seeds an item is aligned with the document's words (Smith-Waterman, linear gaps), which
-follows inserted, dropped and replaced words. A score is the alignment's share of what the whole item would score.
-
-Test items are sent to every task in parts of at most ``part_bytes``; a larger benchmark takes several turns.
-
-Defined cases: null and empty texts match nothing; items with fewer than ``least_words`` words are too short to
-tell a copy from chance and are left out; repeated items count apart, an item without an id too; repeated
-documents are judged each. Further columns are not read. An empty table on either side gives no matches.
+"""Benchmark decontamination: rare n-gram seeds join passages to test items, and local alignment scores them.
+
+1. Every document is searched once for the n-grams of all test items, by hash. The hashes are sent to every task in order
+   while they are few; beyond that a task holds the hashes of its documents and reads those of the items past them.
+2. An n-gram's rarity is the number of documents that hold it. Of each ``stretch`` neighbouring n-grams of an item that
+   occur at all, the rarest is a seed; so every stretch of an item keeps one, and a phrase that many items or documents
+   share is a seed only where nothing rarer stands beside it.
+3. Seeds join documents to items. Around the places of all its n-grams an item is aligned with the document's words
+   (Smith-Waterman, linear gaps), which follows inserted, dropped and replaced words. A score is the alignment's share of
+   what the whole item would score. An item is left out of a document only where too few of its words occur for any
+   alignment to reach ``least_score``, which keeps common phrases from costing alignments and loses nothing.
+
+A copy is found where ``seed_words`` + ``stretch`` - 1 words of it stand unbroken, and where ``seed_words`` do if no other
+document holds more of that place. Items shorter than ``seed_words`` are sought whole.
+
+Defined cases: null and empty texts match nothing; items with fewer than ``least_words`` words are too short to tell a
+copy from chance and are left out, unless that is lowered; repeated items count apart, an item without an id too;
+repeated documents are judged each. Further columns are not read. An empty table on either side gives no matches.
 """
 
 from __future__ import annotations
@@ -21,11 +26,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import ROW, addressable, give_back, in_parts, ready, whole_text, with_pass_key, with_row_key
-from marquee.session import materialise
+from marquee.config import SkewPolicy
+from marquee.llm.common import ROW, addressable, give_back, in_parts, ready, rows_at, shuffle_partitions, whole_text, with_row_key
+from marquee.operators.skew import with_positions
+from marquee.operators.stored import stored_batches
+from marquee.session import materialise, store
 
 _WORD = re.compile(r"\w+")
 
@@ -33,12 +43,14 @@ _WORD = re.compile(r"\w+")
 @dataclass(frozen=True)
 class LeakPolicy:
     seed_words: int = 4
+    stretch: int = 2
     least_words: int = 5
     match: int = 2
     mismatch: int = 1
     gap: int = 1
     least_score: float = 0.6
-    part_bytes: int = 32 * 1024 * 1024
+    sent_hashes: int = 2_000_000
+    held_hashes: int = 4_000_000
     broadcast_rows: int = 1_000_000
 
 
@@ -46,8 +58,39 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def grams_of(words: list[str], size: int) -> Iterator[tuple[str, ...]]:
-    return zip(*(words[i:] for i in range(size)), strict=False)
+#: Words whose hashes a task keeps; they start anew beyond it.
+KEPT_WORDS = 200_000
+
+
+class WordHashes(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        self[word] = hashed = xxhash.xxh3_64_intdigest(word)
+        return hashed
+
+
+def word_hashes(words: list[str], known: WordHashes | None = None) -> np.ndarray:
+    find = (WordHashes() if known is None else known).__getitem__
+    return np.fromiter(map(find, words), dtype=np.uint64, count=len(words))
+
+
+def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the n-grams of ``size`` words, from those of the words."""
+    if len(words) < size:
+        return np.zeros(0, dtype=np.int64)
+    values = words[: len(words) - size + 1].copy()
+    for i in range(1, size):
+        values = values * np.uint64(0x9E3779B97F4A7C15) + words[i: len(words) - size + 1 + i]
+    values ^= values >> np.uint64(29)
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    values ^= values >> np.uint64(32)
+    return values.view(np.int64)
+
+
+def item_grams(words: list[str], policy: LeakPolicy) -> np.ndarray:
+    """Hashes of an item's n-grams in order; a short item is one of them."""
+    return gram_hashes(word_hashes(words), min(policy.seed_words, len(words))) if words else np.zeros(0, dtype=np.int64)
 
 
 def align(item: np.ndarray, passage: np.ndarray, policy: LeakPolicy) -> tuple[float, int, int]:
@@ -93,59 +136,112 @@ def regions(seeds: list[tuple[int, int]], item_words: int, n_words: int, policy:
     return found
 
 
-def _item_parts(items: DataFrame, policy: LeakPolicy) -> Iterator[list[tuple]]:
-    """Items as (number, id, words) in parts whose texts keep to the bound of what a task gets sent."""
-    rows = materialise(with_pass_key(items.select("item_id", whole_text().alias("text"))), "items")
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    turns = max(1, -(-total * 2 // policy.part_bytes))
-    turn = F.pmod(F.xxhash64(ROW), F.lit(turns))
-    for i in range(turns):
-        part = [(row[ROW], row["item_id"], words_of(row["text"])) for row in rows.where(turn == i).collect()]
-        yield [item for item in part if len(item[2]) >= policy.least_words]
+NONE = np.zeros(0, dtype=np.int64)
+
 
+def numbered_items(items: DataFrame, policy: LeakPolicy) -> DataFrame:
+    """Stored (number, item_id, text): items numbered densely, in that order."""
+    rows = materialise(items.select("item_id", whole_text().alias("text"), F.monotonically_increasing_id().alias("place")), "items")
+    narrow, n = rows.select("place"), rows.count()
+    numbers = with_positions(narrow, (), ("place",), SkewPolicy(), n, name="number")
+    joined = rows.join(numbers, "place").select("number", "item_id", "text")
+    return materialise(joined.repartitionByRange(shuffle_partitions(items.sparkSession), "number").sortWithinPartitions("number"), "numbered_items")
 
-def _hits(docs: DataFrame, grams: dict[tuple[str, ...], int], policy: LeakPolicy) -> DataFrame:
-    """Stored: documents that hold any of the n-grams, with the n-grams' numbers and places."""
-    sent = docs.sparkSession.sparkContext.broadcast(grams)
+
+def item_postings(items: DataFrame, policy: LeakPolicy) -> DataFrame:
+    """Stored (hash, number, pos, size): the n-grams of all items that are long enough."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, text in zip(batch.column(0).to_pylist(), in_parts(batch.column(1)), strict=True):
+                words = words_of(text)
+                if len(words) >= max(1, policy.least_words):
+                    grams, size = item_grams(words, policy), min(policy.seed_words, len(words))
+                    n = len(grams)
+                    arrays = [pa.array(grams), pa.array(np.full(n, number)), pa.array(np.arange(n)), pa.array(np.full(n, size))]
+                    yield pa.RecordBatch.from_arrays(arrays, ["hash", "number", "pos", "size"])
+        give_back()
+
+    schema = "hash long, number long, pos long, size long"
+    return materialise(items.select("number", "text").mapInArrow(cut, schema), "item_grams")
+
+
+def _hits(docs: DataFrame, postings: DataFrame, sizes: list[int], policy: LeakPolicy) -> DataFrame:
+    """Stored: documents that hold any n-gram of the items, with the n-grams' hashes and places, in one pass over them."""
+    spark = docs.sparkSession
+    distinct = postings.select("hash").distinct()
+    path = store(distinct.repartitionByRange(shuffle_partitions(spark), "hash").sortWithinPartitions("hash"), "item_hashes")
+    stored = spark.read.parquet(path)
+    few = stored.count() <= policy.sent_hashes
+    sent = spark.sparkContext.broadcast(np.sort(stored.toPandas()["hash"].to_numpy()) if few else None)
+
+    def known_among(values: np.ndarray) -> np.ndarray:
+        """Those of the sorted hashes that are the items', which are read past them."""
+        parts = [np.zeros(0, dtype=np.int64)]
+        for batch in stored_batches(path, policy.sent_hashes, ["hash"]):
+            parts.append(np.intersect1d(values, batch.column(0).to_numpy(), assume_unique=True))
+        return np.sort(np.concatenate(parts))
+
+    def marked(held: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        wanted = sent.value if few else known_among(np.unique(np.concatenate([NONE, *(grams for _, grams, _ in held)])))
+        rows = []
+        for row, grams, places in held if len(wanted) else ():
+            at = np.minimum(np.searchsorted(wanted, grams), len(wanted) - 1)
+            found = wanted[at] == grams
+            if found.any():
+                rows.append((row, grams[found], places[found]))
+        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [ROW, "hashes", "places"]
+        )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = sent.value
+        held, size, known = [], 0, WordHashes()
+        most = policy.held_hashes // (32 if few else 1)  # nothing is gained by holding more where nothing is read
         for batch in batches:
-            rows = []
             for row, text in zip(batch.column(0).to_pylist(), in_parts(batch.column(1)), strict=True):
-                found = [
-                    (wanted[gram], place)
-                    for place, gram in enumerate(grams_of(words_of(text), policy.seed_words)) if gram in wanted
-                ]
-                if found:
-                    rows.append((row, [gram for gram, _ in found], [place for _, place in found]))
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [ROW, "grams", "places"]
-            )
+                words = word_hashes(words_of(text), known)
+                grams = [gram_hashes(words, n) for n in sizes]
+                held.append((row, np.concatenate(grams), np.concatenate([np.arange(len(own)) for own in grams])))
+                size += sum(map(len, grams))
+                if size >= most:
+                    yield from marked(held)
+                    held, size = [], 0
+        yield from marked(held)
         give_back()
 
-    schema = f"{ROW} long, grams array<int>, places array<int>"
+    schema = f"{ROW} long, hashes array<long>, places array<long>"
     return materialise(docs.select(ROW, "text").mapInArrow(search, schema), "gram_hits")
 
 
-class Postings:
-    """For each n-gram's number, the items that hold it and where."""
+def rarest_of_stretches(positions: np.ndarray, counts: np.ndarray, stretch: int) -> np.ndarray:
+    """Places, in arrays sorted by position, of the rarest n-gram of each ``stretch`` neighbouring ones; of a shorter run,
+    of all. Ties go to one that is chosen already, then to the last."""
+    chosen: set[int] = set()
+    cuts = [0, *(np.flatnonzero(np.diff(positions) != 1) + 1).tolist(), len(positions)]
+    for begin, end in zip(cuts, cuts[1:], strict=False):
+        width = min(stretch, end - begin)
+        for at in range(begin, end - width + 1) if width else ():
+            chosen.add(min(range(at, at + width), key=lambda i: (counts[i], i not in chosen, -i)))
+    return np.array(sorted(chosen), dtype=np.int64)
 
-    def __init__(self, places: list[tuple[int, int, int]]):
-        table = np.array(sorted(places), dtype=np.int64).reshape(-1, 3)
-        self.items, self.at = table[:, 1].copy(), table[:, 2].astype(np.int32)
-        self.bounds = np.searchsorted(table[:, 0], np.arange(table[-1, 0] + 2))
 
-    def seeds(self, grams: list[int], places: list[int]) -> dict[int, list[tuple[int, int]]]:
-        """Per item its (place in the item, place in the document) of a document's n-grams."""
-        found: dict[int, list[tuple[int, int]]] = {}
-        for gram, place in zip(grams, places, strict=True):
-            own = slice(self.bounds[gram], self.bounds[gram + 1])
-            for number, pos in zip(self.items[own].tolist(), self.at[own].tolist(), strict=True):
-                found.setdefault(number, []).append((pos, place))
-        return found
+def seeds_of(postings: DataFrame, hits: DataFrame, policy: LeakPolicy) -> DataFrame:
+    """Stored (hash, number): the seeds of each item."""
+    df = hits.select(F.explode(F.array_distinct("hashes")).alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("df"))
+    occurring = postings.join(df, "hash").groupBy("number").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "df", "hash"))).alias("found")
+    )
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                pos, df, hashes = (found.values.field(i).to_numpy() for i in range(3))
+                own = np.unique(hashes[rarest_of_stretches(pos, df, policy.stretch)])
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), number))], ["hash", "number"])
+
+    return materialise(occurring.mapInArrow(choose, "hash long, number long"), "seeds")
 
 
 def may_reach(item: list[str], held: set[str], policy: LeakPolicy) -> bool:
@@ -156,22 +252,34 @@ def may_reach(item: list[str], held: set[str], policy: LeakPolicy) -> bool:
 LINKS = "item_id long, score double, first_word long, last_word long"
 
 
-def _aligned(docs: DataFrame, hits: DataFrame, postings: Postings, items: list[tuple], policy: LeakPolicy) -> DataFrame:
-    """Alignments (row, item, score, span) of the documents in ``hits`` with the items whose n-grams they hold."""
-    known_items = {number: (item_id, words) for number, item_id, words in items}
-    sent = docs.sparkSession.sparkContext.broadcast((known_items, postings))
+def _aligned(docs: DataFrame, hits: DataFrame, pairs: DataFrame, items_path: str, policy: LeakPolicy) -> DataFrame:
+    """Alignments (row, item, score, span) of documents with the items whose seeds they hold.
+
+    Items are read from the shared folder, those of a batch of documents at a time.
+    """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table = sent.value
         for batch in batches:
+            wanted = np.unique(batch.column(4).flatten().to_numpy())
+            number = pyarrow.dataset.field("number")
+            span = (number >= int(wanted.min())) & (number <= int(wanted.max())) & number.isin(pa.array(wanted)) if len(wanted) else None
+            known = {
+                row["number"]: (row["item_id"], words_of(row["text"]))
+                for part in (stored_batches(items_path, 1_000, where=span) if len(wanted) else ()) for row in part.to_pylist()
+            }
             rows = []
-            for row, text, grams, places in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            for row, text, hashes, places, numbers in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 words = words_of(text)
-                held = set(words)
-                for number, seeds in table.seeds(grams, places).items():
-                    item_id, item = known[number]
+                held, at = set(words), {}
+                for gram, place in zip(hashes, places, strict=True):
+                    at.setdefault(gram, []).append(place)
+                for own_number in numbers:
+                    item_id, item = known[own_number]
                     if not may_reach(item, held, policy):
                         continue
+                    seeds = [
+                        (pos, place) for pos, gram in enumerate(item_grams(item, policy).tolist()) for place in at.get(gram, ())
+                    ]
                     codes = {word: i for i, word in enumerate(dict.fromkeys(item))}
                     own = np.array([codes[word] for word in item])
                     best = (0.0, 0, -1)
@@ -182,39 +290,38 @@ def _aligned(docs: DataFrame, hits: DataFrame, postings: Postings, items: list[t
                         share, first, last = align(own, passage, policy)
                         if share > best[0]:
                             best = share, begin + first, begin + last
-                    rows.append((row, item_id, *best))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+                    rows.append((row, own_number, item_id, *best))
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                [ROW, "item_id", "score", "first_word", "last_word"],
+                [ROW, "number", "item_id", "score", "first_word", "last_word"],
             )
+        give_back()
 
-    small = hits.count() <= policy.broadcast_rows
-    texts = docs.select(ROW, "text").join(F.broadcast(hits.select(ROW)) if small else hits.select(ROW), ROW, "left_semi")
-    return texts.join(hits, ROW).select(ROW, "text", "grams", "places").mapInArrow(score, f"{ROW} long, {LINKS}")
+    texts = rows_at(docs.select(ROW, "text"), pairs.select(ROW), policy.broadcast_rows)
+    joined = texts.join(hits, ROW).join(pairs, ROW).select(ROW, "text", "hashes", "places", "numbers")
+    return joined.mapInArrow(score, f"{ROW} long, number long, {LINKS}")
 
 
 def leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
-    """Stored: (row key, item_id, score, first_word, last_word) of documents that share seeds and words with an item."""
+    """Stored: (row key, item number, item_id, score, first_word, last_word) of documents that share seeds and words with
+    an item."""
     spark = docs.sparkSession
     ready(spark)
     rows = with_row_key(addressable(docs.select("doc_id", "text"))).select("doc_id", whole_text().alias("text"), ROW)
-    found = None
-    for part in _item_parts(items, policy):
-        grams: dict[tuple[str, ...], int] = {}
-        places = []
-        for number, _, words in part:
-            own = grams_of(words, policy.seed_words)
-            places += [(grams.setdefault(gram, len(grams)), number, pos) for pos, gram in enumerate(own)]
-        if not places:
-            continue
-        hits = _hits(rows, grams, policy)
-        links = _aligned(rows, hits, Postings(places), part, policy)
-        found = links if found is None else found.union(links)
-    if found is None:
-        return spark.createDataFrame([], f"{ROW} long, {LINKS}")
-    return materialise(found, "leaks")
+    path = store(numbered_items(items, policy), "items")
+    postings = item_postings(spark.read.parquet(path), policy)
+    sizes = sorted(row["size"] for row in postings.select("size").distinct().collect())  # at most seed_words
+    if not sizes:
+        return spark.createDataFrame([], f"{ROW} long, number long, {LINKS}")
+    hits = _hits(rows, postings, sizes, policy)
+    seeds = seeds_of(postings, hits, policy)
+    held = hits.select(ROW, F.explode(F.array_distinct("hashes")).alias("hash"))
+    small = seeds.count() <= policy.broadcast_rows
+    met = held.join(F.broadcast(seeds) if small else seeds, "hash")
+    pairs = materialise(met.groupBy(ROW).agg(F.collect_set("number").alias("numbers")), "pairs")
+    return materialise(_aligned(rows, hits, pairs, path, policy), "leaks")
 
 
 def contamination(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
@@ -222,7 +329,7 @@ def contamination(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPo
     docs = addressable(docs.select("doc_id", "text"))
     bad = leaks(docs, items, policy).where(F.col("score") >= policy.least_score)
     best = F.max_by(
-        F.struct("item_id", "score", "first_word", "last_word"), F.struct("score", F.negative("item_id"))
+        F.struct("item_id", "score", "first_word", "last_word"), F.struct("score", F.negative("item_id"), F.negative("number"))
     )
     found = bad.groupBy(ROW).agg(F.count(F.lit(1)).alias("n_items"), best.alias("best"))
     rows = with_row_key(docs.select("doc_id"))
