@@ -68,7 +68,8 @@ def blocks(turns: DataFrame) -> DataFrame:
     cut = F.filter(F.split(whole_text(), BLOCK_START, -1), lambda x: F.length(F.trim(x)) > 0)
     cut = F.when(F.size(cut) > 0, cut).otherwise(F.array(F.lit("")))
     known = F.col("role") if "role" in turns.columns else F.lit(None).cast("string")
-    rows = with_row_key(turns).select(ROW, "conv_id", "turn", known.alias("known"), F.posexplode(cut).alias("block", "raw"))
+    # The outer kind: for the other, Spark would cut texts twice, first to leave out rows without blocks, which there are none of.
+    rows = with_row_key(turns).select(ROW, "conv_id", "turn", known.alias("known"), F.posexplode_outer(cut).alias("block", "raw"))
     marker = F.lit(NONE)
     for code, words in reversed(list(enumerate(MARKERS.values(), 1))):
         marker = F.when(F.col("raw").rlike("(?i)^" + _marker(words)), F.lit(code)).otherwise(marker)

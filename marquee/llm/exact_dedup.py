@@ -111,7 +111,8 @@ def _name(chunk: Column, policy: ChunkPolicy) -> Column:
 
 def colliding_names(chunked: DataFrame, policy: ChunkPolicy) -> DataFrame:
     """Names that stand for at least two different chunks: the smallest and the largest chunk differ."""
-    chunks = chunked.select(F.explode("_chunks").alias("chunk"))
+    # The outer kind: for the other, Spark would find the chunks twice, first to leave out rows that have none.
+    chunks = chunked.select(F.explode_outer("_chunks").alias("chunk")).where("chunk is not null")
     found = chunks.groupBy(_name(F.col("chunk"), policy).alias("name")).agg(
         F.min("chunk").alias("low"), F.max("chunk").alias("high")
     )
@@ -120,7 +121,7 @@ def colliding_names(chunked: DataFrame, policy: ChunkPolicy) -> DataFrame:
 
 def _variants(chunked: DataFrame, colliding: DataFrame, policy: ChunkPolicy) -> DataFrame:
     """Per row the numbers, in text order, that tell apart its chunks of colliding names."""
-    chunks = chunked.select(ROW, F.posexplode("_chunks").alias("pos", "chunk"))
+    chunks = chunked.select(ROW, F.posexplode_outer("_chunks").alias("pos", "chunk")).where("chunk is not null")
     chunks = chunks.withColumn("name", _name(F.col("chunk"), policy)).join(colliding, "name", "left_semi")
     order = Window.partitionBy("name").orderBy("chunk")
     numbers = chunks.select("name", "chunk").distinct().withColumn("variant", F.row_number().over(order))
