@@ -89,6 +89,8 @@ class TextModel:
 
 
 HASHES = 1 << 30
+#: What is left of a sum of shares once its only row is taken away, and more than rounding leaves.
+NO_ONE = 1e-12
 
 #: Trigram tables that a task holds at a time: of more languages, it hands on what it has counted.
 TABLES_AT_ONCE = 64
@@ -111,7 +113,9 @@ def sample_languages(labelled: DataFrame, policy: LanguagePolicy) -> tuple[list[
     limits = [
         (row["lang"], max(row["first"] + 1, int(taken[row["lang"]] / row["n"] * HASHES))) for row in counted
     ]
-    known = labelled.sparkSession.createDataFrame(limits, "lang string, places long")
+    # Built from literals: a table of Python rows would start workers of another kind beside those that read texts.
+    listed = F.array(*(F.struct(F.lit(lang).alias("lang"), F.lit(n).cast("long").alias("places")) for lang, n in limits))
+    known = labelled.sparkSession.range(1 if limits else 0).select(F.inline(listed if limits else F.expr("array(struct('' as lang, 0L as places))")))
     return sorted(taken), labelled.join(F.broadcast(known), "lang").where(place < F.col("places")).select("text", "lang")
 
 
@@ -224,11 +228,15 @@ def fuse(rows: DataFrame, model: TextModel, policy: LanguagePolicy = LanguagePol
         return F.when(F.col(sums).isNull() | own.isNull(), below).otherwise(share)
 
     def link(sums: str) -> Column:
-        """log P(value | language) for a value that goes with languages as ``sums``; 0 where there is none."""
-        a = F.lit(policy.link_weight)
-        likely = _let(a * _total(F.col(sums)) / F.lit(float(whole.sum())), lambda little: F.transform(
-            sums, lambda x, i: F.log((x + little) / (F.get(totals, i) + a))
-        ))
+        """log P(value | language) for a value that goes with languages as ``sums``, the row itself left out.
+
+        0 where there is no value, or no other row with it.
+        """
+        a, own = F.lit(policy.link_weight), F.col("posterior")
+        others = F.transform(sums, lambda x, i: F.greatest(x - F.coalesce(F.get(own, i), F.lit(0.0)), F.lit(0.0)))
+        likely = _let(others, lambda left: _let(a * _total(left) / F.lit(float(whole.sum())), lambda little: F.transform(
+            left, lambda x, i: F.when(little > NO_ONE, F.log((x + little) / (F.get(totals, i) + a))).otherwise(F.lit(0.0))
+        )))
         return F.coalesce(likely, F.array_repeat(F.lit(0.0), width))
 
     joined = joined.withColumn("host_prior", smoothed("host_sums", smoothed("domain_sums", overall)))
