@@ -4,11 +4,17 @@ A disguised word is a path through a lattice: look-alike signs stand for letters
 for nothing, a drawn-out letter stands for one or two. The path whose letters are likeliest under character
 trigrams, counting what each disguise costs, is the restored word. Where words are written letter by letter, each
 space stands for nothing or for the end of a word. Signs around a token may be punctuation or letters: both are read.
+
+Before that, characters that are not seen are dropped, and letters of other widths or with accents are read as written
+and as plain ones. A token of pairs of letters is read as one of its single letters too, and a token with other signs
+inside part by part. Words cut into pieces of any length are put together where the letters are likelier as one word.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
+from collections.abc import Collection
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +25,9 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "{": "c", "<": "c", "€": "e", "£": "l", "¥": "y",
 }
 SEPARATORS = ".-_*~'`^·"
+#: Signs that may hide a vowel inside a word.
+MASKS = "*#"
+VOWELS = "aeiou"
 LOOKALIKE_COST, SEPARATOR_COST, DOUBLED_COST, SHORTENED_COST = -0.5, -0.3, -0.7, -1.5
 
 SYMBOLS = 28  # 0 outside a word, 1 to 26 the letters, 27 a byte of any other letter
@@ -31,7 +40,12 @@ _SIGNS = re.escape("".join(LOOKALIKES))
 _OPENING = tuple(map(re.compile, (r"\W*", r"[^\w@$|+({<€£¥]*", rf"[^\w{_SIGNS}]*")))
 _ENDING = re.compile(r"\W+$")
 _LETTERLIKE = re.compile(f"[{_SIGNS}{re.escape(SEPARATORS)}]*")
-
+_MASKED = re.compile(rf"(?<=[^\W\d_])[{MASKS}](?=[^\W\d_])")
+_PAIRS = re.compile(r"(?:([^\W\d_])\1){3,}")
+#: Signs that no word is written with.
+_OTHER_SIGNS = re.compile(rf"[^\w{_SIGNS}{re.escape(SEPARATORS + MASKS)}]+")
+#: Characters that are not seen: joiners, marks of direction, soft hyphens, variation selectors. Fixed values.
+_UNSEEN = re.compile("[\u00ad\u034f\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]")
 
 
 def byte_codes() -> np.ndarray:
@@ -60,12 +74,22 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
     return np.log(p3)
 
 
+def tokens_of(text: str) -> list[str]:
+    """Lower-cased tokens between white space, without characters that are not seen."""
+    return (text if text.isascii() else _UNSEEN.sub("", text)).lower().split()
+
+
+def folded(token: str) -> str:
+    """The token in letters of usual width and without accents."""
+    return "".join(ch for ch in unicodedata.normalize("NFKD", token) if not unicodedata.combining(ch)).lower()
+
+
 def is_disguised(token: str) -> bool:
     """Has the token letters, and look-alikes, separators or drawn-out letters among them?"""
     if len(token) < 3 or token.isalpha() and not _DRAWN_OUT.search(token):
         return False
     letters = len(_LETTER.findall(token))
-    signs = sum(ch in LOOKALIKES or ch in SEPARATORS for ch in token)
+    signs = sum(ch in LOOKALIKES or ch in SEPARATORS or ch in MASKS for ch in token)
     return letters > 0 and (signs > 0 or _DRAWN_OUT.search(token) is not None) and letters + signs == len(token)
 
 
@@ -86,7 +110,7 @@ def _runs(token: str) -> list[tuple[str, int]]:
 
 def _arcs(ch: str, times: int) -> list[tuple[str, float]]:
     """Letters that a run of one sign may stand for, and what that costs."""
-    if ch in SEPARATORS:
+    if ch in SEPARATORS or ch in MASKS:
         return [("", SEPARATOR_COST)]
     letters, cost = (LOOKALIKES[ch], LOOKALIKE_COST) if ch in LOOKALIKES else (ch, 0.0)
     if times == 1:
@@ -138,7 +162,26 @@ def restore(token: str, model: np.ndarray, sure: int | None = None) -> str:
 
 
 def readings(token: str, model: np.ndarray) -> list[str]:
-    """Words that a token may stand for: signs around it are read as punctuation, and where they can be as letters."""
+    """Words that a token may stand for, as written, with plain letters, with single ones for pairs, and part by part."""
+    words = _readings(token, model)
+    if not token.isascii() and (plain := folded(token)) != token:
+        words += _readings(plain, model)
+    if _PAIRS.fullmatch(token):
+        words += _readings(token[::2], model)
+    if len(_MASKED.findall(token)) == 1:  # each vowel: trigrams alone cannot tell which
+        words += [word for vowel in VOWELS for word in _readings(_MASKED.sub(vowel, token), model)]
+    parts = [part for part in _OTHER_SIGNS.split(token) if part]
+    if len(parts) > 1:
+        letters = [_LETTER.findall(part) for part in parts]
+        if all(len(own) == 1 for own in letters):  # a letter to each part
+            words.append("".join(own[0] for own in letters))
+        else:
+            words += [word for part in parts if len(part) > 1 for word in _readings(part, model)]
+    return list(dict.fromkeys(words))
+
+
+def _readings(token: str, model: np.ndarray) -> list[str]:
+    """Readings of one spelling: signs around it are read as punctuation, and where they can be as letters."""
     if token.isalpha() and not _DRAWN_OUT.search(token):
         return [token]
     stop = len(_ENDING.sub("", token))
@@ -161,7 +204,40 @@ def _single(token: str) -> str:
     return " "
 
 
-def spaced_words(tokens: list[str], least: int = 4) -> list[str]:
+def log_likelihood(words: list[str], model: np.ndarray) -> float:
+    """Of the letters of words after one another, each begun and ended."""
+    total = 0.0
+    for word in words:
+        a = b = 0
+        for byte in word.encode():
+            code = _CODES[byte]
+            total += model[a, b, code]
+            a, b = b, code
+        total += model[a, b, 0]
+    return total
+
+
+def joined_pieces(tokens: list[str], known: Collection[str], beginnings: Collection[str], model: np.ndarray) -> list[str]:
+    """Known words that neighbouring tokens make together and are likelier as one word than as several.
+
+    ``beginnings`` are those of the known words; pieces are taken in while they make one.
+    """
+    found = []
+    for at, token in enumerate(tokens):
+        if token not in beginnings:
+            continue
+        pieces = [token]
+        for further in tokens[at + 1:]:
+            pieces.append(bare(further))
+            word = "".join(pieces)
+            if word in known and log_likelihood([word], model) > log_likelihood(pieces, model):
+                found.append(word)
+            if word not in beginnings or pieces[-1] != further:
+                break
+    return found
+
+
+def spaced_words(tokens: list[str], least: int = 3) -> list[str]:
     """Words written letter by letter: runs of at least ``least`` tokens of one sign each, joined."""
     return re.findall(f"[^ ]{{{least},}}", "".join(map(_single, tokens)))
 

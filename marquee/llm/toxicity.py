@@ -26,22 +26,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.common import in_parts, ready, whole_text
-from marquee.llm.deobfuscate import SYMBOLS, log_probabilities, readings, restore, restore_spaced, spaced_words, trigram_counts
+from marquee.llm.deobfuscate import (
+    SYMBOLS, joined_pieces, log_probabilities, readings, restore, restore_spaced, spaced_words, tokens_of, trigram_counts,
+)
 from marquee.session import materialise
 
 FOLDS = 5
+#: Longer tokens are read again each time: they hardly come twice, and a table of them has no bound.
+LONGEST_KEPT = 64
 
 
 @dataclass(frozen=True)
 class ToxicPolicy:
-    """``sample_rows`` bounds the labelled rows to learn from, ``most_weights`` the table sent to every task."""
+    """``sample_rows`` bounds the labelled rows to learn from, and so the table sent to every task. ``strongest`` words
+    count for a text, or all without it."""
 
     sample_rows: int = 20_000
-    most_weights: int = 20_000
     beginnings: tuple[int, ...] = (4, 5, 6)
     least_documents: int = 4
     least_odds: float = 1.2  # of the log odds, two standard errors down
-    strongest: int = 5
+    strongest: int | None = 5
     cache: int = 300_000
 
 
@@ -94,9 +98,9 @@ def learn_weights(texts: DataFrame, model, policy: ToxicPolicy) -> dict[str, flo
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def found(batch: pa.Array) -> pa.Array:
-        rows, known = [], {}
+        rows, known, long_ones = [], {}, set()
         for text in in_parts(batch):
-            listed = text.lower().split()
+            listed = tokens_of(text)
             own = set()
             tokens = set(listed)
             for token, words in restored_words(tokens.difference(known), listed, model.value):
@@ -104,30 +108,37 @@ def learn_weights(texts: DataFrame, model, policy: ToxicPolicy) -> dict[str, flo
                 own.update(found_here)
                 if token in tokens:
                     known[token] = found_here
+            long_ones.update(token for token in tokens if len(token) > LONGEST_KEPT)
             for token in tokens:
                 own.update(known.get(token, ()))
             rows.append(list(own))
+            while long_ones:
+                known.pop(long_ones.pop(), None)
         return pa.array(rows, pa.list_(pa.string()))
 
     totals = texts.agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("all")).first()
     bad, good = totals["bad"] or 0, (totals["all"] or 0) - (totals["bad"] or 0)
     if not bad or not good:
         return {}
-    counted = texts.select("toxic", F.explode(found("text")).alias("feature")).groupBy("feature").agg(
+    # The outer kind: for the other, Spark would look for features twice, first to leave out texts that have none.
+    listed = texts.select("toxic", F.explode_outer(found("text")).alias("feature")).where("feature is not null")
+    counted = listed.groupBy("feature").agg(
         F.sum("toxic").alias("x"), F.count(F.lit(1)).alias("n")
     ).where(F.col("x") >= policy.least_documents)
     clean = F.col("n") - F.col("x")
     odds = F.log((F.col("x") + 0.5) / F.lit(bad + 1.0)) - F.log((clean + 0.5) / F.lit(good + 1.0))
     error = F.sqrt(1 / (F.col("x") + 0.5) + 1 / (clean + 0.5))
     rows = counted.select("feature", (odds - error).alias("weight"), (odds - 2 * error).alias("sure")).where(F.col("sure") >= policy.least_odds)
-    best = rows.orderBy(F.desc("sure"), "feature").limit(policy.most_weights)
-    return {row["feature"]: row["weight"] for row in best.collect()}
+    # As many as the bounded sample has words in ``least_documents`` of its texts, and most of those are in clean ones too.
+    return {row["feature"]: row["weight"] for row in rows.collect()}
 
 
 def _evidence_udf(model, weights, policy: ToxicPolicy):
     @F.arrow_udf(T.DoubleType())
     def evidence(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table, grams, known = weights.value, model.value, {}
+        whole = frozenset(word for word in table if not word.endswith("-") and len(word) > 2)
+        beginnings = frozenset(word[:n] for word in whole for n in range(1, len(word)))
 
         def strongest(words: list[str]) -> tuple[float, str] | None:
             own = [(table[f], word) for word in words for f in features([word], policy) if f in table]
@@ -136,9 +147,9 @@ def _evidence_udf(model, weights, policy: ToxicPolicy):
         for batch in texts:
             sums = []
             for text in in_parts(batch):
-                listed = text.lower().split()
+                listed = tokens_of(text)
                 tokens = set(listed)
-                spaced = []
+                spaced = [strongest([word]) for word in joined_pieces(listed, whole, beginnings, grams)]
                 for token, words in restored_words(tokens.difference(known), listed, grams):
                     if token in tokens:
                         known[token] = strongest(words)
@@ -148,7 +159,10 @@ def _evidence_udf(model, weights, policy: ToxicPolicy):
                     (word, weight) for weight, word in
                     filter(None, [*map(known.get, tokens), *spaced])
                 )
-                sums.append(sum(sorted(hits.values())[-policy.strongest:], 0.0))
+                for token in tokens:
+                    if len(token) > LONGEST_KEPT:
+                        known.pop(token, None)
+                sums.append(sum(sorted(hits.values(), reverse=True)[: policy.strongest], 0.0))
                 if len(known) > policy.cache:
                     known = {}
             yield pa.array(sums, pa.float64())

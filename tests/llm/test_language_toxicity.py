@@ -231,3 +231,143 @@ def test_curve_fits():
     y = rng.random(4000) < 1 / (1 + np.exp(-(2 * x - 1)))
     slope, offset = toxicity.fit_curve(x, y.astype(float))
     assert abs(slope - 2) < 0.2 and abs(offset + 1) < 0.2
+
+
+@pytest.mark.parametrize("written", [
+    "1d10t", "id.iot", "i_d_i_o_t", "i d i o t", "i  d  i  o  t", "id iot", "i d iot", "iiddiioott", "(i)(d)(i)(o)(t)",
+    "id*ot", "id#ot", "i​d​i​o​t", "ｉｄｉｏｔ", "ïdíôt", "id­iot", "1D10T!", "so, id iot.",
+])
+def test_words_are_restored_from_whole_lines(letters, written):
+    listed, known = deobfuscate.tokens_of(written), {"idiot"}
+    beginnings = {"idiot"[:n] for n in range(1, 5)}
+    words = {word for _, own in toxicity.restored_words(set(listed), listed, letters) for word in own}
+    assert "idiot" in words | set(deobfuscate.joined_pieces(listed, known, beginnings, letters))
+
+
+def test_parts_of_a_token_are_read_each(letters):
+    assert {"idiot", "moron"} <= set(deobfuscate.readings("1d1ot,m0r0n", letters))
+    assert deobfuscate.spaced_words("a s s".split()) == ["ass"]
+
+
+def test_pieces_are_joined_where_one_word_is_likelier(letters):
+    known = {"idiot", "theand"}
+    beginnings = {word[:n] for word in known for n in range(1, len(word))}
+    assert deobfuscate.joined_pieces("an id iot, the and of id".split(), known, beginnings, letters) == ["idiot"]
+    words = ["the", "id", "iot"]
+    plain = sum(np.sum([letters[k] for k in zip(c, c[1:], c[2:], strict=False)]) for c in (
+        [0, 0, *(ord(ch) - 96 for ch in word), 0] for word in words
+    ))
+    assert abs(deobfuscate.log_likelihood(words, letters) - plain) < 1e-9
+
+
+def test_weights_are_the_plain_ones(spark, docs, letters, small):
+    """Counts, log odds and errors in plain Python; and a text's evidence from them."""
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    rows = [(r.text or "", int(labels.get(r.doc_id) or 0)) for r in docs.collect()]
+    rows = list({text: (text, toxic) for text, toxic in rows}.values())
+    policy = toxicity.ToxicPolicy(least_documents=2, least_odds=0.2, strongest=3)
+    sent = spark.sparkContext.broadcast(letters)
+    got = toxicity.learn_weights(spark.createDataFrame(rows, "text string, toxic int").repartition(3), sent, policy)
+    bad, good, counts = sum(t for _, t in rows), sum(1 - t for _, t in rows), {}
+    for text, toxic in rows:
+        listed = deobfuscate.tokens_of(text)
+        words = {w for _, own in toxicity.restored_words(set(listed), listed, letters) for w in own}
+        for feature in set(toxicity.features(sorted(words), policy)):
+            x, n = counts.get(feature, (0, 0))
+            counts[feature] = x + toxic, n + 1
+    wanted = {}
+    for feature, (x, n) in counts.items():
+        odds = np.log((x + 0.5) / (bad + 1)) - np.log((n - x + 0.5) / (good + 1))
+        error = np.sqrt(1 / (x + 0.5) + 1 / (n - x + 0.5))
+        if x >= 2 and odds - 2 * error >= 0.2:
+            wanted[feature] = odds - error
+    assert wanted and got == pytest.approx(wanted)
+
+    evidence = toxicity._evidence_udf(sent, spark.sparkContext.broadcast(got), policy)
+    texts = [text for text, _ in rows[:40]]
+    found = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1).select(evidence("text").alias("e")).collect()
+    whole = {f for f in got if not f.endswith("-") and len(f) > 2}
+    for text, row in zip(texts, found, strict=True):
+        listed = deobfuscate.tokens_of(text)
+        best = {}
+        groups = [own for _, own in toxicity.restored_words(set(listed), listed, letters)]
+        groups += [[w] for w in deobfuscate.joined_pieces(listed, whole, {w[:n] for w in whole for n in range(1, len(w))}, letters)]
+        singles = [[w] for t, own in toxicity.restored_words(set(listed), listed, letters) if t not in set(listed) for w in own]
+        for words in [*groups, *singles]:
+            own = [(got[f], w) for w in words for f in toxicity.features([w], policy) if f in got]
+            if own:
+                weight, word = max(own)
+                best[word] = weight
+        assert row.e == pytest.approx(sum(sorted(best.values(), reverse=True)[:3]))
+
+
+def plain_fusion(rows, model, policy):
+    """Posteriors of (text, declared, suffix, domain, host) one after another, with sums over all the others."""
+    names = [*model.languages, language_id.UNKNOWN]
+    width = len(names)
+    logs = [None if (x := model.log_likelihoods(r[0] or "")) is None else np.array(x) * policy.tempering for r in rows]
+    start = np.log([(1 - policy.unknown_prior) / (width - 1)] * (width - 1) + [policy.unknown_prior])
+
+    def softmax(x):
+        e = np.exp(x - x.max())
+        return e / e.sum()
+
+    first = [None if x is None else softmax(x + start) for x in logs]
+    whole = sum((p for p in first if p is not None), np.zeros(width)) + 1e-6
+    overall, found = whole / whole.sum(), []
+    for at, row in enumerate(rows):
+        if logs[at] is None:
+            found.append((language_id.UNKNOWN, 0.0))
+            continue
+
+        def others(column, row=row, at=at):
+            value = row[column]
+            if value is None:
+                return None
+            same = [p for i, p in enumerate(first) if i != at and p is not None and (rows[i][column] or "").lower() == value.lower()]
+            return sum(same, np.zeros(width))
+
+        prior = overall
+        for column in (3, 4):
+            sums = others(column)
+            if sums is not None:
+                prior = (sums + policy.host_weight * prior) / (sums.sum() + policy.host_weight)
+        total = logs[at] + np.log(prior)
+        for column in (1, 2):
+            sums = others(column)
+            if sums is not None and sums.sum() > 1e-9:
+                little = policy.link_weight * sums.sum() / whole.sum()
+                total = total + np.log((sums + little) / (whole + policy.link_weight))
+        fused = softmax(total)
+        found.append((names[int(fused.argmax())], float(fused.max())))
+    return found
+
+
+def test_fusion_is_the_plain_one(spark, docs, model):
+    """Every declaration, suffix, domain and host counts the other rows alone; rows without text count for nothing."""
+    rng = np.random.default_rng(4)
+    texts = [r.text for r in docs.limit(40).collect()]
+    pick = lambda *of: str(rng.choice(of))
+    rows = []
+    for i in range(60):
+        text = (texts[i % 40] or "")[: int(rng.integers(0, 90))]
+        domain = pick("a.de", "b.fr", "c.com") if i % 4 else None
+        rows.append((text if i % 9 else None, pick("de", "FR", "en") if i % 3 else None, pick("de", "fr") if i % 5 else None,
+                     domain, f"w{i % 3}.{domain}" if domain else None))
+    rows += [("the one text with this declaration", "xx", None, None, None)] + rows[:4]
+    columns = "text string, declared string, suffix string, domain string, host string, at int"
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], columns).repartition(3)
+    got = {r.at: (r.lang, r.probability) for r in language_id.fuse(frame, model).collect()}
+    for at, (lang, probability) in enumerate(plain_fusion(rows, model, language_id.LanguagePolicy())):
+        assert got[at][1] == pytest.approx(probability, abs=1e-9)
+        assert got[at][0] == lang or probability == 0.0
+
+
+def test_pages_are_mostly_in_their_declared_language(spark, small):
+    """The declaration is evidence, not the answer; still most pages that declare one of the known languages are in it."""
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    declared = {r.page_id: r.declared for r in language_id.of_pages(pages).select("page_id", "declared").collect()}
+    known = {r.page_id: r.lang for r in op1_language_id(spark, small).collect() if r.page_id is not None}
+    judged = [(known[i], lang.lower()) for i, lang in declared.items() if lang and lang.lower() in {"en", "de", "fr", "es"}]
+    assert len(known) == len(declared)
+    assert not judged or np.mean([a == b for a, b in judged]) > 0.8

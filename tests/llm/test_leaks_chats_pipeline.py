@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from marquee.llm import chat_format, decontaminate, near_dedup
+from marquee.llm.common import addressable, with_row_key
 from marquee.llm.queries import op5_decontamination, op6_chat_format
 from textcases import edited, prose, table
 
@@ -74,7 +75,9 @@ def leaky(spark):
     return table(spark, rows), spark.createDataFrame(items, "item_id long, text string")
 
 
-@pytest.mark.parametrize("policy", [POLICY, decontaminate.LeakPolicy(part_bytes=2_000, broadcast_rows=0)])
+@pytest.mark.parametrize("policy", [
+    POLICY, decontaminate.LeakPolicy(sent_hashes=100, held_hashes=300, broadcast_rows=0), decontaminate.LeakPolicy(stretch=3),
+])
 def test_copied_edited_and_partial_passages(leaky, policy):
     got = {r.doc_id: r for r in decontaminate.contamination(*leaky, policy).collect()}
     assert {i for i, r in got.items() if r.contaminated} == {100, 101, 102}
@@ -96,6 +99,45 @@ def test_edited_copies_beside_verbatim_ones(spark):
     assert {r.score for r in got if 100 <= r.doc_id < 200} == {(2 * 35 - 5) / 80}
 
 
+def test_a_phrase_of_all_items_is_no_seed_beside_rarer_ones(spark):
+    """Where rarer n-grams stand beside it, the phrase gives none; inside, each stretch keeps one. Results do not change."""
+    phrase = prose(640, 9)
+    items = spark.createDataFrame([(i, f"{prose(600 + i, 12)} {phrase} {prose(660 + i, 12)}") for i in range(20)], "item_id long, text string")
+    rows = [(i, f"{prose(i, 30)} {phrase} {prose(90 + i, 30)}", "en", "a") for i in range(40)]
+    rows += [(100 + i, f"{prose(200 + i, 5)} {prose(600 + i, 12)} {phrase} {prose(660 + i, 12)}", "en", "a") for i in range(20)]
+    docs = with_row_key(addressable(table(spark, rows).select("doc_id", "text")))
+    numbered = decontaminate.numbered_items(items, POLICY)
+    postings = decontaminate.item_postings(numbered, POLICY)
+    hits = decontaminate._hits(docs, postings, [4], POLICY)
+    seeds = Counter(r.hash for r in decontaminate.seeds_of(postings, hits, POLICY).collect())
+    shared = decontaminate.item_grams(phrase.split(), POLICY).tolist()
+    assert [gram in seeds for gram in shared] == [False, True, False, True, False, True] and seeds[shared[1]] == 20
+    got = decontaminate.contamination(table(spark, rows), items).collect()
+    assert {r.doc_id: r.item_id for r in got if r.contaminated} == {100 + i: i for i in range(20)}
+
+
+def test_rarest_of_stretches():
+    pos, df = np.array([0, 1, 2, 3, 7, 9, 10, 11]), np.array([5, 2, 9, 9, 4, 1, 1, 3])
+    assert decontaminate.rarest_of_stretches(pos, df, 2).tolist() == [1, 3, 4, 6]
+    assert decontaminate.rarest_of_stretches(pos, df, 3).tolist() == [1, 4, 6]
+    assert decontaminate.rarest_of_stretches(pos[:0], df[:0], 2).tolist() == []
+    rng = np.random.default_rng(0)
+    for stretch in (1, 2, 4):
+        pos = np.flatnonzero(rng.random(60) < 0.8)
+        own = set(pos[decontaminate.rarest_of_stretches(pos, rng.integers(0, 5, len(pos)), stretch)].tolist())
+        for at in range(60 - stretch + 1):
+            window = range(at, at + stretch)
+            assert not set(window) <= set(pos.tolist()) or own & set(window)
+
+
+def test_short_items_are_sought_whole_where_they_are_asked_for(spark):
+    items = spark.createDataFrame([(1, "Quaint word"), (2, "lone"), (3, "three more words"), (4, "")], "item_id long, text string")
+    rows = [(1, "a QUAINT, word here", "en", "a"), (2, "quaint old word", "en", "a"), (3, "Lone", "en", "a"), (4, "more words", "en", "a")]
+    got = {r.doc_id: r for r in decontaminate.contamination(table(spark, rows), items, decontaminate.LeakPolicy(least_words=1)).collect()}
+    assert {i: r.item_id for i, r in got.items() if r.contaminated} == {1: 1, 3: 2}
+    assert not any(r.contaminated for r in decontaminate.contamination(table(spark, rows), items).collect())
+
+
 def test_far_parts_of_a_copy_count(spark):
     """Two words, one put in, and so on: the only n-gram lies at the copy's end, the first word 18 words further off."""
     words = prose(800, 40).split()
@@ -175,11 +217,48 @@ def test_transcripts_with_markers(spark, segment):
 
 def test_every_known_role_is_learned(spark):
     rows = [(1, i, f"turn {i}", f"role{i % 11:02}", "p", "b", "c") for i in range(55)]
-    placed = chat_format._numbered(chat_format.blocks(spark.createDataFrame(rows, CHATS)))
+    placed = chat_format._numbered(chat_format.blocks(addressable(spark.createDataFrame(rows, CHATS))))
     model = chat_format.learn_roles(placed, chat_format.ChatPolicy())
     assert model.roles == [f"role{i:02}" for i in range(11)]
 
 
+def test_counts_of_roles_are_the_plain_ones(spark, small):
+    """First roles, steps between neighbouring blocks and parts of observations, counted one by one."""
+    turns = spark.read.parquet(f"{small}/conversations.parquet")
+    policy = chat_format.ChatPolicy()
+    cut = chat_format.blocks(turns)
+    placed = chat_format._numbered(cut)
+    model = chat_format.learn_roles(placed, policy)
+    transcripts = {}
+    for r in cut.collect():
+        transcripts.setdefault(r.conv_id, []).append((r.turn, r._key, r.block, r.known, r.code))
+    roles = sorted({r[3] for own in transcripts.values() for r in own if r[3] is not None})
+    assert model.roles == roles
+    at = {role: i for i, role in enumerate(roles)}
+    start, step = np.full(len(roles), 0.5), np.full((len(roles), len(roles)), 0.5)
+    parts = [np.full((len(roles), n), 0.5) for n in chat_format.SIZES]
+    for code, role in enumerate(chat_format.MARKERS, 1):
+        if role in at:
+            parts[0][at[role], code] += policy.marker_weight
+    for own in transcripts.values():
+        own.sort(key=lambda r: (r[0] is not None, r[0], r[1], r[2]))
+        for i, (*_, known, code) in enumerate(own):
+            if known is None:
+                continue
+            if i == 0:
+                start[at[known]] += 1
+            if i + 1 < len(own) and own[i + 1][3] is not None:
+                step[at[known], at[own[i + 1][3]]] += 1
+            for part, value in zip(parts, np.unravel_index(code + (i == 0), chat_format.SIZES), strict=True):
+                part[at[known], value] += 1
+    assert np.allclose(model.start, np.log(start / start.sum()))
+    assert np.allclose(model.step, np.log(step / step.sum(axis=1, keepdims=True)))
+    logs = [np.log(part / part.sum(axis=1, keepdims=True)) for part in parts]
+    for code in (0, 7, 100, chat_format.CODES - 1):
+        every = np.unravel_index(code, chat_format.SIZES)
+        assert np.allclose(model.seen[:, code], sum(log[:, v] for log, v in zip(logs, every, strict=True)))
+
+
 def test_one_long_transcript_is_cut(spark):
     rows = [(1, i, ("How is it, number %d?" if i % 2 == 0 else "It is as it is and goes on for much longer, %d.") % i,
              "user" if i % 2 == 0 else "assistant", "p", "b", "c") for i in range(300)]
