@@ -43,7 +43,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, with ids, placed in sequences of at most 2048 tokens."""
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"), with_ids=True)
+    # Fewer words are kept than by default: the JVM of an executor has grown by then.
+    policy = packing.PackPolicy(kept_pieces=150_000)
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), policy, with_ids=True)
 
 
 STAGES = [

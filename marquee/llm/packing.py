@@ -36,12 +36,16 @@ ID_BYTES = 4
 
 @dataclass(frozen=True)
 class PackPolicy:
-    """Window capacity, the longest piece of a remainder, windows per block, and the id that ends a document."""
+    """Window capacity, the longest piece of a remainder, windows per block, and the id that ends a document.
+
+    ``kept_pieces`` are the words whose ids a worker keeps in each of two generations, about 200 bytes each.
+    """
 
     capacity: int = 2048
     longest_piece: int = 512
     block_windows: int = 48
     end_id: int = 1
+    kept_pieces: int = 600_000
 
 
 def differencing(sizes: list[int], ways: int) -> list[list[int]]:
@@ -89,9 +93,9 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
         ways += 1
 
 
-def _table(definition: str) -> PieceTable:
-    key = "ids", hashlib.sha256(definition.encode()).hexdigest()
-    return kept_in_worker(key, lambda: PieceTable(definition, "", lambda ids: struct.pack(f"<{len(ids)}I", *ids)))
+def _table(definition: str, kept: int) -> PieceTable:
+    key = "ids", kept, hashlib.sha256(definition.encode()).hexdigest()
+    return kept_in_worker(key, lambda: PieceTable(definition, "", lambda ids: struct.pack(f"<{len(ids)}I", *ids), limit=kept))
 
 
 class _Packer:
@@ -161,7 +165,7 @@ def pack(
         return pa.RecordBatch.from_arrays(arrays, names)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _table(vocabulary.value)
+        known = _table(vocabulary.value, policy.kept_pieces)
         packer = _Packer(policy, TaskContext.get().partitionId())
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
