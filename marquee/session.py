@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import shutil
 import tempfile
 import uuid
@@ -51,16 +52,25 @@ def scratch_scope(spark: SparkSession):
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def store(df: DataFrame, label: str) -> str:
-    """Write ``df`` to the shared folder and return its path."""
+#: Rows that a task stores at least, where it is known how many there are at most.
+ROWS_PER_FILE = 250_000
+
+
+def store(df: DataFrame, label: str, at_most: int | None = None) -> str:
+    """Write ``df`` to the shared folder and return its path.
+
+    ``at_most`` is a bound on its rows: a few rows then do not become a file for every partition of an exchange.
+    """
     path = scratch_path(df.sparkSession, label)
+    if at_most is not None:
+        df = df.coalesce(max(1, math.ceil(at_most / ROWS_PER_FILE)))
     df.write.parquet(path)
     return path
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, at_most: int | None = None) -> DataFrame:
     """Write ``df`` once and read it back: lineage ends here and survives lost executors."""
-    return df.sparkSession.read.schema(df.schema).parquet(store(df, label))
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, label, at_most))
 
 
 def ship_package(spark: SparkSession) -> None:
