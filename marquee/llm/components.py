@@ -29,16 +29,17 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(high, low))")).first())
 
 
-def component_stars(links: DataFrame) -> DataFrame:
+def component_stars(links: DataFrame, at_most: int | None = None) -> DataFrame:
     """From links (high, low) with high > low: each node but the smallest of its component, with that smallest.
 
-    The stars are stored after each round, so a lost executor repeats one round at most. Joins are on a node;
+    ``at_most`` is a bound on the links, if there is one. The stars are stored after each round, so a lost executor repeats one round at most. Joins are on a node;
     nodes with very many links are split by adaptive execution, as their other side has one row for each node.
     """
-    stars = materialise(links.select("high", "low").distinct(), "stars")
+    stars = materialise(links.select("high", "low").distinct(), "stars", at_most)
     before = _fingerprint(stars)
     for _ in range(MOST_ROUNDS if before[0] else 0):
-        stars = materialise(_small_star(_large_star(stars).distinct()).distinct(), "stars")
+        # A round never has more edges than the one before.
+        stars = materialise(_small_star(_large_star(stars).distinct()).distinct(), "stars", before[0])
         now = _fingerprint(stars)
         if now == before:
             break

@@ -42,7 +42,7 @@ from marquee.llm.common import (
     ROW, addressable, give_back, in_parts, ready, rows_at, shuffle_partitions, whole_text, with_row_key,
 )
 from marquee.llm.components import component_stars
-from marquee.session import materialise, scratch_path, scratch_scope
+from marquee.session import ROWS_PER_FILE, materialise, scratch_path, scratch_scope
 
 
 @dataclass(frozen=True)
@@ -54,8 +54,8 @@ class NearPolicy:
     deviations: float = 5.4  # exact binomial tails of at most 1e-6, for the estimate and the lists, at 0.8 and 0.85
     pivot_rounds: int = 3
     short_list: int = 32
-    block: int = 512
-    block_values: int = 1_000_000
+    block: int = 1_024
+    block_values: int = 2_000_000
     broadcast_rows: int = 1_000_000
 
     @property
@@ -136,7 +136,7 @@ def _nodes(made: DataFrame, members: DataFrame, policy: NearPolicy) -> DataFrame
     return rows.join(F.broadcast(copies) if small else copies, "node", "left_anti")
 
 
-def _sketched(nodes: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFrame:
+def _sketched(nodes: DataFrame, docs: DataFrame, policy: NearPolicy, at_most: int) -> DataFrame:
     """Stored (node, n, sketch) of the nodes (node) given, from their texts."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +146,7 @@ def _sketched(nodes: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFram
             yield pa.RecordBatch.from_arrays(arrays, ["node", "n", "sketch"])
         give_back()
 
-    wanted = materialise(nodes.select(F.col("node").alias(ROW)), "wanted")
+    wanted = materialise(nodes.select(F.col("node").alias(ROW)), "wanted", at_most)
     rows = _texts_of(wanted, docs, policy).mapInArrow(make, "node long, n long, sketch array<long>")
     return materialise(rows, "listed_nodes")
 
@@ -159,7 +159,7 @@ def _members(made: DataFrame) -> DataFrame:
     nodes = parts.groupBy("digest").agg(F.min("node").alias("node"), F.collect_list("salt").alias("salts"))
     nodes = nodes.select("digest", "node", F.explode("salts").alias("salt"))
     joined = rows.join(nodes, ["digest", "salt"], "left")
-    return materialise(joined.select(ROW, "doc_id", "n", F.coalesce("node", ROW).alias("node")), "members")
+    return materialise(joined.select(ROW, "doc_id", "n", F.coalesce("node", ROW).alias("node")), "members", made.count())
 
 
 def _lists(nodes: DataFrame, policy: NearPolicy) -> DataFrame:
@@ -227,8 +227,8 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, policy: NearPolicy) -> DataFr
     return both.mapInArrow(judge, "high long, low long, certain boolean")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFrame:
-    """Links among pairs (high, low, certain): uncertain ones are decided on the shingles of the full texts."""
+def _verified(pairs: DataFrame, docs: DataFrame, policy: NearPolicy, n: int) -> DataFrame:
+    """Links among the ``n`` pairs (high, low, certain): uncertain ones are decided on the shingles of the full texts."""
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, set()
@@ -249,7 +249,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFram
         give_back()
 
     open_pairs = pairs.where("not certain").select("high", "low")
-    wanted = materialise(open_pairs.select("high").union(open_pairs.select("low")).distinct().toDF(ROW), "wanted")
+    wanted = materialise(open_pairs.select("high").union(open_pairs.select("low")).distinct().toDF(ROW), "wanted", 2 * n)
     texts = _texts_of(wanted, docs, policy)
     a = texts.select(F.col(ROW).alias("high"), "text")
     b = texts.select(F.col(ROW).alias("low"), F.col("text").alias("other"))
@@ -295,7 +295,8 @@ def _open_lists(lists: DataFrame, stars: DataFrame, least: int) -> DataFrame:
         [F.count(F.lit(1)).alias("members"), F.min("component").alias("a"), F.max("component").alias("b")],
         [F.sum("members").alias("members"), F.min("a").alias("a"), F.max("b").alias("b")],
     )
-    return materialise(spans.where((F.col("members") >= least) & (F.col("a") < F.col("b"))).drop("a", "b"), "open_lists")
+    still_open = spans.where((F.col("members") >= least) & (F.col("a") < F.col("b"))).drop("a", "b")
+    return materialise(still_open, "open_lists", lists.count())
 
 
 def _short_pairs(lists: DataFrame, policy: NearPolicy) -> DataFrame:
@@ -323,7 +324,7 @@ def _whole_sets(lists: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFr
                 yield pa.RecordBatch.from_arrays(arrays, ["node", "values"])
         give_back()
 
-    wanted = materialise(lists.select(F.col("node").alias(ROW)).distinct(), "wanted")
+    wanted = materialise(lists.select(F.col("node").alias(ROW)).distinct(), "wanted", lists.count())
     return materialise(_texts_of(wanted, docs, policy).mapInArrow(make, "node long, values array<long>"), "whole_sets")
 
 
@@ -417,7 +418,7 @@ def near_components(docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataF
         members = _members(made)
         labels = _stars(made, members, docs, policy).select(F.col("high").alias("node"), F.col("low").alias("component"))
         labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        labelled.write.parquet(path)
+        labelled.coalesce(max(1, math.ceil(members.count() / ROWS_PER_FILE))).write.parquet(path)
     return _with_groups(spark.read.schema(labelled.schema).parquet(path))
 
 
@@ -425,16 +426,20 @@ def _stars(made: DataFrame, members: DataFrame, docs: DataFrame, policy: NearPol
     """(high, low): every node of a group but the smallest, with the smallest."""
     lists = _lists(_nodes(made, members, policy), policy)
     # Most documents share no rare value with any other: only the rest take part from here on.
-    nodes = _sketched(lists.select("node").distinct(), docs, policy)
+    nodes = _sketched(lists.select("node").distinct(), docs, policy, lists.count())
     stars = None
 
-    def contract(links: DataFrame) -> DataFrame:
-        return component_stars(links if stars is None else stars.union(links))
+    def contract(links: DataFrame, at_most: int | None = None) -> DataFrame:
+        if stars is None:
+            return component_stars(links, at_most)
+        return component_stars(stars.union(links), None if at_most is None else at_most + stars.count())
 
-    def decided(pairs: DataFrame) -> DataFrame:
-        return _verified(materialise(_estimated(pairs, nodes, policy), "pairs"), docs, policy)
+    def decided(pairs: DataFrame) -> tuple[DataFrame, int]:
+        open_pairs = materialise(_estimated(pairs, nodes, policy), "pairs")
+        n = open_pairs.count()
+        return _verified(open_pairs, docs, policy, n), n
 
-    stars = contract(decided(_pivot_pairs(lists.withColumn("component", F.col("node")), 0, policy)))
+    stars = contract(*decided(_pivot_pairs(lists.withColumn("component", F.col("node")), 0, policy)))
     # The one pair of a list of two is decided by now.
     open_lists = _open_lists(lists, stars, 3)
     short = open_lists.where(F.col("members") <= policy.short_list)
@@ -443,7 +448,7 @@ def _stars(made: DataFrame, members: DataFrame, docs: DataFrame, policy: NearPol
         pairs = _pivot_pairs(long, turn, policy)
         if turn == 1:
             pairs = pairs.union(_short_pairs(short, policy)).distinct()
-        stars = contract(decided(pairs))
+        stars = contract(*decided(pairs))
         open_lists = _open_lists(long, stars, policy.short_list + 1)
         if open_lists.isEmpty():
             return stars
