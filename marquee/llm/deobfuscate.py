@@ -161,13 +161,19 @@ def restore(token: str, model: np.ndarray, sure: int | None = None) -> str:
     return max(best, _best(states, model), key=lambda end: end[0])[1]
 
 
+PUNCTUATION = ".,;:!?()\"'"
+
+
 def readings(token: str, model: np.ndarray) -> list[str]:
     """Words that a token may stand for, as written, with plain letters, with single ones for pairs, and part by part."""
     words = _readings(token, model)
+    core = token.strip(PUNCTUATION)
+    if core[:1] == core[1:2] and _PAIRS.fullmatch(core):
+        words += _readings(core[::2], model)
     if not token.isascii() and (plain := folded(token)) != token:
         words += _readings(plain, model)
-    if _PAIRS.fullmatch(token):
-        words += _readings(token[::2], model)
+    if core.isalpha():  # as most tokens are
+        return words if len(words) < 2 else list(dict.fromkeys(words))
     if len(_MASKED.findall(token)) == 1:  # each vowel: trigrams alone cannot tell which
         words += [word for vowel in VOWELS for word in _readings(_MASKED.sub(vowel, token), model)]
     parts = [part for part in _OTHER_SIGNS.split(token) if part]
@@ -198,6 +204,8 @@ def _readings(token: str, model: np.ndarray) -> list[str]:
 @lru_cache(maxsize=1 << 16)
 def _single(token: str) -> str:
     """The sign of a token of one sign, without punctuation around it; a space for any other token."""
+    if len(token) > 1 and token[:2].isalnum():  # no punctuation around a sign leaves two of them
+        return " "
     for own in (token, bare(token), re.sub(r"^\W+|\W+$", "", token)):
         if len(own) == 1 and (own.isalpha() or own in LOOKALIKES):
             return own
@@ -223,16 +231,15 @@ def joined_pieces(tokens: list[str], known: Collection[str], beginnings: Collect
     ``beginnings`` are those of the known words; pieces are taken in while they make one.
     """
     found = []
-    for at, token in enumerate(tokens):
-        if token not in beginnings:
-            continue
-        pieces = [token]
-        for further in tokens[at + 1:]:
-            pieces.append(bare(further))
-            word = "".join(pieces)
+    for at in [i for i, token in enumerate(tokens) if token in beginnings]:
+        word, pieces = tokens[at], [tokens[at]]
+        for place in range(at + 1, len(tokens)):
+            piece = tokens[place] if tokens[place].isalpha() else bare(tokens[place])
+            word += piece
+            pieces.append(piece)
             if word in known and log_likelihood([word], model) > log_likelihood(pieces, model):
                 found.append(word)
-            if word not in beginnings or pieces[-1] != further:
+            if word not in beginnings or piece != tokens[place]:
                 break
     return found
 
