@@ -12,6 +12,7 @@ class SkewPolicy:
     ``max_group_rows``   a user with more rows is taken out of the plain window plan and cut into segments.
     ``segment_rows``     rows per segment of such a user, always more than one history length.
     ``range_rows``       rows per range partition while positions are numbered.
+    ``task_rows``        rows that a task of a shuffle by user, segment or (user, movie) takes on average.
     ``pair_rows``        rows of one (user, movie) that a single join task may take on its probe side.
     ``broadcast_rows``   a key table is broadcast only when its counted rows stay at or under this.
     """
@@ -19,6 +20,7 @@ class SkewPolicy:
     max_group_rows: int = 10_000
     segment_rows: int = 10_000
     range_rows: int = 1_000_000
+    task_rows: int = 100_000
     pair_rows: int = 2_000
     broadcast_rows: int = 1_000_000
 

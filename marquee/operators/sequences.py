@@ -25,10 +25,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.config import SequenceConfig
+from marquee.config import SequenceConfig, SkewPolicy
 from marquee.functions import day_gap, newest
 from marquee.operators.skew import (
-    HotKeys, find_hot_keys, join_counted, split_hot, with_positions, with_segments, without_lent_rows,
+    HotKeys, dealt, find_groups, join_counted, split_hot, with_positions, with_segments, without_lent_rows,
 )
 from marquee.session import materialise
 
@@ -54,8 +54,11 @@ class Sequences:
 
     ordinary: DataFrame
     config: SequenceConfig
+    ordinary_rows: int  # at most, as counted before the join with movies
     oversized: DataFrame | None = None
     matches: DataFrame | None = None  # the ratings that oversized ones are paired with
+    oversized_rows: int = 0
+    stored: bool = False  # read back, so no longer dealt by user
 
 
 def with_day_gaps(
@@ -75,17 +78,19 @@ def with_shifted_gaps(
     return rows.withColumn("shifted_days", F.coalesce(shifted, F.lit(0)))
 
 
-def with_shifted_gaps_by_value(rows: DataFrame) -> DataFrame:
+def with_shifted_gaps_by_value(rows: DataFrame, n_rows: int, policy: SkewPolicy) -> DataFrame:
     """As ``with_shifted_gaps`` by falling gap, without ordering a user's rows (which have a ``position``).
 
     Among rows of one user with equal gaps all but the first get that same gap, and the first gets the
-    next larger gap. Only one row per (user, gap) is windowed, and days bound how many there are.
+    next larger gap. Only one row per (user, gap) is windowed, and days bound how many there are. ``n_rows`` is
+    the number of rows.
     """
     larger = F.lag(GAP).over(Window.partitionBy(USER).orderBy(F.desc(GAP)))
     firsts = rows.groupBy(USER, GAP).agg(F.min("position").alias("position")).select(
         USER, "position", F.coalesce(larger, F.lit(0)).alias("larger")
     )
-    joined = rows.join(firsts, [USER, "position"], "left")
+    places = (USER, "position")
+    joined = dealt(rows, n_rows, policy, *places).join(dealt(firsts, n_rows, policy, *places), [*places], "left")
     return joined.withColumn("shifted_days", F.coalesce("larger", GAP)).drop("larger")
 
 
@@ -99,12 +104,13 @@ def rating_sequences(
     join do as well: a column scan that can only count more.
     """
     base = base.where(F.col(USER).isNotNull())
-    hot = find_hot_keys(base if users is None else users, USER, config.skew)
+    n, hot = find_groups(base if users is None else users, USER, config.skew)
     if hot is None:
-        return Sequences(_ordinary(base, config, latest_only), config)
+        return Sequences(_ordinary(dealt(base, n, config.skew, USER), config, latest_only), config, n)
     cold_rows, hot_rows = split_hot(base, USER, hot, config.skew)
     oversized = _oversized(hot_rows, hot, config, latest_only)
-    return Sequences(_ordinary(cold_rows, config, latest_only), config, *oversized)
+    ordinary = _ordinary(dealt(cold_rows, n, config.skew, USER), config, latest_only)
+    return Sequences(ordinary, config, n, *oversized, hot.rows)
 
 
 def rating_gaps(sequences: Sequences) -> DataFrame:
@@ -131,6 +137,8 @@ def expand(
     config = sequences.config
     ordinary = sequences.ordinary
     if "matches" not in ordinary.columns:
+        if sequences.stored:
+            ordinary = dealt(ordinary, sequences.ordinary_rows, config.skew, USER)
         ordinary = _with_matches(ordinary, config)
     if last_only:
         keep = F.col("is_last") if keep is None else keep & F.col("is_last")
@@ -264,12 +272,13 @@ def _oversized(
         lasts = at_last.groupBy(USER, LAST, "_last").agg(F.min("position").alias("_first_latest"))
 
     # The gap reaches one row back, and the gap of the row before reaches one further.
-    cut = with_day_gaps(with_segments(rows, "position", policy, 2), config.gap_unit, segment, ("position",))
+    cut = dealt(with_segments(rows, "position", policy, 2), hot.rows, policy, *segment)
+    cut = with_day_gaps(cut, config.gap_unit, segment, ("position",))
     if config.gap_order == "time":
         cut = with_shifted_gaps(cut, "time", segment, ("position",))
     gaps = without_lent_rows(cut, "position", policy).drop("segment")
     if config.gap_order == "gap_desc":
-        gaps = with_shifted_gaps_by_value(gaps)
+        gaps = with_shifted_gaps_by_value(gaps, hot.rows, policy)
     gaps = join_counted(gaps, lasts, USER, "inner", hot.keys, policy)
     gaps = gaps.withColumn("is_last", F.col("position") == F.col("_last")).drop("_last")
 
@@ -285,7 +294,7 @@ def _oversized(
         gaps = gaps.withColumns({"pair_rows": F.lit(1).cast("long"), "pair_position": F.lit(0).cast("long")})
     if latest_only:
         gaps = materialise(gaps, "matches")
-    cut = with_segments(gaps.where(in_reach), "position", policy, n)
+    cut = dealt(with_segments(gaps.where(in_reach), "position", policy, n), hot.rows, policy, *segment)
     cut = _with_context(cut, _entries(F.col("tail")), segment, n, ("position",))
     kept = [*RATING_COLUMNS, "is_last", "shifted_days", "pair_position", "pair_rows", "own", "context"]
     rows = materialise(without_lent_rows(cut, "position", policy).select(*kept), "oversized")
@@ -299,8 +308,9 @@ def _with_pair_gaps(rows: DataFrame, hot: HotKeys, config: SequenceConfig) -> Da
     """
     n, policy = config.frame_len, config.skew
     numbered = with_positions(rows, PAIR, PAIR_ORDER, policy, hot.rows, hot.rows, "pair_position")
-    cut = with_segments(numbered, "pair_position", policy, n, "pair_segment")
-    up_to_here = Window.partitionBy(*PAIR, "pair_segment").orderBy("pair_position").rowsBetween(-n, 0)
+    by_segment = (*PAIR, "pair_segment")
+    cut = dealt(with_segments(numbered, "pair_position", policy, n, "pair_segment"), hot.rows, policy, *by_segment)
+    up_to_here = Window.partitionBy(*by_segment).orderBy("pair_position").rowsBetween(-n, 0)
     cut = cut.withColumn("own", F.collect_list("shifted_days").over(up_to_here))
     own = without_lent_rows(cut, "pair_position", policy, "pair_segment")
     pairs = own.groupBy(*PAIR).agg(
@@ -308,7 +318,8 @@ def _with_pair_gaps(rows: DataFrame, hot: HotKeys, config: SequenceConfig) -> Da
     )
     last_segment = F.floor((F.col("pair_rows") - 1) / policy.segment_rows).cast("long")
     per_segment = pairs.withColumn("pair_segment", F.explode(F.sequence(F.lit(0).cast("long"), last_segment)))
-    return own.join(per_segment, [*PAIR, "pair_segment"]).drop("pair_segment")
+    # Segments are no more than ratings, and the windows above have dealt those by the same keys.
+    return own.join(dealt(per_segment, hot.rows, policy, *by_segment), [*by_segment]).drop("pair_segment")
 
 
 def _expand_oversized(
@@ -330,7 +341,9 @@ def _expand_oversized(
             *PAIR, F.col("rating_id").alias("matched_rating_id"), "shifted_days", "own",
             block.alias("_right"), blocks.alias("_left"),
         )
-        copies = left.drop("shifted_days", "own").join(right, [*PAIR, "_left", "_right"])
+        by_block, rows = (*PAIR, "_left", "_right"), sequences.oversized_rows
+        left = left.drop("shifted_days", "own")
+        copies = dealt(left, rows, policy, *by_block).join(dealt(right, rows, policy, *by_block), [*by_block])
     else:
         copies = kept.withColumn("matched_rating_id", F.col("rating_id"))
     # 'own' ends with the row itself; a training history stops one entry earlier.

@@ -30,12 +30,31 @@ class HotKeys:
 
 def find_hot_keys(rows: DataFrame, key: str, policy: SkewPolicy) -> HotKeys | None:
     """Keys with more than ``max_group_rows`` rows, or None when no group is that large."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    oversized = counts.where((F.col("n") > policy.max_group_rows) & F.col(key).isNotNull())
-    found = oversized.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows")).first()
+    return find_groups(rows, key, policy)[1]
+
+
+def find_groups(rows: DataFrame, key: str, policy: SkewPolicy) -> tuple[int, HotKeys | None]:
+    """The rows of ordinary groups, counted, and the keys of those with more than ``max_group_rows`` rows, if any."""
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    is_hot = F.col("n") > policy.max_group_rows
+    found = counts.agg(
+        F.count_if(is_hot).alias("keys"), F.sum(F.when(is_hot, F.col("n"))).alias("rows"),
+        F.coalesce(F.sum(F.when(~is_hot, F.col("n"))), F.lit(0)).alias("ordinary"),
+    ).first()
     if found["keys"] == 0:
-        return None
-    return HotKeys(materialise(oversized.select(key), "hot_keys"), found["keys"], found["rows"])
+        return found["ordinary"], None
+    hot = HotKeys(materialise(counts.where(is_hot).select(key), "hot_keys"), found["keys"], found["rows"])
+    return found["ordinary"], hot
+
+
+def dealt(rows: DataFrame, n_rows: int, policy: SkewPolicy, *keys: str) -> DataFrame:
+    """``rows`` by ``keys`` in as many partitions as hold ``task_rows`` of the ``n_rows`` each.
+
+    A partition count that does not follow the rows would let tasks grow with the table; and partitions merged by their
+    stored size hold many times that size once windows have gathered their arrays.
+    """
+    fewest = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(fewest, math.ceil(n_rows / policy.task_rows)), *keys)
 
 
 def join_counted(left: DataFrame, right: DataFrame, on, how: str, right_rows: int, policy: SkewPolicy):

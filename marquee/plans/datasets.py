@@ -96,7 +96,7 @@ def shared_sequences(
     Each dataset then takes one shuffle of that table to gather the gaps of each (user, movie).
     """
     sequences = sequences_of(ratings, movies, config, medians=medians)
-    return replace(sequences, ordinary=materialise(sequences.ordinary, "sequences"))
+    return replace(sequences, ordinary=materialise(sequences.ordinary, "sequences"), stored=True)
 
 
 def snapshot_rows(sequences: Sequences, config: SequenceConfig, keys: bool) -> dict[str, DataFrame]:

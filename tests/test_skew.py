@@ -98,3 +98,17 @@ def test_one_user_with_fifty_thousand_ratings(spark):
     assert found.where(
         (F.col("rating_id") >= 10) & (F.element_at("history.movie_id", 1) != (F.col("rating_id") - 10) % 1000)
     ).count() == 0
+
+
+@pytest.mark.parametrize("cut", [{}, CUT], ids=["plain", "cut"])
+def test_tasks_follow_the_counted_rows(spark, base, cut):
+    """Windows and block joins get tasks by the rows, which are not merged into a few by their stored size."""
+    usual, fine = (rating_sequences(base, SequenceConfig().with_skew(**cut, **x)) for x in ({}, {"task_rows": 20}))
+    rows = {}
+    for name, sequences in (("usual", usual), ("fine", fine)):
+        dealt = expand(sequences, "train").withColumn("task", F.spark_partition_id()).persist()
+        tasks = dealt.groupBy("task").count().collect()
+        rows[name] = rows_of(dealt.drop("task"))
+        assert len(tasks) >= (4 if name == "usual" else 8)
+        dealt.unpersist()
+    assert rows["usual"] == rows["fine"]
