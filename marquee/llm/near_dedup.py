@@ -262,45 +262,76 @@ def _ordered(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("high"), F.least(a, b).alias("low")]
 
 
-def _with_list_values(lists: DataFrame, parts: list[Column], whole: list[Column]) -> DataFrame:
+def _with_list_values(lists: DataFrame, parts: list[Column], whole: list[Column], more: DataFrame | None = None) -> DataFrame:
     """Rows of lists with aggregates over their list, first per list and salt, then per list.
 
-    The answer goes back by the same salted key, so one value that very many nodes share is no hot key.
+    The answer goes back by the same salted key, so one value that very many nodes share is no hot key. ``more`` has
+    further answers (value, ..).
     """
     salts = shuffle_partitions(lists.sparkSession)
     salted = lists.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int"))
     found = salted.groupBy("value", "salt").agg(*parts)
     found = found.groupBy("value").agg(*whole, F.collect_list("salt").alias("salts"))
+    found = found if more is None else found.join(more, "value")
     answers = found.withColumn("salt", F.explode("salts")).drop("salts")
     return salted.join(answers, ["value", "salt"]).drop("salt")
 
 
-def _pivot_pairs(lists: DataFrame, turn: int, policy: NearPolicy) -> DataFrame:
-    """Members of lists (value, node, n, component) against one of the list, another one in each turn."""
+def _pivot(turn: int) -> Column:
+    """A list's pivot: the smallest of these over its members, another one in each turn."""
     rank = F.lit(0).cast("long") if turn == 0 else F.xxhash64("value", "node", F.lit(turn))
-    pivot = F.struct(rank.alias("rank"), "node", "n", "component")
-    pairs = _with_list_values(lists, [F.min(pivot).alias("p")], [F.min("p").alias("p")]).where(
+    return F.struct(rank.alias("rank"), "node", "n", "component")
+
+
+def _pivot_pairs(lists: DataFrame, policy: NearPolicy) -> DataFrame:
+    """Members of lists (value, node, n, component, p) against the pivot of their list."""
+    pairs = lists.where(
         (F.col("component") != F.col("p.component")) & _similar_size(F.col("n"), F.col("p.n"), policy)
     )
     return pairs.select("node", F.col("p.node").alias("pivot")).select(*_ordered("node", "pivot")).distinct()
 
 
-def _open_lists(lists: DataFrame, stars: DataFrame, least: int) -> DataFrame:
-    """Stored lists of at least ``least`` members, with components and size, that span more than one component."""
+def _open_lists(lists: DataFrame, stars: DataFrame, least: int, turn: int, policy: NearPolicy) -> DataFrame:
+    """Stored lists of at least ``least`` members that span more than one component, with what the next step needs.
+
+    Rows are (value, node, n, component, members), with the list's pivot ``p`` in the ``turn`` to come, or after the last
+    turn with its blocks. All of it goes back to the members at once, so that every round joins them with one answer.
+    """
     labels = stars.select(F.col("high").alias("node"), F.col("low").alias("component"))
     labelled = lists.select("value", "node", "n").join(labels, "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
+    pivots = turn < policy.pivot_rounds
     spans = _with_list_values(
         labelled,
-        [F.count(F.lit(1)).alias("members"), F.min("component").alias("a"), F.max("component").alias("b")],
-        [F.sum("members").alias("members"), F.min("a").alias("a"), F.max("b").alias("b")],
+        [F.count(F.lit(1)).alias("members"), F.min("component").alias("a"), F.max("component").alias("b"),
+         *([F.min(_pivot(turn)).alias("p")] if pivots else [])],
+        [F.sum("members").alias("members"), F.min("a").alias("a"), F.max("b").alias("b"),
+         *([F.min("p").alias("p")] if pivots else [])],
+        None if pivots else _blocks(labelled, policy),
     )
     still_open = spans.where((F.col("members") >= least) & (F.col("a") < F.col("b"))).drop("a", "b")
     return materialise(still_open, "open_lists", lists.count())
 
 
+def _blocks(lists: DataFrame, policy: NearPolicy) -> DataFrame:
+    """(value, main, outer_blocks, inner_blocks): a list's largest component, and the blocks outside and inside it."""
+    sizes = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("v"))
+    largest = F.max_by(F.struct("component", "m", "v"), F.struct("m", "component"))
+    main = sizes.groupBy("value").agg(largest.alias("main"), F.sum("m").alias("m"), F.sum("v").alias("v"))
+
+    def count(members: Column, values: Column) -> Column:
+        return F.ceil(F.greatest(members / policy.block, values / policy.block_values)).cast("int")
+
+    return main.select(
+        "value", F.col("main.component").alias("main"),
+        count(F.col("m") - F.col("main.m"), F.col("v") - F.col("main.v")).alias("outer_blocks"),
+        count(F.col("main.m"), F.col("main.v")).alias("inner_blocks"),
+    )
+
+
 def _short_pairs(lists: DataFrame, policy: NearPolicy) -> DataFrame:
     """All pairs across components of lists whose length is bounded."""
+    lists = lists.select("value", "node", "n", "component")
     other = lists.toDF(*(f"{name}2" if name != "value" else name for name in lists.columns))
     pairs = lists.join(other, "value").where(
         (F.col("node") > F.col("node2")) & (F.col("component") != F.col("component2"))
@@ -334,30 +365,12 @@ def _texts_of(wanted: DataFrame, docs: DataFrame, policy: NearPolicy) -> DataFra
 
 
 def _block_links(lists: DataFrame, sets: DataFrame, policy: NearPolicy) -> DataFrame:
-    """Links across components of long lists, found block by block on whole sets.
+    """Links across components of long lists, which have their blocks, found block by block on whole sets.
 
     Members outside a list's largest component meet each other and that component; members inside it do not
     meet. A task holds two blocks, and only links leave it.
     """
-    # Lists are counted and answered under salts, as one value may belong to very many nodes.
-    salts = shuffle_partitions(lists.sparkSession)
-    salted = lists.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int"))
-    sizes = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("v"))
-    largest = F.max_by(F.struct("component", "m", "v"), F.struct("m", "component"))
-    main = sizes.groupBy("value").agg(largest.alias("main"), F.sum("m").alias("m"), F.sum("v").alias("v"))
-    used = salted.groupBy("value", "salt").agg(F.lit(1)).groupBy("value").agg(F.collect_list("salt").alias("salts"))
-
-    def count(members: Column, values: Column) -> Column:
-        return F.ceil(F.greatest(members / policy.block, values / policy.block_values)).cast("int")
-
-    answers = main.join(used, "value").select(
-        "value", F.explode("salts").alias("salt"), F.col("main.component").alias("main"),
-        count(F.col("m") - F.col("main.m"), F.col("v") - F.col("main.v")).alias("outer_blocks"),
-        count(F.col("main.m"), F.col("main.v")).alias("inner_blocks"),
-    )
-    rows = salted.join(answers, ["value", "salt"]).select(
-        "value", "node", "component", (F.col("component") == F.col("main")).alias("inner"), "outer_blocks", "inner_blocks",
-    )
+    rows = lists.withColumn("inner", F.col("component") == F.col("main"))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("inner"), F.col("inner_blocks")).otherwise(F.col("outer_blocks"))).cast("int")
     rows = rows.withColumn("own", own)
     outer = F.transform(
@@ -439,17 +452,20 @@ def _stars(made: DataFrame, members: DataFrame, docs: DataFrame, policy: NearPol
         n = open_pairs.count()
         return _verified(open_pairs, docs, policy, n), n
 
-    stars = contract(*decided(_pivot_pairs(lists.withColumn("component", F.col("node")), 0, policy)))
+    first = _with_list_values(
+        lists.withColumn("component", F.col("node")), [F.min(_pivot(0)).alias("p")], [F.min("p").alias("p")]
+    )
+    stars = contract(*decided(_pivot_pairs(first, policy)))
     # The one pair of a list of two is decided by now.
-    open_lists = _open_lists(lists, stars, 3)
+    open_lists = _open_lists(lists, stars, 3, 1, policy)
     short = open_lists.where(F.col("members") <= policy.short_list)
     for turn in range(1, policy.pivot_rounds):
         long = open_lists.where(F.col("members") > policy.short_list)
-        pairs = _pivot_pairs(long, turn, policy)
+        pairs = _pivot_pairs(long, policy)
         if turn == 1:
             pairs = pairs.union(_short_pairs(short, policy)).distinct()
         stars = contract(*decided(pairs))
-        open_lists = _open_lists(long, stars, policy.short_list + 1)
+        open_lists = _open_lists(long, stars, policy.short_list + 1, turn + 1, policy)
         if open_lists.isEmpty():
             return stars
     return contract(_block_links(open_lists, _whole_sets(open_lists, docs, policy), policy))

@@ -162,6 +162,24 @@ def test_near_components_leave_one_table_behind(spark, family):
     assert [path.name for path in stored() - before] == ["labelled"]
 
 
+def test_each_round_answers_its_lists_once(spark, family, monkeypatch):
+    """Members of long lists meet one answer a round, pivot or blocks included, and blocks are dealt without another."""
+    answered, plans = [], []
+    once, links = near_dedup._with_list_values, near_dedup._block_links
+    monkeypatch.setattr(near_dedup, "_with_list_values", lambda *a: answered.append(1) or once(*a))
+
+    def dealt(*given):
+        found = links(*given)
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+        return found
+
+    monkeypatch.setattr(near_dedup, "_block_links", dealt)
+    policy = near_dedup.NearPolicy(words=3, percent=85, short_list=1, block=8)
+    assert near_dedup.near_components(family[0], policy).count() == family[0].count()
+    assert len(answered) == 1 + policy.pivot_rounds
+    assert plans and all("salt" not in plan for plan in plans)
+
+
 def test_blocks_of_whole_sets():
     policy = near_dedup.NearPolicy(percent=68)
     rng = np.random.default_rng(1)
