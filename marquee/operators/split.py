@@ -93,12 +93,14 @@ def hold_out(
 def shuffled_within(buffers: DataFrame, buffer_rows: int, keys: Sequence[str], seed: int = SEED) -> DataFrame:
     """Rows with ``shuffle_position``: a seeded order within buffers of consecutive rows, which stay one after another.
 
-    ``buffers`` are batches by place of ``buffer_rows`` rows (``sources.batches.read_batches``), one for each partition.
+    ``buffers`` are batches by place of ``buffer_rows`` rows (``sources.batches.read_batches``), whole ones in a partition.
     Every buffer is sorted where it is read and nothing is exchanged, so this costs no more than a read of the table;
     ``shuffled`` is the order over all rows.
     """
-    ordered = buffers.withColumn("_hash", hash_order(keys, seed)).sortWithinPartitions("_hash", *keys)
     # Of this number the lower 33 bits count the rows of a partition.
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = ordered.withColumn("shuffle_position", F.col("batch_id") * buffer_rows + within)
-    return placed.drop("_hash", "batch_id", "place")
+    first = buffers.withColumn("_first", F.col("place") - within)  # the same for all rows of a partition
+    buffer = F.floor(F.col("place") / F.lit(buffer_rows))
+    ordered = first.withColumn("_hash", hash_order(keys, seed)).sortWithinPartitions(buffer, "_hash", *keys)
+    placed = ordered.withColumn("shuffle_position", F.col("_first") + within)
+    return placed.drop("_first", "_hash", "batch_id", "place")

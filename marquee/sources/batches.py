@@ -2,7 +2,8 @@
 
 Rows count from 0 through the files in the order of their names. How many each file holds is counted once, from the
 footers, and stored; a Python data source then makes one partition of each wanted batch, which opens the files and row
-groups that hold it and no others.
+groups that hold it and no others. Of very many batches a partition holds several that follow one another, so that a row
+group is read by as many partitions as its rows make up and not once for every batch.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from marquee.session import ship_package, store
 NAME = "marquee_batches"
 #: Rows handed on together.
 ROWS_AT_ONCE = 10_000
+#: Up to so many batches have a partition each; beyond, a partition takes several, in all up to so many rows.
+PARTITIONS = 256
+ROWS_PER_PARTITION = 200_000
 
 
 def file_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -37,8 +41,9 @@ def file_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 @dataclass
-class Batch(InputPartition):
-    number: int
+class Batches(InputPartition):
+    """Batches that follow one another."""
+
     first: int
     parts: list[tuple[str, int, int]]  # file, first row there, row after the last
 
@@ -49,38 +54,39 @@ class BatchReader(DataSourceReader):
         self.files, self.size = options["files"], int(options["rows"])
         self.start, self.count = int(options["start"]), int(options["count"])
 
-    def partitions(self) -> list[Batch]:
+    def partitions(self) -> list[Batches]:
         found = [row for batch in stored_batches(self.files, 65_536) for row in batch.to_pylist()]
         found.sort(key=lambda row: row["first"])
         files, firsts, rows = ([row[name] for row in found] for name in ("file", "first", "rows"))
         total = sum(rows)
         last = min(self.start + self.count, -(-total // self.size)) if self.count >= 0 else -(-total // self.size)
-        batches = []
-        for number in range(self.start, last):
-            begin, end = number * self.size, min(total, (number + 1) * self.size)
+        together = min(-(-(last - self.start) // PARTITIONS), max(1, ROWS_PER_PARTITION // self.size))
+        found = []
+        for number in range(self.start, last, max(1, together)):
+            begin, end = number * self.size, min(total, min(last, number + together) * self.size)
             place = int(np.searchsorted(firsts, begin, side="right")) - 1
             parts = []
             while place < len(files) and firsts[place] < end:
                 parts.append((files[place], max(0, begin - firsts[place]), min(rows[place], end - firsts[place])))
                 place += 1
-            batches.append(Batch(number, begin, parts))
-        return batches
+            found.append(Batches(begin, parts))
+        return found
 
-    def read(self, partition: Batch | None) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Batches | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # how Spark asks where there are no partitions
             return
         place = partition.first
         for path, start, stop in partition.parts:
-            for table in rows_between(path, start, stop, self.names):
-                for rows in table.to_batches(max_chunksize=ROWS_AT_ONCE):
-                    n = rows.num_rows
-                    added = [pa.array(np.full(n, partition.number)), pa.array(np.arange(place, place + n))]
-                    place += n
-                    yield pa.RecordBatch.from_arrays([*rows.columns, *added], [*rows.schema.names, "batch_id", "place"])
+            for rows in rows_between(path, start, stop, self.names):
+                n = rows.num_rows
+                places = np.arange(place, place + n)
+                place += n
+                added = [pa.array(places // self.size), pa.array(places)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *added], [*rows.schema.names, "batch_id", "place"])
 
 
-def rows_between(path: str, start: int, stop: int, columns: Sequence[str]) -> Iterator[pa.Table]:
-    """Rows ``start`` to ``stop`` of a file, by row group; row groups outside are not read."""
+def rows_between(path: str, start: int, stop: int, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Rows ``start`` to ``stop`` of a file, in parts; row groups outside are not read, nor what follows in the last one."""
     system, place = pyarrow.fs.FileSystem.from_uri(path)
     with system.open_input_file(place) as source:
         file, first = pyarrow.parquet.ParquetFile(source), 0
@@ -88,7 +94,14 @@ def rows_between(path: str, start: int, stop: int, columns: Sequence[str]) -> It
             rows = file.metadata.row_group(group).num_rows
             begin, end = max(start, first), min(stop, first + rows)
             if begin < end:
-                yield file.read_row_group(group, columns=list(columns), use_threads=False).slice(begin - first, end - begin)
+                place = first
+                for part in file.iter_batches(ROWS_AT_ONCE, row_groups=[group], columns=list(columns), use_threads=False):
+                    ahead = max(0, begin - place)
+                    if ahead < part.num_rows:
+                        yield part.slice(ahead, min(end - place, part.num_rows) - ahead)
+                    place += part.num_rows
+                    if place >= end:
+                        break
             first += rows
 
 
@@ -107,7 +120,8 @@ def read_batches(
 ) -> DataFrame:
     """Rows of a stored table with their ``batch_id`` and ``place``: all batches from ``first`` on, or so many of them.
 
-    A partition is a batch. ``columns`` names those to read. The folder has to be one that Arrow reaches by its path.
+    A partition is a batch, or some that follow one another where there are more than ``PARTITIONS``; it never holds a part
+    of one. ``columns`` names those to read. The folder has to be one that Arrow reaches by its path.
     """
     if batch_rows < 1 or first < 0:
         raise ValueError("batches have at least one row, and count from 0")

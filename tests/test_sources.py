@@ -202,3 +202,17 @@ def test_a_shuffle_within_buffers_exchanges_nothing(spark, tmp_path):
     rows = shuffled.orderBy("shuffle_position").collect()
     assert [r.shuffle_position for r in rows] == list(range(1_000))
     assert all(r.id // 300 == r.shuffle_position // 300 for r in rows) and [r.id for r in rows] != sorted(r.id for r in rows)
+
+
+def test_many_small_batches_share_partitions(spark, tmp_path):
+    """A row group is not read once for every batch in it; whole batches stay together, and buffers are still shuffled apart."""
+    path = str(tmp_path / "rows")
+    spark.range(0, 1_050, 1, 2).write.parquet(path)
+    batches = read_batches(spark, path, 2, 3)
+    assert batches.rdd.getNumPartitions() == 174  # 522 batches by three
+    rows = batches.withColumn("task", F.spark_partition_id()).orderBy("place").collect()
+    assert [(r.id, r.batch_id, r.place) for r in rows] == [(i, i // 2, i) for i in range(6, 1_050)]
+    assert len({(r.batch_id, r.task) for r in rows}) == 522
+    shuffled = shuffled_within(batches, 2, ["id"]).orderBy("shuffle_position").collect()
+    assert [r.shuffle_position for r in shuffled] == list(range(6, 1_050))
+    assert all(r.id // 2 == r.shuffle_position // 2 for r in shuffled) and [r.id for r in shuffled] != list(range(6, 1_050))
