@@ -9,17 +9,3 @@ from pyspark.sql import functions as F
 def dot(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-
-
-def mean_vector(vectors: Column, weights: Column, width: int) -> Column:
-    """Weighted mean of a short array of vectors; zeros when there is none."""
-    total = F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w)
-    weighted = F.zip_with(vectors, weights, lambda v, w: F.transform(v, lambda x: x.cast("double") * w))
-    summed = F.aggregate(
-        weighted,
-        F.array_repeat(F.lit(0.0), width),
-        lambda acc, v: F.zip_with(acc, v, lambda a, x: a + x),
-    )
-    return F.when(F.size(vectors) == 0, F.array_repeat(F.lit(0.0), width)).otherwise(
-        F.transform(summed, lambda x: x / total)
-    )

@@ -18,12 +18,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 import pyarrow.dataset
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.functions import dot, mean_vector, unpad
+from marquee.functions import dot, unpad
 from marquee.operators.batches import regroup
 from marquee.operators.lookup import LOOKUP_BYTES, broadcast_small, check_unique
 from marquee.operators.stored import full_batches, stored_batches
@@ -108,8 +110,37 @@ def _joined_history_vectors(
     weight = F.pow(F.lit(float(recency)), F.col("_n") - 1 - F.col("_at"))
     term = F.when(F.col("vector").isNotNull(), F.struct("_at", weight.alias("w"), "vector"))
     grouped = known.groupBy("_row", *row_key, *carry).agg(F.sort_array(F.collect_list(term)).alias("_terms"))
-    mean = mean_vector(F.col("_terms.vector"), F.col("_terms.w"), width)
-    return grouped.select(*row_key, *carry, mean.alias("vector"))
+    kept = [grouped.schema[name] for name in (*row_key, *carry)]
+    schema = T.StructType([*kept, T.StructField("vector", T.ArrayType(T.DoubleType()))])
+
+    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # A row has up to a history of vectors, so few rows are unpacked at a time.
+            for start in range(0, batch.num_rows, ROWS_OF_TERMS):
+                part = batch.slice(start, ROWS_OF_TERMS)
+                means = _means(part.column(part.num_columns - 1), width)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], means], schema.names)
+
+    return grouped.select(*row_key, *carry, "_terms").mapInArrow(average, schema)
+
+
+#: Rows whose vectors are averaged together.
+ROWS_OF_TERMS = 2_000
+
+
+def _means(terms: pa.ListArray, width: int) -> pa.ListArray:
+    """The weighted mean of each row's terms (_at, w, vector), added up in their order; zeros where there is none."""
+    counts = pa.compute.list_value_length(terms).to_numpy()
+    flat = terms.flatten()
+    means = np.zeros((len(terms), width))
+    if len(flat):
+        weights = flat.field("w").to_numpy()
+        values = flat.field("vector").flatten().to_numpy().reshape(-1, width) * weights[:, None]
+        some, firsts = counts > 0, np.cumsum(counts) - counts
+        totals = np.add.reduceat(weights, firsts[some])
+        means[some] = np.add.reduceat(values, firsts[some], axis=0) / totals[:, None]
+    ends = np.arange(0, (len(terms) + 1) * width, width, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(means.ravel()))
 
 
 def score(query: str = "query", candidate: str = "vector") -> Column:

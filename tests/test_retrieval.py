@@ -198,3 +198,19 @@ def test_rows_with_one_key_stay_two(shipped):
     for limit in (10**6, 0):
         made = history_vectors(df, vectors, ("k",), 1, lookup_bytes=limit).collect()
         assert sorted(r.vector[0] for r in made) == [1.0, 5.0]
+
+
+def test_a_joined_history_has_the_same_vectors(shipped):
+    """The road for large tables of items adds up in Python tasks, and gives the vectors of the other road."""
+    items = frame(shipped, "movie_id long, vector array<float>", [(i,) for i in range(40)], RNG.normal(size=(40, 6)))
+    histories = [(i, i % 7, [int(x) for x in RNG.integers(0, 50, 5)], int(RNG.integers(0, 6))) for i in range(300)]
+    rows = shipped.createDataFrame(histories, "rating_id long, user_id long, previous_movie_ids array<int>, history_len int")
+    for recency in (1.0, 0.5):
+        near, far = (
+            history_vectors(rows, items, ("rating_id",), 6, ("user_id",), recency, lookup_bytes=n) for n in (10**6, 0)
+        )
+        assert "MapInArrow" in far._jdf.queryExecution().executedPlan().toString()
+        a, b = (sorted(df.collect()) for df in (near, far))
+        assert [r[:2] for r in a] == [r[:2] for r in b]
+        np.testing.assert_allclose([r.vector for r in a], [r.vector for r in b], rtol=1e-12, atol=1e-12)
+        assert [0.0] * 6 in [r.vector for r in b]
