@@ -61,9 +61,13 @@ def history_vectors(
     recency: float = 1.0,
     pad_side: str = "post",
     lookup_bytes: int = LOOKUP_BYTES,
+    with_query: bool = False,
 ) -> DataFrame:
     """(row key, carry, vector): the mean of the item vectors in each row's history, pads left out.
 
+    ``with_query`` adds the vector of a carried ``movie_id`` as ``query``, zeros where it has none. A small table of item
+    vectors gives it in the same pass.
+
     With ``recency`` below 1 an entry counts ``recency`` times as much as the one after it. Ids without a
     vector count for nothing, and a history without any known id gives zeros.
 
@@ -73,7 +77,10 @@ def history_vectors(
     """
     items = broadcast_small(vectors, "movie_id", "vector", 8 * width, lookup_bytes)
     if items is None:
-        return _joined_history_vectors(df, vectors, row_key, width, carry, recency, pad_side)
+        joined = _joined_history_vectors(df, vectors, row_key, width, carry, recency, pad_side)
+        return lookup_vectors(joined, vectors, width=width) if with_query else joined
+    kind = vectors.schema["vector"].dataType
+    exact = np.float32 if kind.elementType == T.FloatType() else np.float64
 
     def encode(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = items.value
@@ -90,10 +97,18 @@ def history_vectors(
                 sums = np.einsum("rl,rld->rd", weights, table.values[place])
                 total = weights.sum(axis=1, keepdims=True)
                 np.divide(sums, total, out=means, where=total > 0)
-            yield rows[[*row_key, *carry]].assign(vector=list(means))
+            found = rows[[*row_key, *carry]].assign(vector=list(means))
+            if with_query:
+                place, known = table.find(rows["movie_id"].to_numpy())
+                queries = np.zeros((len(rows), width), dtype=exact)
+                if known.any():
+                    queries[known] = table.values[place[known]]
+                found = found.assign(query=list(queries))
+            yield found
 
     kept = T.StructType([df.schema[name] for name in (*row_key, *carry)])
     schema = T.StructType([*kept.fields, T.StructField("vector", T.ArrayType(T.DoubleType()))])
+    schema = schema.add("query", kind) if with_query else schema
     return df.select(*row_key, *carry, "previous_movie_ids", "history_len").mapInPandas(encode, schema)
 
 

@@ -48,8 +48,8 @@ def scored_pairs(
 
     A movie without a vector scores 0 everywhere, so that no row is lost.
     """
-    encoded = history_vectors(train, vectors, ROW_KEY, width, ("movie_id",), recency, pad_side)
-    return lookup_vectors(encoded, vectors, width=width).withColumn("score", score())
+    encoded = history_vectors(train, vectors, ROW_KEY, width, ("movie_id",), recency, pad_side, with_query=True)
+    return encoded.select(*ROW_KEY, "movie_id", "query", "vector", score().alias("score"))
 
 
 def evaluate(

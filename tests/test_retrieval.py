@@ -10,7 +10,7 @@ from marquee.operators.batches import map_batches, take_batches
 from marquee.operators.factors import fit_item_vectors
 from marquee.operators.ratings import rating_base
 from marquee.operators.retrieval import (
-    history_vectors, lookup_vectors, softmax_losses, top_k, top_k_accuracy, true_pair_ranks,
+    history_vectors, lookup_vectors, score, softmax_losses, top_k, top_k_accuracy, true_pair_ranks,
 )
 from marquee.operators.split import find_cut, hold_out
 from marquee.operators.vocabulary import build_vocabulary, encode_history
@@ -214,3 +214,21 @@ def test_a_joined_history_has_the_same_vectors(shipped):
         assert [r[:2] for r in a] == [r[:2] for r in b]
         np.testing.assert_allclose([r.vector for r in a], [r.vector for r in b], rtol=1e-12, atol=1e-12)
         assert [0.0] * 6 in [r.vector for r in b]
+
+
+def test_pairs_are_scored_where_they_lie(shipped):
+    """With few item vectors, however large Spark takes their table to be, no row with vectors is exchanged."""
+    items = frame(shipped, "movie_id long, vector array<float>", [(i,) for i in range(40)], RNG.normal(size=(40, 6)))
+    pairs = [(i, i, int(RNG.integers(0, 50)), [int(x) for x in RNG.integers(0, 50, 5)], 5) for i in range(200)]
+    train = shipped.createDataFrame(
+        pairs, "rating_id long, matched_rating_id long, movie_id long, previous_movie_ids array<int>, history_len int"
+    )
+    shipped.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = audience.scored_pairs(train, items, 6)
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        plain = lookup_vectors(history_vectors(train, items, audience.ROW_KEY, 6, ("movie_id",)), items, width=6)
+        wanted = plain.select(*audience.ROW_KEY, "movie_id", "query", "vector", score().alias("score"))
+        assert found.dtypes == wanted.dtypes and sorted(found.collect()) == sorted(wanted.collect())
+    finally:
+        shipped.conf.unset("spark.sql.autoBroadcastJoinThreshold")
