@@ -8,7 +8,8 @@ windows run over the ratings alone. A rating keeps
 * the shifted gaps of its (user, movie),
 
 and the copies are made last, after row filters. The gaps of a whole (user, movie) are gathered after the
-last sort and only then turned into copies; before that a rating carries at most N of them.
+last sort and only then turned into copies; before that a rating carries at most N of them. Sequences that are stored
+carry the whole pair where it has at most N ratings, so that only larger pairs are gathered anew when they are read.
 
 Ratings are told apart by their place in a user's order, never by their id: a movie listed twice gives every
 rating of it twice, on either of the two roads below.
@@ -58,7 +59,7 @@ class Sequences:
     oversized: DataFrame | None = None
     matches: DataFrame | None = None  # the ratings that oversized ones are paired with
     oversized_rows: int = 0
-    stored: bool = False  # read back, so no longer dealt by user
+    stored: bool = False  # read back, so no longer dealt by user; with 'pair_rows', and the matches of pairs of few ratings
 
 
 def with_day_gaps(
@@ -95,21 +96,22 @@ def with_shifted_gaps_by_value(rows: DataFrame, n_rows: int, policy: SkewPolicy)
 
 
 def rating_sequences(
-    base: DataFrame, config: SequenceConfig, latest_only: bool = False, users: DataFrame | None = None
+    base: DataFrame, config: SequenceConfig, latest_only: bool = False, users: DataFrame | None = None, carry: bool = False
 ) -> Sequences:
     """Gaps, shifted gaps and context of every rating.
 
     ``latest_only`` lets the plan drop ratings that no history of a user's latest rating can reach.
+    ``carry`` adds the matches of pairs of at most a frame of ratings, for sequences that are going to be stored.
     ``users`` is what oversized users are counted in, ``base`` itself when unset. The ratings before their
     join do as well: a column scan that can only count more.
     """
     base = base.where(F.col(USER).isNotNull())
     n, hot = find_groups(base if users is None else users, USER, config.skew)
     if hot is None:
-        return Sequences(_ordinary(dealt(base, n, config.skew, USER), config, latest_only), config, n)
+        return Sequences(_ordinary(dealt(base, n, config.skew, USER), config, latest_only, carry), config, n)
     cold_rows, hot_rows = split_hot(base, USER, hot, config.skew)
     oversized = _oversized(hot_rows, hot, config, latest_only)
-    ordinary = _ordinary(dealt(cold_rows, n, config.skew, USER), config, latest_only)
+    ordinary = _ordinary(dealt(cold_rows, n, config.skew, USER), config, latest_only, carry)
     return Sequences(ordinary, config, n, *oversized, hot.rows)
 
 
@@ -136,13 +138,15 @@ def expand(
         raise ValueError(f"frame must be 'train' or 'inference', not {frame!r}")
     config = sequences.config
     ordinary = sequences.ordinary
-    if "matches" not in ordinary.columns:
-        if sequences.stored:
-            ordinary = dealt(ordinary, sequences.ordinary_rows, config.skew, USER)
-        ordinary = _with_matches(ordinary, config)
     if last_only:
         keep = F.col("is_last") if keep is None else keep & F.col("is_last")
-    rows = _expand_ordinary(_kept(ordinary, keep), frame, config, last_only)
+    if "matches" not in ordinary.columns:
+        ordinary = _with_matches(ordinary, config)
+    rows = _expand_ordinary(_kept(ordinary, keep).where("matches is not null"), frame, config, last_only)
+    if sequences.stored and config.rerate == "fanout":
+        large = sequences.ordinary.where(F.col("pair_rows") > config.frame_len)  # bounds of this column leave out row groups
+        large = _with_matches(dealt(large, sequences.ordinary_rows, config.skew, USER), config)
+        rows = rows.unionByName(_expand_ordinary(_kept(large, keep), frame, config, last_only))
     if sequences.oversized is not None:
         rows = rows.unionByName(_expand_oversized(sequences, keep, frame, last_only))
     return rows
@@ -167,14 +171,10 @@ def _kept(rows: DataFrame, keep: Column | None) -> DataFrame:
     return rows if keep is None else rows.where(keep)
 
 
-def _entry(gap: Column) -> Column:
-    return F.struct(
-        F.col("movie_id"), F.col("movie_release_year"), F.col("rating_value"), gap.alias("shifted_days")
-    )
-
-
 def _entries(gaps: Column) -> Column:
-    return F.transform(gaps, _entry)
+    """An entry per gap, zipped from repeated values: unlike a lambda, that is compiled."""
+    own = [F.array_repeat(name, F.size(gaps)).alias(name) for name in ("movie_id", "movie_release_year", "rating_value")]
+    return F.arrays_zip(*own, gaps.alias("shifted_days"))
 
 
 def _with_context(
@@ -200,24 +200,24 @@ def _with_history(rows: DataFrame, own: Column, own_rows: Column, n: int) -> Dat
 # --- ordinary users: every window below is satisfied by one hash exchange on user_id ---------------
 
 
-def _ordinary(base: DataFrame, config: SequenceConfig, latest_only: bool) -> DataFrame:
+def _ordinary(base: DataFrame, config: SequenceConfig, latest_only: bool, carry: bool) -> DataFrame:
     n = config.frame_len
-    user = Window.partitionBy(USER)
+    user = Window.partitionBy(USER).orderBy(*TIME_ORDER)
     rows = with_day_gaps(base, config.gap_unit)
-    rows = rows.withColumn("_nth", F.row_number().over(user.orderBy(*TIME_ORDER)))
-    rows = rows.withColumn(LAST, F.max(TIME).over(user))
-    rows = rows.withColumn("is_last", F.col("_nth") == F.count(F.lit(1)).over(user))
+    rows = rows.withColumns({  # in the order of the gaps, so all of them are one window
+        "_nth": F.row_number().over(user), LAST: F.max(TIME).over(_whole(user)), "_n": F.count(F.lit(1)).over(_whole(user)),
+    }).withColumn("is_last", F.col("_nth") == F.col("_n"))
     if latest_only:
-        rows = rows.withColumn("_first_latest", F.min(F.when(is_latest(), F.col("_nth"))).over(user))
+        rows = rows.withColumn("_first_latest", F.min(F.when(is_latest(), F.col("_nth"))).over(_whole(user)))
     rows = with_shifted_gaps(rows, config.gap_order)
-    tail = F.array("shifted_days")
+    tail, size = F.array(_match()), F.lit(1).cast("long")
     if config.rerate == "fanout":
         pair = Window.partitionBy(*PAIR).orderBy(*PAIR_ORDER)
         size = F.count(F.lit(1)).over(_whole(pair))  # in the same order, so nothing is sorted for it
         rows = rows.withColumn("_after", size - F.row_number().over(pair))
-        late = F.when(F.col("_after") < n, F.col("shifted_days"))
+        late = F.when(F.col("_after") < n, _match() if carry else F.struct("shifted_days"))
         tail = F.collect_list(late).over(_whole(pair))
-    rows = rows.withColumn("tail", tail)
+    rows = rows.withColumns({"_tail": tail, "pair_rows": size}).withColumn("tail", F.col("_tail").getField("shifted_days"))
     kept = [*RATING_COLUMNS, "is_last", "shifted_days", "context"]
     if latest_only:
         # The ratings that a movie was given before drop out here, so their gaps are gathered first. Of a
@@ -225,6 +225,9 @@ def _ordinary(base: DataFrame, config: SequenceConfig, latest_only: bool) -> Dat
         rows = _with_matches(rows, config).withColumn("matches", F.when(is_latest(), F.col("matches")))
         rows = rows.where(F.col("_nth") >= F.col("_first_latest") - n)
         kept.append("matches")
+    elif carry:
+        rows = rows.withColumn("matches", F.when(F.col("pair_rows") <= n, F.col("_tail")))
+        kept += ["matches", "pair_rows"]
     return _with_context(rows, _entries(F.col("tail")), (USER,), n).select(*kept)
 
 
@@ -232,13 +235,16 @@ def _whole(window: Window) -> Window:
     return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
+def _match() -> Column:
+    return F.struct(F.col("rating_id").alias("matched_rating_id"), F.col("shifted_days"))
+
+
 def _with_matches(rows: DataFrame, config: SequenceConfig) -> DataFrame:
     """The ids and shifted gaps of all ratings of a rating's (user, movie): at most max_group_rows of them."""
-    match = F.struct(F.col("rating_id").alias("matched_rating_id"), F.col("shifted_days"))
     if config.rerate != "fanout":
-        return rows.withColumn("matches", F.array(match))
+        return rows.withColumn("matches", F.array(_match()))
     pair = Window.partitionBy(*PAIR).orderBy(*PAIR_ORDER)
-    return rows.withColumn("matches", F.collect_list(match).over(_whole(pair)))
+    return rows.withColumn("matches", F.collect_list(_match()).over(_whole(pair)))
 
 
 def _expand_ordinary(rows: DataFrame, frame: str, config: SequenceConfig, last_only: bool) -> DataFrame:

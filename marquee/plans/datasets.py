@@ -24,10 +24,10 @@ ROW_KEY = ("rating_id", "matched_rating_id")
 
 def sequences_of(
     ratings: DataFrame, movies: DataFrame, config: SequenceConfig, latest_only: bool = False,
-    medians: DataFrame | None = None,
+    medians: DataFrame | None = None, carry: bool = False,
 ) -> Sequences:
     base = rating_base(ratings, movies, config.include_unrated, medians)
-    return rating_sequences(base, config, latest_only, usable_ratings(ratings, config.include_unrated))
+    return rating_sequences(base, config, latest_only, usable_ratings(ratings, config.include_unrated), carry)
 
 
 def train_rows(sequences: Sequences) -> DataFrame:
@@ -93,9 +93,10 @@ def shared_sequences(
 ) -> Sequences:
     """Sequences for both datasets: their base, gaps and contexts are written once, one row per rating.
 
-    Each dataset then takes one shuffle of that table to gather the gaps of each (user, movie).
+    Each dataset is then read from that table as it lies. Only (user, movie) pairs of more ratings than a frame has are
+    shuffled again, to gather their gaps: rows of shorter ones carry them.
     """
-    sequences = sequences_of(ratings, movies, config, medians=medians)
+    sequences = sequences_of(ratings, movies, config, medians=medians, carry=True)
     return replace(sequences, ordinary=materialise(sequences.ordinary, "sequences"), stored=True)
 
 

@@ -28,7 +28,7 @@ from marquee.plans.datasets import KINDS, Prepared, shared_sequences, snapshot_r
 from marquee.session import materialise, scratch_scope
 from marquee.sources.commits import Committed, Writer, open_part, writing
 from marquee.sources.schemas import MOVIES, RATINGS
-from marquee.sources.snapshots import SnapshotLayout
+from marquee.sources.snapshots import SnapshotLayout, read_dataset
 
 #: Folders of a state's ratings, by a hash of the user.
 BUCKETS = 64
@@ -53,13 +53,17 @@ def medians_of(counts: DataFrame) -> DataFrame:
     return reached.groupBy("movie_id").agg(F.min("rating_score").alias("median_score"))
 
 
-def catalogue_of(counts: DataFrame, movies: DataFrame) -> DataFrame:
-    rated = counts.select("movie_id").distinct()
-    listed = movies.select("movie_id", "movie_title").join(rated, "movie_id", "left_semi").distinct()
+def rated_lines(counts: DataFrame, movies: DataFrame) -> DataFrame:
+    """The lines of movies with a rating, stored: their size, not that of the whole list, says how ratings are joined to them."""
+    return materialise(movies.join(counts.select("movie_id").distinct(), "movie_id", "left_semi"), "rated")
+
+
+def catalogue_of(rated: DataFrame) -> DataFrame:
+    listed = rated.select("movie_id", "movie_title").distinct()
     return listed.select("movie_id", F.col("movie_title").cast("string").alias("movie_title"))
 
 
-def _write_state(writer: Writer, added: DataFrame, movies: DataFrame, counts: DataFrame, before: list[str]) -> None:
+def _write_ratings(writer: Writer, added: DataFrame) -> None:
     stored = added.select(*RATINGS.names, _bucket().alias("bucket"))
     if added.isEmpty():  # folders of buckets would leave no schema
         writer.write("ratings", stored)
@@ -67,6 +71,9 @@ def _write_state(writer: Writer, added: DataFrame, movies: DataFrame, counts: Da
         path = writer.add("ratings", writer.path("ratings"))
         ordered = stored.repartition("bucket").sortWithinPartitions("bucket", "user_id")
         ordered.write.mode("errorifexists").partitionBy("bucket").parquet(path)
+
+
+def _write_state(writer: Writer, movies: DataFrame, counts: DataFrame, before: list[str]) -> None:
     writer.write("movies", movies.select(MOVIES.names))
     writer.write("scores", counts)
     writer.details["ratings"] = [*before, writer.layout.snapshot]
@@ -79,14 +86,19 @@ def _details(config: SequenceConfig, keys: bool) -> dict:
 def prepare_carried(
     ratings: DataFrame, movies: DataFrame, layout: SnapshotLayout, config: SequenceConfig = SequenceConfig(), keys: bool = False
 ) -> Prepared:
-    """As ``plans.datasets.prepare``, with the state that updates need."""
+    """As ``plans.datasets.prepare``, with the state that updates need. ``ratings`` are read once: the rest reads the state."""
     start, spark = time.monotonic(), ratings.sparkSession
-    with writing(spark, layout, "state", ("ratings", "movies", "scores")) as state, scratch_scope(spark):
-        _write_state(state, ratings, movies, score_counts(ratings), [])
+    with writing(spark, layout, "state", ("ratings", "movies", "scores")) as writer, scratch_scope(spark):
+        _write_ratings(writer, ratings)
+        _write_state(writer, movies, score_counts(read_dataset(spark, writer.path("ratings"))), [])
     with writing(spark, layout, "data", KINDS) as writer, scratch_scope(spark):
-        for kind, dataset in snapshot_rows(shared_sequences(ratings, movies, config), config, keys).items():
+        state = open_part(spark, layout, "state")
+        ratings, counts = state.read("ratings").drop("bucket"), state.read("scores")
+        medians = materialise(medians_of(counts), "medians") if config.include_unrated else None
+        rated = rated_lines(counts, movies)
+        for kind, dataset in snapshot_rows(shared_sequences(ratings, rated, config, medians), config, keys).items():
             writer.write(kind, dataset)
-        writer.write("movies", catalogue_of(open_part(spark, layout, "state").read("scores"), movies))
+        writer.write("movies", catalogue_of(rated))
         writer.details.update(_details(config, keys))
     return Prepared(writer.tables, time.monotonic() - start)
 
@@ -102,9 +114,10 @@ def carried_ratings(spark: SparkSession, layout: SnapshotLayout, state: Committe
 
 
 def _changed_movies(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Ids whose lines differ, counting repeated lines."""
-    one, other = (x.select(MOVIES.names) for x in (before, after))
-    return one.exceptAll(other).select("movie_id").union(other.exceptAll(one).select("movie_id")).distinct()
+    """Ids whose lines differ, counting repeated lines. Both lists are grouped once."""
+    one, other = (x.select(*MOVIES.names, F.lit(n).alias("n")) for x, n in ((before, 1), (after, -1)))
+    lines = one.unionByName(other).groupBy(MOVIES.names).agg(F.sum("n").alias("n"))
+    return lines.where("n <> 0").select("movie_id").distinct()
 
 
 def touched_users(
@@ -161,11 +174,13 @@ def update(
         theirs = join_counted(
             ratings.where(F.col("bucket").isin(buckets)).drop("bucket"), users, "user_id", "left_semi", n_users, config.skew
         )
-        rebuilt = shared_sequences(theirs.unionByName(added), movies, config, medians)
+        rated = rated_lines(counts, movies)
+        rebuilt = shared_sequences(theirs.unionByName(added), rated, config, medians)
         for kind, rows in snapshot_rows(rebuilt, config, keys).items():
             kept = join_counted(old.read(kind), users, "user_id", "left_anti", n_users, config.skew)
             writer.write(kind, kept.select(rows.columns).unionByName(rows))
-        writer.write("movies", catalogue_of(counts, movies))
+        writer.write("movies", catalogue_of(rated))
         writer.details.update(_details(config, keys))
-        _write_state(new_state, added, movies, counts, state.details["ratings"])
+        _write_ratings(new_state, added)
+        _write_state(new_state, movies, counts, state.details["ratings"])
     return Prepared(writer.tables, time.monotonic() - start)

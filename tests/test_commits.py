@@ -145,6 +145,46 @@ def test_only_touched_users_are_rebuilt(spark, tmp_path, monkeypatch):
     assert {row.user_id for row in rebuilt[0]} == {4, 77} and len(rebuilt[0]) == 22
 
 
+def test_snapshots_read_their_state_and_the_rated_movies(spark, tmp_path, monkeypatch):
+    """What a snapshot reads follows its ratings, which it reads from their state, and not the list of all movies."""
+    rows, films = [(i, i % 3, i % 11, day(i), 3) for i in range(60)], movies(spark)
+    films = films.unionByName(films.where("movie_id in (4, 50)"))
+    layouts = [SnapshotLayout(str(tmp_path), f"s{i}") for i in range(2)]
+    seen = []
+    shared = updates.shared_sequences
+    monkeypatch.setattr(updates, "shared_sequences", lambda rated, listed, *rest: (
+        seen.append((rated.inputFiles(), sorted(r.movie_id for r in listed.collect()))) or shared(rated, listed, *rest)
+    ))
+    updates.prepare_carried(ratings(spark, rows), films, layouts[0], keys=True)
+    updates.update(spark, *layouts, ratings(spark, [(900, 1, 70, day(300), 2)]), films, keys=True)
+    assert all(f"{tmp_path}/s0/state/ratings" in path for path in seen[0][0]) and seen[0][0]
+    assert [ids for _, ids in seen] == [sorted([*range(11), 4]), sorted([*range(11), 4, 70])]
+    same(spark, layouts[1], ratings(spark, rows + [(900, 1, 70, day(300), 2)]), films, SequenceConfig())
+
+
+def test_changed_movies_count_repeated_lines(spark):
+    before = movies(spark, range(6), rows=[(1, None, None, None)])
+    after = movies(spark, range(1, 7), rows=[(1, None, None, None), (3, "movie 3", None, "en")])
+    after = after.unionByName(after.where("movie_id = 5"))
+    assert sorted(r.movie_id for r in updates._changed_movies(before, after).collect()) == [0, 3, 5, 6]
+    twice = before.unionByName(before)
+    assert updates._changed_movies(twice, twice).isEmpty()
+    lines = updates._changed_movies(before, after)._jdf.queryExecution().optimizedPlan().toString()
+    assert lines.count("Aggregate [") == 2  # the lines once, and their ids
+
+
+@pytest.mark.parametrize("rerate", ["fanout", "by_rating"])
+def test_pairs_of_more_ratings_than_a_frame(spark, tmp_path, rerate):
+    """Pairs of one to nine ratings, and users of long and short pairs, with frames of three entries."""
+    config = SequenceConfig(seq_length=3, min_history=0, rerate=rerate)
+    rows = [(100 * m + i, u, m, day((7 * m + 5 * i + u) % 40), (m + i) % 5 + 1)
+            for u in range(3) for m in range(1, 10) for i in range(m if u else 1 + m % 3)]
+    rows = [(n, *row[1:]) for n, row in enumerate(rows)]
+    layout = SnapshotLayout(str(tmp_path), "s")
+    updates.prepare_carried(ratings(spark, rows), movies(spark), layout, config, keys=True)
+    same(spark, layout, ratings(spark, rows), movies(spark), config)
+
+
 def test_a_moved_median_touches_the_unscored(spark):
     counts = spark.createDataFrame([(1, 2, 3), (1, 5, 3), (2, None, 4), (3, 4, 1)], "movie_id long, rating_score int, n long")
     assert {tuple(r) for r in updates.medians_of(counts).collect()} == {(1, 2), (3, 4)}

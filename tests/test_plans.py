@@ -35,6 +35,20 @@ def test_pair_arrays_are_gathered_after_the_last_sort(inputs):
     assert not any("- Sort [" in line or "Exchange" in line for line in lines[:first])
 
 
+def test_stored_sequences_are_read_as_they_lie(inputs):
+    """Rows carry the matches of short pairs, and there are no others here: nothing is shuffled, sorted or windowed again."""
+    config = SequenceConfig()
+    rows = datasets.snapshot_rows(datasets.shared_sequences(*inputs, config), config, keys=True)
+    for dataset in rows.values():
+        assert dataset.collect()
+        final = plan(dataset).split("== Initial Plan ==")[0]
+        assert not any(word in final for word in ("Exchange", "Sort [", "Window ["))
+
+
+def test_entries_are_made_without_lambdas(inputs):
+    assert "lambda" not in plan(datasets.train_dataset(*inputs))
+
+
 def test_one_per_user_costs_one_shuffle_and_two_scans(inputs):
     text = plan(datasets.inference_dataset(*inputs, one_per_user=True))
     assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan parquet") == 2
